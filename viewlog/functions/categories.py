@@ -24,6 +24,23 @@ def category_of(app: Column | str = C.APP) -> Column:
     return expr.otherwise(F.lit(C.ERROR_CATEGORY))
 
 
+def is_category(name: str, app: Column | str = C.APP) -> Column:
+    """Predicate ``category_of(app) == name``, written directly.
+
+    The code lists are disjoint, so membership in one list is the same as the
+    CASE picking that category. Used inside conditional sums, this costs one
+    ``IN`` per category instead of re-evaluating the whole CASE per sum.
+    """
+    app = F.col(app) if isinstance(app, str) else app
+    if name == C.ERROR_CATEGORY:
+        every = [code for _, codes in C.CATEGORY_RULES for code in codes]
+        return F.coalesce(~app.isin(*every), F.lit(True))
+    for cat, codes in C.CATEGORY_RULES:
+        if cat == name:
+            return app.isin(*codes)
+    raise ValueError(f"unknown category {name!r}")
+
+
 def transform_category(df: DataFrame, app_col: str = C.APP, out_col: str = C.TYPE) -> DataFrame:
     """Add the ``Type`` column."""
     return df.withColumn(out_col, category_of(app_col))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -22,8 +22,7 @@ def with_features(silver: DataFrame, categories: Sequence[str] = C.CATEGORIES,
 def active_days(silver: DataFrame, day_col: str = C.EXEC_DAY) -> DataFrame:
     """Distinct days per contract and the High/Low segment.
 
-    When the input is already hash-partitioned by Contract (it is, after the
-    silver join), Spark plans this distinct count without a new exchange.
+    A grouped distinct count: partial on (contract, day), then on contract.
     """
     return (
         silver.groupBy(C.CONTRACT)
@@ -37,13 +36,22 @@ def gold_usage(silver: DataFrame, history: DataFrame | None = None, run_day: str
                zero_is_null: bool = False) -> DataFrame:
     """Gold rows: silver + features + Active.
 
-    ``history`` is the set of silver snapshots Active counts days over; by
-    default the input itself. ``run_day`` restamps ``execution_day`` (the
-    original restamps every row with the run date).
+    ``history`` is the set of silver snapshots Active counts days over.
+    Without it, Active counts over the input itself; the input rows of a
+    contract are its files (bounded by the file count), and the silver output
+    is already partitioned by contract, so a window does what the original's
+    aggregate-and-join does without another exchange. With a separate history
+    the distinct count is aggregated there and joined on Contract.
+    ``run_day`` restamps ``execution_day`` (the original restamps every row).
     """
     feats = with_features(silver, categories, zero_is_null)
-    active = active_days(history if history is not None else silver, day_col).select(C.CONTRACT, C.ACTIVE)
-    out = feats.join(active, C.CONTRACT, "inner")
+    if history is None:
+        days = F.size(F.collect_set(day_col).over(Window.partitionBy(C.CONTRACT)))
+        # The inner join drops NULL contracts; so does this filter.
+        out = feats.filter(F.col(C.CONTRACT).isNotNull()).withColumn(C.ACTIVE, active_segment(days))
+    else:
+        active = active_days(history, day_col).select(C.CONTRACT, C.ACTIVE)
+        out = feats.join(active, C.CONTRACT, "inner")
     if run_day is not None:
         out = out.withColumn(C.EXEC_DAY, F.lit(run_day))
     return out.select(*feats.columns, C.ACTIVE)

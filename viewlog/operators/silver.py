@@ -1,32 +1,43 @@
 """Silver layer: per-contract usage pivot, device counts and source fan-out.
 
 The original computes the category totals and the device counts in two
-separate aggregations over the same bronze scan and joins them. Catalyst does
-not merge those, so here they are written as one ``groupBy(Contract)`` with
-conditional sums: one scan, partial (map-side) aggregation, and no
-value-discovery job for the pivot. A hot contract (the ``'0'`` null bucket can
-hold a third of all rows) is absorbed by the partial aggregation, so no task
-ever sees more than one partial row per contract and partition.
+separate aggregations over the same bronze scan, then joins them and joins the
+distinct (contract, source file) pairs back on. Catalyst does not merge those.
+Here:
+
+* the pivot is a set of conditional sums in one aggregate (no value-discovery
+  job, fixed columns, map-side partial aggregation);
+* the silver rows are one aggregate over (contract, file[, day]) whose
+  per-contract totals come from a window over the contract: a hot contract
+  (the ``'0'`` null bucket can hold a third of all rows) is first spread over
+  its files by the partial aggregate, and the window then sees one row per
+  file of that contract, never its raw rows;
+* distinct devices, which cannot be rebuilt from per-file partials, come from
+  a second aggregate over (contract, device) that is already partitioned by
+  contract when it meets the window output, so the join adds no exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.categories import category_of
+from ..functions.categories import category_of, is_category
 
+_N = "_rows"
 
-def _category_sums(type_col: Column, duration: Column, columns: Sequence[str]) -> list[Column]:
+
+def _category_sums(duration: Column, columns: Sequence[str], fill: bool = True) -> list[Column]:
     # sum(...) is NULL when a contract has no rows of a type (or only NULL
     # durations): that is the pivot gap the original fills with 0.
-    return [
-        F.coalesce(F.sum(F.when(type_col == F.lit(c), duration)), F.lit(0).cast("bigint")).alias(c)
-        for c in columns
-    ]
+    out = []
+    for c in columns:
+        s = F.sum(F.when(is_category(c), duration))
+        out.append((F.coalesce(s, F.lit(0).cast("bigint")) if fill else s).alias(c))
+    return out
 
 
 def device_count(bronze: DataFrame, distinct: bool = True) -> DataFrame:
@@ -53,8 +64,7 @@ def usage_pivot(bronze: DataFrame, columns: Sequence[str] = C.PIVOT_COLUMNS) ->
     The column list is fixed, so absent categories are still present as 0 and
     downstream features always see the same schema.
     """
-    t = category_of(C.APP)
-    return bronze.groupBy(C.CONTRACT).agg(*_category_sums(t, F.col(C.DURATION), columns))
+    return bronze.groupBy(C.CONTRACT).agg(*_category_sums(F.col(C.DURATION), columns))
 
 
 def contract_sources(bronze: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -62,46 +72,43 @@ def contract_sources(bronze: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return bronze.select(C.CONTRACT, C.SOURCE_FILE, *extra).distinct()
 
 
-def contract_totals(bronze: DataFrame, columns: Sequence[str] = C.PIVOT_COLUMNS,
-                    distinct_devices: bool = True) -> DataFrame:
-    """Fused D2 + D3 + J1: one aggregate per non-NULL contract.
-
-    Dropping NULL contracts before aggregating is what the original's inner
-    join on Contract does after it. With ``count_distinct`` Spark plans the
-    aggregate as partial on (Contract, Mac), then on Contract, both with
-    map-side combine, so a hot contract is spread over devices first.
-    """
-    b = bronze.filter(F.col(C.CONTRACT).isNotNull())
-    t = category_of(C.APP)
-    aggs = _category_sums(t, F.col(C.DURATION), columns) + [F.count(F.lit(1)).alias(C.TOTAL_DEVICES)]
-    if distinct_devices:
-        aggs.append(F.count_distinct(C.MAC).alias(C.DISTINCT_DEVICES))
-    return b.groupBy(C.CONTRACT).agg(*aggs)
+def distinct_devices(bronze: DataFrame) -> DataFrame:
+    """Distinct devices per non-NULL contract: partial on (contract, device),
+    then on contract, both with map-side combine."""
+    return (
+        bronze.filter(F.col(C.CONTRACT).isNotNull())
+        .groupBy(C.CONTRACT)
+        .agg(F.count_distinct(C.MAC).alias(C.DISTINCT_DEVICES))
+    )
 
 
 def silver_summary(bronze: DataFrame, run_day: str | None = None, day_col: str | None = C.EXEC_DATE,
-                   columns: Sequence[str] = C.PIVOT_COLUMNS, distinct_devices: bool = True) -> DataFrame:
-    """Silver rows (D4): per-contract totals repeated once per source file.
+                   columns: Sequence[str] = C.PIVOT_COLUMNS, with_distinct_devices: bool = True) -> DataFrame:
+    """Silver rows (D2 + D3 + D4, J1, J2): per-contract totals repeated once
+    per source file of the contract.
 
     ``run_day`` stamps every row with the run date (the original's snapshot
     mode). Without it, each row takes the day of its source file from
     ``day_col`` of bronze, so one batch holds one snapshot per file day.
 
-    The fan-out side is the distinct (contract, file[, day]) set, which the
-    left join attaches to the totals; Catalyst/AQE picks broadcast or
-    sort-merge after measuring it.
+    NULL contracts are dropped first: the original's inner join on Contract
+    drops them after aggregating.
     """
-    totals = contract_totals(bronze, columns, distinct_devices)
-    src_cols = [C.CONTRACT, C.SOURCE_FILE]
     b = bronze.filter(F.col(C.CONTRACT).isNotNull())
+    keys = [C.CONTRACT, C.SOURCE_FILE]
     if run_day is None:
-        src = b.select(C.CONTRACT, C.SOURCE_FILE, F.col(day_col).alias(C.EXEC_DAY)).distinct()
-    else:
-        src = b.select(*src_cols).distinct()
-    out = totals.join(src, C.CONTRACT, "left")
-    if run_day is not None:
-        out = out.withColumn(C.EXEC_DAY, F.lit(run_day))
+        b = b.withColumn(C.EXEC_DAY, F.col(day_col))
+        keys.append(C.EXEC_DAY)
+    per_file = b.groupBy(*keys).agg(*_category_sums(F.col(C.DURATION), columns, fill=False),
+                                    F.count(F.lit(1)).alias(_N))
+    w = Window.partitionBy(C.CONTRACT)
+    totals = [F.coalesce(F.sum(c).over(w), F.lit(0).cast("bigint")).alias(c) for c in columns]
+    out = per_file.select(
+        C.CONTRACT, *totals, F.sum(_N).over(w).alias(C.TOTAL_DEVICES), C.SOURCE_FILE,
+        F.col(C.EXEC_DAY) if run_day is None else F.lit(run_day).alias(C.EXEC_DAY),
+    )
     order = [C.CONTRACT, *columns, C.TOTAL_DEVICES]
-    if distinct_devices:
+    if with_distinct_devices:
+        out = out.join(distinct_devices(bronze), C.CONTRACT, "inner")
         order.append(C.DISTINCT_DEVICES)
     return out.select(*order, C.SOURCE_FILE, C.EXEC_DAY)
