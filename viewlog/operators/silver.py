@@ -28,6 +28,7 @@ from .. import constants as C
 from ..functions.categories import category_of, is_category
 
 _N = "_rows"
+_NEW = "_new_devices"
 
 
 def _category_sums(duration: Column, columns: Sequence[str], fill: bool = True) -> list[Column]:
@@ -93,22 +94,33 @@ def silver_summary(bronze: DataFrame, run_day: str | None = None, day_col: str |
 
     NULL contracts are dropped first: the original's inner join on Contract
     drops them after aggregating.
+
+    One scan of bronze. With distinct devices the first aggregate is per
+    (contract, file, device); a window per (contract, device), whose rows are
+    that device's files, marks the device's first file, so summing the marks
+    per contract counts each device once. All groups that reach a window are
+    bounded by the number of files; raw rows only meet partial aggregates.
     """
     b = bronze.filter(F.col(C.CONTRACT).isNotNull())
-    keys = [C.CONTRACT, C.SOURCE_FILE]
+    file_keys = [C.CONTRACT, C.SOURCE_FILE]
     if run_day is None:
         b = b.withColumn(C.EXEC_DAY, F.col(day_col))
-        keys.append(C.EXEC_DAY)
-    per_file = b.groupBy(*keys).agg(*_category_sums(F.col(C.DURATION), columns, fill=False),
-                                    F.count(F.lit(1)).alias(_N))
+        file_keys.append(C.EXEC_DAY)
+    sums = _category_sums(F.col(C.DURATION), columns, fill=False)
+    if with_distinct_devices:
+        per_dev = b.groupBy(*file_keys, C.MAC).agg(*sums, F.count(F.lit(1)).alias(_N))
+        by_dev = Window.partitionBy(C.CONTRACT, C.MAC).orderBy(*file_keys[1:])
+        first = (F.row_number().over(by_dev) == 1) & F.col(C.MAC).isNotNull()
+        per_dev = per_dev.withColumn(_NEW, F.when(first, F.lit(1)).otherwise(F.lit(0)))
+        per_file = per_dev.groupBy(*file_keys).agg(
+            *[F.sum(c).alias(c) for c in columns], F.sum(_N).alias(_N), F.sum(_NEW).alias(_NEW)
+        )
+    else:
+        per_file = b.groupBy(*file_keys).agg(*sums, F.count(F.lit(1)).alias(_N))
     w = Window.partitionBy(C.CONTRACT)
     totals = [F.coalesce(F.sum(c).over(w), F.lit(0).cast("bigint")).alias(c) for c in columns]
-    out = per_file.select(
-        C.CONTRACT, *totals, F.sum(_N).over(w).alias(C.TOTAL_DEVICES), C.SOURCE_FILE,
+    extra = [F.sum(_NEW).over(w).alias(C.DISTINCT_DEVICES)] if with_distinct_devices else []
+    return per_file.select(
+        C.CONTRACT, *totals, F.sum(_N).over(w).alias(C.TOTAL_DEVICES), *extra, C.SOURCE_FILE,
         F.col(C.EXEC_DAY) if run_day is None else F.lit(run_day).alias(C.EXEC_DAY),
     )
-    order = [C.CONTRACT, *columns, C.TOTAL_DEVICES]
-    if with_distinct_devices:
-        out = out.join(distinct_devices(bronze), C.CONTRACT, "inner")
-        order.append(C.DISTINCT_DEVICES)
-    return out.select(*order, C.SOURCE_FILE, C.EXEC_DAY)
