@@ -12,6 +12,7 @@ UPSERT_OLD_LAST_FILE = "20240120"
 UPSERT_NEW_FIRST_FILE = "20240115"
 EVOLVE_FIRST_FILE = "20240116"
 SLICE_ROWS = 2500
+INGEST_ROWS = 250
 TOP_N = 10
 
 BRONZE = """

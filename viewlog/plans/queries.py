@@ -18,7 +18,7 @@ from ..operators import gold as G
 from ..operators import serving as S
 from ..operators import silver as SV
 from ..operators import views as V
-from ..sources.events_adapter import bronze_from_dir, read_events
+from ..sources.events_adapter import bronze_from_dir, events_as_bronze, read_events
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +147,91 @@ def q_checkpoint_latest(spark, sf_dir):
     return latest_checkpoints(log)
 
 
+def _log_dir(spark: SparkSession, sf_dir: str, per_file: bool) -> str:
+    """Write the events as a raw JSON-lines log under the shared directory."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import write_source_log
+
+    path = scratch_path(spark, "source-log")
+    write_source_log(read_events(spark, sf_dir), path, per_file=per_file)
+    return path
+
+
+def q_offset_slice(spark, sf_dir):
+    """Whole log cut into consecutive row-offset batches of SLICE_ROWS lines
+    (S2): every line gets its file offset and batch number."""
+    from ..sources import json_lines as J
+
+    lines = J.indexed_lines(spark, _log_dir(spark, sf_dir, per_file=False), file_col=J.ONE_FILE)
+    recs = J.flatten(J.parse_records(lines, J.discover_source_schema(spark, lines)))
+    return recs.select(
+        C.ROW_INDEX,
+        F.floor(F.col(C.ROW_INDEX) / O.SLICE_ROWS).cast("bigint").alias("batch_id"),
+        C.CONTRACT, C.MAC, C.DURATION, C.APP,
+        F.col("meta_file").alias(C.SOURCE_FILE),
+    )
+
+
+def q_flatten_source(spark, sf_dir):
+    """JSON-lines read with key discovery and nested flatten."""
+    from ..sources import json_lines as J
+
+    lines = J.read_lines(spark, _log_dir(spark, sf_dir, per_file=False))
+    recs = J.flatten(J.parse_records(lines, J.discover_source_schema(spark, lines)))
+    return recs.select(C.CONTRACT, C.MAC, C.DURATION, C.APP, "EventType", "meta_file", "meta_seq")
+
+
+def _scratch_layout(spark: SparkSession, tag: str):
+    import uuid
+
+    from ..session import scratch_path
+    from .pipeline import Layout
+
+    return Layout(database=f"viewlog_{tag}_{uuid.uuid4().hex[:8]}", root=scratch_path(spark, tag))
+
+
+def q_evolved_schema(spark, sf_dir):
+    """Bronze table created from the early files, then appended with the later
+    files that carry one more key (K1, K2, K5, K4): old rows read NULL."""
+    from ..sinks import tables
+
+    lay = _scratch_layout(spark, "evolve")
+    tables.create_namespace(spark, lay.database)
+    t = lay.table(lay.bronze)
+    tables.create_table(spark, t, schemas.BRONZE, [C.EXEC_DATE], lay.location(lay.bronze))
+    ev = read_events(spark, sf_dir)
+    b = events_as_bronze(ev, keep_event_id=True).join(ev.select("event_id", "event_type"), "event_id")
+    early = b.filter(F.col(C.SOURCE_FILE) < F.lit(O.EVOLVE_FIRST_FILE)).drop("event_id", "event_type")
+    late = b.filter(F.col(C.SOURCE_FILE) >= F.lit(O.EVOLVE_FIRST_FILE)).drop("event_id")
+    tables.append(spark, t, early, [C.EXEC_DATE])
+    tables.append(spark, t, late.withColumnRenamed("event_type", "EventType"), [C.EXEC_DATE])
+    return spark.table(t)
+
+
+def q_incremental_ingest(spark, sf_dir):
+    """Per-day JSON-lines files ingested INGEST_ROWS lines per file per run
+    until every file is exhausted (D9): bronze then holds every line once,
+    with its file offset."""
+    from .pipeline import ingest_batch
+
+    root = _log_dir(spark, sf_dir, per_file=True)
+    lay = _scratch_layout(spark, "ingest")
+    for i in range(10_000):
+        info = ingest_batch(spark, lay, root, O.INGEST_ROWS, run_date=f"2024-02-{1 + i % 28:02d}")
+        if info["rows"] == 0:
+            break
+    return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE,
+                                                    C.ROW_INDEX)
+
+
+def q_file_stream_usage(spark, sf_dir):
+    """usage_pivot computed by a file stream (availableNow) over the events
+    files: per micro-batch partial sums, merged at the end (section 2.11)."""
+    from ..streaming.file_stream import stream_usage_pivot
+
+    return stream_usage_pivot(spark, sf_dir)
+
+
 def registry() -> dict[str, Query]:
     return {
         "category_map": q_category_map,
@@ -169,6 +254,11 @@ def registry() -> dict[str, Query]:
         "v_segment": q_v_segment,
         "v_top": q_v_top,
         "checkpoint_latest": q_checkpoint_latest,
+        "offset_slice": q_offset_slice,
+        "flatten_source": q_flatten_source,
+        "evolved_schema": q_evolved_schema,
+        "incremental_ingest": q_incremental_ingest,
+        "file_stream_usage": q_file_stream_usage,
     }
 
 # Queries with no SQL equivalent (the driver then checks row counts only).

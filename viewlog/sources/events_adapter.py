@@ -68,22 +68,38 @@ def bronze_from_dir(spark: SparkSession, sf_dir: str, dense: bool = False) -> Da
 
 def source_records(events: DataFrame) -> DataFrame:
     """Raw log records as the source system writes them: the payload under
-    ``_source`` with one nested object and one extra key, plus envelope keys.
-    Ordered by ``event_id`` (the file order of the written log)."""
-    b = events_as_bronze(events, keep_event_id=True)
-    ev = events.select("event_id", "event_type", "ts")
-    j = b.join(ev, "event_id")
+    ``_source`` (with one nested object and one key the bronze declaration
+    does not know), plus envelope keys and the file the record belongs to."""
+    ev = events.select(*EVENT_COLUMNS, "event_type").withColumn("_k", _k(F.col("props")))
+    sf = F.date_format("ts", "yyyyMMdd")
     payload = F.struct(
-        F.col(C.CONTRACT),
-        F.col(C.MAC),
-        F.col(C.DURATION),
-        F.col(C.APP),
+        contract_of(F.col("user_id"), F.col("_k")).alias(C.CONTRACT),
+        F.col("_k").alias(C.MAC),
+        F.round(F.col("value") * 100).cast("bigint").alias(C.DURATION),
+        app_of(F.col("event_id")).alias(C.APP),
         F.col("event_type").alias("EventType"),
-        F.struct(F.col(C.SOURCE_FILE).alias("file"), F.col("event_id").alias("seq")).alias("meta"),
+        F.struct(sf.alias("file"), F.col("event_id").alias("seq")).alias("meta"),
     )
-    return j.select(
+    return ev.select(
         F.col("event_id").alias("_id"),
         F.lit("viewing-log").alias("_index"),
         payload.alias("_source"),
-        F.col(C.SOURCE_FILE),
+        sf.alias(C.SOURCE_FILE),
     )
+
+
+def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None) -> None:
+    """Write the records as JSON lines in ``_id`` order.
+
+    ``per_file`` writes one directory per source file (``source_file=...``),
+    each holding its records in ``_id`` order across its part files; else one
+    directory whose part files, in name order, hold all records in order.
+    Range partitioning on ``_id`` keeps the write parallel.
+    """
+    recs = source_records(events)
+    n = files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = recs.repartitionByRange(n, "_id")
+    if per_file:
+        ranged.sortWithinPartitions(C.SOURCE_FILE, "_id").write.partitionBy(C.SOURCE_FILE).json(path)
+    else:
+        ranged.sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)
