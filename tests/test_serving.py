@@ -73,3 +73,14 @@ def test_views_drop_null_bucket_and_do_not_double_count(spark):
 def test_serving_schema_has_key():
     names = [f.name for f in schemas.SERVING.fields]
     assert names[:3] == KEY
+
+
+def test_merge_sql_forms():
+    from viewlog.sinks.jdbc import merge_sql
+
+    cols = ["Contract", "execution_day", "source_file", "v"]
+    ansi = merge_sql("t", "s", cols, KEY)
+    assert ansi.startswith("MERGE INTO t t USING s s ON t.Contract = s.Contract AND")
+    assert "UPDATE SET v = s.v" in ansi and "INSERT (Contract, execution_day, source_file, v)" in ansi
+    my = merge_sql("t", "s", cols, KEY, dialect="mysql")
+    assert my.endswith("ON DUPLICATE KEY UPDATE v=VALUES(v)")

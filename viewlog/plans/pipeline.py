@@ -141,42 +141,53 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     return {"files": len(names), "rows": total, "rejects": n_rejects, "new_columns": new_cols}
 
 
-def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> None:
+def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> int:
     """Silver snapshot of all bronze for ``run_date``; a rerun of the same day
-    replaces that day's partition (Q7)."""
+    replaces that day's partition (Q7). Returns the rows written."""
     run_date = run_date or _today()
     bronze = spark.table(layout.table(layout.bronze))
-    silver = SV.silver_summary(bronze, run_day=run_date)
+    silver, obs = tables.counted(SV.silver_summary(bronze, run_day=run_date))
     tables.overwrite_partitions(spark, layout.table(layout.silver), silver, [C.EXEC_DAY],
                                 layout.location(layout.silver))
+    return obs.get["rows"]
 
 
-def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> None:
+def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> int:
     """Gold for ``run_date``: features of that day's silver snapshot, Active
-    over all snapshots (Q8)."""
+    over all snapshots (Q8). Returns the rows written."""
     run_date = run_date or _today()
     silver = spark.table(layout.table(layout.silver))
     latest = silver.filter(F.col(C.EXEC_DAY) == F.lit(run_date))
     hist = silver.select(C.CONTRACT, C.EXEC_DAY)
-    gold = G.gold_usage(latest, history=hist)
+    gold, obs = tables.counted(G.gold_usage(latest, history=hist))
     tables.overwrite_partitions(spark, layout.table(layout.gold), gold, [C.EXEC_DAY], layout.location(layout.gold))
+    return obs.get["rows"]
 
 
-def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructType = schemas.SERVING) -> str | None:
+def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructType = schemas.SERVING,
+                 jdbc: dict | None = None) -> str | None:
     """Latest gold snapshot -> align -> dedup -> keyed upsert into serving.
 
     The latest day comes from the partition list; only that partition is
-    read, and only that partition of the serving table is rewritten.
+    read, and only that partition of the serving table is rewritten. With
+    ``jdbc`` (``url``, ``table``, optional ``props``, ``dialect``) the rows go
+    to a relational table through a staging table and a MERGE instead.
     """
     gold_t = layout.table(layout.gold)
     day = tables.latest_partition(spark, gold_t, C.EXEC_DAY)
     if day is None:
         return None
     serving_t = layout.table(layout.serving)
-    if tables.table_exists(spark, serving_t):
+    if jdbc is None and tables.table_exists(spark, serving_t):
         target_schema = spark.table(serving_t).schema
     snap = spark.table(gold_t).filter(F.col(C.EXEC_DAY) == F.lit(day))
     rows = S.dedup_on_key(S.align_to_target(snap, target_schema), C.SERVING_KEY)
+    if jdbc is not None:
+        from ..sinks.jdbc import upsert_via_staging
+
+        upsert_via_staging(spark, rows, jdbc["url"], jdbc["table"], C.SERVING_KEY, jdbc.get("props"),
+                           jdbc.get("dialect", "ansi"))
+        return day
     if not tables.table_exists(spark, serving_t):
         order = [f.name for f in target_schema.fields if f.name != C.EXEC_DAY] + [C.EXEC_DAY]
         tables.append(spark, serving_t, rows.select(*order), [C.EXEC_DAY], layout.location(layout.serving))
@@ -205,11 +216,9 @@ def run_batches(spark: SparkSession, layout: Layout, source_root: str,
                     info = ingest_batch(spark, layout, source_root, n, run_date, files=[name])
                     detail = f"rows={info['rows']} rejects={info['rejects']}"
                 elif stage == "silver":
-                    silver_stage(spark, layout, run_date)
-                    detail = None
+                    detail = f"rows={silver_stage(spark, layout, run_date)}"
                 elif stage == "gold":
-                    gold_stage(spark, layout, run_date)
-                    detail = None
+                    detail = f"rows={gold_stage(spark, layout, run_date)}"
                 else:
                     detail = f"day={export_stage(spark, layout)}"
                 status.append((name, run_date, stage, "ok", detail))

@@ -11,13 +11,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.serving import upsert as upsert_rows
 
 
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """A row count that rides on the next action (the write), so
+    feedback costs no extra job. Read it with ``obs.get["rows"]`` afterwards."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """O2: the first ``n`` rows (``limit``; a CollectLimit, not a full job)."""
+    return df.limit(n)
+
+
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
