@@ -54,7 +54,6 @@ HEADLINE = [
     "v_top",
     "offset_slice",
     "flatten_source",
-    "incremental_ingest",
     "file_stream_usage",
 ]
 

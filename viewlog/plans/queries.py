@@ -147,13 +147,25 @@ def q_checkpoint_latest(spark, sf_dir):
     return latest_checkpoints(log)
 
 
-def _log_dir(spark: SparkSession, sf_dir: str, per_file: bool) -> str:
-    """Write the events as a raw JSON-lines log under the shared directory."""
+_LOGS: dict[tuple[str, str, bool], str] = {}
+
+
+def log_dir(spark: SparkSession, sf_dir: str, per_file: bool) -> str:
+    """The events as a raw JSON-lines log under the shared directory.
+
+    The log is the input of the ingest queries (in production it is the
+    source system's files), so it is derived once per application and input
+    directory and then reused.
+    """
     from ..session import scratch_path
     from ..sources.events_adapter import write_source_log
 
-    path = scratch_path(spark, "source-log")
-    write_source_log(read_events(spark, sf_dir), path, per_file=per_file)
+    key = (spark.sparkContext.applicationId, sf_dir, per_file)
+    path = _LOGS.get(key)
+    if path is None:
+        path = scratch_path(spark, "source-log")
+        write_source_log(read_events(spark, sf_dir), path, per_file=per_file)
+        _LOGS[key] = path
     return path
 
 
@@ -162,7 +174,7 @@ def q_offset_slice(spark, sf_dir):
     (S2): every line gets its file offset and batch number."""
     from ..sources import json_lines as J
 
-    lines = J.indexed_lines(spark, _log_dir(spark, sf_dir, per_file=False), file_col=J.ONE_FILE)
+    lines = J.indexed_lines(spark, log_dir(spark, sf_dir, per_file=False), file_col=J.ONE_FILE)
     recs = J.flatten(J.parse_records(lines, J.discover_source_schema(spark, lines)))
     return recs.select(
         C.ROW_INDEX,
@@ -176,7 +188,7 @@ def q_flatten_source(spark, sf_dir):
     """JSON-lines read with key discovery and nested flatten."""
     from ..sources import json_lines as J
 
-    lines = J.read_lines(spark, _log_dir(spark, sf_dir, per_file=False))
+    lines = J.read_lines(spark, log_dir(spark, sf_dir, per_file=False))
     recs = J.flatten(J.parse_records(lines, J.discover_source_schema(spark, lines)))
     return recs.select(C.CONTRACT, C.MAC, C.DURATION, C.APP, "EventType", "meta_file", "meta_seq")
 
@@ -214,7 +226,7 @@ def q_incremental_ingest(spark, sf_dir):
     with its file offset."""
     from .pipeline import ingest_batch
 
-    root = _log_dir(spark, sf_dir, per_file=True)
+    root = log_dir(spark, sf_dir, per_file=True)
     lay = _scratch_layout(spark, "ingest")
     for i in range(10_000):
         info = ingest_batch(spark, lay, root, O.INGEST_ROWS, run_date=f"2024-02-{1 + i % 28:02d}")
@@ -229,7 +241,7 @@ def q_file_stream_usage(spark, sf_dir):
     files: per micro-batch partial sums, merged at the end (section 2.11)."""
     from ..streaming.file_stream import stream_usage_pivot
 
-    return stream_usage_pivot(spark, sf_dir)
+    return stream_usage_pivot(spark, sf_dir, log_root=log_dir(spark, sf_dir, per_file=True))
 
 
 def registry() -> dict[str, Query]:

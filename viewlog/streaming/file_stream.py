@@ -85,13 +85,17 @@ def current_usage(spark: SparkSession, out_path: str, columns: Sequence[str] = C
     )
 
 
-def stream_usage_pivot(spark: SparkSession, sf_dir: str, files_per_batch: int = 8) -> DataFrame:
-    """The events log written as per-day JSON files, streamed availableNow."""
+def stream_usage_pivot(spark: SparkSession, sf_dir: str, files_per_batch: int = 8,
+                       log_root: str | None = None) -> DataFrame:
+    """The events log as per-day JSON files (written here unless
+    ``log_root`` already holds it), streamed availableNow."""
     from ..sources.events_adapter import read_events, source_records, write_source_log
 
     events = read_events(spark, sf_dir)
-    root = scratch_path(spark, "stream-log")
-    write_source_log(events, root, per_file=True)
+    root = log_root
+    if root is None:
+        root = scratch_path(spark, "stream-log")
+        write_source_log(events, root, per_file=True)
     payload = source_records(events).schema["_source"].dataType
     agg = usage_state(read_log_stream(spark, root, record_schema(payload), files_per_batch))
     out = scratch_path(spark, "stream-out")
