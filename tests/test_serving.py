@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewlog import constants as C

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from .. import constants as C
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+# Expressions are built as SQL text: one JVM call per expression instead of
+# one per literal; Catalyst sees the same expression tree either way.
+
+
 def most_watch(categories: Sequence[str] = C.CATEGORIES, zero_is_null: bool = False) -> Column:
     """Name of the category with the largest value.
 
@@ -18,15 +29,13 @@ def most_watch(categories: Sequence[str] = C.CATEGORIES, zero_is_null: bool = Fa
     original) unless ``zero_is_null``; when every category is NULL the result
     is NULL.
     """
-    cols = [F.col(c) for c in categories]
-    top = F.greatest(*cols) if len(cols) > 1 else cols[0]
-    expr = None
-    for name, c in zip(categories, cols):
-        cond = c == top
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    cols = [_ident(c) for c in categories]
+    top = f"greatest({', '.join(cols)})" if len(cols) > 1 else cols[0]
+    whens = " ".join(f"WHEN {c} = {top} THEN {_lit(name)}" for name, c in zip(categories, cols))
+    expr = f"CASE {whens} END"
     if zero_is_null:
-        return F.when(top > 0, expr)
-    return expr
+        expr = f"CASE WHEN {top} > 0 THEN {expr} END"
+    return F.expr(expr)
 
 
 def taste(categories: Sequence[str] = C.CATEGORIES, sep: str = C.TASTE_SEPARATOR) -> Column:
@@ -35,7 +44,8 @@ def taste(categories: Sequence[str] = C.CATEGORIES, sep: str = C.TASTE_SEPARATOR
     ``concat_ws`` skips the NULLs left by the non-matching ``when``s, so a
     contract with no positive category gets the empty string.
     """
-    return F.concat_ws(sep, *[F.when(F.col(c) > 0, F.lit(c)) for c in categories])
+    parts = ", ".join(f"CASE WHEN {_ident(c)} > 0 THEN {_lit(c)} END" for c in categories)
+    return F.expr(f"concat_ws({_lit(sep)}, {parts})")
 
 
 def active_segment(active_days: Column | str = C.ACTIVE_DAYS, min_days: int = C.ACTIVE_MIN_DAYS) -> Column:

@@ -21,23 +21,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.categories import category_of, is_category
+from ..functions.categories import category_of, is_category_sql
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
 _N = "_rows"
 _NEW = "_new_devices"
 
 
-def _category_sums(duration: Column, columns: Sequence[str], fill: bool = True) -> list[Column]:
+def _category_sums(duration: str, columns: Sequence[str], fill: bool = True) -> list[Column]:
     # sum(...) is NULL when a contract has no rows of a type (or only NULL
-    # durations): that is the pivot gap the original fills with 0.
+    # durations): that is the pivot gap the original fills with 0. Written as
+    # SQL text: one call per column instead of one per literal.
     out = []
     for c in columns:
-        s = F.sum(F.when(is_category(c), duration))
-        out.append((F.coalesce(s, F.lit(0).cast("bigint")) if fill else s).alias(c))
+        s = f"sum(CASE WHEN {is_category_sql(c)} THEN `{duration}` END)"
+        out.append(F.expr(f"coalesce({s}, CAST(0 AS BIGINT))" if fill else s).alias(c))
     return out
 
 
@@ -65,7 +70,7 @@ def usage_pivot(bronze: DataFrame, columns: Sequence[str] = C.PIVOT_COLUMNS) ->
     The column list is fixed, so absent categories are still present as 0 and
     downstream features always see the same schema.
     """
-    return bronze.groupBy(C.CONTRACT).agg(*_category_sums(F.col(C.DURATION), columns))
+    return bronze.groupBy(C.CONTRACT).agg(*_category_sums(C.DURATION, columns))
 
 
 def contract_sources(bronze: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -106,21 +111,22 @@ def silver_summary(bronze: DataFrame, run_day: str | None = None, day_col: str |
     if run_day is None:
         b = b.withColumn(C.EXEC_DAY, F.col(day_col))
         file_keys.append(C.EXEC_DAY)
-    sums = _category_sums(F.col(C.DURATION), columns, fill=False)
+    sums = _category_sums(C.DURATION, columns, fill=False)
+    q = _q
     if with_distinct_devices:
         per_dev = b.groupBy(*file_keys, C.MAC).agg(*sums, F.count(F.lit(1)).alias(_N))
-        by_dev = Window.partitionBy(C.CONTRACT, C.MAC).orderBy(*file_keys[1:])
-        first = (F.row_number().over(by_dev) == 1) & F.col(C.MAC).isNotNull()
-        per_dev = per_dev.withColumn(_NEW, F.when(first, F.lit(1)).otherwise(F.lit(0)))
-        per_file = per_dev.groupBy(*file_keys).agg(
-            *[F.sum(c).alias(c) for c in columns], F.sum(_N).alias(_N), F.sum(_NEW).alias(_NEW)
+        order = ", ".join(q(k) for k in file_keys[1:])
+        first = (f"CASE WHEN row_number() OVER (PARTITION BY {q(C.CONTRACT)}, {q(C.MAC)} ORDER BY {order}) = 1 "
+                 f"AND {q(C.MAC)} IS NOT NULL THEN 1 ELSE 0 END")
+        per_file = per_dev.withColumn(_NEW, F.expr(first)).groupBy(*file_keys).agg(
+            *[F.expr(f"sum({q(c)})").alias(c) for c in (*columns, _N, _NEW)]
         )
     else:
         per_file = b.groupBy(*file_keys).agg(*sums, F.count(F.lit(1)).alias(_N))
-    w = Window.partitionBy(C.CONTRACT)
-    totals = [F.coalesce(F.sum(c).over(w), F.lit(0).cast("bigint")).alias(c) for c in columns]
-    extra = [F.sum(_NEW).over(w).alias(C.DISTINCT_DEVICES)] if with_distinct_devices else []
+    w = f"OVER (PARTITION BY {q(C.CONTRACT)})"
+    totals = [F.expr(f"coalesce(sum({q(c)}) {w}, CAST(0 AS BIGINT))").alias(c) for c in columns]
+    extra = [F.expr(f"sum({q(_NEW)}) {w}").alias(C.DISTINCT_DEVICES)] if with_distinct_devices else []
     return per_file.select(
-        C.CONTRACT, *totals, F.sum(_N).over(w).alias(C.TOTAL_DEVICES), *extra, C.SOURCE_FILE,
+        C.CONTRACT, *totals, F.expr(f"sum({q(_N)}) {w}").alias(C.TOTAL_DEVICES), *extra, C.SOURCE_FILE,
         F.col(C.EXEC_DAY) if run_day is None else F.lit(run_day).alias(C.EXEC_DAY),
     )

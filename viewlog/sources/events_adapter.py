@@ -37,7 +37,10 @@ def contract_of(user_id: Column, k: Column, dense: bool = False) -> Column:
     return (user_id * 10 + k.cast("bigint") % 10).cast("string")
 
 
-def app_of(event_id: Column) -> Column:
+def app_of(event_id: Column | str = "event_id") -> Column:
+    if isinstance(event_id, str):
+        arr = ", ".join("'" + c + "'" for c in CODES)
+        return F.expr(f"element_at(array({arr}), CAST(`{event_id}` % {len(CODES)} + 1 AS INT))")
     codes = F.array(*[F.lit(c) for c in CODES])
     return F.element_at(codes, (event_id % len(CODES) + 1).cast("int"))
 
@@ -53,7 +56,7 @@ def events_as_bronze(events: DataFrame, dense: bool = False, keep_event_id: bool
         contract_of(F.col("user_id"), F.col("_k"), dense).alias(C.CONTRACT),
         F.col("_k").alias(C.MAC),
         F.round(F.col("value") * 100).cast("bigint").alias(C.DURATION),
-        app_of(F.col("event_id")).alias(C.APP),
+        app_of("event_id").alias(C.APP),
         F.date_format("ts", "yyyy-MM-dd").alias(C.EXEC_DATE),
         F.date_format("ts", "yyyyMMdd").alias(C.SOURCE_FILE),
     ]
@@ -76,7 +79,7 @@ def source_records(events: DataFrame) -> DataFrame:
         contract_of(F.col("user_id"), F.col("_k")).alias(C.CONTRACT),
         F.col("_k").alias(C.MAC),
         F.round(F.col("value") * 100).cast("bigint").alias(C.DURATION),
-        app_of(F.col("event_id")).alias(C.APP),
+        app_of("event_id").alias(C.APP),
         F.col("event_type").alias("EventType"),
         F.struct(sf.alias("file"), F.col("event_id").alias("seq")).alias("meta"),
     )
