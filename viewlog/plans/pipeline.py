@@ -76,7 +76,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     table with their offsets and still count as read (Q21).
     """
     run_date = run_date or _today()
-    tables.create_namespace(spark, layout.database)
+    tables.create_namespace(spark, layout.database, layout.location("_db"))
     cp_table = layout.table(layout.checkpoint)
     CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
     bronze = layout.table(layout.bronze)

@@ -208,7 +208,7 @@ def q_evolved_schema(spark, sf_dir):
     from ..sinks import tables
 
     lay = _scratch_layout(spark, "evolve")
-    tables.create_namespace(spark, lay.database)
+    tables.create_namespace(spark, lay.database, lay.location("_db"))
     t = lay.table(lay.bronze)
     tables.create_table(spark, t, schemas.BRONZE, [C.EXEC_DATE], lay.location(lay.bronze))
     ev = read_events(spark, sf_dir)

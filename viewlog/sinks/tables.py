@@ -34,9 +34,10 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def create_namespace(spark: SparkSession, ns: str) -> None:
-    """K1."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+def create_namespace(spark: SparkSession, ns: str, location: str | None = None) -> None:
+    """K1 (with an explicit location on shared storage when given)."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}{loc}")
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
