@@ -233,4 +233,5 @@ FROM bronze"""
 SELECT Contract, Mac, TotalDuration, AppName, source_file,
        CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS BIGINT) AS row_index
 FROM bronze"""
+    q["stream_ingest"] = q["incremental_ingest"]
     return q

@@ -236,6 +236,21 @@ def q_incremental_ingest(spark, sf_dir):
                                                     C.ROW_INDEX)
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Per-day JSON-lines files ingested into bronze as whole new files by an
+    availableNow file stream (section 2.11); the second run adds nothing."""
+    from ..session import scratch_path
+    from ..streaming.bronze_stream import stream_ingest
+
+    root = log_dir(spark, sf_dir, per_file=True)
+    lay = _scratch_layout(spark, "stream")
+    ckpt = scratch_path(spark, "stream-ingest-ckpt")
+    stream_ingest(spark, lay, root, ckpt, run_date="2024-02-01")
+    stream_ingest(spark, lay, root, ckpt, run_date="2024-02-02")
+    return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE,
+                                                    C.ROW_INDEX)
+
+
 def q_file_stream_usage(spark, sf_dir):
     """usage_pivot computed by a file stream (availableNow) over the events
     files: per micro-batch partial sums, merged at the end (section 2.11)."""
@@ -271,6 +286,7 @@ def registry() -> dict[str, Query]:
         "evolved_schema": q_evolved_schema,
         "incremental_ingest": q_incremental_ingest,
         "file_stream_usage": q_file_stream_usage,
+        "stream_ingest": q_stream_ingest,
     }
 
 # Queries with no SQL equivalent (the driver then checks row counts only).

@@ -94,15 +94,16 @@ def source_records(events: DataFrame) -> DataFrame:
 def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None) -> None:
     """Write the records as JSON lines in ``_id`` order.
 
-    ``per_file`` writes one directory per source file (``source_file=...``),
-    each holding its records in ``_id`` order across its part files; else one
-    directory whose part files, in name order, hold all records in order.
-    Range partitioning on ``_id`` keeps the write parallel.
+    ``per_file`` writes one directory per source file (``source_file=...``)
+    holding one file with that day's records in ``_id`` order, as a source
+    system delivers daily logs; else one directory whose part files, in name
+    order, hold all records in order (range partitioning on ``_id`` keeps
+    that write parallel).
     """
     recs = source_records(events)
     n = files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = recs.repartitionByRange(n, "_id")
     if per_file:
-        ranged.sortWithinPartitions(C.SOURCE_FILE, "_id").write.partitionBy(C.SOURCE_FILE).json(path)
+        by_day = recs.repartition(n, C.SOURCE_FILE).sortWithinPartitions(C.SOURCE_FILE, "_id")
+        by_day.write.partitionBy(C.SOURCE_FILE).json(path)
     else:
-        ranged.sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)
+        recs.repartitionByRange(n, "_id").sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)

@@ -40,16 +40,7 @@ def read_lines(spark: SparkSession, path: str | list[str], base_path: str | None
     r = spark.read
     if base_path:
         r = r.option("basePath", base_path)
-    raw = r.text(path)
-    part_cols = [c for c in raw.columns if c != "value"]
-    lines = raw.filter(F.length(F.trim(F.col("value"))) > 0)
-    return lines.select(
-        "value",
-        *part_cols,
-        F.col("_metadata.file_path").alias(PATH),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(MID),
-    )
+    return with_position(r.text(path))
 
 
 ONE_FILE = "*"
@@ -71,7 +62,25 @@ def indexed_lines_with_files(spark: SparkSession, path: str | list[str], base_pa
                              file_col: str | None = None) -> tuple[DataFrame, list[str]]:
     """``indexed_lines`` plus the logical file names seen (from the split
     summary, so no extra pass)."""
-    lines = read_lines(spark, path, base_path)
+    return index_lines(spark, read_lines(spark, path, base_path), file_col)
+
+
+def with_position(lines: DataFrame, with_id: bool = True) -> DataFrame:
+    """Non-blank lines of a text DataFrame (``value`` plus any other columns)
+    with file path, split start and (unless ``with_id`` is off, as streams
+    require) the position id, as ``read_lines`` gives."""
+    keep = [c for c in lines.columns if c != "value"]
+    out = lines.filter(F.length(F.trim(F.col("value"))) > 0).select(
+        "value",
+        *keep,
+        F.col("_metadata.file_path").alias(PATH),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+    )
+    return out.withColumn(MID, F.monotonically_increasing_id()) if with_id else out
+
+
+def index_lines(spark: SparkSession, lines: DataFrame, file_col: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Add ``row_index`` to positioned lines (see ``indexed_lines``)."""
     summ = _split_summary(lines, file_col)
     rows = summ.limit(MAX_SPLIT_ROWS + 1).collect()
     names: list[str] = []
