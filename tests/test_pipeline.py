@@ -106,3 +106,18 @@ def test_run_batches_failure_skips_rest_of_batch(spark, fresh_dir, layout):
     assert rows[0] == ("20220499", "bronze", "failed")
     assert rows[1:4] == [("20220499", s, "skipped") for s in ("silver", "gold", "export")]
     assert [r[2] for r in rows[4:]] == ["ok"] * 4
+
+
+def test_changed_source_file_is_refused(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    _log(src, "20220406", 10)
+    P.ingest_batch(spark, layout, src, 4, run_date="2024-02-01")
+    # Appended lines: offsets stay valid.
+    d = f"{src}/source_file=20220406/part-00000.json"
+    with open(d, "a") as f:
+        f.write(json.dumps({"_source": {"Contract": "late", "TotalDuration": 1}}) + "\n")
+    assert P.ingest_batch(spark, layout, src, 100, run_date="2024-02-02")["rows"] == 7
+    # Rewritten shorter: refused.
+    _log(src, "20220406", 3)
+    with pytest.raises(CP.ChangedSourceError):
+        P.ingest_batch(spark, layout, src, 4, run_date="2024-02-03")

@@ -13,7 +13,15 @@ from ..functions.features import active_segment, most_watch, taste
 
 def with_features(silver: DataFrame, categories: Sequence[str] = C.CATEGORIES,
                   zero_is_null: bool = False) -> DataFrame:
-    """Add ``MostWatch`` and ``Taste``: narrow projections, no shuffle."""
+    """Add ``MostWatch`` and ``Taste``: narrow projections, no shuffle.
+
+    Only the category columns present in the input take part (P10), in the
+    given order; the silver layer here always has all five.
+    """
+    present = set(silver.columns)
+    categories = [c for c in categories if c in present]
+    if not categories:
+        raise ValueError("no category column in the input")
     return silver.withColumn(C.MOST_WATCH, most_watch(categories, zero_is_null)).withColumn(
         C.TASTE, taste(categories)
     )

@@ -81,8 +81,9 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
     bronze = layout.table(layout.bronze)
 
-    lines, seen = J.indexed_lines_with_files(spark, _source_paths(source_root, files), base_path=source_root,
-                                             file_col=C.SOURCE_FILE)
+    lines, seen, stats = J.index_lines_with_stats(
+        spark, J.read_lines(spark, _source_paths(source_root, files), base_path=source_root), C.SOURCE_FILE
+    )
     names = list(files) if files else seen
     if not names:
         return {"files": 0, "rows": 0, "rejects": 0, "new_columns": []}
@@ -98,10 +99,16 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
         offsets = offsets.join(done, "file_name", "left").select(
             "file_name",
             F.greatest("last_offset", F.coalesce("_done", F.lit(0).cast("bigint"))).alias("last_offset"),
-            "rows_per_run",
+            "rows_per_run", "file_size", "file_mtime",
         )
-    # One row per file: bounded by the listed file count, broadcast.
-    offsets = F.broadcast(offsets.withColumnRenamed("file_name", C.SOURCE_FILE))
+    # One row per listed file: small, checked here, then broadcast.
+    cur = offsets.collect()
+    recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in cur if r["last_offset"] > 0}
+    changed = CP.changed_files(recorded, stats)
+    if changed:
+        raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
+    offsets = F.broadcast(spark.createDataFrame([(r["file_name"], r["last_offset"]) for r in cur],
+                                                f"{C.SOURCE_FILE} string, last_offset bigint"))
     sliced = J.slice_rows(lines.join(offsets, C.SOURCE_FILE), F.col("last_offset"), rows)
 
     # Stage the slice in shared storage: the expensive indexed scan runs once,
@@ -134,8 +141,9 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     new_cols = [c for c in tables.columns_of(spark, bronze) if before and c not in before]
 
     advanced = spark.createDataFrame(
-        [(r[C.SOURCE_FILE], int(r["next_offset"]), int(rows)) for r in per_file],
-        "file_name string, last_offset bigint, rows_per_run bigint",
+        [(r[C.SOURCE_FILE], int(r["next_offset"]), int(rows), *stats.get(r[C.SOURCE_FILE], (None, None)))
+         for r in per_file],
+        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime timestamp",
     )
     CP.append(spark, cp_table, advanced, run_date)
     return {"files": len(names), "rows": total, "rejects": n_rejects, "new_columns": new_cols}

@@ -21,11 +21,12 @@ def latest_checkpoints(log: DataFrame) -> DataFrame:
     long log costs one partial row per map task, not a sort of its history
     (the original's ``ORDER BY updated_at DESC LIMIT 1``).
     """
+    extra = [c for c in ("file_size", "file_mtime") if c in log.columns]
     win = F.max_by(
-        F.struct("last_offset", "rows_per_run"), F.struct("updated_at", "last_offset")
+        F.struct("last_offset", "rows_per_run", *extra), F.struct("updated_at", "last_offset")
     ).alias("_cp")
     return log.groupBy("file_name").agg(win).select(
-        "file_name", F.col("_cp.last_offset").alias("last_offset"), F.col("_cp.rows_per_run").alias("rows_per_run")
+        "file_name", *[F.col(f"_cp.{c}").alias(c) for c in ("last_offset", "rows_per_run", *extra)]
     )
 
 
@@ -33,10 +34,12 @@ def offsets_for(log: DataFrame, files: DataFrame) -> DataFrame:
     """Current offset of every file in ``files(file_name)``; 0 when the file
     has no checkpoint yet (the original's default)."""
     cur = latest_checkpoints(log.join(files, "file_name", "left_semi"))
+    extra = [c for c in ("file_size", "file_mtime") if c in cur.columns]
     return files.join(cur, "file_name", "left").select(
         "file_name",
         F.coalesce("last_offset", F.lit(0).cast("bigint")).alias("last_offset"),
         F.coalesce("rows_per_run", F.lit(0).cast("bigint")).alias("rows_per_run"),
+        *extra,
     )
 
 
@@ -48,6 +51,27 @@ def ensure_table(spark: SparkSession, table: str, location: str | None = None) -
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{loc}")
 
 
+class ChangedSourceError(RuntimeError):
+    """A source file changed under its checkpoint: its offsets are void."""
+
+
+def changed_files(recorded: dict[str, tuple], current: dict[str, tuple]) -> list[str]:
+    """Files whose current (size, mtime) contradict the recorded ones.
+
+    Growth (an appended log) keeps earlier offsets valid; a smaller file, or
+    the same size with another modification time, means it was rewritten.
+    Files without a recorded size are not judged.
+    """
+    bad = []
+    for name, (size_r, mtime_r) in recorded.items():
+        if size_r is None or name not in current:
+            continue
+        size_c, mtime_c = current[name]
+        if size_c < size_r or (size_c == size_r and mtime_r is not None and mtime_c != mtime_r):
+            bad.append(name)
+    return sorted(bad)
+
+
 def read_log(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
@@ -60,11 +84,15 @@ def append(spark: SparkSession, table: str, rows: DataFrame, execution_date: str
     never pass through the driver.
     """
     ts = updated_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    out = rows.select(
-        "file_name",
-        F.col("last_offset").cast("bigint"),
-        F.col("rows_per_run").cast("bigint"),
-        F.lit(execution_date).alias("execution_date"),
-        F.lit(ts).cast("timestamp").alias("updated_at"),
-    )
+    cols = {
+        "file_name": F.col("file_name"),
+        "last_offset": F.col("last_offset").cast("bigint"),
+        "rows_per_run": F.col("rows_per_run").cast("bigint"),
+        "execution_date": F.lit(execution_date),
+        "updated_at": F.lit(ts).cast("timestamp"),
+        "file_size": F.col("file_size").cast("bigint") if "file_size" in rows.columns else F.lit(None).cast("bigint"),
+        "file_mtime": (F.col("file_mtime") if "file_mtime" in rows.columns else F.lit(None)).cast("timestamp"),
+    }
+    table_cols = [f.name for f in spark.table(table).schema.fields]
+    out = rows.select(*[cols[c].alias(c) for c in table_cols])
     out.write.insertInto(table)

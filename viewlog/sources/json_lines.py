@@ -27,6 +27,8 @@ CORRUPT = "_corrupt_record"
 PATH = "_path"
 BLOCK = "_block"
 MID = "_mid"
+FSIZE = "_fsize"
+FTIME = "_fmtime"
 # Upper bound on the per-split summary taken to the driver and broadcast
 # (one row per input split, a few dozen bytes each). Past it the summary is
 # joined without a broadcast.
@@ -48,14 +50,18 @@ ONE_FILE = "*"
 
 def _split_summary(lines: DataFrame, file_col: str | None) -> DataFrame:
     keys = [file_col] if file_col and file_col != ONE_FILE else []
-    summ = lines.groupBy(*keys, PATH, BLOCK).agg(F.min(MID).alias("_min"), F.count(F.lit(1)).alias("_cnt"))
+    summ = lines.groupBy(*keys, PATH, BLOCK).agg(
+        F.min(MID).alias("_min"), F.count(F.lit(1)).alias("_cnt"), F.max(FSIZE).alias(FSIZE),
+        F.max(FTIME).alias(FTIME),
+    )
     # Splits of one logical file in (path, block) order; each split's base is
     # the number of lines before it. One row per split, so the window is
     # small (with ONE_FILE it spans all splits of the input, still one row
     # per split).
     part = keys or ([] if file_col == ONE_FILE else [PATH])
     w = Window.partitionBy(*part).orderBy(PATH, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return summ.select(*keys, PATH, BLOCK, "_min", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_base"))
+    return summ.select(*keys, PATH, BLOCK, "_min", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_base"),
+                       FSIZE, FTIME)
 
 
 def indexed_lines_with_files(spark: SparkSession, path: str | list[str], base_path: str | None = None,
@@ -75,27 +81,42 @@ def with_position(lines: DataFrame, with_id: bool = True) -> DataFrame:
         *keep,
         F.col("_metadata.file_path").alias(PATH),
         F.col("_metadata.file_block_start").alias(BLOCK),
+        F.col("_metadata.file_size").alias(FSIZE),
+        F.col("_metadata.file_modification_time").alias(FTIME),
     )
     return out.withColumn(MID, F.monotonically_increasing_id()) if with_id else out
 
 
 def index_lines(spark: SparkSession, lines: DataFrame, file_col: str | None = None) -> tuple[DataFrame, list[str]]:
     """Add ``row_index`` to positioned lines (see ``indexed_lines``)."""
+    out, names, _ = index_lines_with_stats(spark, lines, file_col)
+    return out, names
+
+
+def index_lines_with_stats(spark: SparkSession, lines: DataFrame, file_col: str | None = None
+                           ) -> tuple[DataFrame, list[str], dict[str, tuple[int, object]]]:
+    """``index_lines`` plus, per logical file, (total bytes, latest mtime) of
+    its parts, taken from the same split summary (no extra pass)."""
     summ = _split_summary(lines, file_col)
     rows = summ.limit(MAX_SPLIT_ROWS + 1).collect()
-    names: list[str] = []
     by_col = file_col if file_col and file_col != ONE_FILE else None
+    stats: dict[str, tuple[int, object]] = {}
     if len(rows) <= MAX_SPLIT_ROWS:
-        names = sorted({r[by_col] if by_col else r[PATH] for r in rows})
+        parts: dict[str, dict[str, tuple[int, object]]] = {}
+        for r in rows:
+            parts.setdefault(r[by_col] if by_col else r[PATH], {})[r[PATH]] = (r[FSIZE], r[FTIME])
+        for name, ps in parts.items():
+            stats[name] = (sum(v[0] for v in ps.values()), max(v[1] for v in ps.values()))
+        names = sorted(parts)
         small = spark.createDataFrame(rows, summ.schema) if rows else summ.limit(0)
         summ = F.broadcast(small)
     else:
         names = [r[0] for r in summ.select(by_col or PATH).distinct().collect()]
     keys = ([by_col] if by_col else []) + [PATH, BLOCK]
-    out = lines.join(summ, keys, "inner")
+    out = lines.join(summ.drop(FSIZE, FTIME), keys, "inner")
     idx = (F.col("_base") + F.col(MID) - F.col("_min")).cast("bigint").alias(C.ROW_INDEX)
-    keep = [c for c in lines.columns if c not in (PATH, BLOCK, MID)]
-    return out.select(*keep, idx), names
+    keep = [c for c in lines.columns if c not in (PATH, BLOCK, MID, FSIZE, FTIME)]
+    return out.select(*keep, idx), names, stats
 
 
 def indexed_lines(spark: SparkSession, path: str | list[str], base_path: str | None = None,
