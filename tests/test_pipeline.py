@@ -121,3 +121,18 @@ def test_changed_source_file_is_refused(spark, fresh_dir, layout):
     _log(src, "20220406", 3)
     with pytest.raises(CP.ChangedSourceError):
         P.ingest_batch(spark, layout, src, 4, run_date="2024-02-03")
+
+
+def test_malformed_line_goes_to_rejects_and_counts_as_read(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    lines = _log(src, "20220407", 5)
+    lines[2] = "{broken"
+    with open(f"{src}/source_file=20220407/part-00000.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    info = P.ingest_batch(spark, layout, src, 10, run_date="2024-02-01")
+    assert info["rows"] == 5 and info["rejects"] == 1
+    rej = spark.table(layout.table(layout.rejects)).collect()
+    assert [(r.source_file, r.row_index, r.line) for r in rej] == [("20220407", 2, "{broken")]
+    assert spark.table(layout.table(layout.bronze)).count() == 4
+    log = CP.latest_checkpoints(spark.table(layout.table(layout.checkpoint))).collect()
+    assert log[0].last_offset == 5

@@ -14,7 +14,7 @@ import traceback
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +124,11 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
         return {"files": len(names), "rows": 0, "rejects": 0, "new_columns": []}
 
     payload = J.discover_source_schema(spark, staged)
-    parsed = J.parse_records(staged, payload)
+    # The reject count rides on the bronze write (K11): no separate job.
+    seen_bad = Observation("rejects")
+    parsed = J.parse_records(staged, payload).observe(
+        seen_bad, F.sum(F.when(F.col(J.CORRUPT).isNotNull(), 1).otherwise(0)).alias("n")
+    )
     rejects = parsed.filter(F.col(J.CORRUPT).isNotNull()).select(
         C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), F.lit(run_date).alias(C.EXEC_DATE)
     )
@@ -135,7 +139,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     if not tables.table_exists(spark, bronze):
         tables.create_table(spark, bronze, schemas.BRONZE_TABLE, [C.EXEC_DATE], layout.location(layout.bronze))
     tables.append(spark, bronze, good, [C.EXEC_DATE])
-    n_rejects = rejects.count()
+    n_rejects = int(seen_bad.get["n"] or 0)
     if n_rejects:
         tables.append(spark, layout.table(layout.rejects), rejects, [C.EXEC_DATE], layout.location(layout.rejects))
     new_cols = [c for c in tables.columns_of(spark, bronze) if before and c not in before]
