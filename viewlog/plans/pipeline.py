@@ -50,6 +50,28 @@ class Layout:
         return f"{self.root.rstrip('/')}/{name}" if self.root else None
 
 
+PARTITIONS = {
+    "bronze": [C.EXEC_DATE],
+    "rejects": [C.EXEC_DATE],
+    "checkpoint": [],
+    "silver": [C.EXEC_DAY],
+    "gold": [C.EXEC_DAY],
+    "serving": [C.EXEC_DAY],
+}
+
+
+def attach(spark: SparkSession, layout: Layout) -> None:
+    """Re-register the layout's tables from shared storage when this
+    process's catalog does not know them (each stage may run in its own
+    process, and the session catalog lives in memory)."""
+    if not layout.root:
+        return
+    tables.create_namespace(spark, layout.database, layout.location("_db"))
+    for attr, parts in PARTITIONS.items():
+        name = getattr(layout, attr)
+        tables.register_existing(spark, layout.table(name), layout.location(name), parts)
+
+
 def _today() -> str:
     return _dt.date.today().isoformat()
 
@@ -75,6 +97,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     them instead of writing them again. Malformed lines go to a rejects
     table with their offsets and still count as read (Q21).
     """
+    attach(spark, layout)
     run_date = run_date or _today()
     tables.create_namespace(spark, layout.database, layout.location("_db"))
     cp_table = layout.table(layout.checkpoint)
@@ -156,6 +179,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
 def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> int:
     """Silver snapshot of all bronze for ``run_date``; a rerun of the same day
     replaces that day's partition (Q7). Returns the rows written."""
+    attach(spark, layout)
     run_date = run_date or _today()
     bronze = spark.table(layout.table(layout.bronze))
     silver, obs = tables.counted(SV.silver_summary(bronze, run_day=run_date))
@@ -167,6 +191,7 @@ def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = Non
 def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> int:
     """Gold for ``run_date``: features of that day's silver snapshot, Active
     over all snapshots (Q8). Returns the rows written."""
+    attach(spark, layout)
     run_date = run_date or _today()
     silver = spark.table(layout.table(layout.silver))
     latest = silver.filter(F.col(C.EXEC_DAY) == F.lit(run_date))
@@ -185,6 +210,7 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
     ``jdbc`` (``url``, ``table``, optional ``props``, ``dialect``) the rows go
     to a relational table through a staging table and a MERGE instead.
     """
+    attach(spark, layout)
     gold_t = layout.table(layout.gold)
     day = tables.latest_partition(spark, gold_t, C.EXEC_DAY)
     if day is None:

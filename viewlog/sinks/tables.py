@@ -62,6 +62,34 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, partitio
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part}{loc}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
+def register_existing(spark: SparkSession, table: str, location: str, partitioned_by: Sequence[str] = ()) -> bool:
+    """Put a table whose files already exist at ``location`` back into the
+    catalog (schema and partitions from the files). Used when the catalog
+    does not outlive the process; a no-op if the table is known or the
+    location holds no data yet."""
+    if table_exists(spark, table) or not path_exists(spark, location):
+        return False
+    try:
+        # Footer schema (plus partition directories) of the existing files.
+        schema = spark.read.option("basePath", location).parquet(location).schema
+    except Exception:  # noqa: BLE001 - an empty directory has no schema to read
+        return False
+    data = [f for f in schema.fields if f.name not in partitioned_by]
+    parts = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in partitioned_by]
+    create_table(spark, table, T.StructType(data + parts), partitioned_by, location)
+    if partitioned_by:
+        # The catalog tracks partitions: list them back from the directories.
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return True
+
+
 def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     """K5: add the columns ``df`` has and the table lacks, with their real
     types and quoted names (Q6). Old rows read NULL for them."""
@@ -88,11 +116,17 @@ def append(spark: SparkSession, table: str, df: DataFrame, partitioned_by: Seque
     (decided by ``tableExists``, not by catching errors, Q9), otherwise add
     new columns and append by name."""
     if not table_exists(spark, table):
+        if location:
+            # DDL with an explicit LOCATION, so the data sits on the given
+            # shared storage rather than in the catalog's warehouse.
+            cols = [f for f in df.schema.fields if f.name not in partitioned_by]
+            cols += [df.schema[c] for c in partitioned_by]
+            create_table(spark, table, T.StructType(cols), partitioned_by, location)
+            align(spark, table, df).write.insertInto(table)
+            return
         w = df.writeTo(table).using("parquet")
         if partitioned_by:
             w = w.partitionedBy(*[F.col(c) for c in partitioned_by])
-        if location:
-            w = w.tableProperty("location", location)
         w.create()
         return
     evolve(spark, table, df)
