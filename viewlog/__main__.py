@@ -60,10 +60,13 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("silver", "gold"):
         s = sub.add_parser(name)
         s.add_argument("--run-date", default=today)
+        if name == "silver":
+            s.add_argument("--incremental", action="store_true", help="fold only new bronze rows")
     sub.add_parser("export")
     r = sub.add_parser("run", help="bronze -> silver -> gold -> export per batch")
     r.add_argument("--source", required=True)
     r.add_argument("--batch", action="append", required=True, help="FILE:ROWS[:RUN_DATE]")
+    r.add_argument("--incremental", action="store_true", help="incremental silver")
     v = sub.add_parser("views")
     v.add_argument("--show", type=int, default=20)
     a = ap.parse_args(argv)
@@ -74,13 +77,14 @@ def main(argv: list[str] | None = None) -> int:
         info = P.ingest_batch(spark, layout, a.source, a.rows, a.run_date, files=a.file)
         print(info)
     elif a.cmd == "silver":
-        print({"rows": P.silver_stage(spark, layout, a.run_date)})
+        print({"rows": P.silver_stage(spark, layout, a.run_date, incremental=a.incremental)})
     elif a.cmd == "gold":
         print({"rows": P.gold_stage(spark, layout, a.run_date)})
     elif a.cmd == "export":
         print({"day": P.export_stage(spark, layout)})
     elif a.cmd == "run":
-        status = P.run_batches(spark, layout, a.source, [_batch(x, today) for x in a.batch])
+        status = P.run_batches(spark, layout, a.source, [_batch(x, today) for x in a.batch],
+                               incremental=a.incremental)
         rows = status.collect()
         for row in rows:
             print(f"{row.source_file} {row.run_date} {row.stage:7s} {row.status:8s} {row.detail or ''}")
