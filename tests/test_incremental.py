@@ -68,3 +68,22 @@ def test_fold_returns_zero_without_new_rows(spark, tmp_path):
     ft, dt = lay.table("f"), lay.table("d")
     assert INC.fold(spark, b, ft, dt) == 9  # one NULL contract is not folded
     assert INC.fold(spark, b, ft, dt) == 0
+
+
+def test_incremental_gold_equals_full(spark, tmp_path):
+    src = str(tmp_path / "src")
+    full = P.Layout(database=f"g_{uuid.uuid4().hex[:8]}", root=str(tmp_path / "full"))
+    inc = P.Layout(database=f"g_{uuid.uuid4().hex[:8]}", root=str(tmp_path / "inc"))
+    for k in range(6):
+        _write(src, f"2024010{k + 1}", 50 * k, 8)
+    days = [f"2024-03-0{k + 1}" for k in range(6)]
+    batches = [(f"2024010{k + 1}", 100, d) for k, d in enumerate(days)]
+    assert all(r.status == "ok" for r in P.run_batches(spark, full, src, batches).collect())
+    assert all(r.status == "ok" for r in P.run_batches(spark, inc, src, batches, incremental=True).collect())
+    P.gold_stage(spark, inc, days[-1], incremental=True)  # rerun of the last day changes nothing
+    for lay in (full, inc):
+        spark.catalog.refreshTable(lay.table(lay.gold))
+    a = _rows(spark.table(full.table(full.gold)))
+    b = _rows(spark.table(inc.table(inc.gold)))
+    assert a == b
+    assert any(r.Active == "High" for r in spark.table(inc.table(inc.gold)).collect())

@@ -60,13 +60,13 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("silver", "gold"):
         s = sub.add_parser(name)
         s.add_argument("--run-date", default=today)
-        if name == "silver":
-            s.add_argument("--incremental", action="store_true", help="fold only new bronze rows")
+        s.add_argument("--incremental", action="store_true",
+                       help="silver: fold only new bronze rows; gold: carry day counts forward")
     sub.add_parser("export")
     r = sub.add_parser("run", help="bronze -> silver -> gold -> export per batch")
     r.add_argument("--source", required=True)
     r.add_argument("--batch", action="append", required=True, help="FILE:ROWS[:RUN_DATE]")
-    r.add_argument("--incremental", action="store_true", help="incremental silver")
+    r.add_argument("--incremental", action="store_true", help="incremental silver and gold")
     v = sub.add_parser("views")
     v.add_argument("--show", type=int, default=20)
     a = ap.parse_args(argv)
@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "silver":
         print({"rows": P.silver_stage(spark, layout, a.run_date, incremental=a.incremental)})
     elif a.cmd == "gold":
-        print({"rows": P.gold_stage(spark, layout, a.run_date)})
+        print({"rows": P.gold_stage(spark, layout, a.run_date, incremental=a.incremental)})
     elif a.cmd == "export":
         print({"day": P.export_stage(spark, layout)})
     elif a.cmd == "run":

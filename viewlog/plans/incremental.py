@@ -115,3 +115,42 @@ def snapshot(spark: SparkSession, files_table: str, devices_table: str, run_day:
     )
     return out.select(C.CONTRACT, *columns, C.TOTAL_DEVICES, C.DISTINCT_DEVICES, C.SOURCE_FILE,
                       F.lit(run_day).alias(C.EXEC_DAY))
+
+
+def active_fold(spark: SparkSession, active_table: str, snapshot_df: DataFrame, run_day: str,
+                location: str | None = None) -> DataFrame:
+    """Distinct snapshot days per contract, carried forward day by day.
+
+    ``active_table`` holds, per day partition, (Contract, active_days) for
+    every contract seen up to that day. The run for ``run_day`` reads the
+    latest earlier partition and the contracts of today's snapshot, writes
+    partition ``run_day`` (a rerun of the day rewrites it), and returns
+    (Contract, active_days, Active) for today's contracts. Equal to counting
+    distinct days over all snapshots when days are processed in order.
+    """
+    from ..functions.features import active_segment
+
+    today = snapshot_df.select(C.CONTRACT).distinct().withColumn("_seen", F.lit(1))
+    prev_day = None
+    if tables.table_exists(spark, active_table):
+        prev_day = (
+            spark.table(active_table).filter(F.col(C.EXEC_DAY) < F.lit(run_day)).agg(F.max(C.EXEC_DAY)).first()[0]
+        )
+    if prev_day is not None:
+        prev = spark.table(active_table).filter(F.col(C.EXEC_DAY) == F.lit(prev_day)).select(
+            C.CONTRACT, C.ACTIVE_DAYS
+        )
+        cur = prev.join(today, C.CONTRACT, "full_outer")
+    else:
+        cur = today.withColumn(C.ACTIVE_DAYS, F.lit(0).cast("bigint"))
+    cur = cur.select(
+        C.CONTRACT,
+        (F.coalesce(F.col(C.ACTIVE_DAYS), F.lit(0)) + F.coalesce(F.col("_seen"), F.lit(0))).cast("bigint")
+        .alias(C.ACTIVE_DAYS),
+        F.lit(run_day).alias(C.EXEC_DAY),
+    )
+    tables.overwrite_partitions(spark, active_table, cur, [C.EXEC_DAY], location)
+    written = spark.table(active_table).filter(F.col(C.EXEC_DAY) == F.lit(run_day))
+    return written.join(today.select(C.CONTRACT), C.CONTRACT, "left_semi").select(
+        C.CONTRACT, C.ACTIVE_DAYS, active_segment(C.ACTIVE_DAYS).alias(C.ACTIVE)
+    )

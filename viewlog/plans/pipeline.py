@@ -210,15 +210,32 @@ def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = Non
     return obs.get["rows"]
 
 
-def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None) -> int:
+def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None,
+               incremental: bool = False) -> int:
     """Gold for ``run_date``: features of that day's silver snapshot, Active
-    over all snapshots (Q8). Returns the rows written."""
+    over all snapshots (Q8). Returns the rows written.
+
+    ``incremental`` carries the per-contract day count forward from the
+    previous day (``plans.incremental.active_fold``) instead of counting
+    distinct days over every silver snapshot; days must then run in order.
+    """
     attach(spark, layout)
     run_date = run_date or _today()
     silver = spark.table(layout.table(layout.silver))
     latest = silver.filter(F.col(C.EXEC_DAY) == F.lit(run_date))
-    hist = silver.select(C.CONTRACT, C.EXEC_DAY)
-    gold, obs = tables.counted(G.gold_usage(latest, history=hist))
+    if incremental:
+        from . import incremental as INC
+
+        name = layout.gold + "_active"
+        if layout.root:
+            tables.register_existing(spark, layout.table(name), layout.location(name), [C.EXEC_DAY])
+        active = INC.active_fold(spark, layout.table(name), latest, run_date, layout.location(name))
+        feats = G.with_features(latest)
+        gold = feats.join(active.select(C.CONTRACT, C.ACTIVE), C.CONTRACT, "inner").select(*feats.columns, C.ACTIVE)
+    else:
+        hist = silver.select(C.CONTRACT, C.EXEC_DAY)
+        gold = G.gold_usage(latest, history=hist)
+    gold, obs = tables.counted(gold)
     tables.overwrite_partitions(spark, layout.table(layout.gold), gold, [C.EXEC_DAY], layout.location(layout.gold))
     return obs.get["rows"]
 
@@ -278,7 +295,7 @@ def run_batches(spark: SparkSession, layout: Layout, source_root: str,
                 elif stage == "silver":
                     detail = f"rows={silver_stage(spark, layout, run_date, incremental=incremental)}"
                 elif stage == "gold":
-                    detail = f"rows={gold_stage(spark, layout, run_date)}"
+                    detail = f"rows={gold_stage(spark, layout, run_date, incremental=incremental)}"
                 else:
                     detail = f"day={export_stage(spark, layout)}"
                 status.append((name, run_date, stage, "ok", detail))
