@@ -83,3 +83,15 @@ def test_merge_sql_forms():
     assert "UPDATE SET v = s.v" in ansi and "INSERT (Contract, execution_day, source_file, v)" in ansi
     my = merge_sql("t", "s", cols, KEY, dialect="mysql")
     assert my.endswith("ON DUPLICATE KEY UPDATE v=VALUES(v)")
+
+
+def test_scale_conf_bounds():
+    from viewlog.session import scale_conf
+
+    big = scale_conf(100 * 10**12, 8000)  # 10 TB of partials / 200 MiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 10**13 // (200 << 20)
+    assert int(scale_conf(10**15, 8000)["spark.sql.shuffle.partitions"]) == 50_000
+    small = scale_conf(10**9, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    mid = scale_conf(10 * 10**12, 4000)
+    assert 4000 < int(mid["spark.sql.shuffle.partitions"]) < 50_000

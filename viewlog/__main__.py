@@ -49,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--database", default="viewlog")
     ap.add_argument("--root", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="bronze size; sizes shuffle partitions etc. (session.scale_conf)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     today = _dt.date.today().isoformat()
 
@@ -72,6 +74,10 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     spark = _session(a.master)
+    if a.input_bytes:
+        from .session import apply_scale_conf
+
+        apply_scale_conf(spark, a.input_bytes)
     layout = P.Layout(database=a.database, root=a.root)
     if a.cmd == "bronze":
         info = P.ingest_batch(spark, layout, a.source, a.rows, a.run_date, files=a.file)

@@ -84,3 +84,39 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1) -> dict[str, str]:
+    """SQL settings for a cluster run over ``input_bytes`` of bronze.
+
+    * scans: 256 MiB splits (columnar reads of a few columns stay short);
+    * shuffles: the widest exchange here carries per-(contract, file)
+      partials, estimated at ``shuffle_fraction`` of the input after
+      map-side aggregation; start with about 200 MiB per partition (at least
+      2 per core, at most 50,000) and let AQE coalesce small ones;
+    * skew: AQE splits sort-merge partitions over 512 MiB (and 5x median);
+    * broadcasts: Spark's own size check, raised to a fixed 64 MiB;
+    * streaming state: RocksDB, so per-contract state can exceed memory.
+    """
+    shuffle = int(input_bytes * shuffle_fraction)
+    parts = max(2 * total_cores, shuffle // (200 << 20))
+    parts = min(parts, 50_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int | None = None) -> dict[str, str]:
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = scale_conf(input_bytes, cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
