@@ -24,9 +24,14 @@ def latest_day(df: DataFrame, day_col: str = C.EXEC_DAY) -> Column:
     return df.agg(F.max(day_col)).scalar()
 
 
-def latest_snapshot(df: DataFrame, day_col: str = C.EXEC_DAY) -> DataFrame:
-    """Rows of the most recent day only."""
-    return df.filter(F.col(day_col) == latest_day(df, day_col))
+def latest_snapshot(df: DataFrame, day_col: str = C.EXEC_DAY, day: Column | None = None) -> DataFrame:
+    """Rows of the most recent day only.
+
+    ``day`` may supply the latest day from a cheaper relation that
+    determines it (a partition list, or the upstream table whose days the
+    input carries); by default it is ``max(day_col)`` of the input itself.
+    """
+    return df.filter(F.col(day_col) == (day if day is not None else latest_day(df, day_col)))
 
 
 def _default_for(dt: T.DataType) -> Column:

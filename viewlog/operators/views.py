@@ -14,7 +14,7 @@ silver fan-out), so every view first reduces to one row per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -70,16 +70,17 @@ def v_segment(serving: DataFrame) -> DataFrame:
     return cd.groupBy(C.EXEC_DAY, C.ACTIVE, C.MOST_WATCH).agg(F.count(F.lit(1)).alias("contracts"))
 
 
-def v_top(serving: DataFrame, n: int = 10) -> DataFrame:
+def v_top(serving: DataFrame, n: int = 10, day: Column | None = None) -> DataFrame:
     """Top ``n`` contracts by watch time on the latest day, ties by Contract.
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: a per-partition
     top-n then a merge of n rows per partition. The rank is numbered on those
-    n rows only.
+    n rows only. ``day`` may supply the latest day (see
+    ``serving.latest_snapshot``).
     """
     cd = contract_days(serving)
-    day = cd.filter(F.col(C.EXEC_DAY) == latest_day(cd))
-    top = day.orderBy(F.col(TOTAL).desc(), F.col(C.CONTRACT).asc()).limit(n)
+    last = cd.filter(F.col(C.EXEC_DAY) == (day if day is not None else latest_day(cd)))
+    top = last.orderBy(F.col(TOTAL).desc(), F.col(C.CONTRACT).asc()).limit(n)
     w = Window.orderBy(F.col(TOTAL).desc(), F.col(C.CONTRACT).asc())
     return top.select(
         F.row_number().over(w).alias("rank"), C.CONTRACT, C.EXEC_DAY, TOTAL, C.MOST_WATCH, C.ACTIVE

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -82,8 +82,19 @@ def q_gold_usage(spark, sf_dir):
     return gold_from_bronze(_bronze(spark, sf_dir))
 
 
+def _last_bronze_day(bronze: DataFrame, exclude_null_bucket: bool = False) -> Column:
+    """Latest day of the gold built from ``bronze``: every bronze row with a
+    contract yields gold rows for its day, so the max over bronze (one scan,
+    one column) equals the max over gold without building gold twice."""
+    b = bronze.filter(F.col(C.CONTRACT).isNotNull())
+    if exclude_null_bucket:
+        b = b.filter(F.col(C.CONTRACT) != F.lit(C.NULL_BUCKET_CONTRACT))
+    return b.agg(F.max(C.EXEC_DATE)).scalar()
+
+
 def q_latest_snapshot(spark, sf_dir):
-    return S.latest_snapshot(q_gold_usage(spark, sf_dir))
+    b = _bronze(spark, sf_dir)
+    return S.latest_snapshot(gold_from_bronze(b), day=_last_bronze_day(b))
 
 
 def q_null_bucket_filter(spark, sf_dir):
@@ -129,7 +140,8 @@ def q_v_segment(spark, sf_dir):
 
 
 def q_v_top(spark, sf_dir):
-    return V.v_top(q_gold_usage(spark, sf_dir), O.TOP_N)
+    b = _bronze(spark, sf_dir)
+    return V.v_top(gold_from_bronze(b), O.TOP_N, day=_last_bronze_day(b, exclude_null_bucket=True))
 
 
 def q_checkpoint_latest(spark, sf_dir):
