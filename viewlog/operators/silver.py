@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.categories import category_of, is_category_sql
 
-def _q(name: str) -> str:
+def quote_ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-_N = "_rows"
+ROWS = "_rows"
 
 
-def _category_sums(duration: str, columns: Sequence[str], fill: bool = True) -> list[Column]:
+def category_sums(duration: str, columns: Sequence[str], fill: bool = True) -> list[Column]:
     # sum(...) is NULL when a contract has no rows of a type (or only NULL
     # durations): that is the pivot gap the original fills with 0. Written as
     # SQL text: one call per column instead of one per literal.
@@ -73,7 +73,7 @@ def usage_pivot(bronze: DataFrame, columns: Sequence[str] = C.PIVOT_COLUMNS) ->
     The column list is fixed, so absent categories are still present as 0 and
     downstream features always see the same schema.
     """
-    return bronze.groupBy(C.CONTRACT).agg(*_category_sums(C.DURATION, columns))
+    return bronze.groupBy(C.CONTRACT).agg(*category_sums(C.DURATION, columns))
 
 
 def contract_sources(bronze: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -116,13 +116,13 @@ def silver_summary(bronze: DataFrame, run_day: str | None = None, day_col: str |
     if run_day is None:
         b = b.withColumn(C.EXEC_DAY, F.col(day_col))
         file_keys.append(C.EXEC_DAY)
-    q = _q
-    per_file = b.groupBy(*file_keys).agg(*_category_sums(C.DURATION, columns, fill=False),
-                                         F.count(F.lit(1)).alias(_N))
+    q = quote_ident
+    per_file = b.groupBy(*file_keys).agg(*category_sums(C.DURATION, columns, fill=False),
+                                         F.count(F.lit(1)).alias(ROWS))
     w = f"OVER (PARTITION BY {q(C.CONTRACT)})"
     totals = [F.expr(f"coalesce(sum({q(c)}) {w}, CAST(0 AS BIGINT))").alias(c) for c in columns]
     out = per_file.select(
-        C.CONTRACT, *totals, F.expr(f"sum({q(_N)}) {w}").alias(C.TOTAL_DEVICES), C.SOURCE_FILE,
+        C.CONTRACT, *totals, F.expr(f"sum({q(ROWS)}) {w}").alias(C.TOTAL_DEVICES), C.SOURCE_FILE,
         F.col(C.EXEC_DAY) if run_day is None else F.lit(run_day).alias(C.EXEC_DAY),
     )
     order = [C.CONTRACT, *columns, C.TOTAL_DEVICES]

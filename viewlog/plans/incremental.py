@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.silver import _N, _category_sums, _q
+from ..operators.silver import ROWS, category_sums, quote_ident
 from ..session import scratch_path
 from ..sinks import tables
 
@@ -84,18 +84,18 @@ def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table
 
     # 2. file partials + watermark: one partition rewrite per touched file
     per_file_new = stage.groupBy(C.CONTRACT, C.SOURCE_FILE).agg(
-        *_category_sums(C.DURATION, columns, fill=False), F.count(F.lit(1)).alias(_N)
+        *category_sums(C.DURATION, columns, fill=False), F.count(F.lit(1)).alias(ROWS)
     )
     merged = per_file_new
     if tables.table_exists(spark, files_table):
         touched = [r[C.SOURCE_FILE] for r in counts]
         old = spark.table(files_table).filter(F.col(C.SOURCE_FILE).isin(touched)).drop(FOLDED)
         merged = old.unionByName(per_file_new).groupBy(C.CONTRACT, C.SOURCE_FILE).agg(
-            *[F.expr(f"sum({_q(c)})").alias(c) for c in (*columns, _N)]
+            *[F.expr(f"sum({quote_ident(c)})").alias(c) for c in (*columns, ROWS)]
         )
     marks = spark.createDataFrame([(r[C.SOURCE_FILE], r[FOLDED]) for r in counts],
                                   f"{C.SOURCE_FILE} string, {FOLDED} bigint")
-    merged = merged.join(F.broadcast(marks), C.SOURCE_FILE).select(C.CONTRACT, *columns, _N, FOLDED, C.SOURCE_FILE)
+    merged = merged.join(F.broadcast(marks), C.SOURCE_FILE).select(C.CONTRACT, *columns, ROWS, FOLDED, C.SOURCE_FILE)
     tables.overwrite_partitions(spark, files_table, merged, [C.SOURCE_FILE],
                                 f"{location}_files" if location else None)
     return sum(r["_n"] for r in counts)
@@ -106,9 +106,9 @@ def snapshot(spark: SparkSession, files_table: str, devices_table: str, run_day:
     """Silver rows for ``run_day`` from the state (same rows as
     ``operators.silver.silver_summary(bronze, run_day=run_day)``)."""
     files = spark.table(files_table)
-    w = f"OVER (PARTITION BY {_q(C.CONTRACT)})"
-    totals = [F.expr(f"coalesce(sum({_q(c)}) {w}, CAST(0 AS BIGINT))").alias(c) for c in columns]
-    out = files.select(C.CONTRACT, *totals, F.expr(f"sum({_q(_N)}) {w}").alias(C.TOTAL_DEVICES), C.SOURCE_FILE)
+    w = f"OVER (PARTITION BY {quote_ident(C.CONTRACT)})"
+    totals = [F.expr(f"coalesce(sum({quote_ident(c)}) {w}, CAST(0 AS BIGINT))").alias(c) for c in columns]
+    out = files.select(C.CONTRACT, *totals, F.expr(f"sum({quote_ident(ROWS)}) {w}").alias(C.TOTAL_DEVICES), C.SOURCE_FILE)
     devices = spark.table(devices_table).groupBy(C.CONTRACT).agg(F.count(F.lit(1)).alias(C.DISTINCT_DEVICES))
     out = out.join(devices, C.CONTRACT, "left").withColumn(
         C.DISTINCT_DEVICES, F.coalesce(F.col(C.DISTINCT_DEVICES), F.lit(0).cast("bigint"))
