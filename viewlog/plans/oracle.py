@@ -13,6 +13,11 @@ UPSERT_NEW_FIRST_FILE = "20240115"
 EVOLVE_FIRST_FILE = "20240116"
 SLICE_ROWS = 2500
 INGEST_ROWS = 250
+# End-to-end pipeline query: day files per run, first run date; a run takes
+# whole files (the batch size exceeds any file).
+FILES_PER_RUN = 5
+FIRST_RUN_DATE = "2024-02-01"
+WHOLE_FILE_ROWS = 1 << 40
 TOP_N = 10
 
 BRONZE = """
@@ -234,4 +239,39 @@ SELECT Contract, Mac, TotalDuration, AppName, source_file,
        CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS BIGINT) AS row_index
 FROM bronze"""
     q["stream_ingest"] = q["incremental_ingest"]
+    q["pipeline_serving"] = _with(BRONZE, f"""
+files AS (
+  SELECT source_file, row_number() OVER (ORDER BY source_file) AS fno
+  FROM (SELECT DISTINCT source_file FROM bronze) d
+),
+runs AS (
+  SELECT DISTINCT CAST((fno - 1) // {FILES_PER_RUN} + 1 AS INTEGER) AS k FROM files
+),
+rd AS (
+  SELECT k, strftime(DATE '{FIRST_RUN_DATE}' + (k - 1), '%Y-%m-%d') AS run_date FROM runs
+),
+bk AS (
+  SELECT rd.k, rd.run_date, x.*
+  FROM rd JOIN files f ON f.fno <= rd.k * {FILES_PER_RUN} JOIN bronze x ON x.source_file = f.source_file
+),
+typed AS ({TYPED_SELECT.format(src="bk")}
+),
+tot AS (
+  SELECT k, Contract,
+         {_pivot_cols()},
+         count(*) AS TotalDevices, count(DISTINCT Mac) AS DistinctDevices
+  FROM typed WHERE Contract IS NOT NULL GROUP BY k, Contract
+),
+src AS (SELECT DISTINCT k, run_date, Contract, source_file FROM bk WHERE Contract IS NOT NULL),
+silver AS (
+  SELECT t.*, s.source_file, s.run_date AS execution_day
+  FROM tot t JOIN src s ON t.k = s.k AND t.Contract = s.Contract
+),
+first_run AS (SELECT Contract, min(k) AS k0 FROM src GROUP BY Contract),
+gold AS (
+  SELECT s.*, {MOST_WATCH} AS MostWatch, {TASTE} AS Taste,
+         CASE WHEN s.k - fr.k0 + 1 > 4 THEN 'High' ELSE 'Low' END AS Active
+  FROM silver s JOIN first_run fr ON s.Contract = fr.Contract
+)""") + f"SELECT {ALIGNED_COLS} FROM gold"
+    q["pipeline_serving_incremental"] = q["pipeline_serving"]
     return q

@@ -277,12 +277,15 @@ STAGES = ("bronze", "silver", "gold", "export")
 
 
 def run_batches(spark: SparkSession, layout: Layout, source_root: str,
-                batches: Sequence[tuple[str, int, str]], incremental: bool = False) -> DataFrame:
+                batches: Sequence[tuple[str | Sequence[str], int, str]], incremental: bool = False) -> DataFrame:
     """Run bronze -> silver -> gold -> export for each (file, rows, run_date)
-    (D10). A failing stage skips the rest of that batch only; every stage
-    gets a status row, so the caller sees exactly what ran (Q16)."""
+    (D10); ``file`` may also be a list of files ingested in the same batch.
+    A failing stage skips the rest of that batch only; every stage gets a
+    status row, so the caller sees exactly what ran (Q16)."""
     status = []
-    for name, n, run_date in batches:
+    for spec, n, run_date in batches:
+        files = [spec] if isinstance(spec, str) else list(spec)
+        name = ",".join(files)
         failed = False
         for stage in STAGES:
             if failed:
@@ -290,7 +293,7 @@ def run_batches(spark: SparkSession, layout: Layout, source_root: str,
                 continue
             try:
                 if stage == "bronze":
-                    info = ingest_batch(spark, layout, source_root, n, run_date, files=[name])
+                    info = ingest_batch(spark, layout, source_root, n, run_date, files=files)
                     detail = f"rows={info['rows']} rejects={info['rejects']}"
                 elif stage == "silver":
                     detail = f"rows={silver_stage(spark, layout, run_date, incremental=incremental)}"

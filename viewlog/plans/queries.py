@@ -263,6 +263,33 @@ def q_stream_ingest(spark, sf_dir):
                                                     C.ROW_INDEX)
 
 
+def _pipeline_serving(spark: SparkSession, sf_dir: str, incremental: bool) -> DataFrame:
+    """The stage pipeline end to end (D10 -> D9, silver, gold, D8): the day
+    files are ingested whole, FILES_PER_RUN per run, one run date per run;
+    the result is the serving table after the last export."""
+    from ..sinks import tables
+    from .pipeline import run_batches
+
+    root = log_dir(spark, sf_dir, per_file=True)
+    days = tables.list_partition_values(spark, root, C.SOURCE_FILE)
+    groups = [days[i:i + O.FILES_PER_RUN] for i in range(0, len(days), O.FILES_PER_RUN)]
+    batches = [(g, O.WHOLE_FILE_ROWS, f"{O.FIRST_RUN_DATE[:-2]}{k + 1:02d}") for k, g in enumerate(groups)]
+    lay = _scratch_layout(spark, "pipe")
+    status = run_batches(spark, lay, root, batches, incremental=incremental).collect()
+    bad = [tuple(r) for r in status if r.status != "ok"]
+    if bad:
+        raise RuntimeError(f"pipeline stages failed: {bad[:3]}")
+    return spark.table(lay.table(lay.serving))
+
+
+def q_pipeline_serving(spark, sf_dir):
+    return _pipeline_serving(spark, sf_dir, incremental=False)
+
+
+def q_pipeline_serving_incremental(spark, sf_dir):
+    return _pipeline_serving(spark, sf_dir, incremental=True)
+
+
 def q_file_stream_usage(spark, sf_dir):
     """usage_pivot computed by a file stream (availableNow) over the events
     files: per micro-batch partial sums, merged at the end (section 2.11)."""
@@ -299,6 +326,8 @@ def registry() -> dict[str, Query]:
         "incremental_ingest": q_incremental_ingest,
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,
+        "pipeline_serving": q_pipeline_serving,
+        "pipeline_serving_incremental": q_pipeline_serving_incremental,
     }
 
 # Queries with no SQL equivalent (the driver then checks row counts only).

@@ -69,6 +69,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_partition_values(spark: SparkSession, root: str, col: str) -> list[str]:
+    """Values of ``col=<value>`` directories directly under ``root``, from
+    the file-system listing (metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(col + "="):
+            out.append(jvm.org.apache.hadoop.fs.Path(name).getName().split("=", 1)[1])
+    return sorted(out)
+
+
 def register_existing(spark: SparkSession, table: str, location: str, partitioned_by: Sequence[str] = ()) -> bool:
     """Put a table whose files already exist at ``location`` back into the
     catalog (schema and partitions from the files). Used when the catalog
