@@ -74,6 +74,7 @@ def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table
         (F.max(C.ROW_INDEX) + 1).alias(FOLDED), F.count(F.lit(1)).alias("_n")
     ).collect()  # one row per file that received rows
     if not counts:
+        tables.delete_path(spark, path)
         return 0
 
     # 1. devices: idempotent (anti-join on the pair)
@@ -98,6 +99,7 @@ def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table
     merged = merged.join(F.broadcast(marks), C.SOURCE_FILE).select(C.CONTRACT, *columns, ROWS, FOLDED, C.SOURCE_FILE)
     tables.overwrite_partitions(spark, files_table, merged, [C.SOURCE_FILE],
                                 f"{location}_files" if location else None)
+    tables.delete_path(spark, path)  # folded and committed: drop the staged rows
     return sum(r["_n"] for r in counts)
 
 

@@ -94,8 +94,10 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     actually read (Q5); an empty slice changes nothing (Q14). If a previous
     run wrote bronze but died before its checkpoint, bronze already holds the
     rows past the checkpoint; ``verify_replay`` then moves the offset past
-    them instead of writing them again. Malformed lines go to a rejects
-    table with their offsets and still count as read (Q21).
+    them instead of writing them again (malformed lines at the very end of
+    such a batch are not in bronze and may be rejected twice). Malformed lines
+    go to a rejects table with their offsets and still count as read (Q21).
+    The staged slice is removed once the batch is committed.
     """
     attach(spark, layout)
     run_date = run_date or _today()
@@ -144,6 +146,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     ).collect()
     total = sum(r["n"] for r in per_file)
     if total == 0:
+        tables.delete_path(spark, stage_path)
         return {"files": len(names), "rows": 0, "rejects": 0, "new_columns": []}
 
     payload = J.discover_source_schema(spark, staged)
@@ -173,6 +176,8 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
         "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime timestamp",
     )
     CP.append(spark, cp_table, advanced, run_date)
+    # The batch is committed (bronze, rejects, checkpoint): drop its staged copy.
+    tables.delete_path(spark, stage_path)
     return {"files": len(names), "rows": total, "rejects": n_rejects, "new_columns": new_cols}
 
 

@@ -69,6 +69,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staging directory this code created (recursive)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def list_partition_values(spark: SparkSession, root: str, col: str) -> list[str]:
     """Values of ``col=<value>`` directories directly under ``root``, from
     the file-system listing (metadata only, no data read)."""
