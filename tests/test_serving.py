@@ -95,3 +95,19 @@ def test_scale_conf_bounds():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     mid = scale_conf(10 * 10**12, 4000)
     assert 4000 < int(mid["spark.sql.shuffle.partitions"]) < 50_000
+
+
+def test_table_upsert_without_partitions(spark, tmp_path):
+    from viewlog.sinks import tables
+
+    tables.create_namespace(spark, "ups_np")
+    t = "ups_np.target"
+    base = spark.createDataFrame([("A", "d", "f", 1, "old"), ("B", "d", "f", 2, "keep")],
+                                 "Contract string, execution_day string, source_file string, v bigint, s string")
+    tables.append(spark, t, base, [], str(tmp_path / "t"))
+    upd = spark.createDataFrame([("A", "d", "f", 10, "new"), ("C", "d", "f", 3, "ins")],
+                                "Contract string, execution_day string, source_file string, v bigint, s string")
+    tables.upsert(spark, t, upd, KEY)
+    tables.upsert(spark, t, upd, KEY)
+    got = sorted(tuple(r) for r in spark.table(t).collect())
+    assert got == [("A", "d", "f", 10, "new"), ("B", "d", "f", 2, "keep"), ("C", "d", "f", 3, "ins")]

@@ -196,9 +196,19 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, keys: Sequence[s
             target = target.filter(F.col(partition_col).isin(list(partitions)))
         else:
             target = target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
-    merged = upsert_rows(target, updates, keys)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    merged.select(*columns_of(spark, table)).write.insertInto(table, overwrite=True)
+    merged = upsert_rows(target, updates, keys).select(*columns_of(spark, table))
+    if partition_col:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        merged.write.insertInto(table, overwrite=True)
+        return
+    # A whole-table overwrite cannot read its own files while it runs: stage
+    # the merged rows in shared storage, overwrite from there, then drop them.
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "upsert-stage")
+    merged.write.parquet(path)
+    spark.read.parquet(path).write.insertInto(table, overwrite=True)
+    delete_path(spark, path)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
