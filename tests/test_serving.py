@@ -111,3 +111,16 @@ def test_table_upsert_without_partitions(spark, tmp_path):
     tables.upsert(spark, t, upd, KEY)
     got = sorted(tuple(r) for r in spark.table(t).collect())
     assert got == [("A", "d", "f", 10, "new"), ("B", "d", "f", 2, "keep"), ("C", "d", "f", 3, "ins")]
+
+
+def test_preview_partitions_and_drop(spark, tmp_path):
+    from viewlog.sinks import tables
+
+    tables.create_namespace(spark, "small_ops")
+    df = spark.createDataFrame([(i, f"d{i % 3}") for i in range(20)], "v bigint, execution_day string")
+    tables.append(spark, "small_ops.t", df, ["execution_day"], str(tmp_path / "t"))
+    assert tables.preview(spark.table("small_ops.t")).count() == 5
+    assert tables.partition_columns(spark, "small_ops.t") == ["execution_day"]
+    assert tables.latest_partition(spark, "small_ops.t", "execution_day") == "d2"
+    tables.drop_table(spark, "small_ops.t")
+    assert not tables.table_exists(spark, "small_ops.t")

@@ -113,3 +113,15 @@ def test_property_category_sums_equal_total(spark):
     total_p = p.select(sum(F.sum(c) for c in C.PIVOT_COLUMNS)).first()[0]
     total_b = b.filter(F.col(C.CONTRACT).isNotNull()).select(F.sum(C.DURATION)).first()[0]
     assert total_p == total_b
+
+
+def test_layer_schemas(spark):
+    from viewlog import schemas
+
+    def shape(st):
+        return [(f.name, f.dataType) for f in st.fields]
+
+    s = SV.silver_summary(edge_bronze(spark))
+    assert shape(s.schema) == shape(schemas.silver_schema())
+    g = G.gold_usage(s)
+    assert shape(g.schema) == shape(schemas.gold_schema())

@@ -64,15 +64,12 @@ def silver_schema() -> T.StructType:
 
 
 def gold_schema() -> T.StructType:
-    s = silver_schema()
-    fields = [f for f in s.fields if f.name != C.EXEC_DAY]
     return T.StructType(
-        fields
+        silver_schema().fields
         + [
             T.StructField(C.MOST_WATCH, T.StringType()),
             T.StructField(C.TASTE, T.StringType()),
             T.StructField(C.ACTIVE, T.StringType()),
-            T.StructField(C.EXEC_DAY, T.StringType()),
         ]
     )
 
