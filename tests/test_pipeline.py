@@ -136,3 +136,19 @@ def test_malformed_line_goes_to_rejects_and_counts_as_read(spark, fresh_dir, lay
     assert spark.table(layout.table(layout.bronze)).count() == 4
     log = CP.latest_checkpoints(spark.table(layout.table(layout.checkpoint))).collect()
     assert log[0].last_offset == 5
+
+
+def test_flat_layout_one_object_per_day(spark, fresh_dir, layout):
+    """The original's layout: <prefix>/<YYYYMMDD>.json, one object per day."""
+    src = f"{fresh_dir}/kplus"
+    os.makedirs(src)
+    for day, n in (("20220403", 7), ("20220404", 5)):
+        with open(f"{src}/{day}.json", "w") as f:
+            for i in range(n):
+                f.write(json.dumps({"_source": {"Contract": f"{day}-{i}", "TotalDuration": i}}) + "\n")
+    assert P.ingest_batch(spark, layout, src, 4, "2024-02-01", files=["20220403"])["rows"] == 4
+    assert P.ingest_batch(spark, layout, src, 100, "2024-02-02")["rows"] == 8  # 3 left + all of the other
+    rows = spark.table(layout.table(layout.bronze)).collect()
+    assert sorted((r.source_file, r.row_index) for r in rows) == sorted(
+        [("20220403", i) for i in range(7)] + [("20220404", i) for i in range(5)])
+    assert all(r.Contract.startswith(r.source_file) and r.Contract.endswith(f"-{r.row_index}") for r in rows)

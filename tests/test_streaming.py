@@ -59,3 +59,17 @@ def test_stream_usage_matches_batch_pivot(spark):
     got = sorted(tuple(r) for r in FS.stream_usage_pivot(spark, sf, files_per_batch=4).collect())
     want = sorted(tuple(r) for r in usage_pivot(bronze_from_dir(spark, sf)).collect())
     assert got == want
+
+
+def test_stream_ingest_flat_layout(spark, fresh_dir):
+    src = f"{fresh_dir}/kplus"
+    os.makedirs(src)
+    for day in ("20220403", "20220404"):
+        with open(f"{src}/{day}.json", "w") as f:
+            for i in range(4):
+                f.write(json.dumps({"_source": {"Contract": f"{day}-{i}"}}) + "\n")
+    lay = Layout(database=f"s_{uuid.uuid4().hex[:8]}", root=f"{fresh_dir}/tables")
+    BS.stream_ingest(spark, lay, src, f"{fresh_dir}/ck", "2024-02-01")
+    rows = spark.table(lay.table(lay.bronze)).collect()
+    assert sorted((r.source_file, r.row_index) for r in rows) == [(d, i) for d in ("20220403", "20220404")
+                                                                  for i in range(4)]

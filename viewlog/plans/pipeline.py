@@ -76,10 +76,20 @@ def _today() -> str:
     return _dt.date.today().isoformat()
 
 
-def _source_paths(root: str, files: Sequence[str] | None) -> str | list[str]:
-    if not files:
-        return root
-    return [f"{root.rstrip('/')}/{C.SOURCE_FILE}={f}" for f in files]
+def _partitioned(spark: SparkSession, root: str) -> bool:
+    """Is ``root`` laid out as ``source_file=<name>/`` directories (else one
+    file per source file directly under it, e.g. ``20220403.json``)?"""
+    return bool(tables.list_partition_values(spark, root, C.SOURCE_FILE))
+
+
+def _read_source(spark: SparkSession, root: str, files: Sequence[str] | None) -> DataFrame:
+    root = root.rstrip("/")
+    if _partitioned(spark, root):
+        paths = [f"{root}/{C.SOURCE_FILE}={f}" for f in files] if files else root
+        return J.read_lines(spark, paths, base_path=root)
+    # Flat layout: one object per source file; any extension after the name.
+    paths = [f"{root}/{f}.*" for f in files] if files else root
+    return J.read_lines(spark, paths, file_name_col=C.SOURCE_FILE)
 
 
 def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int,
@@ -88,7 +98,8 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     """Ingest the next ``rows`` lines of every source file into bronze.
 
     Source layout: ``source_root/source_file=<name>/*.json`` (JSON lines, in
-    file-name order). Per file: current offset from the checkpoint log ->
+    file-name order), or one file per source file directly under
+    ``source_root`` (``20220403.json``: the name before the extension). Per file: current offset from the checkpoint log ->
     lines ``[offset, offset + rows)`` -> parse, flatten -> bronze append ->
     checkpoint append, in that order (Q4). The offset advances by the rows
     actually read (Q5); an empty slice changes nothing (Q14). If a previous
@@ -106,9 +117,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
     bronze = layout.table(layout.bronze)
 
-    lines, seen, stats = J.index_lines_with_stats(
-        spark, J.read_lines(spark, _source_paths(source_root, files), base_path=source_root), C.SOURCE_FILE
-    )
+    lines, seen, stats = J.index_lines_with_stats(spark, _read_source(spark, source_root, files), C.SOURCE_FILE)
     names = list(files) if files else seen
     if not names:
         return {"files": 0, "rows": 0, "rejects": 0, "new_columns": []}

@@ -35,14 +35,29 @@ FTIME = "_fmtime"
 MAX_SPLIT_ROWS = 200_000
 
 
-def read_lines(spark: SparkSession, path: str | list[str], base_path: str | None = None) -> DataFrame:
+# A source file's name is its file name without these suffixes
+# (20220403.json -> 20220403, 20220403.jsonl.gz -> 20220403).
+NAME_SUFFIX = r"(\.jsonl?)?(\.gz|\.bz2|\.zst|\.deflate)?$"
+
+
+def name_from_file(col: str = "_metadata.file_name") -> Column:
+    return F.regexp_replace(F.col(col), NAME_SUFFIX, "")
+
+
+def read_lines(spark: SparkSession, path: str | list[str], base_path: str | None = None,
+               file_name_col: str | None = None) -> DataFrame:
     """Non-blank lines of text files (blank lines hold no offset), with the
     file path and split start of each line. ``base_path`` turns
-    ``key=value`` directories into columns (e.g. ``source_file``)."""
+    ``key=value`` directories into columns (e.g. ``source_file``);
+    ``file_name_col`` instead names each line's logical file after its file
+    (one file per source file, as the original's daily objects)."""
     r = spark.read
     if base_path:
         r = r.option("basePath", base_path)
-    return with_position(r.text(path))
+    raw = r.text(path)
+    if file_name_col:
+        raw = raw.withColumn(file_name_col, name_from_file())
+    return with_position(raw)
 
 
 ONE_FILE = "*"

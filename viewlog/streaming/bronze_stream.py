@@ -61,6 +61,8 @@ def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpo
     bronze = layout.table(layout.bronze)
     rejects = layout.table(layout.rejects)
     stream = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source_root)
+    if C.SOURCE_FILE not in stream.columns:  # flat layout: name from the file
+        stream = stream.withColumn(C.SOURCE_FILE, J.name_from_file())
     positioned = J.with_position(stream, with_id=False)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
