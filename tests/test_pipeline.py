@@ -140,7 +140,7 @@ def test_malformed_line_goes_to_rejects_and_counts_as_read(spark, fresh_dir, lay
 
 def test_flat_layout_one_object_per_day(spark, fresh_dir, layout):
     """The original's layout: <prefix>/<YYYYMMDD>.json, one object per day."""
-    src = f"{fresh_dir}/kplus"
+    src = f"{fresh_dir}/daily"
     os.makedirs(src)
     for day, n in (("20220403", 7), ("20220404", 5)):
         with open(f"{src}/{day}.json", "w") as f:

@@ -62,7 +62,7 @@ def test_stream_usage_matches_batch_pivot(spark):
 
 
 def test_stream_ingest_flat_layout(spark, fresh_dir):
-    src = f"{fresh_dir}/kplus"
+    src = f"{fresh_dir}/daily"
     os.makedirs(src)
     for day in ("20220403", "20220404"):
         with open(f"{src}/{day}.json", "w") as f:
