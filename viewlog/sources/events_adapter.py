@@ -34,7 +34,8 @@ def _k(props: Column) -> Column:
 def contract_of(user_id: Column, k: Column, dense: bool = False) -> Column:
     if dense:
         return user_id.cast("string")
-    return (user_id * 10 + k.cast("bigint") % 10).cast("string")
+    # Raw JSON text: try_cast, so a malformed value gives NULL under ANSI mode.
+    return (user_id * 10 + k.try_cast("bigint") % 10).cast("string")
 
 
 def app_of(event_id: Column | str = "event_id") -> Column:
