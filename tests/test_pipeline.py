@@ -152,3 +152,22 @@ def test_flat_layout_one_object_per_day(spark, fresh_dir, layout):
     assert sorted((r.source_file, r.row_index) for r in rows) == sorted(
         [("20220403", i) for i in range(7)] + [("20220404", i) for i in range(5)])
     assert all(r.Contract.startswith(r.source_file) and r.Contract.endswith(f"-{r.row_index}") for r in rows)
+
+
+def test_line_index_built_once_and_dropped_when_done(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    _log(src, "20220408", 10)
+    idx = P._index_path(spark, layout)
+    man = f"{idx}_manifest"
+    P.ingest_batch(spark, layout, src, 3, run_date="2024-02-01")
+    P.ingest_batch(spark, layout, src, 3, run_date="2024-02-02")
+    builds = spark.read.parquet(man).filter("file_size >= 0").count()
+    assert builds == 1  # the second batch read the existing index
+    assert os.path.isdir(f"{idx}/source_file=20220408")
+    # The file grows: the index is rebuilt, offsets continue.
+    with open(f"{src}/source_file=20220408/part-00000.json", "a") as f:
+        f.write(json.dumps({"_source": {"Contract": "late"}}) + "\n")
+    assert P.ingest_batch(spark, layout, src, 100, run_date="2024-02-03")["rows"] == 5
+    assert spark.read.parquet(man).filter("file_size >= 0").count() == 2
+    assert not os.path.isdir(f"{idx}/source_file=20220408")  # fully read: index dropped
+    assert sorted(r.row_index for r in spark.table(layout.table(layout.bronze)).collect()) == list(range(11))

@@ -27,6 +27,7 @@ from ..session import shared_dir
 from ..sinks import tables
 from ..sources import checkpoint as CP
 from ..sources import json_lines as J
+from ..sources import line_index as LI
 
 
 @dataclasses.dataclass(frozen=True)
@@ -76,20 +77,10 @@ def _today() -> str:
     return _dt.date.today().isoformat()
 
 
-def _partitioned(spark: SparkSession, root: str) -> bool:
-    """Is ``root`` laid out as ``source_file=<name>/`` directories (else one
-    file per source file directly under it, e.g. ``20220403.json``)?"""
-    return bool(tables.list_partition_values(spark, root, C.SOURCE_FILE))
-
-
-def _read_source(spark: SparkSession, root: str, files: Sequence[str] | None) -> DataFrame:
-    root = root.rstrip("/")
-    if _partitioned(spark, root):
-        paths = [f"{root}/{C.SOURCE_FILE}={f}" for f in files] if files else root
-        return J.read_lines(spark, paths, base_path=root)
-    # Flat layout: one object per source file; any extension after the name.
-    paths = [f"{root}/{f}.*" for f in files] if files else root
-    return J.read_lines(spark, paths, file_name_col=C.SOURCE_FILE)
+def _index_path(spark: SparkSession, layout: Layout) -> str:
+    """Where line indexes live: next to the tables on shared storage, else
+    under the session's shared directory."""
+    return layout.location("_line_index") or f"{shared_dir(spark).rstrip('/')}/line-index-{layout.database}"
 
 
 def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int,
@@ -117,8 +108,11 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
     bronze = layout.table(layout.bronze)
 
-    lines, seen, stats = J.index_lines_with_stats(spark, _read_source(spark, source_root, files), C.SOURCE_FILE)
-    names = list(files) if files else seen
+    listing = LI.list_source_files(spark, source_root, files)
+    missing = sorted(set(files or []) - set(listing))
+    if missing:
+        raise FileNotFoundError(f"no source file(s) {missing} under {source_root}")
+    names = sorted(listing)
     if not names:
         return {"files": 0, "rows": 0, "rejects": 0, "new_columns": []}
     files_df = spark.createDataFrame([(n,) for n in names], "file_name string")
@@ -138,9 +132,12 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     # One row per listed file: small, checked here, then broadcast.
     cur = offsets.collect()
     recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in cur if r["last_offset"] > 0}
+    stats = {n: (sf.size, sf.mtime) for n, sf in listing.items()}
     changed = CP.changed_files(recorded, stats)
     if changed:
         raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
+    index_path = _index_path(spark, layout)
+    lines, lines_in = LI.ensure_index(spark, source_root, index_path, listing)
     offsets = F.broadcast(spark.createDataFrame([(r["file_name"], r["last_offset"]) for r in cur],
                                                 f"{C.SOURCE_FILE} string, last_offset bigint"))
     sliced = J.slice_rows(lines.join(offsets, C.SOURCE_FILE), F.col("last_offset"), rows)
@@ -182,11 +179,14 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     advanced = spark.createDataFrame(
         [(r[C.SOURCE_FILE], int(r["next_offset"]), int(rows), *stats.get(r[C.SOURCE_FILE], (None, None)))
          for r in per_file],
-        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime timestamp",
+        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
     )
     CP.append(spark, cp_table, advanced, run_date)
-    # The batch is committed (bronze, rejects, checkpoint): drop its staged copy.
+    # The batch is committed (bronze, rejects, checkpoint): drop its staged copy,
+    # and the line index of files now read to the end.
     tables.delete_path(spark, stage_path)
+    LI.drop_finished(spark, index_path, [r[C.SOURCE_FILE] for r in per_file
+                                         if r["next_offset"] >= lines_in.get(r[C.SOURCE_FILE], 1 << 62)])
     return {"files": len(names), "rows": total, "rejects": n_rejects, "new_columns": new_cols}
 
 

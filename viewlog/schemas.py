@@ -43,9 +43,10 @@ CHECKPOINT = T.StructType(
         T.StructField("rows_per_run", T.LongType()),
         T.StructField(C.EXEC_DATE, T.StringType()),
         T.StructField("updated_at", T.TimestampType()),
-        # ours: the source file as seen when the offset was taken
+        # ours: the source file as listed when the offset was taken
+        # (bytes, modification time in epoch milliseconds)
         T.StructField("file_size", T.LongType()),
-        T.StructField("file_mtime", T.TimestampType()),
+        T.StructField("file_mtime", T.LongType()),
     ]
 )
 

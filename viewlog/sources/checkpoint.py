@@ -91,7 +91,7 @@ def append(spark: SparkSession, table: str, rows: DataFrame, execution_date: str
         "execution_date": F.lit(execution_date),
         "updated_at": F.lit(ts).cast("timestamp"),
         "file_size": F.col("file_size").cast("bigint") if "file_size" in rows.columns else F.lit(None).cast("bigint"),
-        "file_mtime": (F.col("file_mtime") if "file_mtime" in rows.columns else F.lit(None)).cast("timestamp"),
+        "file_mtime": (F.col("file_mtime") if "file_mtime" in rows.columns else F.lit(None)).cast("bigint"),
     }
     table_cols = [f.name for f in spark.table(table).schema.fields]
     out = rows.select(*[cols[c].alias(c) for c in table_cols])

@@ -76,7 +76,7 @@ def _split_summary(lines: DataFrame, file_col: str | None) -> DataFrame:
     part = keys or ([] if file_col == ONE_FILE else [PATH])
     w = Window.partitionBy(*part).orderBy(PATH, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     return summ.select(*keys, PATH, BLOCK, "_min", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_base"),
-                       FSIZE, FTIME)
+                       "_cnt", FSIZE, FTIME)
 
 
 def indexed_lines_with_files(spark: SparkSession, path: str | list[str], base_path: str | None = None,
@@ -110,25 +110,29 @@ def index_lines(spark: SparkSession, lines: DataFrame, file_col: str | None = No
 
 def index_lines_with_stats(spark: SparkSession, lines: DataFrame, file_col: str | None = None
                            ) -> tuple[DataFrame, list[str], dict[str, tuple[int, object]]]:
-    """``index_lines`` plus, per logical file, (total bytes, latest mtime) of
-    its parts, taken from the same split summary (no extra pass)."""
+    """``index_lines`` plus, per logical file, (total bytes, latest mtime,
+    non-blank lines) of its parts, taken from the same split summary (no
+    extra pass)."""
     summ = _split_summary(lines, file_col)
     rows = summ.limit(MAX_SPLIT_ROWS + 1).collect()
     by_col = file_col if file_col and file_col != ONE_FILE else None
-    stats: dict[str, tuple[int, object]] = {}
+    stats: dict[str, tuple[int, object, int]] = {}
     if len(rows) <= MAX_SPLIT_ROWS:
         parts: dict[str, dict[str, tuple[int, object]]] = {}
+        lines_in: dict[str, int] = {}
         for r in rows:
-            parts.setdefault(r[by_col] if by_col else r[PATH], {})[r[PATH]] = (r[FSIZE], r[FTIME])
+            key = r[by_col] if by_col else r[PATH]
+            parts.setdefault(key, {})[r[PATH]] = (r[FSIZE], r[FTIME])
+            lines_in[key] = lines_in.get(key, 0) + r["_cnt"]
         for name, ps in parts.items():
-            stats[name] = (sum(v[0] for v in ps.values()), max(v[1] for v in ps.values()))
+            stats[name] = (sum(v[0] for v in ps.values()), max(v[1] for v in ps.values()), lines_in[name])
         names = sorted(parts)
         small = spark.createDataFrame(rows, summ.schema) if rows else summ.limit(0)
         summ = F.broadcast(small)
     else:
         names = [r[0] for r in summ.select(by_col or PATH).distinct().collect()]
     keys = ([by_col] if by_col else []) + [PATH, BLOCK]
-    out = lines.join(summ.drop(FSIZE, FTIME), keys, "inner")
+    out = lines.join(summ.drop(FSIZE, FTIME, "_cnt"), keys, "inner")
     idx = (F.col("_base") + F.col(MID) - F.col("_min")).cast("bigint").alias(C.ROW_INDEX)
     keep = [c for c in lines.columns if c not in (PATH, BLOCK, MID, FSIZE, FTIME)]
     return out.select(*keep, idx), names, stats
