@@ -53,7 +53,10 @@ def test_crash_between_write_and_checkpoint(spark, fresh_dir, layout, monkeypatc
     real = CP.append
 
     def boom(*a, **k):
-        raise RuntimeError("lost before checkpoint")
+        # dies after the bronze write, before the completing checkpoint row
+        if k.get("state", "done") == "done":
+            raise RuntimeError("lost before checkpoint")
+        return real(*a, **k)
 
     monkeypatch.setattr(CP, "append", boom)
     with pytest.raises(RuntimeError):
@@ -64,6 +67,27 @@ def test_crash_between_write_and_checkpoint(spark, fresh_dir, layout, monkeypatc
     assert idx == list(range(15))  # nothing lost, nothing twice
 
 
+def test_crash_during_bronze_write(spark, fresh_dir, layout, monkeypatch):
+    from viewlog.sinks import tables as TB
+
+    src = f"{fresh_dir}/src"
+    _log(src, "20220409", 9)
+    P.ingest_batch(spark, layout, src, 4, run_date="2024-02-01")
+    real = TB.append
+
+    def boom(spark_, table, *a, **k):
+        if table.endswith(layout.bronze):
+            raise RuntimeError("write failed")
+        return real(spark_, table, *a, **k)
+
+    monkeypatch.setattr(TB, "append", boom)
+    with pytest.raises(RuntimeError):
+        P.ingest_batch(spark, layout, src, 4, run_date="2024-02-02")
+    monkeypatch.setattr(TB, "append", real)
+    P.ingest_batch(spark, layout, src, 100, run_date="2024-02-03")
+    assert sorted(r[C.ROW_INDEX] for r in _bronze(spark, layout).collect()) == list(range(9))
+
+
 def test_schema_evolution_in_bronze(spark, fresh_dir, layout):
     src = f"{fresh_dir}/src"
     _log(src, "20220405", 4)

@@ -93,11 +93,13 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     ``source_root`` (``20220403.json``: the name before the extension). Per file: current offset from the checkpoint log ->
     lines ``[offset, offset + rows)`` -> parse, flatten -> bronze append ->
     checkpoint append, in that order (Q4). The offset advances by the rows
-    actually read (Q5); an empty slice changes nothing (Q14). If a previous
-    run wrote bronze but died before its checkpoint, bronze already holds the
-    rows past the checkpoint; ``verify_replay`` then moves the offset past
-    them instead of writing them again (malformed lines at the very end of
-    such a batch are not in bronze and may be rejected twice). Malformed lines
+    actually read (Q5); an empty slice changes nothing (Q14). A 'pending'
+    checkpoint row is written before the bronze write and a 'done' row after
+    it. If a run died in between, the next run finds the file's latest row
+    pending and looks into that run's bronze partition only; rows the dead
+    batch wrote move the offset past them instead of being written again
+    (malformed lines at the very end of such a batch are not in bronze and
+    may be rejected twice). Without a pending row no bronze is read. Malformed lines
     go to a rejects table with their offsets and still count as read (Q21).
     The staged slice is removed once the batch is committed.
     """
@@ -117,20 +119,21 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
         return {"files": 0, "rows": 0, "rejects": 0, "new_columns": []}
     files_df = spark.createDataFrame([(n,) for n in names], "file_name string")
     offsets = CP.offsets_for(CP.read_log(spark, cp_table), files_df)
-    if verify_replay and tables.table_exists(spark, bronze):
-        done = (
+    # One row per listed file: small, checked here, then broadcast.
+    cur = [r.asDict() for r in offsets.collect()]
+    # A file whose latest checkpoint row is 'pending' had a batch die between
+    # its intent and its completion: look into bronze, but only into that
+    # run's partition, for rows the batch did write.
+    pending = {r["file_name"]: r["execution_date"] for r in cur if r.get("state") == "pending"}
+    if verify_replay and pending and tables.table_exists(spark, bronze):
+        done = dict(
             spark.table(bronze)
-            .filter(F.col(C.SOURCE_FILE).isin(names))
-            .groupBy(F.col(C.SOURCE_FILE).alias("file_name"))
-            .agg((F.max(C.ROW_INDEX) + 1).alias("_done"))
-        )
-        offsets = offsets.join(done, "file_name", "left").select(
-            "file_name",
-            F.greatest("last_offset", F.coalesce("_done", F.lit(0).cast("bigint"))).alias("last_offset"),
-            "rows_per_run", "file_size", "file_mtime",
+            .filter(F.col(C.EXEC_DATE).isin(sorted(set(pending.values())))
+                    & F.col(C.SOURCE_FILE).isin(sorted(pending)))
+            .groupBy(C.SOURCE_FILE).agg((F.max(C.ROW_INDEX) + 1).alias("_done")).collect()
         )
-    # One row per listed file: small, checked here, then broadcast.
-    cur = offsets.collect()
+        for r in cur:
+            r["last_offset"] = max(r["last_offset"], done.get(r["file_name"]) or 0)
     recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in cur if r["last_offset"] > 0}
     stats = {n: (sf.size, sf.mtime) for n, sf in listing.items()}
     changed = CP.changed_files(recorded, stats)
@@ -167,6 +170,13 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).withColumn(
         C.EXEC_DATE, F.lit(run_date)
     )
+    # Intent first (Q4): which batch is about to be written, with its run date.
+    start = {r["file_name"]: r["last_offset"] for r in cur}
+    intent = spark.createDataFrame(
+        [(r[C.SOURCE_FILE], int(start.get(r[C.SOURCE_FILE], 0)), int(rows), *stats[r[C.SOURCE_FILE]]) for r in per_file],
+        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
+    )
+    CP.append(spark, cp_table, intent, run_date, state="pending")
     before = set(tables.columns_of(spark, bronze)) if tables.table_exists(spark, bronze) else set()
     if not tables.table_exists(spark, bronze):
         tables.create_table(spark, bronze, schemas.BRONZE_TABLE, [C.EXEC_DATE], layout.location(layout.bronze))
@@ -181,7 +191,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
          for r in per_file],
         "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
     )
-    CP.append(spark, cp_table, advanced, run_date)
+    CP.append(spark, cp_table, advanced, run_date, state="done")
     # The batch is committed (bronze, rejects, checkpoint): drop its staged copy,
     # and the line index of files now read to the end.
     tables.delete_path(spark, stage_path)

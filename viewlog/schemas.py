@@ -47,6 +47,8 @@ CHECKPOINT = T.StructType(
         # (bytes, modification time in epoch milliseconds)
         T.StructField("file_size", T.LongType()),
         T.StructField("file_mtime", T.LongType()),
+        # ours: 'pending' before a bronze write, 'done' after it
+        T.StructField("state", T.StringType()),
     ]
 )
 
