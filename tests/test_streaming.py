@@ -73,3 +73,23 @@ def test_stream_ingest_flat_layout(spark, fresh_dir):
     rows = spark.table(lay.table(lay.bronze)).collect()
     assert sorted((r.source_file, r.row_index) for r in rows) == [(d, i) for d in ("20220403", "20220404")
                                                                   for i in range(4)]
+
+
+def test_stream_batch_log_replays(spark, fresh_dir):
+    src = f"{fresh_dir}/src"
+    for k in range(3):
+        _day(src, f"2024010{k + 1}", 5)
+    lay = Layout(database=f"s_{uuid.uuid4().hex[:8]}", root=f"{fresh_dir}/tables")
+    BS.stream_ingest(spark, lay, src, f"{fresh_dir}/ck", "2024-02-01", files_per_batch=2)
+    bronze, rejects = lay.table(lay.bronze), lay.table(lay.rejects)
+    log = lay.table(lay.bronze + "_stream_log")
+    assert {r.state for r in spark.table(log).collect()} == {"pending", "done"}
+    batch = J.with_position(spark.read.option("basePath", src).text(f"{src}/source_file=20240101"), with_id=False)
+    # Replay of completed batch 0: skipped without reading bronze.
+    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 0, log)
+    # A batch that died after its intent and after writing its files.
+    BS._mark(spark, log, 99, ["20240101"], "pending", "2024-02-01", lay)
+    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 99, log)
+    spark.catalog.refreshTable(bronze)
+    assert spark.table(bronze).count() == 15
+    assert {r.state for r in spark.table(log).filter("batch_id = 99").collect()} == {"pending", "done"}

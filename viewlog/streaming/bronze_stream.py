@@ -6,9 +6,11 @@ the streaming form of D9).
 stream checkpoint remembers them, so a rerun adds nothing). Inside
 ``foreachBatch`` every line gets its offset in its file (the same split
 summary as the batch path), keys are discovered, records parsed and
-flattened, and the batch is appended to bronze. A batch replayed after a
-failure finds its files already in bronze and writes nothing, so the sink is
-idempotent. One physical file is one logical source file here; the row-offset
+flattened, and the batch is appended to bronze. A small log records each
+micro-batch id as 'pending' before its write and 'done' after; Spark replays
+a failed batch with the same id, so a done batch is skipped and a pending
+one skips the files its dead attempt already wrote (looking only into that
+run's bronze partition). Normal batches read no bronze. One physical file is one logical source file here; the row-offset
 path (``plans.pipeline.ingest_batch``) also handles multi-part files and
 partial files. Do not mix both paths on one bronze table.
 """
@@ -25,19 +27,48 @@ from ..sinks import tables
 from ..sources import json_lines as J
 
 
+LOG_SCHEMA = "batch_id bigint, source_file string, state string, execution_date string"
+
+
+def _log(spark: SparkSession, log_table: str, batch_id: int) -> dict[str, set[str]]:
+    if not tables.table_exists(spark, log_table):
+        return {}
+    rows = spark.table(log_table).filter(F.col("batch_id") == batch_id).select("state", C.SOURCE_FILE).collect()
+    out: dict[str, set[str]] = {}
+    for r in rows:
+        out.setdefault(r["state"], set()).add(r[C.SOURCE_FILE])
+    return out
+
+
+def _mark(spark: SparkSession, log_table: str, batch_id: int, files: list[str], state: str, run_date: str,
+          layout: Layout) -> None:
+    df = spark.createDataFrame([(batch_id, f, state, run_date) for f in files], LOG_SCHEMA)
+    tables.append(spark, log_table, df, [], layout.location(log_table.split(".")[-1]))
+
+
 def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects: str, run_date: str,
-                     layout: Layout) -> None:
+                     layout: Layout, batch_id: int | None = None, log_table: str | None = None) -> None:
     # Position ids are assigned on the micro-batch (streams refuse them); the
     # batch reads the same splits for the summary and for the rows.
     lines, files = J.index_lines(spark, batch.withColumn(J.MID, F.monotonically_increasing_id()))
     if not files:
         return
-    names = [r[0] for r in batch.select(C.SOURCE_FILE).distinct().collect()]
-    if tables.table_exists(spark, bronze) and names:
-        seen = spark.table(bronze).filter(F.col(C.SOURCE_FILE).isin(names)).select(C.SOURCE_FILE).distinct()
-        if seen.limit(1).count() > 0:
-            done = {r[0] for r in seen.collect()}
-            lines = lines.filter(~F.col(C.SOURCE_FILE).isin(list(done)))
+    names = sorted(r[0] for r in batch.select(C.SOURCE_FILE).distinct().collect())
+    state = _log(spark, log_table, batch_id) if log_table and batch_id is not None else {}
+    if "done" in state:
+        return  # a replay of a batch that completed
+    if log_table is None or "pending" in state:
+        # Unknown history, or this batch died after its intent: files already
+        # in bronze (from that run's partition when known) are skipped.
+        if tables.table_exists(spark, bronze) and names:
+            b = spark.table(bronze).filter(F.col(C.SOURCE_FILE).isin(names))
+            if log_table is not None:
+                b = b.filter(F.col(C.EXEC_DATE) == F.lit(run_date))
+            done = {r[0] for r in b.select(C.SOURCE_FILE).distinct().collect()}
+            if done:
+                lines = lines.filter(~F.col(C.SOURCE_FILE).isin(sorted(done)))
+    if log_table is not None and "pending" not in state:
+        _mark(spark, log_table, batch_id, names, "pending", run_date, layout)
     payload = J.discover_source_schema(spark, lines)
     parsed = J.parse_records(lines, payload)
     good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).withColumn(
@@ -51,6 +82,8 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
     )
     if bad.limit(1).count() > 0:
         tables.append(spark, rejects, bad, [C.EXEC_DATE], layout.location(layout.rejects))
+    if log_table is not None:
+        _mark(spark, log_table, batch_id, names, "done", run_date, layout)
 
 
 def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpoint: str, run_date: str,
@@ -65,9 +98,13 @@ def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpo
         stream = stream.withColumn(C.SOURCE_FILE, J.name_from_file())
     positioned = J.with_position(stream, with_id=False)
 
+    log_table = layout.table(layout.bronze + "_stream_log")
+    if layout.root:
+        tables.register_existing(spark, log_table, layout.location(layout.bronze + "_stream_log"))
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch belongs to the stream's own session: write through it.
-        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout)
+        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout, batch_id, log_table)
 
     q = positioned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
