@@ -195,3 +195,17 @@ def test_line_index_built_once_and_dropped_when_done(spark, fresh_dir, layout):
     assert spark.read.parquet(man).filter("file_size >= 0").count() == 2
     assert not os.path.isdir(f"{idx}/source_file=20220408")  # fully read: index dropped
     assert sorted(r.row_index for r in spark.table(layout.table(layout.bronze)).collect()) == list(range(11))
+
+
+def test_paths_with_spaces(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/raw logs"
+    d = f"{src}/{'source_file'}=2022 04 10"
+    os.makedirs(d)
+    with open(f"{d}/part 0.json", "w") as f:
+        for i in range(6):
+            f.write(json.dumps({"_source": {"Contract": f"c{i}"}}) + "\n")
+    assert P.ingest_batch(spark, layout, src, 4, run_date="2024-02-01")["rows"] == 4
+    assert P.ingest_batch(spark, layout, src, 4, run_date="2024-02-02")["rows"] == 2
+    rows = spark.table(layout.table(layout.bronze)).collect()
+    assert sorted((r.source_file, r.row_index, r.Contract) for r in rows) == [
+        ("2022 04 10", i, f"c{i}") for i in range(6)]

@@ -29,6 +29,9 @@ from ..sinks import tables
 from . import json_lines as J
 
 _SUFFIX = re.compile(r"(\.jsonl?)?(\.gz|\.bz2|\.zst|\.deflate)?$")
+# Scheme and authority of a URI ("file:", "file://", "s3a://bucket"): paths are
+# compared without them, in their encoded form, on both sides of the join.
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 INDEX_SCHEMA = T.StructType(
     [
         T.StructField("value", T.StringType()),
@@ -42,7 +45,8 @@ MANIFEST_SCHEMA = "source_file string, file_size bigint, file_mtime bigint, line
 @dataclasses.dataclass(frozen=True)
 class SourceFile:
     name: str
-    paths: tuple[str, ...]
+    paths: tuple[str, ...]  # for reading
+    uris: tuple[str, ...]  # encoded paths without scheme/authority, as matched against _metadata
     size: int
     mtime: int  # epoch milliseconds (latest part)
 
@@ -91,9 +95,11 @@ def list_source_files(spark: SparkSession, root: str, files: Sequence[str] | Non
     for name, sts in groups.items():
         if not sts:
             continue
+        sts = sorted(sts, key=lambda st: st.getPath().toString())
         out[name] = SourceFile(
             name,
-            tuple(sorted(st.getPath().toString() for st in sts)),
+            tuple(st.getPath().toString() for st in sts),
+            tuple(re.sub(_AUTHORITY, "", st.getPath().toUri().toString()) for st in sts),
             sum(int(st.getLen()) for st in sts),
             max(int(st.getModificationTime()) for st in sts),
         )
@@ -126,9 +132,12 @@ def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[
     if stale:
         paths = [p for n in stale for p in listing[n].paths]
         # One row per listed path (bounded by the file listing): broadcast.
-        by_path = spark.createDataFrame([(p, n) for n in stale for p in listing[n].paths],
+        by_path = spark.createDataFrame([(u, n) for n in stale for u in listing[n].uris],
                                         f"{J.PATH} string, {C.SOURCE_FILE} string")
-        lines = J.with_position(spark.read.text(paths)).join(F.broadcast(by_path), J.PATH)
+        lines = J.with_position(spark.read.text(paths))
+        lines = lines.withColumn(J.PATH, F.regexp_replace(F.col(J.PATH), _AUTHORITY, "")).join(
+            F.broadcast(by_path), J.PATH
+        )
         indexed, _, built = J.index_lines_with_stats(spark, lines, C.SOURCE_FILE)
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # Written straight from the input splits: each split is a contiguous
@@ -136,6 +145,9 @@ def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[
         (indexed.select("value", C.ROW_INDEX, C.SOURCE_FILE)
          .sortWithinPartitions(C.SOURCE_FILE, C.ROW_INDEX)
          .write.mode("overwrite").partitionBy(C.SOURCE_FILE).parquet(index_path))
+        lost = [n for n in stale if listing[n].size > 0 and n not in built]
+        if lost:  # a path that matched no listed file would silently drop lines
+            raise RuntimeError(f"no lines indexed for non-empty source files {lost}")
         for n in stale:  # from the split summary: no count job
             counts[n] = int(built[n][2]) if n in built else 0
         _record(spark, manifest_path, [(n, listing[n].size, listing[n].mtime, counts[n]) for n in stale])
