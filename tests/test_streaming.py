@@ -93,3 +93,15 @@ def test_stream_batch_log_replays(spark, fresh_dir):
     spark.catalog.refreshTable(bronze)
     assert spark.table(bronze).count() == 15
     assert {r.state for r in spark.table(log).filter("batch_id = 99").collect()} == {"pending", "done"}
+
+
+def test_file_names_with_spaces_and_plus(spark, fresh_dir):
+    from viewlog.sources.line_index import list_source_files
+
+    src = f"{fresh_dir}/flat"
+    os.makedirs(src)
+    for name in ("day 1+x", "day2"):
+        with open(f"{src}/{name}.json", "w") as f:
+            f.write(json.dumps({"_source": {"Contract": name}}) + "\n")
+    got = {r[0] for r in spark.read.text(src).select(J.name_from_file().alias("n")).collect()}
+    assert got == {"day 1+x", "day2"} == set(list_source_files(spark, src))

@@ -41,7 +41,10 @@ NAME_SUFFIX = r"(\.jsonl?)?(\.gz|\.bz2|\.zst|\.deflate)?$"
 
 
 def name_from_file(col: str = "_metadata.file_name") -> Column:
-    return F.regexp_replace(F.col(col), NAME_SUFFIX, "")
+    """Source file name from a file name; ``_metadata`` spells names
+    URI-encoded, so percent-escapes are decoded (a literal ``+`` is kept)."""
+    decoded = F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, NAME_SUFFIX, "")
 
 
 def read_lines(spark: SparkSession, path: str | list[str], base_path: str | None = None,
