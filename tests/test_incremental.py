@@ -87,3 +87,26 @@ def test_incremental_gold_equals_full(spark, tmp_path):
     b = _rows(spark.table(inc.table(inc.gold)))
     assert a == b
     assert any(r.Active == "High" for r in spark.table(inc.table(inc.gold)).collect())
+
+
+def test_fold_null_source_file_matches_full(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([
+        T.StructField(C.CONTRACT, T.StringType()), T.StructField(C.MAC, T.StringType()),
+        T.StructField(C.DURATION, T.LongType()), T.StructField(C.APP, T.StringType()),
+        T.StructField(C.SOURCE_FILE, T.StringType()), T.StructField(C.ROW_INDEX, T.LongType()),
+        T.StructField(C.EXEC_DATE, T.StringType()),
+    ])
+    first = [("A", "m", 5, "VOD", "f1", 0, "d1"), ("A", "n", 7, None, None, 0, "d1"), ("B", "m", 1, "SPORT", None, 1, "d1")]
+    more = [("A", "m", 2, "RELAX", None, 2, "d2"), ("B", None, 3, "VOD", "f1", 1, "d2")]
+    ft, dt = f"inc_null_{uuid.uuid4().hex[:6]}_f", f"inc_null_{uuid.uuid4().hex[:6]}_d"
+    b1 = spark.createDataFrame(first, schema)
+    INC.fold(spark, b1, ft, dt, location=str(tmp_path / "s"))
+    b2 = spark.createDataFrame(first + more, schema)
+    INC.fold(spark, b2, ft, dt, location=str(tmp_path / "s"))
+    assert INC.fold(spark, b2, ft, dt, location=str(tmp_path / "s")) == 0
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    assert rows(INC.snapshot(spark, ft, dt, "x")) == rows(SV.silver_summary(b2, run_day="x"))

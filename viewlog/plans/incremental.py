@@ -44,11 +44,12 @@ def _new_rows(spark: SparkSession, bronze: DataFrame, files_table: str) -> DataF
     b = bronze.filter(F.col(C.CONTRACT).isNotNull())
     if not tables.table_exists(spark, files_table):
         return b
-    marks = spark.table(files_table).groupBy(C.SOURCE_FILE).agg(F.max(FOLDED).alias(FOLDED))
+    marks = spark.table(files_table).groupBy(F.col(C.SOURCE_FILE).alias("_sf")).agg(F.max(FOLDED).alias(FOLDED))
     # One row per file: Spark broadcasts it when its measured size allows.
-    return b.join(marks, C.SOURCE_FILE, "left").filter(
+    # Null-safe: rows without a source file have a watermark too.
+    return b.join(marks, b[C.SOURCE_FILE].eqNullSafe(marks["_sf"]), "left").filter(
         F.col(C.ROW_INDEX) >= F.coalesce(F.col(FOLDED), F.lit(0))
-    ).drop(FOLDED)
+    ).drop(FOLDED, "_sf")
 
 
 def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table: str,
@@ -90,13 +91,19 @@ def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table
     merged = per_file_new
     if tables.table_exists(spark, files_table):
         touched = [r[C.SOURCE_FILE] for r in counts]
-        old = spark.table(files_table).filter(F.col(C.SOURCE_FILE).isin(touched)).drop(FOLDED)
+        named = [t for t in touched if t is not None]
+        cond = F.col(C.SOURCE_FILE).isin(named) if named else F.lit(False)
+        if None in touched:
+            cond = cond | F.col(C.SOURCE_FILE).isNull()
+        old = spark.table(files_table).filter(cond).drop(FOLDED)
         merged = old.unionByName(per_file_new).groupBy(C.CONTRACT, C.SOURCE_FILE).agg(
             *[F.expr(f"sum({quote_ident(c)})").alias(c) for c in (*columns, ROWS)]
         )
-    marks = spark.createDataFrame([(r[C.SOURCE_FILE], r[FOLDED]) for r in counts],
-                                  f"{C.SOURCE_FILE} string, {FOLDED} bigint")
-    merged = merged.join(F.broadcast(marks), C.SOURCE_FILE).select(C.CONTRACT, *columns, ROWS, FOLDED, C.SOURCE_FILE)
+    marks = F.broadcast(spark.createDataFrame([(r[C.SOURCE_FILE], r[FOLDED]) for r in counts],
+                                              f"_sf string, {FOLDED} bigint"))
+    merged = merged.join(marks, merged[C.SOURCE_FILE].eqNullSafe(marks["_sf"])).select(
+        C.CONTRACT, *columns, ROWS, FOLDED, C.SOURCE_FILE
+    )
     tables.overwrite_partitions(spark, files_table, merged, [C.SOURCE_FILE],
                                 f"{location}_files" if location else None)
     tables.delete_path(spark, path)  # folded and committed: drop the staged rows
