@@ -124,3 +124,10 @@ def test_preview_partitions_and_drop(spark, tmp_path):
     assert tables.latest_partition(spark, "small_ops.t", "execution_day") == "d2"
     tables.drop_table(spark, "small_ops.t")
     assert not tables.table_exists(spark, "small_ops.t")
+
+
+def test_upsert_null_key_part_is_replaced(spark):
+    target = _rows(spark, [("A", "d1", None, 1, "old"), ("A", "d1", "f", 2, "keep")])
+    upd = _rows(spark, [("A", "d1", None, 10, "new")])
+    got = sorted((tuple(r) for r in S.upsert(target, upd, KEY).collect()), key=repr)
+    assert got == sorted([("A", "d1", None, 10, "new"), ("A", "d1", "f", 2, "keep")], key=repr)

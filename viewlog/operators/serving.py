@@ -88,5 +88,12 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = C.SERVIN
     the key, or broadcast of the key set when AQE measures it small) plus a
     union by name.
     """
-    keep = target.join(updates.select(*keys), list(keys), "left_anti")
+    u = updates.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    # Null-safe key match (a NULL key part equals NULL, as one row per key
+    # requires); Spark still plans it as an equi-join.
+    cond = None
+    for i, k in enumerate(keys):
+        c = target[k].eqNullSafe(u[f"_key{i}"])
+        cond = c if cond is None else cond & c
+    keep = target.join(u, cond, "left_anti")
     return keep.unionByName(updates.select(*target.columns))

@@ -179,8 +179,9 @@ new_rows AS (SELECT {ALIGNED_COLS} FROM gold WHERE source_file >= '{UPSERT_NEW_F
 old_rows AS (SELECT {ALIGNED_COLS} FROM old_gold)""",
     ) + """
 SELECT o.* FROM old_rows o
-WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract = o.Contract
-                  AND n.execution_day = o.execution_day AND n.source_file = o.source_file)
+WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract IS NOT DISTINCT FROM o.Contract
+                  AND n.execution_day IS NOT DISTINCT FROM o.execution_day
+                  AND n.source_file IS NOT DISTINCT FROM o.source_file)
 UNION ALL
 SELECT * FROM new_rows"""
     q["v_kpi"] = _with(BRONZE, silver_cte(), gold_cte(), CONTRACT_DAYS) + """
