@@ -49,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--database", default="viewlog")
     ap.add_argument("--root", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--preview", type=int, default=0,
+                    help="show the first N rows a stage wrote (the original shows 5)")
     ap.add_argument("--input-bytes", type=int, default=None,
                     help="bronze size; sizes shuffle partitions etc. (session.scale_conf)")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -79,15 +81,28 @@ def main(argv: list[str] | None = None) -> int:
 
         apply_scale_conf(spark, a.input_bytes)
     layout = P.Layout(database=a.database, root=a.root)
+    def preview(table: str, col: str, value: str | None) -> None:
+        if a.preview > 0 and value is not None:
+            from pyspark.sql import functions as F
+
+            from .sinks.tables import preview as head
+
+            head(spark.table(layout.table(table)).filter(F.col(col) == value), a.preview).show(truncate=False)
+
     if a.cmd == "bronze":
         info = P.ingest_batch(spark, layout, a.source, a.rows, a.run_date, files=a.file)
         print(info)
+        preview(layout.bronze, "execution_date", a.run_date)
     elif a.cmd == "silver":
         print({"rows": P.silver_stage(spark, layout, a.run_date, incremental=a.incremental)})
+        preview(layout.silver, "execution_day", a.run_date)
     elif a.cmd == "gold":
         print({"rows": P.gold_stage(spark, layout, a.run_date, incremental=a.incremental)})
+        preview(layout.gold, "execution_day", a.run_date)
     elif a.cmd == "export":
-        print({"day": P.export_stage(spark, layout)})
+        day = P.export_stage(spark, layout)
+        print({"day": day})
+        preview(layout.serving, "execution_day", day)
     elif a.cmd == "run":
         status = P.run_batches(spark, layout, a.source, [_batch(x, today) for x in a.batch],
                                incremental=a.incremental)
