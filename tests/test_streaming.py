@@ -105,3 +105,18 @@ def test_file_names_with_spaces_and_plus(spark, fresh_dir):
             f.write(json.dumps({"_source": {"Contract": name}}) + "\n")
     got = {r[0] for r in spark.read.text(src).select(J.name_from_file().alias("n")).collect()}
     assert got == {"day 1+x", "day2"} == set(list_source_files(spark, src))
+
+
+def test_stream_ingest_continuous_trigger(spark, fresh_dir):
+    src = f"{fresh_dir}/src"
+    _day(src, "20240101", 3)
+    lay = Layout(database=f"s_{uuid.uuid4().hex[:8]}", root=f"{fresh_dir}/tables")
+    q = BS.stream_ingest(spark, lay, src, f"{fresh_dir}/ck", "2024-02-01", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _day(src, "20240102", 4)  # a file arriving while the query runs
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    spark.catalog.refreshTable(lay.table(lay.bronze))
+    assert spark.table(lay.table(lay.bronze)).count() == 7

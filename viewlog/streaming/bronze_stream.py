@@ -87,9 +87,11 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
 
 
 def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpoint: str, run_date: str,
-                  files_per_batch: int = 8) -> None:
+                  files_per_batch: int = 8, processing_time: str | None = None):
     """Ingest every file under ``source_root`` not yet recorded in
-    ``checkpoint``, then stop."""
+    ``checkpoint``, then stop (``availableNow``). With ``processing_time``
+    (e.g. ``"1 minute"``) the query keeps running, picking up new files on
+    that interval, and is returned to the caller (stop it with ``.stop()``)."""
     tables.create_namespace(spark, layout.database, layout.location("_db"))
     bronze = layout.table(layout.bronze)
     rejects = layout.table(layout.rejects)
@@ -106,9 +108,10 @@ def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpo
         # The micro-batch belongs to the stream's own session: write through it.
         _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout, batch_id, log_table)
 
-    q = positioned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start()
+    w = positioned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if processing_time is not None:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
