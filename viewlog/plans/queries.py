@@ -223,10 +223,9 @@ def q_evolved_schema(spark, sf_dir):
     tables.create_namespace(spark, lay.database, lay.location("_db"))
     t = lay.table(lay.bronze)
     tables.create_table(spark, t, schemas.BRONZE, [C.EXEC_DATE], lay.location(lay.bronze))
-    ev = read_events(spark, sf_dir)
-    b = events_as_bronze(ev, keep_event_id=True).join(ev.select("event_id", "event_type"), "event_id")
-    early = b.filter(F.col(C.SOURCE_FILE) < F.lit(O.EVOLVE_FIRST_FILE)).drop("event_id", "event_type")
-    late = b.filter(F.col(C.SOURCE_FILE) >= F.lit(O.EVOLVE_FIRST_FILE)).drop("event_id")
+    b = events_as_bronze(read_events(spark, sf_dir), extra=("event_type",))
+    early = b.filter(F.col(C.SOURCE_FILE) < F.lit(O.EVOLVE_FIRST_FILE)).drop("event_type")
+    late = b.filter(F.col(C.SOURCE_FILE) >= F.lit(O.EVOLVE_FIRST_FILE))
     tables.append(spark, t, early, [C.EXEC_DATE])
     tables.append(spark, t, late.withColumnRenamed("event_type", "EventType"), [C.EXEC_DATE])
     return spark.table(t)

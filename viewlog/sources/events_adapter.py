@@ -46,13 +46,17 @@ def app_of(event_id: Column | str = "event_id") -> Column:
     return F.element_at(codes, (event_id % len(CODES) + 1).cast("int"))
 
 
-def events_as_bronze(events: DataFrame, dense: bool = False, keep_event_id: bool = False) -> DataFrame:
+def events_as_bronze(events: DataFrame, dense: bool = False, keep_event_id: bool = False,
+                     extra: tuple[str, ...] = ()) -> DataFrame:
     """Bronze columns (Contract, Mac, TotalDuration, AppName, execution_date,
     source_file) from ``events``; ``execution_date`` is the event's day.
+    ``extra`` event columns are carried along in the same projection.
 
-    Only the five needed columns are read (column pruning reaches the scan).
+    Only the needed columns are read (column pruning reaches the scan).
     """
-    ev = events.select(*EVENT_COLUMNS).withColumn("_k", _k(F.col("props")))
+    ev = events.select(*EVENT_COLUMNS, *[c for c in extra if c not in EVENT_COLUMNS]).withColumn(
+        "_k", _k(F.col("props"))
+    )
     cols = [
         contract_of(F.col("user_id"), F.col("_k"), dense).alias(C.CONTRACT),
         F.col("_k").alias(C.MAC),
@@ -63,6 +67,7 @@ def events_as_bronze(events: DataFrame, dense: bool = False, keep_event_id: bool
     ]
     if keep_event_id:
         cols.insert(0, F.col("event_id"))
+    cols += [F.col(c) for c in extra]
     return ev.select(*cols)
 
 
