@@ -209,3 +209,13 @@ def test_paths_with_spaces(spark, fresh_dir, layout):
     rows = spark.table(layout.table(layout.bronze)).collect()
     assert sorted((r.source_file, r.row_index, r.Contract) for r in rows) == [
         ("2022 04 10", i, f"c{i}") for i in range(6)]
+
+
+def test_default_batch_size_from_last_run(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    _log(src, "20220411", 10)
+    assert P.ingest_batch(spark, layout, src, 3, run_date="2024-02-01")["rows"] == 3
+    assert P.ingest_batch(spark, layout, src, None, run_date="2024-02-02")["rows"] == 3  # the stored rows_per_run
+    _log(src, "20220412", 5)
+    info = P.ingest_batch(spark, layout, src, None, run_date="2024-02-03", files=["20220412"])
+    assert info["rows"] == 5  # no history: the default size

@@ -59,7 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("bronze", help="ingest the next rows of source files")
     b.add_argument("--source", required=True, help="root holding source_file=<name>/ directories")
     b.add_argument("--file", action="append", help="source file name(s); default: all")
-    b.add_argument("--rows", type=int, required=True)
+    b.add_argument("--rows", type=int, default=None,
+                   help="lines per file; default: the file's last batch size, else 1,000,000")
     b.add_argument("--run-date", default=today)
     for name in ("silver", "gold"):
         s = sub.add_parser(name)

@@ -83,7 +83,10 @@ def _index_path(spark: SparkSession, layout: Layout) -> str:
     return layout.location("_line_index") or f"{shared_dir(spark).rstrip('/')}/line-index-{layout.database}"
 
 
-def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int,
+DEFAULT_ROWS_PER_RUN = 1_000_000
+
+
+def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None,
                  run_date: str | None = None, files: Sequence[str] | None = None,
                  verify_replay: bool = True) -> dict:
     """Ingest the next ``rows`` lines of every source file into bronze.
@@ -99,7 +102,9 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     pending and looks into that run's bronze partition only; rows the dead
     batch wrote move the offset past them instead of being written again
     (malformed lines at the very end of such a batch are not in bronze and
-    may be rejected twice). Without a pending row no bronze is read. Malformed lines
+    may be rejected twice). Without a pending row no bronze is read.
+    ``rows=None`` uses each file's last ``rows_per_run`` (the original stored
+    it and never used it, Q15), else ``DEFAULT_ROWS_PER_RUN``. Malformed lines
     go to a rejects table with their offsets and still count as read (Q21).
     The staged slice is removed once the batch is committed.
     """
@@ -141,9 +146,15 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
         raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
     index_path = _index_path(spark, layout)
     lines, lines_in = LI.ensure_index(spark, source_root, index_path, listing)
-    offsets = F.broadcast(spark.createDataFrame([(r["file_name"], r["last_offset"]) for r in cur],
-                                                f"{C.SOURCE_FILE} string, last_offset bigint"))
-    sliced = J.slice_rows(lines.join(offsets, C.SOURCE_FILE), F.col("last_offset"), rows)
+    def batch_rows(r) -> int:
+        if rows is not None:
+            return int(rows)
+        return int(r.get("rows_per_run") or 0) or DEFAULT_ROWS_PER_RUN
+
+    n_of = {r["file_name"]: batch_rows(r) for r in cur}
+    offsets = F.broadcast(spark.createDataFrame([(r["file_name"], r["last_offset"], n_of[r["file_name"]]) for r in cur],
+                                                f"{C.SOURCE_FILE} string, last_offset bigint, _n bigint"))
+    sliced = J.slice_rows(lines.join(offsets, C.SOURCE_FILE), F.col("last_offset"), F.col("_n"))
 
     # Stage the slice in shared storage: the expensive indexed scan runs once,
     # and discovery, parsing and the writes read the small staged copy.
@@ -173,7 +184,8 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     # Intent first (Q4): which batch is about to be written, with its run date.
     start = {r["file_name"]: r["last_offset"] for r in cur}
     intent = spark.createDataFrame(
-        [(r[C.SOURCE_FILE], int(start.get(r[C.SOURCE_FILE], 0)), int(rows), *stats[r[C.SOURCE_FILE]]) for r in per_file],
+        [(r[C.SOURCE_FILE], int(start.get(r[C.SOURCE_FILE], 0)), n_of[r[C.SOURCE_FILE]], *stats[r[C.SOURCE_FILE]])
+         for r in per_file],
         "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
     )
     CP.append(spark, cp_table, intent, run_date, state="pending")
@@ -187,7 +199,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     new_cols = [c for c in tables.columns_of(spark, bronze) if before and c not in before]
 
     advanced = spark.createDataFrame(
-        [(r[C.SOURCE_FILE], int(r["next_offset"]), int(rows), *stats.get(r[C.SOURCE_FILE], (None, None)))
+        [(r[C.SOURCE_FILE], int(r["next_offset"]), n_of[r[C.SOURCE_FILE]], *stats.get(r[C.SOURCE_FILE], (None, None)))
          for r in per_file],
         "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
     )
