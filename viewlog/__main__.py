@@ -37,11 +37,12 @@ def _session(master: str | None) -> SparkSession:
     return spark
 
 
-def _batch(text: str, default_day: str) -> tuple[str, int, str]:
+def _batch(text: str, default_day: str) -> tuple[str, int | None, str]:
     parts = text.split(":")
-    if len(parts) not in (2, 3):
-        raise argparse.ArgumentTypeError("batch is FILE:ROWS[:RUN_DATE]")
-    return parts[0], int(parts[1]), parts[2] if len(parts) == 3 else default_day
+    if not 1 <= len(parts) <= 3:
+        raise argparse.ArgumentTypeError("batch is FILE[:ROWS[:RUN_DATE]]")
+    rows = int(parts[1]) if len(parts) > 1 and parts[1] else None
+    return parts[0], rows, parts[2] if len(parts) == 3 else default_day
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("export")
     r = sub.add_parser("run", help="bronze -> silver -> gold -> export per batch")
     r.add_argument("--source", required=True)
-    r.add_argument("--batch", action="append", required=True, help="FILE:ROWS[:RUN_DATE]")
+    r.add_argument("--batch", action="append", required=True, help="FILE[:ROWS[:RUN_DATE]]; empty ROWS: default batch size")
     r.add_argument("--incremental", action="store_true", help="incremental silver and gold")
     v = sub.add_parser("views")
     v.add_argument("--show", type=int, default=20)

@@ -313,7 +313,7 @@ STAGES = ("bronze", "silver", "gold", "export")
 
 
 def run_batches(spark: SparkSession, layout: Layout, source_root: str,
-                batches: Sequence[tuple[str | Sequence[str], int, str]], incremental: bool = False) -> DataFrame:
+                batches: Sequence[tuple[str | Sequence[str], int | None, str]], incremental: bool = False) -> DataFrame:
     """Run bronze -> silver -> gold -> export for each (file, rows, run_date)
     (D10); ``file`` may also be a list of files ingested in the same batch.
     A failing stage skips the rest of that batch only; every stage gets a
