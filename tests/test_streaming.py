@@ -85,11 +85,12 @@ def test_stream_batch_log_replays(spark, fresh_dir):
     log = lay.table(lay.bronze + "_stream_log")
     assert {r.state for r in spark.table(log).collect()} == {"pending", "done"}
     batch = J.with_position(spark.read.option("basePath", src).text(f"{src}/source_file=20240101"), with_id=False)
+    ck = f"{fresh_dir}/ck"
     # Replay of completed batch 0: skipped without reading bronze.
-    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 0, log)
+    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 0, log, ck)
     # A batch that died after its intent and after writing its files.
-    BS._mark(spark, log, 99, ["20240101"], "pending", "2024-02-01", lay)
-    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 99, log)
+    BS._mark(spark, log, 99, ["20240101"], "pending", "2024-02-01", lay, ck)
+    BS._ingest_batch_df(spark, batch, bronze, rejects, "2024-02-01", lay, 99, log, ck)
     spark.catalog.refreshTable(bronze)
     assert spark.table(bronze).count() == 15
     assert {r.state for r in spark.table(log).filter("batch_id = 99").collect()} == {"pending", "done"}
@@ -120,3 +121,14 @@ def test_stream_ingest_continuous_trigger(spark, fresh_dir):
         q.stop()
     spark.catalog.refreshTable(lay.table(lay.bronze))
     assert spark.table(lay.table(lay.bronze)).count() == 7
+
+
+def test_new_checkpoint_on_same_layout_is_not_skipped(spark, fresh_dir):
+    src1, src2 = f"{fresh_dir}/a", f"{fresh_dir}/b"
+    _day(src1, "20240101", 3)
+    _day(src2, "20240201", 4)
+    lay = Layout(database=f"s_{uuid.uuid4().hex[:8]}", root=f"{fresh_dir}/tables")
+    BS.stream_ingest(spark, lay, src1, f"{fresh_dir}/ck1", "2024-03-01")
+    # Another stream (its own checkpoint, batch ids from 0 again) into the same bronze.
+    BS.stream_ingest(spark, lay, src2, f"{fresh_dir}/ck2", "2024-03-01")
+    assert spark.table(lay.table(lay.bronze)).count() == 7

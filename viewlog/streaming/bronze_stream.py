@@ -27,13 +27,17 @@ from ..sinks import tables
 from ..sources import json_lines as J
 
 
-LOG_SCHEMA = "batch_id bigint, source_file string, state string, execution_date string"
+# Batch ids restart with a new checkpoint location, so the log is keyed by
+# (stream checkpoint, batch id).
+LOG_SCHEMA = "stream string, batch_id bigint, source_file string, state string, execution_date string"
 
 
-def _log(spark: SparkSession, log_table: str, batch_id: int) -> dict[str, set[str]]:
+def _log(spark: SparkSession, log_table: str, batch_id: int, stream: str = "") -> dict[str, set[str]]:
     if not tables.table_exists(spark, log_table):
         return {}
-    rows = spark.table(log_table).filter(F.col("batch_id") == batch_id).select("state", C.SOURCE_FILE).collect()
+    rows = spark.table(log_table).filter(
+        (F.col("batch_id") == batch_id) & (F.col("stream") == stream)
+    ).select("state", C.SOURCE_FILE).collect()
     out: dict[str, set[str]] = {}
     for r in rows:
         out.setdefault(r["state"], set()).add(r[C.SOURCE_FILE])
@@ -41,20 +45,21 @@ def _log(spark: SparkSession, log_table: str, batch_id: int) -> dict[str, set[st
 
 
 def _mark(spark: SparkSession, log_table: str, batch_id: int, files: list[str], state: str, run_date: str,
-          layout: Layout) -> None:
-    df = spark.createDataFrame([(batch_id, f, state, run_date) for f in files], LOG_SCHEMA)
+          layout: Layout, stream: str = "") -> None:
+    df = spark.createDataFrame([(stream, batch_id, f, state, run_date) for f in files], LOG_SCHEMA)
     tables.append(spark, log_table, df, [], layout.location(log_table.split(".")[-1]))
 
 
 def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects: str, run_date: str,
-                     layout: Layout, batch_id: int | None = None, log_table: str | None = None) -> None:
+                     layout: Layout, batch_id: int | None = None, log_table: str | None = None,
+                     stream: str = "") -> None:
     # Position ids are assigned on the micro-batch (streams refuse them); the
     # batch reads the same splits for the summary and for the rows.
     lines, files = J.index_lines(spark, batch.withColumn(J.MID, F.monotonically_increasing_id()))
     if not files:
         return
     names = sorted(r[0] for r in batch.select(C.SOURCE_FILE).distinct().collect())
-    state = _log(spark, log_table, batch_id) if log_table and batch_id is not None else {}
+    state = _log(spark, log_table, batch_id, stream) if log_table and batch_id is not None else {}
     if "done" in state:
         return  # a replay of a batch that completed
     if log_table is None or "pending" in state:
@@ -68,7 +73,7 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
             if done:
                 lines = lines.filter(~F.col(C.SOURCE_FILE).isin(sorted(done)))
     if log_table is not None and "pending" not in state:
-        _mark(spark, log_table, batch_id, names, "pending", run_date, layout)
+        _mark(spark, log_table, batch_id, names, "pending", run_date, layout, stream)
     payload = J.discover_source_schema(spark, lines)
     parsed = J.parse_records(lines, payload)
     good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).withColumn(
@@ -83,7 +88,7 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
     if bad.limit(1).count() > 0:
         tables.append(spark, rejects, bad, [C.EXEC_DATE], layout.location(layout.rejects))
     if log_table is not None:
-        _mark(spark, log_table, batch_id, names, "done", run_date, layout)
+        _mark(spark, log_table, batch_id, names, "done", run_date, layout, stream)
 
 
 def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpoint: str, run_date: str,
@@ -106,7 +111,8 @@ def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch belongs to the stream's own session: write through it.
-        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout, batch_id, log_table)
+        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout, batch_id, log_table,
+                         checkpoint)
 
     w = positioned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if processing_time is not None:
