@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, quality, sharding, toxicity
+from . import bpe, line_rules, packing, quality, sharding, topk, toxicity
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,16 @@ def q_op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted")
 
 
+def q_op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the bytes they decode to."""
+    return bpe.encode(read(spark, sf_dir, "documents"))
+
+
+def q_op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of every document."""
+    return line_rules.rule_verdicts(read(spark, sf_dir, "documents"))
+
+
 def q_op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of nearly equal bytes."""
     return sharding.shard(read(spark, sf_dir, "documents"), scratch_path(spark, "slot-map"))
@@ -33,6 +43,12 @@ def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, *quality.fit(docs))
 
 
+def q_op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of every query vector."""
+    rows = topk.integer_vectors(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, rows.where(F.col("vec_id") % topk.QUERY_EVERY == 0))
+
+
 def q_op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into sequences of 2048 ids."""
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
@@ -41,8 +57,11 @@ def q_op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_toxicity": q_op1_toxicity,
+        "op3_bpe": q_op3_bpe,
+        "op4_line_rules": q_op4_line_rules,
         "op5_sharding": q_op5_sharding,
         "op7_quality": q_op7_quality,
+        "op9_topk": q_op9_topk,
         "op10_packing": q_op10_packing,
     }
 
