@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, line_rules, packing, quality, sharding, topk, toxicity
+from . import bpe, lattice_lm, line_rules, packing, quality, sharding, topk, toxicity
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, *quality.fit(docs))
 
 
+def q_op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice log probabilities of every text."""
+    return lattice_lm.score(read(spark, sf_dir, "documents"))
+
+
 def q_op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows of every query vector."""
     rows = topk.integer_vectors(read(spark, sf_dir, "embeddings"))
@@ -61,6 +66,7 @@ def registry() -> dict[str, Query]:
         "op4_line_rules": q_op4_line_rules,
         "op5_sharding": q_op5_sharding,
         "op7_quality": q_op7_quality,
+        "op8_lattice_lm": q_op8_lattice_lm,
         "op9_topk": q_op9_topk,
         "op10_packing": q_op10_packing,
     }
