@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, lattice_lm, line_rules, packing, quality, sharding, topk, toxicity
+from . import bpe, jaccard_join, lattice_lm, line_rules, packing, quality, sharding, substring_dedup, topk, toxicity
 from .common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def q_op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), toxicity.FOLDS) == 0).alias("held_out"), "score", "predicted")
 
 
+def q_op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its words in 20-word windows that start earlier elsewhere."""
+    return substring_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def q_op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the bytes they decode to."""
     return bpe.encode(read(spark, sf_dir, "documents"))
@@ -43,6 +48,11 @@ def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, *quality.fit(docs))
 
 
+def q_op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard links of 0.85 on 4-word shingles."""
+    return jaccard_join.components(read(spark, sf_dir, "documents"))
+
+
 def q_op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lattice log probabilities of every text."""
     return lattice_lm.score(read(spark, sf_dir, "documents"))
@@ -62,9 +72,11 @@ def q_op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_toxicity": q_op1_toxicity,
+        "op2_substring": q_op2_substring,
         "op3_bpe": q_op3_bpe,
         "op4_line_rules": q_op4_line_rules,
         "op5_sharding": q_op5_sharding,
+        "op6_jaccard": q_op6_jaccard,
         "op7_quality": q_op7_quality,
         "op8_lattice_lm": q_op8_lattice_lm,
         "op9_topk": q_op9_topk,
