@@ -72,5 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again by the next."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", held=True)
     return STAGES[-1][1](spark, docs, sf_dir)

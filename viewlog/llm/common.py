@@ -58,11 +58,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, held: bool = False) -> DataFrame:
     """Write ``df`` to the cluster's shared scratch folder and read it back.
 
     Later stages restart from the files when an executor is lost. The folder is
-    deleted when the application ends, or by ``release``.
+    deleted when the application ends, or by ``release`` unless it is held.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
@@ -70,7 +70,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    _OPEN.append((spark, path))
+    if not held:
+        _OPEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
