@@ -26,13 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model (trained on this stage's labelled input) accepts."""
     release()
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     release()
-    return quality.score(docs, *quality.fit(docs), docs.columns).where("kept").select(docs.columns)
+    scorer, _ = quality.fit(docs)
+    return quality.accepted(docs, scorer)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     release()
     found = jaccard_join.components(docs, words=5, percent=80)
     gone = found.where("component_id IS NOT NULL AND doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     cleaned = substring_dedup.dedup(docs)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(docs.columns)
+    return cleaned.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

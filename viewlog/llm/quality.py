@@ -14,7 +14,7 @@ labellers abstain.
 
 Defined results: a null, empty or blank text is bad by the labellers and has
 score 0; repeated rows get equal scores; an empty table gives an empty result;
-other columns pass through only where asked for.
+other columns are ignored, or kept as they are by ``accepted``.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import bytes_of, mix, prepare, sub_batches, word_hashes, word_spans
 
@@ -284,32 +283,43 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, LabelModel]:
 MAX_CHARS = 20_000
 
 
-def score(docs: DataFrame, scorer: Scorer, label_model: LabelModel, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (doc_id by default), then score, posterior, n_votes and kept; reads whole texts."""
+def score(docs: DataFrame, scorer: Scorer, label_model: LabelModel) -> DataFrame:
+    """doc_id, score, posterior, n_votes and kept of every document; reads whole texts."""
     prepare(docs.sparkSession)
-    added = ["score", "posterior", "n_votes", "kept"]
-    names = [c for c in (keep or ["doc_id"]) if c not in added]
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias, label_model.good, label_model.accuracy))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias, good, accuracy = shared.value
         own, labels = Scorer(weights, bias), LabelModel(good, accuracy)
         for batch in batches:
-            texts = bytes_of(batch.column("__text"))
+            texts = bytes_of(batch.column("text"))
             s = own.score(texts)
             parts = [votes(statistics(texts[lo:hi])[0]) for lo, hi in sub_batches([len(t) for t in texts])]
             v = np.concatenate(parts) if parts else np.empty((0, len(LABELLERS)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in names),
+                    batch.column("doc_id"),
                     pa.array(s, pa.float64()),
                     pa.array(labels.posterior(v), pa.float64()),
                     pa.array((v != ABSTAIN).sum(axis=1).astype(np.int32)),
                     pa.array(s >= ACCEPT),
                 ],
-                [*names, *added],
+                ["doc_id", "score", "posterior", "n_votes", "kept"],
             )
 
-    kinds = [T.DoubleType(), T.DoubleType(), T.IntegerType(), T.BooleanType()]
-    schema = T.StructType([*(docs.schema[c] for c in names), *(T.StructField(n, k) for n, k in zip(added, kinds, strict=True))])
-    return docs.select(*names, F.col("text").cast("binary").alias("__text")).mapInArrow(run, schema)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return source.mapInArrow(run, f"doc_id {id_type}, score double, posterior double, n_votes int, kept boolean")
+
+
+def accepted(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """The documents that score at least ACCEPT, with all their columns."""
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Scorer(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(own.score(bytes_of(batch.column("text").cast(pa.binary()))) >= ACCEPT))
+
+    return docs.mapInArrow(run, docs.schema)

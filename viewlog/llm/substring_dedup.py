@@ -22,8 +22,8 @@ more than ``HOT`` segments, or distinct windows' copies beyond one per task.
 Defined results: null, empty and short texts have no window and lose nothing;
 rows that repeat an id and its text are one document and get equal results; of
 unequal texts with one id, the order is by text hash; null ids come last; an
-empty table gives an empty result; other columns pass through only where asked
-for.
+empty table gives an empty result; other columns are ignored, or kept as they
+are by ``dedup``.
 """
 
 from __future__ import annotations
@@ -129,9 +129,9 @@ def anchors(h: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[
 
 
 def keyed(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns with __id, __t (hash of the text), __key (hash of both) and __text."""
+    """The kept columns as k0, k1, ... with __id, __t (hash of the text), __key (hash of both) and __text."""
     text = F.col("text").cast("binary")
-    base = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("__id"), F.xxhash64(F.coalesce(text, F.lit(b""))).alias("__t"), text.alias("__text"))
+    base = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("__id"), F.xxhash64(F.coalesce(text, F.lit(b""))).alias("__t"), text.alias("__text"))
     return base.withColumn("__key", F.xxhash64("__id", "__t"))
 
 
@@ -305,7 +305,7 @@ def digests(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
             rows = [kept_words(t, a, b) for t, a, b in zip(bytes_of(batch.column("__text")), batch.column("__a").to_pylist(), batch.column("__b").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    batch.column("k0"),
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([hashlib.sha256(r[2]).hexdigest() for r in rows], pa.string()),
@@ -313,7 +313,7 @@ def digests(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    return ready.select("doc_id", "__text", "__a", "__b").mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
+    return ready.select("k0", "__text", "__a", "__b").mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -321,14 +321,16 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     prepare(docs.sparkSession)
     names = [c for c in docs.columns if c != "text"]
     ready = _removed(keyed(docs, names), window, gram)
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("text", T.StringType())])
+    plain = [f"k{i}" for i in range(len(names))]
+    schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for k, c in zip(plain, names, strict=True)), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for t, a, b in zip(batch.column("__text").to_pylist(), batch.column("__a").to_pylist(), batch.column("__b").to_pylist(), strict=True):
                 texts.append(t if not a else kept_words(t, a, b)[2])
-            columns = [*(batch.column(c) for c in names), pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "text"])
+            columns = [*(batch.column(k) for k in plain), pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*plain, "text"])
 
-    return ready.select(*names, "__text", "__a", "__b").mapInArrow(run, schema).select(docs.columns)
+    cleaned = ready.select(*plain, "__text", "__a", "__b").mapInArrow(run, schema).toDF(*names, "text")
+    return cleaned.select([F.col(f"`{c}`") for c in docs.columns])

@@ -17,7 +17,7 @@ trained model reduces to one number per bucket, which is what tasks receive.
 Defined results: a null or empty text, or one without letters and digits, has
 the score of an empty bag (the bias alone), kept below 0.5; repeated rows get
 equal scores; without any usable label every score is 0; an empty table gives
-an empty result; other columns pass through only where asked for.
+an empty result; other columns are ignored, or kept as they are by ``accepted``.
 """
 
 from __future__ import annotations
@@ -273,24 +273,33 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     return train(*sample(docs, labels, per_class))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (doc_id by default), then ``score`` and ``predicted``; reads whole texts.
+def _probability(model: Model, texts: list[str | None]) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(model.logits([t or "" for t in texts]), -700, 700)))
 
-    A kept column called like one of the results is left out.
-    """
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score and predicted of every document; reads whole texts."""
     prepare(docs.sparkSession)
-    names = [c for c in (keep or ["doc_id"]) if c not in ("score", "predicted")]
-    weights, bias = model.weights, model.bias
-    shared = docs.sparkSession.sparkContext.broadcast((weights, bias))  # BUCKETS numbers
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            z = own.logits([t or "" for t in batch.column("__text").to_pylist()])
-            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
-            )
-
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(*names, F.col("text").alias("__text")).mapInArrow(run, schema)
+            p = _probability(own, batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns."""
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(_probability(own, batch.column("text").to_pylist()) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
