@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,12 @@ from .common import drop_shuffles, materialize, prepare
 
 WINDOW = 2048
 END_ID = 1
-_CACHE_ENTRIES = 200_000
+#: Pieces and words that a worker keeps (about 200 bytes each).
+_CACHE_PIECES = 1_200_000
+_CACHE_WORDS = 400_000
 _CACHE_CHARS = 48
+_LINE_WORDS = 48
+_CLOSING = ".,!?;:"
 #: str.split() also splits at these; to the tokenizer they are no white space.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -43,10 +48,12 @@ def default_vocabulary() -> str:
 
 
 class _Encoder:
-    """Ids of whole texts, encoding each distinct white-space-delimited piece once.
+    """Ids of whole texts, encoding each distinct piece once while it stays in a bounded cache.
 
     This vocabulary's pre-tokenizer drops white space and never joins across it,
-    so the ids of a text are those of its pieces in order. Ids are below 2^16.
+    so the ids of a text are those of its words in order; nor does it join a
+    letter or digit with a mark after it, so a word's closing marks are a piece
+    of their own. Ids are below 2^16.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -55,23 +62,72 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
-        self.cache: dict[str, bytes] = {}
+        tokens = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 << 16, dtype=bool)
+        self.ends_word[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        known = self.pieces
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > _CACHE_PIECES:
+            known = self.pieces = {p: known[p] for p in pieces if p in known}
+        once: dict[str, bytes] = {}
+        plain = [p for p in new if p.isalpha() and len(p) <= _CACHE_CHARS]
+        known.update(zip(plain, self._encode_letters(plain), strict=True))
+        other = [p for p in new if p not in known]
+        for i in range(0, len(other), 4096):
+            part = other[i : i + 4096]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                (known if len(p) <= _CACHE_CHARS else once)[p] = array("H", e.ids).tobytes()
+        return {p: known[p] if p in known else once[p] for p in pieces}
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, some dozens in one call: each ends at its one end-of-word id."""
+        lines = [words[i : i + _LINE_WORDS] for i in range(0, len(words), _LINE_WORDS)]
+        out: list[bytes] = []
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=np.uint16)
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) == len(line):
+                data = ids.tobytes()
+                out += [data[2 * i : 2 * j] for i, j in zip([0, *ends], ends, strict=False)]
+            else:  # letters that normalisation takes apart
+                out += [array("H", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(line, add_special_tokens=False)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 16-bit integers."""
-        cache = self.cache
-        if len(cache) > _CACHE_ENTRIES:
-            cache.clear()
+        """The ids of each text as 16-bit integers of this machine's order."""
         split = [(_WHITE.split(t) if _ODD_SPACE.search(t) else t.split()) for t in texts]
-        new = list({w for ws in split for w in ws if w not in cache})
-        once: dict[str, bytes] = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (cache if len(w) <= _CACHE_CHARS else once)[w] = np.array(e.ids, dtype="<u2").tobytes()
-        if once:
-            return [b"".join([cache[w] if w in cache else once[w] for w in ws]) for ws in split]
-        return [b"".join([cache[w] for w in ws]) for ws in split]
+        need = set().union(*split)
+        new = {}
+        for w in need:
+            if w not in self.words:
+                stem = w.rstrip(_CLOSING)
+                new[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem[-1:].isalnum() else (w, "")
+        ids = self._encode_pieces({p for pair in new.values() for p in pair if p})
+        ids[""] = b""
+        found = {w: ids[a] + ids[b] for w, (a, b) in new.items()}
+        if len(self.words) + len(found) > _CACHE_WORDS:
+            self.words = {w: self.words[w] for w in need if w in self.words}
+        words = self.words
+        words.update(found)
+        out = [b"".join([words[w] for w in ws]) for ws in split]
+        for w in found:
+            if len(w) > _CACHE_CHARS:
+                del words[w]
+        return out
+
+
+_encoders: dict[str, _Encoder] = {}
+
+
+def _encoder(vocabulary: str) -> _Encoder:
+    """One encoder per worker process: its cache serves later tasks too."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = _Encoder(vocabulary)
+    return _encoders[vocabulary]
 
 
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
@@ -83,9 +139,9 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = None
         part, place = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u2").tobytes()
+        end = array("H", [end_id]).tobytes()
         for batch in batches:
-            encoder = encoder or _Encoder(vocabulary)
+            encoder = encoder or _encoder(vocabulary)
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for i in range(0, len(texts), 64):
                 ids = [x + end for x in encoder.encode(texts[i : i + 64])]
@@ -127,7 +183,7 @@ def cut(tokens: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataF
             hi = np.minimum(at_[row] + n[row], (sequence + 1) * window)
             start = lo - at_[row]
             length = hi - lo
-            ids = [np.frombuffer(x, dtype="<u2").astype("<u4") for x in batch.column("ids").to_pylist()]
+            ids = [np.frombuffer(x, dtype=np.uint16).astype("<u4") for x in batch.column("ids").to_pylist()]
             parts = [ids[r][s : s + m].tobytes() for r, s, m in zip(row.tolist(), start.tolist(), length.tolist(), strict=True)]
             columns = [
                 batch.column("doc_id").take(pa.array(row)),
