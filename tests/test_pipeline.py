@@ -73,21 +73,76 @@ def test_crash_during_bronze_write(spark, fresh_dir, layout, monkeypatch):
     src = f"{fresh_dir}/src"
     _log(src, "20220409", 9)
     P.ingest_batch(spark, layout, src, 4, run_date="2024-02-01")
-    real = TB.append
+    real = TB.overwrite_partitions
 
-    def boom(spark_, table, *a, **k):
+    def boom(spark_, table, df, *a, **k):
+        # Rows 6 and 7 of 4-7 reach bronze before the run dies.
         if table.endswith(layout.bronze):
+            real(spark_, table, df.where(F.col(C.ROW_INDEX) >= 6), *a, **k)
             raise RuntimeError("write failed")
-        return real(spark_, table, *a, **k)
+        return real(spark_, table, df, *a, **k)
 
-    monkeypatch.setattr(TB, "append", boom)
+    monkeypatch.setattr(TB, "overwrite_partitions", boom)
     with pytest.raises(RuntimeError):
         P.ingest_batch(spark, layout, src, 4, run_date="2024-02-02")
-    monkeypatch.setattr(TB, "append", real)
+    monkeypatch.setattr(TB, "overwrite_partitions", real)
     P.ingest_batch(spark, layout, src, 100, run_date="2024-02-03")
     assert sorted(r[C.ROW_INDEX] for r in _bronze(spark, layout).collect()) == list(range(9))
 
 
+def test_crash_before_rejects(spark, fresh_dir, layout, monkeypatch):
+    from viewlog.sinks import tables as TB
+
+    src = f"{fresh_dir}/src"
+    _log(src, "20220410", 4)
+    with open(f"{src}/source_file=20220410/part-00001.json", "w") as f:
+        f.write("not json\n")
+    real = TB.overwrite_partitions
+
+    def boom(spark_, table, *a, **k):
+        if table.endswith(layout.rejects):
+            raise RuntimeError("lost before rejects")
+        return real(spark_, table, *a, **k)
+
+    monkeypatch.setattr(TB, "overwrite_partitions", boom)
+    with pytest.raises(RuntimeError):
+        P.ingest_batch(spark, layout, src, None, run_date="2024-02-01")
+    monkeypatch.setattr(TB, "overwrite_partitions", real)
+    assert P.ingest_batch(spark, layout, src, None, run_date="2024-02-02")["rows"] == 0
+    assert sorted(r[C.ROW_INDEX] for r in _bronze(spark, layout).collect()) == [0, 1, 2, 3]
+    assert [r["line"] for r in spark.table(layout.table(layout.rejects)).collect()] == ["not json"]
+
+
+def test_finished_file_is_not_indexed_again(spark, fresh_dir, layout, monkeypatch):
+    from viewlog.sources import json_lines as J
+
+    src = f"{fresh_dir}/src"
+    _log(src, "20220411", 20)
+    builds = []
+    real = J.index_lines_with_stats
+    monkeypatch.setattr(J, "index_lines_with_stats", lambda *a, **k: builds.append(1) or real(*a, **k))
+    sizes = [P.ingest_batch(spark, layout, src, None, run_date=f"2024-02-0{d}")["rows"] for d in (1, 2, 3)]
+    assert (sizes, len(builds)) == ([20, 0, 0], 1)
+    _log(src, "20220412", 0)
+    with open(f"{src}/source_file=20220412/part-00000.json", "w") as f:
+        f.write("\n  \n\n")
+    assert P.ingest_batch(spark, layout, src, None, run_date="2024-02-04")["rows"] == 0
+
+
+def test_evolved_column_survives_a_new_catalog(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    _log(src, "20220413", 4)
+    P.ingest_batch(spark, layout, src, None, run_date="2024-02-01")
+    _log(src, "20220414", 2)
+    with open(f"{src}/source_file=20220414/part-00001.json", "w") as f:
+        f.write(json.dumps({"_source": {"Contract": "n", "extra": 1}}) + "\n")
+    P.ingest_batch(spark, layout, src, None, run_date="2024-02-02")
+    again = P.Layout(database=f"t_{uuid.uuid4().hex[:8]}", root=layout.root)
+    P.attach(spark, again)
+    b = _bronze(spark, again)
+    assert b.count() == 7 and [r["extra"] for r in b.filter("extra IS NOT NULL").collect()] == [1]
+
+
 def test_schema_evolution_in_bronze(spark, fresh_dir, layout):
     src = f"{fresh_dir}/src"
     _log(src, "20220405", 4)

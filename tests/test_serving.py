@@ -90,7 +90,8 @@ def test_scale_conf_bounds():
 
     big = scale_conf(100 * 10**12, 8000)  # 10 TB of partials / 200 MiB
     assert int(big["spark.sql.shuffle.partitions"]) == 10**13 // (200 << 20)
-    assert int(scale_conf(10**15, 8000)["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(scale_conf(10**15, 8000)["spark.sql.shuffle.partitions"]) > 50_000
+    assert int(scale_conf(10**15, 8000, max_partitions=9_000)["spark.sql.shuffle.partitions"]) == 9_000
     small = scale_conf(10**9, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     mid = scale_conf(10 * 10**12, 4000)

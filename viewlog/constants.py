@@ -58,6 +58,7 @@ TASTE = "Taste"
 ACTIVE = "Active"
 ACTIVE_DAYS = "active_days"
 ROW_INDEX = "row_index"
+BATCH_ID = "batch_id"
 
 # Key of the serving table.
 SERVING_KEY = (CONTRACT, EXEC_DAY, SOURCE_FILE)

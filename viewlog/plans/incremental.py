@@ -99,8 +99,7 @@ def fold(spark: SparkSession, bronze: DataFrame, files_table: str, devices_table
         merged = old.unionByName(per_file_new).groupBy(C.CONTRACT, C.SOURCE_FILE).agg(
             *[F.expr(f"sum({quote_ident(c)})").alias(c) for c in (*columns, ROWS)]
         )
-    marks = F.broadcast(spark.createDataFrame([(r[C.SOURCE_FILE], r[FOLDED]) for r in counts],
-                                              f"_sf string, {FOLDED} bigint"))
+    marks = spark.createDataFrame([(r[C.SOURCE_FILE], r[FOLDED]) for r in counts], f"_sf string, {FOLDED} bigint")
     merged = merged.join(marks, merged[C.SOURCE_FILE].eqNullSafe(marks["_sf"])).select(
         C.CONTRACT, *columns, ROWS, FOLDED, C.SOURCE_FILE
     )

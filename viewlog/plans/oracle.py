@@ -12,12 +12,12 @@ UPSERT_OLD_LAST_FILE = "20240120"
 UPSERT_NEW_FIRST_FILE = "20240115"
 EVOLVE_FIRST_FILE = "20240116"
 SLICE_ROWS = 2500
-INGEST_ROWS = 250
+# Rounds that the incremental ingest query takes for its longest file.
+INGEST_ROUNDS = 4
 # End-to-end pipeline query: day files per run, first run date; a run takes
-# whole files (the batch size exceeds any file).
+# whole files.
 FILES_PER_RUN = 5
 FIRST_RUN_DATE = "2024-02-01"
-WHOLE_FILE_ROWS = 1 << 40
 TOP_N = 10
 
 BRONZE = """

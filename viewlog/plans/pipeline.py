@@ -52,8 +52,8 @@ class Layout:
 
 
 PARTITIONS = {
-    "bronze": [C.EXEC_DATE],
-    "rejects": [C.EXEC_DATE],
+    "bronze": [C.EXEC_DATE, C.BATCH_ID],
+    "rejects": [C.EXEC_DATE, C.BATCH_ID],
     "checkpoint": [],
     "silver": [C.EXEC_DAY],
     "gold": [C.EXEC_DAY],
@@ -83,133 +83,143 @@ def _index_path(spark: SparkSession, layout: Layout) -> str:
     return layout.location("_line_index") or f"{shared_dir(spark).rstrip('/')}/line-index-{layout.database}"
 
 
-DEFAULT_ROWS_PER_RUN = 1_000_000
+def _write_batch(spark: SparkSession, layout: Layout, lines: DataFrame, ranges: Sequence[tuple[str, int, int]],
+                 run_date: str, batch_id: str) -> tuple[int, list[str]]:
+    """Write lines ``[start, stop)`` of each file as one batch of bronze and
+    rejects, replacing whatever an earlier attempt at the batch left. Returns
+    the malformed lines and the columns that bronze gained."""
+    wanted = spark.createDataFrame(list(ranges), f"{C.SOURCE_FILE} string, _start bigint, _stop bigint")
+    sliced = lines.join(wanted, C.SOURCE_FILE).filter(
+        (F.col(C.ROW_INDEX) >= F.col("_start")) & (F.col(C.ROW_INDEX) < F.col("_stop"))
+    )
+    # Stage the slice in shared storage: the indexed scan runs once, and
+    # discovery, parsing and the writes read the small staged copy.
+    root = layout.location("_ingest_stage") or f"{shared_dir(spark).rstrip('/')}/ingest-stage"
+    stage_path = f"{root}/{batch_id}-{uuid.uuid4().hex[:8]}"
+    bronze, rejects = layout.table(layout.bronze), layout.table(layout.rejects)
+    try:
+        sliced.select("value", C.SOURCE_FILE, C.ROW_INDEX).write.parquet(stage_path)
+        staged = spark.read.parquet(stage_path)
+        payload = J.discover_source_schema(spark, staged)
+        # The reject count rides on the bronze write (K11): no separate job.
+        seen_bad = Observation("rejects")
+        parsed = J.parse_records(staged, payload).observe(
+            seen_bad, F.sum(F.when(F.col(J.CORRUPT).isNotNull(), 1).otherwise(0)).alias("n")
+        )
+        stamp = [F.lit(run_date).alias(C.EXEC_DATE), F.lit(batch_id).alias(C.BATCH_ID)]
+        bad = parsed.filter(F.col(J.CORRUPT).isNotNull()).select(
+            C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), *stamp
+        )
+        good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).select("*", *stamp)
+        known = tables.table_exists(spark, bronze)
+        before = set(tables.columns_of(spark, bronze)) if known else set()
+        if not known:
+            tables.create_table(spark, bronze, schemas.BRONZE_TABLE, PARTITIONS["bronze"],
+                                layout.location(layout.bronze))
+        tables.overwrite_partitions(spark, bronze, good, PARTITIONS["bronze"])
+        n_rejects = int(seen_bad.get["n"] or 0)
+        if n_rejects:
+            tables.overwrite_partitions(spark, rejects, bad, PARTITIONS["rejects"], layout.location(layout.rejects))
+    finally:
+        tables.delete_path(spark, stage_path)
+    return n_rejects, [c for c in tables.columns_of(spark, bronze) if before and c not in before]
+
+
+def _finish_pending(spark: SparkSession, layout: Layout, source_root: str, log: DataFrame, index_path: str) -> None:
+    """Repeat batches whose checkpoint rows stayed 'pending': exactly their
+    ranges, under their own run date and batch id, over all their files."""
+    open_ = CP.latest_checkpoints(log).filter(F.col("state") == "pending").collect()
+    for batch_id in sorted({r[C.BATCH_ID] for r in open_}):
+        rows = [r for r in open_ if r[C.BATCH_ID] == batch_id]
+        listing = LI.list_source_files(spark, source_root, [r["file_name"] for r in rows])
+        gone = sorted({r["file_name"] for r in rows} - set(listing))
+        if gone:
+            raise FileNotFoundError(f"source file(s) {gone} of the unfinished batch {batch_id} are gone")
+        recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in rows}
+        changed = CP.changed_files(recorded, {n: (f.size, f.mtime) for n, f in listing.items()})
+        if changed:
+            raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
+        lines, _ = LI.ensure_index(spark, source_root, index_path, listing, {r["file_name"]: r["last_offset"] for r in rows})
+        run_date = rows[0]["execution_date"]
+        _write_batch(spark, layout, lines, [(r["file_name"], r["last_offset"], r["next_offset"]) for r in rows],
+                     run_date, batch_id)
+        _checkpoint(spark, layout, [(r["file_name"], r["last_offset"], r["next_offset"], r["rows_per_run"]) for r in rows],
+                    listing, run_date, batch_id, "done")
+
+
+def _checkpoint(spark: SparkSession, layout: Layout, ranges: Sequence[tuple[str, int, int, int]],
+                listing: dict[str, LI.SourceFile], run_date: str, batch_id: str, state: str) -> None:
+    """A checkpoint row per file: its offset after the batch if done, else before it."""
+    rows = [(f, stop if state == "done" else start, stop, n, listing[f].size, listing[f].mtime)
+            for f, start, stop, n in ranges]
+    df = spark.createDataFrame(rows, "file_name string, last_offset bigint, next_offset bigint, rows_per_run bigint, "
+                                     "file_size bigint, file_mtime bigint")
+    CP.append(spark, layout.table(layout.checkpoint), df, run_date, state=state, batch_id=batch_id)
 
 
 def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None,
-                 run_date: str | None = None, files: Sequence[str] | None = None,
-                 verify_replay: bool = True) -> dict:
+                 run_date: str | None = None, files: Sequence[str] | None = None) -> dict:
     """Ingest the next ``rows`` lines of every source file into bronze.
 
     Source layout: ``source_root/source_file=<name>/*.json`` (JSON lines, in
     file-name order), or one file per source file directly under
-    ``source_root`` (``20220403.json``: the name before the extension). Per file: current offset from the checkpoint log ->
-    lines ``[offset, offset + rows)`` -> parse, flatten -> bronze append ->
-    checkpoint append, in that order (Q4). The offset advances by the rows
-    actually read (Q5); an empty slice changes nothing (Q14). A 'pending'
-    checkpoint row is written before the bronze write and a 'done' row after
-    it. If a run died in between, the next run finds the file's latest row
-    pending and looks into that run's bronze partition only; rows the dead
-    batch wrote move the offset past them instead of being written again
-    (malformed lines at the very end of such a batch are not in bronze and
-    may be rejected twice). Without a pending row no bronze is read.
+    ``source_root`` (``20220403.json``: the name before the extension). Per
+    file: current offset from the checkpoint log -> lines ``[offset, offset +
+    rows)`` -> parse, flatten -> bronze and rejects -> checkpoint, in that
+    order (Q4). The offset advances by the rows actually read (Q5); an empty
+    slice changes nothing (Q14).
+
+    A batch has an id and a partition of its own in bronze and rejects. Its
+    'pending' checkpoint rows fix id, run date and line ranges before anything
+    is written; 'done' rows follow. If a run died in between, the next run
+    repeats exactly those ranges into the same partitions first, replacing what
+    the dead attempt wrote, so rows and rejects are neither lost nor doubled.
+
     ``rows=None`` uses each file's last ``rows_per_run`` (the original stored
-    it and never used it, Q15), else ``DEFAULT_ROWS_PER_RUN``. Malformed lines
+    it and never used it, Q15), else reads to the file's end. Malformed lines
     go to a rejects table with their offsets and still count as read (Q21).
-    The staged slice is removed once the batch is committed.
     """
     attach(spark, layout)
     run_date = run_date or _today()
     tables.create_namespace(spark, layout.database, layout.location("_db"))
     cp_table = layout.table(layout.checkpoint)
     CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
-    bronze = layout.table(layout.bronze)
+    index_path = _index_path(spark, layout)
+    _finish_pending(spark, layout, source_root, CP.read_log(spark, cp_table), index_path)
 
     listing = LI.list_source_files(spark, source_root, files)
     missing = sorted(set(files or []) - set(listing))
     if missing:
         raise FileNotFoundError(f"no source file(s) {missing} under {source_root}")
     names = sorted(listing)
+    nothing = {"files": len(names), "rows": 0, "rejects": 0, "new_columns": []}
     if not names:
-        return {"files": 0, "rows": 0, "rejects": 0, "new_columns": []}
+        return nothing
     files_df = spark.createDataFrame([(n,) for n in names], "file_name string")
-    offsets = CP.offsets_for(CP.read_log(spark, cp_table), files_df)
-    # One row per listed file: small, checked here, then broadcast.
-    cur = [r.asDict() for r in offsets.collect()]
-    # A file whose latest checkpoint row is 'pending' had a batch die between
-    # its intent and its completion: look into bronze, but only into that
-    # run's partition, for rows the batch did write.
-    pending = {r["file_name"]: r["execution_date"] for r in cur if r.get("state") == "pending"}
-    if verify_replay and pending and tables.table_exists(spark, bronze):
-        done = dict(
-            spark.table(bronze)
-            .filter(F.col(C.EXEC_DATE).isin(sorted(set(pending.values())))
-                    & F.col(C.SOURCE_FILE).isin(sorted(pending)))
-            .groupBy(C.SOURCE_FILE).agg((F.max(C.ROW_INDEX) + 1).alias("_done")).collect()
-        )
-        for r in cur:
-            r["last_offset"] = max(r["last_offset"], done.get(r["file_name"]) or 0)
-    recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in cur if r["last_offset"] > 0}
-    stats = {n: (sf.size, sf.mtime) for n, sf in listing.items()}
-    changed = CP.changed_files(recorded, stats)
+    cur = {r["file_name"]: r for r in CP.offsets_for(CP.read_log(spark, cp_table), files_df).collect()}
+    recorded = {n: (r["file_size"], r["file_mtime"]) for n, r in cur.items() if r["last_offset"] > 0}
+    changed = CP.changed_files(recorded, {n: (sf.size, sf.mtime) for n, sf in listing.items()})
     if changed:
         raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
-    index_path = _index_path(spark, layout)
-    lines, lines_in = LI.ensure_index(spark, source_root, index_path, listing)
-    def batch_rows(r) -> int:
-        if rows is not None:
-            return int(rows)
-        return int(r.get("rows_per_run") or 0) or DEFAULT_ROWS_PER_RUN
-
-    n_of = {r["file_name"]: batch_rows(r) for r in cur}
-    offsets = F.broadcast(spark.createDataFrame([(r["file_name"], r["last_offset"], n_of[r["file_name"]]) for r in cur],
-                                                f"{C.SOURCE_FILE} string, last_offset bigint, _n bigint"))
-    sliced = J.slice_rows(lines.join(offsets, C.SOURCE_FILE), F.col("last_offset"), F.col("_n"))
-
-    # Stage the slice in shared storage: the expensive indexed scan runs once,
-    # and discovery, parsing and the writes read the small staged copy.
-    stage_path = f"{shared_dir(spark).rstrip('/')}/ingest-stage-{uuid.uuid4().hex[:12]}"
-    sliced.select("value", C.SOURCE_FILE, C.ROW_INDEX).write.parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
-    per_file = staged.groupBy(C.SOURCE_FILE).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(C.ROW_INDEX) + 1).alias("next_offset")
-    ).collect()
-    total = sum(r["n"] for r in per_file)
-    if total == 0:
-        tables.delete_path(spark, stage_path)
-        return {"files": len(names), "rows": 0, "rejects": 0, "new_columns": []}
-
-    payload = J.discover_source_schema(spark, staged)
-    # The reject count rides on the bronze write (K11): no separate job.
-    seen_bad = Observation("rejects")
-    parsed = J.parse_records(staged, payload).observe(
-        seen_bad, F.sum(F.when(F.col(J.CORRUPT).isNotNull(), 1).otherwise(0)).alias("n")
-    )
-    rejects = parsed.filter(F.col(J.CORRUPT).isNotNull()).select(
-        C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), F.lit(run_date).alias(C.EXEC_DATE)
-    )
-    good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).withColumn(
-        C.EXEC_DATE, F.lit(run_date)
-    )
-    # Intent first (Q4): which batch is about to be written, with its run date.
-    start = {r["file_name"]: r["last_offset"] for r in cur}
-    intent = spark.createDataFrame(
-        [(r[C.SOURCE_FILE], int(start.get(r[C.SOURCE_FILE], 0)), n_of[r[C.SOURCE_FILE]], *stats[r[C.SOURCE_FILE]])
-         for r in per_file],
-        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
-    )
-    CP.append(spark, cp_table, intent, run_date, state="pending")
-    before = set(tables.columns_of(spark, bronze)) if tables.table_exists(spark, bronze) else set()
-    if not tables.table_exists(spark, bronze):
-        tables.create_table(spark, bronze, schemas.BRONZE_TABLE, [C.EXEC_DATE], layout.location(layout.bronze))
-    tables.append(spark, bronze, good, [C.EXEC_DATE])
-    n_rejects = int(seen_bad.get["n"] or 0)
-    if n_rejects:
-        tables.append(spark, layout.table(layout.rejects), rejects, [C.EXEC_DATE], layout.location(layout.rejects))
-    new_cols = [c for c in tables.columns_of(spark, bronze) if before and c not in before]
-
-    advanced = spark.createDataFrame(
-        [(r[C.SOURCE_FILE], int(r["next_offset"]), n_of[r[C.SOURCE_FILE]], *stats.get(r[C.SOURCE_FILE], (None, None)))
-         for r in per_file],
-        "file_name string, last_offset bigint, rows_per_run bigint, file_size bigint, file_mtime bigint",
-    )
-    CP.append(spark, cp_table, advanced, run_date, state="done")
-    # The batch is committed (bronze, rejects, checkpoint): drop its staged copy,
-    # and the line index of files now read to the end.
-    tables.delete_path(spark, stage_path)
-    LI.drop_finished(spark, index_path, [r[C.SOURCE_FILE] for r in per_file
-                                         if r["next_offset"] >= lines_in.get(r[C.SOURCE_FILE], 1 << 62)])
-    return {"files": len(names), "rows": total, "rejects": n_rejects, "new_columns": new_cols}
+    lines, lines_in = LI.ensure_index(spark, source_root, index_path, listing,
+                                      {n: r["last_offset"] for n, r in cur.items()})
+    ranges = []
+    for n, r in cur.items():
+        # Rows asked for, else the file's last batch size; 0 means to its end.
+        size, start = int(rows if rows is not None else r["rows_per_run"] or 0), r["last_offset"]
+        stop = min(start + size, lines_in[n]) if size else lines_in[n]
+        if stop > start:
+            ranges.append((n, start, stop, size))
+    if not ranges:
+        return nothing
+    batch_id = uuid.uuid4().hex[:16]
+    _checkpoint(spark, layout, ranges, listing, run_date, batch_id, "pending")
+    n_rejects, new_cols = _write_batch(spark, layout, lines, [x[:3] for x in ranges], run_date, batch_id)
+    _checkpoint(spark, layout, ranges, listing, run_date, batch_id, "done")
+    # The line index of files now read to the end is no longer needed.
+    LI.drop_finished(spark, index_path, [n for n, _, stop, _ in ranges if stop >= lines_in[n]])
+    return {"files": len(names), "rows": sum(stop - start for _, start, stop, _ in ranges), "rejects": n_rejects,
+            "new_columns": new_cols}
 
 
 def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = None,

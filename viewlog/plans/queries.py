@@ -6,6 +6,7 @@ their whole extent; the DuckDB equivalents live in ``plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -159,25 +160,15 @@ def q_checkpoint_latest(spark, sf_dir):
     return latest_checkpoints(log)
 
 
-_LOGS: dict[tuple[str, str, bool], str] = {}
-
-
-def log_dir(spark: SparkSession, sf_dir: str, per_file: bool) -> str:
-    """The events as a raw JSON-lines log under the shared directory.
-
-    The log is the input of the ingest queries (in production it is the
-    source system's files), so it is derived once per application and input
-    directory and then reused.
-    """
+def log_dir(spark: SparkSession, sf_dir: str, per_file: bool, whole: bool = False) -> str:
+    """The events as a raw JSON-lines log under the shared directory, written
+    anew for each call: part of what a query that reads it costs. ``whole``
+    puts each day into one file, as the file streams require."""
     from ..session import scratch_path
     from ..sources.events_adapter import write_source_log
 
-    key = (spark.sparkContext.applicationId, sf_dir, per_file)
-    path = _LOGS.get(key)
-    if path is None:
-        path = scratch_path(spark, "source-log")
-        write_source_log(read_events(spark, sf_dir), path, per_file=per_file)
-        _LOGS[key] = path
+    path = scratch_path(spark, "source-log")
+    write_source_log(read_events(spark, sf_dir), path, per_file=per_file, whole=whole)
     return path
 
 
@@ -232,17 +223,18 @@ def q_evolved_schema(spark, sf_dir):
 
 
 def q_incremental_ingest(spark, sf_dir):
-    """Per-day JSON-lines files ingested INGEST_ROWS lines per file per run
-    until every file is exhausted (D9): bronze then holds every line once,
-    with its file offset."""
+    """Per-day JSON-lines files ingested in slices, a quarter of the longest
+    file's lines per file and run, until a run finds nothing (D9): bronze then
+    holds every line once, with its file offset."""
     from .pipeline import ingest_batch
 
     root = log_dir(spark, sf_dir, per_file=True)
     lay = _scratch_layout(spark, "ingest")
-    for i in range(10_000):
-        info = ingest_batch(spark, lay, root, O.INGEST_ROWS, run_date=f"2024-02-{1 + i % 28:02d}")
-        if info["rows"] == 0:
-            break
+    days = read_events(spark, sf_dir).groupBy(F.date_format("ts", "yyyyMMdd")).count()
+    longest = days.agg(F.max("count")).first()[0] or 1
+    rows, day = -(-longest // O.INGEST_ROUNDS), _dt.date.fromisoformat(O.FIRST_RUN_DATE)
+    while ingest_batch(spark, lay, root, rows, run_date=day.isoformat())["rows"]:
+        day += _dt.timedelta(days=1)
     return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE,
                                                     C.ROW_INDEX)
 
@@ -253,7 +245,7 @@ def q_stream_ingest(spark, sf_dir):
     from ..session import scratch_path
     from ..streaming.bronze_stream import stream_ingest
 
-    root = log_dir(spark, sf_dir, per_file=True)
+    root = log_dir(spark, sf_dir, per_file=True, whole=True)
     lay = _scratch_layout(spark, "stream")
     ckpt = scratch_path(spark, "stream-ingest-ckpt")
     stream_ingest(spark, lay, root, ckpt, run_date="2024-02-01")
@@ -272,7 +264,8 @@ def _pipeline_serving(spark: SparkSession, sf_dir: str, incremental: bool) -> Da
     root = log_dir(spark, sf_dir, per_file=True)
     days = tables.list_partition_values(spark, root, C.SOURCE_FILE)
     groups = [days[i:i + O.FILES_PER_RUN] for i in range(0, len(days), O.FILES_PER_RUN)]
-    batches = [(g, O.WHOLE_FILE_ROWS, f"{O.FIRST_RUN_DATE[:-2]}{k + 1:02d}") for k, g in enumerate(groups)]
+    first = _dt.date.fromisoformat(O.FIRST_RUN_DATE)
+    batches = [(g, None, (first + _dt.timedelta(days=k)).isoformat()) for k, g in enumerate(groups)]
     lay = _scratch_layout(spark, "pipe")
     status = run_batches(spark, lay, root, batches, incremental=incremental).collect()
     bad = [tuple(r) for r in status if r.status != "ok"]
@@ -294,7 +287,7 @@ def q_file_stream_usage(spark, sf_dir):
     files: per micro-batch partial sums, merged at the end (section 2.11)."""
     from ..streaming.file_stream import stream_usage_pivot
 
-    return stream_usage_pivot(spark, sf_dir, log_root=log_dir(spark, sf_dir, per_file=True))
+    return stream_usage_pivot(spark, sf_dir, log_root=log_dir(spark, sf_dir, per_file=True, whole=True))
 
 
 def registry() -> dict[str, Query]:

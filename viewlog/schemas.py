@@ -25,14 +25,16 @@ BRONZE = T.StructType(
     ]
 )
 
-# Bronze as stored by the ingest job: the line offset in its source file makes
-# a replayed batch detectable (see ``plans.pipeline.ingest_batch``).
+# Bronze as stored by the ingest job: with each line's offset in its source
+# file, partitioned by run date and batch, so that a replayed batch replaces its
+# own rows and no others (see ``plans.pipeline.ingest_batch``).
 BRONZE_TABLE = T.StructType(
     SOURCE_FIELDS.fields
     + [
         T.StructField(C.SOURCE_FILE, T.StringType()),
         T.StructField(C.ROW_INDEX, T.LongType()),
         T.StructField(C.EXEC_DATE, T.StringType()),
+        T.StructField(C.BATCH_ID, T.StringType()),
     ]
 )
 
@@ -49,6 +51,9 @@ CHECKPOINT = T.StructType(
         T.StructField("file_mtime", T.LongType()),
         # ours: 'pending' before a bronze write, 'done' after it
         T.StructField("state", T.StringType()),
+        # ours: the batch and the offset it reads up to
+        T.StructField(C.BATCH_ID, T.StringType()),
+        T.StructField("next_offset", T.LongType()),
     ]
 )
 

@@ -56,14 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide directory for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only when the session has none, as in tests and local runs, a
-    fresh local directory is created and registered.
+    context). When the session has none, a local master gets a fresh local
+    directory; any other raises, as its executors would not see one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="viewlog-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -76,21 +78,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.1,
+               max_partitions: int | None = None) -> dict[str, str]:
     """SQL settings for a cluster run over ``input_bytes`` of bronze.
 
     * scans: 256 MiB splits (columnar reads of a few columns stay short);
     * shuffles: the widest exchange here carries per-(contract, file)
       partials, estimated at ``shuffle_fraction`` of the input after
       map-side aggregation; start with about 200 MiB per partition (at least
-      2 per core, at most 50,000) and let AQE coalesce small ones;
+      2 per core, at most ``max_partitions`` if given) and let AQE coalesce small ones;
     * skew: AQE splits sort-merge partitions over 512 MiB (and 5x median);
     * broadcasts: Spark's own size check, raised to a fixed 64 MiB;
     * streaming state: RocksDB, so per-contract state can exceed memory.
     """
     shuffle = int(input_bytes * shuffle_fraction)
     parts = max(2 * total_cores, shuffle // (200 << 20))
-    parts = min(parts, 50_000)
+    if max_partitions:
+        parts = min(parts, max_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": str(parts),

@@ -90,6 +90,16 @@ def list_partition_values(spark: SparkSession, root: str, col: str) -> list[str]
     return sorted(out)
 
 
+def _has_files(spark: SparkSession, location: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(location)
+    it = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    while it.hasNext():
+        if not it.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def register_existing(spark: SparkSession, table: str, location: str, partitioned_by: Sequence[str] = ()) -> bool:
     """Put a table whose files already exist at ``location`` back into the
     catalog (schema and partitions from the files). Used when the catalog
@@ -97,11 +107,10 @@ def register_existing(spark: SparkSession, table: str, location: str, partitione
     location holds no data yet."""
     if table_exists(spark, table) or not path_exists(spark, location):
         return False
-    try:
-        # Footer schema (plus partition directories) of the existing files.
-        schema = spark.read.option("basePath", location).parquet(location).schema
-    except Exception:  # noqa: BLE001 - an empty directory has no schema to read
+    if not _has_files(spark, location):
         return False
+    # All files' schemas merged: columns that came by evolution are in the later ones only.
+    schema = spark.read.option("basePath", location).option("mergeSchema", "true").parquet(location).schema
     data = [f for f in schema.fields if f.name not in partitioned_by]
     parts = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in partitioned_by]
     create_table(spark, table, T.StructType(data + parts), partitioned_by, location)
@@ -123,11 +132,13 @@ def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
 
 
 def align(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
-    """Reorder ``df`` to the table's column order; absent columns are NULL."""
+    """Reorder ``df`` to the table's column order; absent columns are NULL.
+    Names match without regard to case, as in ``evolve``."""
     schema = spark.table(table).schema
-    have = set(df.columns)
+    have = {c.lower(): c for c in df.columns}
     return df.select(
-        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in schema.fields]
     )
 
 
@@ -166,9 +177,6 @@ def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame, partiti
     align(spark, table, df).write.insertInto(table, overwrite=True)
 
 
-MAX_LISTED_PARTITIONS = 10_000
-
-
 def upsert(spark: SparkSession, table: str, updates: DataFrame, keys: Sequence[str],
            partition_col: str | None = None, partitions: Sequence[str] | None = None) -> None:
     """K8 on a table target: ``INSERT ... ON DUPLICATE KEY UPDATE``.
@@ -186,16 +194,18 @@ def upsert(spark: SparkSession, table: str, updates: DataFrame, keys: Sequence[s
     target = spark.table(table)
     updates = align(spark, table, updates)
     if partition_col:
-        # Static pruning needs the touched values as literals: a short list
-        # (one value per exported day), taken from the caller or from the
-        # updates; past the bound a semi-join restricts the target instead.
-        if partitions is None:
-            rows = updates.select(partition_col).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-            partitions = [r[0] for r in rows] if len(rows) <= MAX_LISTED_PARTITIONS else None
+        # Listed partitions prune statically; else a semi-join restricts the
+        # target. NULL is a partition like others: its old rows are read back
+        # too, as the overwrite below replaces them.
         if partitions is not None:
-            target = target.filter(F.col(partition_col).isin(list(partitions)))
+            named = [p for p in partitions if p is not None]
+            touched = F.col(partition_col).isin(named)
+            if len(named) < len(partitions):
+                touched = touched | F.col(partition_col).isNull()
+            target = target.filter(touched)
         else:
-            target = target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
+            days = updates.select(F.col(partition_col).alias("_touched")).distinct()
+            target = target.join(days, target[partition_col].eqNullSafe(days["_touched"]), "left_semi")
     merged = upsert_rows(target, updates, keys).select(*columns_of(spark, table))
     if partition_col:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

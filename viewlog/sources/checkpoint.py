@@ -11,9 +11,13 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from .. import schemas
 
 
+_EXTRA = ("file_size", "file_mtime", "state", "execution_date", C.BATCH_ID, "next_offset")
+
+
 def latest_checkpoints(log: DataFrame) -> DataFrame:
     """Newest row per file: by ``updated_at``, ties by the larger offset.
 
@@ -21,7 +25,7 @@ def latest_checkpoints(log: DataFrame) -> DataFrame:
     long log costs one partial row per map task, not a sort of its history
     (the original's ``ORDER BY updated_at DESC LIMIT 1``).
     """
-    extra = [c for c in ("file_size", "file_mtime", "state", "execution_date") if c in log.columns]
+    extra = [c for c in _EXTRA if c in log.columns]
     win = F.max_by(
         F.struct("last_offset", "rows_per_run", *extra), F.struct("updated_at", "last_offset")
     ).alias("_cp")
@@ -34,7 +38,7 @@ def offsets_for(log: DataFrame, files: DataFrame) -> DataFrame:
     """Current offset of every file in ``files(file_name)``; 0 when the file
     has no checkpoint yet (the original's default)."""
     cur = latest_checkpoints(log.join(files, "file_name", "left_semi"))
-    extra = [c for c in ("file_size", "file_mtime", "state", "execution_date") if c in cur.columns]
+    extra = [c for c in _EXTRA if c in cur.columns]
     return files.join(cur, "file_name", "left").select(
         "file_name",
         F.coalesce("last_offset", F.lit(0).cast("bigint")).alias("last_offset"),
@@ -77,7 +81,8 @@ def read_log(spark: SparkSession, table: str) -> DataFrame:
 
 
 def append(spark: SparkSession, table: str, rows: DataFrame, execution_date: str,
-           updated_at: _dt.datetime | None = None, state: str = "done") -> None:
+           updated_at: _dt.datetime | None = None, state: str = "done",
+           batch_id: str | None = None) -> None:
     """Append checkpoint rows ``(file_name, last_offset, rows_per_run)``.
 
     ``rows`` is a DataFrame (one row per ingested file), so the new offsets
@@ -93,6 +98,8 @@ def append(spark: SparkSession, table: str, rows: DataFrame, execution_date: str
         "file_size": F.col("file_size").cast("bigint") if "file_size" in rows.columns else F.lit(None).cast("bigint"),
         "file_mtime": (F.col("file_mtime") if "file_mtime" in rows.columns else F.lit(None)).cast("bigint"),
         "state": F.lit(state),
+        C.BATCH_ID: F.lit(batch_id),
+        "next_offset": (F.col("next_offset") if "next_offset" in rows.columns else F.lit(None)).cast("bigint"),
     }
     table_cols = [f.name for f in spark.table(table).schema.fields]
     out = rows.select(*[cols[c].alias(c) for c in table_cols])

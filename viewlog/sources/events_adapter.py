@@ -97,19 +97,22 @@ def source_records(events: DataFrame) -> DataFrame:
     )
 
 
-def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None) -> None:
+def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None,
+                     whole: bool = False) -> None:
     """Write the records as JSON lines in ``_id`` order.
 
     ``per_file`` writes one directory per source file (``source_file=...``)
-    holding one file with that day's records in ``_id`` order, as a source
-    system delivers daily logs; else one directory whose part files, in name
+    whose part files, in name order, hold that day's records in ``_id`` order;
+    a day is range-partitioned too, so no task writes a whole day, unless
+    ``whole`` asks for one file per day. Else one directory whose part files, in name
     order, hold all records in order (range partitioning on ``_id`` keeps
     that write parallel).
     """
     recs = source_records(events)
     n = files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if per_file:
-        by_day = recs.repartition(n, C.SOURCE_FILE).sortWithinPartitions(C.SOURCE_FILE, "_id")
+        by_day = recs.repartition(n, C.SOURCE_FILE) if whole else recs.repartitionByRange(n, C.SOURCE_FILE, "_id")
+        by_day = by_day.sortWithinPartitions(C.SOURCE_FILE, "_id")
         by_day.write.partitionBy(C.SOURCE_FILE).json(path)
     else:
         recs.repartitionByRange(n, "_id").sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)

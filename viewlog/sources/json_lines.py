@@ -3,7 +3,7 @@
 * ``indexed_lines``: every non-blank line with its 0-based offset inside its
   logical file, computed without moving rows through one task: a first pass
   counts lines per input split, a running sum over each file's splits gives
-  every split its base offset, and a broadcast join adds ``base + position``.
+  every split its base offset, and a join on the split adds ``base + position``.
 * ``discover_source_schema``: the payload struct type, declared fields first,
   keys the declaration does not know appended with types inferred from the
   data (one partial aggregate over the lines, no full-file inference read).
@@ -29,10 +29,6 @@ BLOCK = "_block"
 MID = "_mid"
 FSIZE = "_fsize"
 FTIME = "_fmtime"
-# Upper bound on the per-split summary taken to the driver and broadcast
-# (one row per input split, a few dozen bytes each). Past it the summary is
-# joined without a broadcast.
-MAX_SPLIT_ROWS = 200_000
 
 
 # A source file's name is its file name without these suffixes
@@ -66,20 +62,31 @@ def read_lines(spark: SparkSession, path: str | list[str], base_path: str | None
 ONE_FILE = "*"
 
 
+def _file_keys(file_col: str | None) -> list[str]:
+    """Columns that name a logical file beside its path."""
+    return [file_col] if file_col and file_col != ONE_FILE else []
+
+
 def _split_summary(lines: DataFrame, file_col: str | None) -> DataFrame:
-    keys = [file_col] if file_col and file_col != ONE_FILE else []
+    """One row per input split, with the lines of its logical file before it.
+
+    Lines are summed within each path first, then over the paths of a logical
+    file, so a running sum only spans the splits of one path, or the paths of
+    one file.
+    """
+    keys = _file_keys(file_col)
     summ = lines.groupBy(*keys, PATH, BLOCK).agg(
         F.min(MID).alias("_min"), F.count(F.lit(1)).alias("_cnt"), F.max(FSIZE).alias(FSIZE),
         F.max(FTIME).alias(FTIME),
     )
-    # Splits of one logical file in (path, block) order; each split's base is
-    # the number of lines before it. One row per split, so the window is
-    # small (with ONE_FILE it spans all splits of the input, still one row
-    # per split).
-    part = keys or ([] if file_col == ONE_FILE else [PATH])
-    w = Window.partitionBy(*part).orderBy(PATH, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return summ.select(*keys, PATH, BLOCK, "_min", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_base"),
-                       "_cnt", FSIZE, FTIME)
+    w = Window.partitionBy(*keys, PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_base", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    if not file_col:
+        return summ
+    paths = summ.groupBy(*keys, PATH).agg(F.sum("_cnt").alias("_n"))
+    w = Window.partitionBy(*keys).orderBy(PATH).rowsBetween(Window.unboundedPreceding, -1)
+    paths = paths.select(*keys, PATH, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    return summ.join(paths, [*keys, PATH]).withColumn("_base", F.col("_base") + F.col("_before")).drop("_before")
 
 
 def indexed_lines_with_files(spark: SparkSession, path: str | list[str], base_path: str | None = None,
@@ -114,31 +121,19 @@ def index_lines(spark: SparkSession, lines: DataFrame, file_col: str | None = No
 def index_lines_with_stats(spark: SparkSession, lines: DataFrame, file_col: str | None = None
                            ) -> tuple[DataFrame, list[str], dict[str, tuple[int, object]]]:
     """``index_lines`` plus, per logical file, (total bytes, latest mtime,
-    non-blank lines) of its parts, taken from the same split summary (no
-    extra pass)."""
+    non-blank lines) of its parts, from the same split summary (one row per
+    logical file reaches the driver)."""
+    keys = _file_keys(file_col)
     summ = _split_summary(lines, file_col)
-    rows = summ.limit(MAX_SPLIT_ROWS + 1).collect()
-    by_col = file_col if file_col and file_col != ONE_FILE else None
-    stats: dict[str, tuple[int, object, int]] = {}
-    if len(rows) <= MAX_SPLIT_ROWS:
-        parts: dict[str, dict[str, tuple[int, object]]] = {}
-        lines_in: dict[str, int] = {}
-        for r in rows:
-            key = r[by_col] if by_col else r[PATH]
-            parts.setdefault(key, {})[r[PATH]] = (r[FSIZE], r[FTIME])
-            lines_in[key] = lines_in.get(key, 0) + r["_cnt"]
-        for name, ps in parts.items():
-            stats[name] = (sum(v[0] for v in ps.values()), max(v[1] for v in ps.values()), lines_in[name])
-        names = sorted(parts)
-        small = spark.createDataFrame(rows, summ.schema) if rows else summ.limit(0)
-        summ = F.broadcast(small)
-    else:
-        names = [r[0] for r in summ.select(by_col or PATH).distinct().collect()]
-    keys = ([by_col] if by_col else []) + [PATH, BLOCK]
-    out = lines.join(summ.drop(FSIZE, FTIME, "_cnt"), keys, "inner")
+    name = keys[0] if keys else PATH
+    parts = summ.groupBy(*keys, PATH).agg(F.max(FSIZE).alias("s"), F.max(FTIME).alias("t"), F.sum("_cnt").alias("n"))
+    per_file = parts.groupBy(F.col(name).alias("_name")).agg(F.sum("s"), F.max("t"), F.sum("n"))
+    stats = {r[0]: (r[1], r[2], r[3]) for r in per_file.collect()}
+    on = [*keys, PATH, BLOCK]
+    out = lines.join(summ.drop(FSIZE, FTIME, "_cnt"), on, "inner")
     idx = (F.col("_base") + F.col(MID) - F.col("_min")).cast("bigint").alias(C.ROW_INDEX)
     keep = [c for c in lines.columns if c not in (PATH, BLOCK, MID, FSIZE, FTIME)]
-    return out.select(*keep, idx), names, stats
+    return out.select(*keep, idx), sorted(stats), stats
 
 
 def indexed_lines(spark: SparkSession, path: str | list[str], base_path: str | None = None,

@@ -9,8 +9,9 @@ Parquet (``value``, ``row_index``) under ``index_path/source_file=<name>/``
 range filter skip most row groups), and a small manifest records the
 (size, modification time) the index was built from. A batch reads only
 ``row_index`` in ``[offset, offset + n)`` of the index. A file whose listing no
-longer matches its manifest entry is indexed again; an index whose file is
-fully ingested is dropped.
+longer matches its manifest entry is indexed again; the index of a file that is
+fully ingested is dropped, but its manifest entry stays, so a later batch knows
+that there is nothing left to read.
 """
 
 from __future__ import annotations
@@ -121,23 +122,28 @@ def _record(spark: SparkSession, manifest_path: str, rows: list[tuple]) -> None:
     spark.createDataFrame([(*r, now) for r in rows], MANIFEST_SCHEMA).write.mode("append").parquet(manifest_path)
 
 
-def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[str, SourceFile]
-                 ) -> tuple[DataFrame, dict[str, int]]:
-    """Index rows of the listed files, (re)building stale indexes first;
-    also returns the line count of every listed file."""
+def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[str, SourceFile],
+                 offsets: dict[str, int] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Index rows of the listed files, (re)building stale indexes first; also
+    returns the line count of every listed file. A file read up to its last
+    line (``offsets``) at the recorded size and time is left alone; one whose
+    index was dropped is indexed again if an earlier offset is asked for."""
     manifest_path = f"{index_path.rstrip('/')}_manifest"
     known = _manifest(spark, manifest_path)
-    stale = [n for n, sf in listing.items() if known.get(n, (None, None, None))[:2] != (sf.size, sf.mtime)]
+    read_to = offsets or {}
+    stale = [
+        n for n, sf in listing.items()
+        if known.get(n, (None, None, None))[:2] != (sf.size, sf.mtime)
+        or (read_to.get(n, 0) < known[n][2] and not tables.path_exists(spark, _of_file(index_path, n)))
+    ]
     counts = {n: known[n][2] for n in listing if n not in stale}
     if stale:
         paths = [p for n in stale for p in listing[n].paths]
-        # One row per listed path (bounded by the file listing): broadcast.
+        # One row per listed path; Spark measures it and picks the join.
         by_path = spark.createDataFrame([(u, n) for n in stale for u in listing[n].uris],
                                         f"{J.PATH} string, {C.SOURCE_FILE} string")
         lines = J.with_position(spark.read.text(paths))
-        lines = lines.withColumn(J.PATH, F.regexp_replace(F.col(J.PATH), _AUTHORITY, "")).join(
-            F.broadcast(by_path), J.PATH
-        )
+        lines = lines.withColumn(J.PATH, F.regexp_replace(F.col(J.PATH), _AUTHORITY, "")).join(by_path, J.PATH)
         indexed, _, built = J.index_lines_with_stats(spark, lines, C.SOURCE_FILE)
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # Written straight from the input splits: each split is a contiguous
@@ -146,23 +152,29 @@ def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[
          .sortWithinPartitions(C.SOURCE_FILE, C.ROW_INDEX)
          .write.mode("overwrite").partitionBy(C.SOURCE_FILE).parquet(index_path))
         lost = [n for n in stale if listing[n].size > 0 and n not in built]
-        if lost:  # a path that matched no listed file would silently drop lines
+        # Files of blank lines only have no lines to index.
+        blank = F.length(F.trim(F.col("value"))) == 0
+        if lost and not spark.read.text([p for n in lost for p in listing[n].paths]).where(~blank).isEmpty():  # a path that matched no listed file would silently drop lines
             raise RuntimeError(f"no lines indexed for non-empty source files {lost}")
         for n in stale:  # from the split summary: no count job
             counts[n] = int(built[n][2]) if n in built else 0
         _record(spark, manifest_path, [(n, listing[n].size, listing[n].mtime, counts[n]) for n in stale])
     names = list(listing)
+    if not tables.path_exists(spark, index_path):  # every file is finished
+        return spark.createDataFrame([], INDEX_SCHEMA), counts
     idx = spark.read.schema(INDEX_SCHEMA).option("basePath", index_path).parquet(index_path)
     return idx.filter(F.col(C.SOURCE_FILE).isin(names)), counts
 
 
 def drop_finished(spark: SparkSession, index_path: str, finished: Sequence[str]) -> None:
-    """Remove the index of files that are fully ingested, and mark them
-    stale so a later change or a replay from scratch rebuilds them."""
-    if not finished:
-        return
+    """Remove the index of files that are fully ingested. Their manifest entries
+    stay: ``ensure_index`` rebuilds one when the file changes or an earlier
+    offset is asked for."""
     for n in finished:
-        tables.delete_path(spark, f"{index_path.rstrip('/')}/{C.SOURCE_FILE}={n}")
-    _record(spark, f"{index_path.rstrip('/')}_manifest", [(n, -1, -1, -1) for n in finished])
+        tables.delete_path(spark, _of_file(index_path, n))
+
+
+def _of_file(index_path: str, name: str) -> str:
+    return f"{index_path.rstrip('/')}/{C.SOURCE_FILE}={name}"
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from .. import schemas
-from ..plans.pipeline import Layout
+from ..plans.pipeline import PARTITIONS, Layout
 from ..sinks import tables
 from ..sources import json_lines as J
 
@@ -58,7 +58,11 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
     lines, files = J.index_lines(spark, batch.withColumn(J.MID, F.monotonically_increasing_id()))
     if not files:
         return
-    names = sorted(r[0] for r in batch.select(C.SOURCE_FILE).distinct().collect())
+    parts = batch.select(C.SOURCE_FILE, J.PATH).distinct().groupBy(C.SOURCE_FILE).count().collect()
+    split = sorted(r[0] for r in parts if r["count"] > 1)
+    if split:
+        raise ValueError(f"source files in several parts need the offset path (ingest_batch): {split}")
+    names = sorted(r[0] for r in parts)
     state = _log(spark, log_table, batch_id, stream) if log_table and batch_id is not None else {}
     if "done" in state:
         return  # a replay of a batch that completed
@@ -76,17 +80,16 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
         _mark(spark, log_table, batch_id, names, "pending", run_date, layout, stream)
     payload = J.discover_source_schema(spark, lines)
     parsed = J.parse_records(lines, payload)
-    good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).withColumn(
-        C.EXEC_DATE, F.lit(run_date)
-    )
+    stamp = [F.lit(run_date).alias(C.EXEC_DATE), F.lit("stream" if batch_id is None else f"stream-{batch_id}").alias(C.BATCH_ID)]
+    good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).select("*", *stamp)
     if not tables.table_exists(spark, bronze):
-        tables.create_table(spark, bronze, schemas.BRONZE_TABLE, [C.EXEC_DATE], layout.location(layout.bronze))
-    tables.append(spark, bronze, good, [C.EXEC_DATE])
+        tables.create_table(spark, bronze, schemas.BRONZE_TABLE, PARTITIONS["bronze"], layout.location(layout.bronze))
+    tables.append(spark, bronze, good, PARTITIONS["bronze"])
     bad = parsed.filter(F.col(J.CORRUPT).isNotNull()).select(
-        C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), F.lit(run_date).alias(C.EXEC_DATE)
+        C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), *stamp
     )
-    if bad.limit(1).count() > 0:
-        tables.append(spark, rejects, bad, [C.EXEC_DATE], layout.location(layout.rejects))
+    if not bad.isEmpty():
+        tables.append(spark, rejects, bad, PARTITIONS["rejects"], layout.location(layout.rejects))
     if log_table is not None:
         _mark(spark, log_table, batch_id, names, "done", run_date, layout, stream)
 
