@@ -143,6 +143,31 @@ def test_evolved_column_survives_a_new_catalog(spark, fresh_dir, layout):
     assert b.count() == 7 and [r["extra"] for r in b.filter("extra IS NOT NULL").collect()] == [1]
 
 
+def test_type_changes_keep_values(spark, fresh_dir, layout):
+    src = f"{fresh_dir}/src"
+    for k, value in enumerate([3, 0.75, "text", 4]):
+        d = f"{src}/source_file=2022050{k}"
+        os.makedirs(d)
+        with open(f"{d}/part-00000.json", "w") as f:
+            f.write(json.dumps({"_source": {"Contract": f"c{k}", "Extra" if k else "extra": value}}) + "\n")
+        P.ingest_batch(spark, layout, src, None, run_date=f"2024-02-0{k + 1}")
+    b = _bronze(spark, layout)
+    got = {r["Contract"]: (r["extra"], r["Extra_double"], r["Extra_string"]) for r in b.collect()}
+    assert got == {"c0": (3, None, None), "c1": (None, 0.75, None), "c2": (None, None, "text"), "c3": (4, None, None)}
+
+
+def test_clashing_keys_are_renamed(spark, fresh_dir, layout):
+    d = f"{fresh_dir}/src/source_file=20220501"
+    os.makedirs(d)
+    record = {"Contract": "c", "AppName": "VOD", "appname": "x", "source_file": "y", "a": {"b": 1}, "a_b": 2, "VOID": 3}
+    with open(f"{d}/part-00000.json", "w") as f:
+        f.write(json.dumps({"_source": record}) + "\n")
+    P.ingest_batch(spark, layout, f"{fresh_dir}/src", None, run_date="2024-02-01")
+    r = _bronze(spark, layout).first().asDict()
+    assert (r["AppName"], r["appname_2"], r["source_file"], r["source_file_2"], r["VOID"]) == ("VOD", "x", "20220501", "y", 3)
+    assert sorted((r["a_b"], r["a_b_2"])) == [1, 2]
+
+
 def test_schema_evolution_in_bronze(spark, fresh_dir, layout):
     src = f"{fresh_dir}/src"
     _log(src, "20220405", 4)

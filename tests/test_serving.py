@@ -77,12 +77,21 @@ def test_serving_schema_has_key():
 def test_merge_sql_forms():
     from viewlog.sinks.jdbc import merge_sql
 
-    cols = ["Contract", "execution_day", "source_file", "v"]
-    ansi = merge_sql("t", "s", cols, KEY)
-    assert ansi.startswith("MERGE INTO t t USING s s ON t.Contract = s.Contract AND")
-    assert "UPDATE SET v = s.v" in ansi and "INSERT (Contract, execution_day, source_file, v)" in ansi
-    my = merge_sql("t", "s", cols, KEY, dialect="mysql")
-    assert my.endswith("ON DUPLICATE KEY UPDATE v=VALUES(v)")
+    cols = ["Contract", "execution_day", "Odd \"name"]
+    ansi = merge_sql("t", "s", cols, cols[:2])
+    assert 't."Contract" IS NOT DISTINCT FROM s."Contract"' in ansi and 'SET "Odd ""name" = s."Odd ""name"' in ansi
+    my = merge_sql("t", "s", cols, cols[:2], dialect="mysql")
+    assert "ON DUPLICATE KEY UPDATE `Odd \"name`=VALUES(`Odd \"name`)" in my
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark, fresh_dir):
+    from viewlog.sinks import tables
+
+    name = f"nullpart_{abs(hash(fresh_dir))}"
+    tables.append(spark, name, spark.createDataFrame([("A", 1, None), ("C", 1, "d")], "k string, v int, p string"), ["p"], f"{fresh_dir}/t")
+    tables.upsert(spark, name, spark.createDataFrame([("B", 2, None)], "k string, v int, p string"), ["k", "p"], "p")
+    tables.upsert(spark, name, spark.createDataFrame([("B", 3, None)], "k string, v int, p string"), ["k", "p"], "p", [None])
+    assert sorted(tuple(r)[:2] for r in spark.table(name).collect()) == [("A", 1), ("B", 3), ("C", 1)]
 
 
 def test_scale_conf_bounds():

@@ -54,9 +54,13 @@ def gold_usage(silver: DataFrame, history: DataFrame | None = None, run_day: str
     """
     feats = with_features(silver, categories, zero_is_null)
     if history is None:
-        days = F.size(F.collect_set(day_col).over(Window.partitionBy(C.CONTRACT)))
-        # The inner join drops NULL contracts; so does this filter.
-        out = feats.filter(F.col(C.CONTRACT).isNotNull()).withColumn(C.ACTIVE, active_segment(days))
+        # The last rank in day order is the number of distinct days (a NULL day counts for none).
+        contract = Window.partitionBy(C.CONTRACT)
+        rank = F.dense_rank().over(contract.orderBy(F.col(day_col).asc_nulls_last()))
+        ranked = feats.filter(F.col(C.CONTRACT).isNotNull()).withColumn(  # as the inner join drops NULL contracts
+            "_rank", F.when(F.col(day_col).isNotNull(), rank).otherwise(0)
+        )
+        out = ranked.withColumn(C.ACTIVE, active_segment(F.max("_rank").over(contract)))
     else:
         active = active_days(history, day_col).select(C.CONTRACT, C.ACTIVE)
         out = feats.join(active, C.CONTRACT, "inner")

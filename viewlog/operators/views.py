@@ -36,10 +36,16 @@ def contract_days(serving: DataFrame) -> DataFrame:
     """
     base = drop_null_bucket(serving)
     nums = [*C.PIVOT_COLUMNS, C.TOTAL_DEVICES]
-    strs = [C.MOST_WATCH, C.ACTIVE]
-    return base.groupBy(C.CONTRACT, C.EXEC_DAY).agg(
-        *[F.max(c).alias(c) for c in nums], *[F.max(c).alias(c) for c in strs]
-    ).withColumn(TOTAL, sum((F.col(c) for c in C.PIVOT_COLUMNS[1:]), F.col(C.PIVOT_COLUMNS[0])))
+    # Numbers only: text in an aggregate would force a sort, and 'Low' would beat 'High'.
+    names = F.array(*[F.lit(c) for c in C.CATEGORIES])
+    days = base.groupBy(C.CONTRACT, C.EXEC_DAY).agg(
+        *[F.max(c).alias(c) for c in nums],
+        F.max((F.col(C.ACTIVE) == F.lit("High")).cast("int")).alias("_high"),
+        F.max(F.array_position(names, F.col(C.MOST_WATCH))).alias("_most"),
+    )
+    total = sum((F.col(c) for c in C.PIVOT_COLUMNS[1:]), F.col(C.PIVOT_COLUMNS[0]))
+    active = F.when(F.col("_high") == 1, F.lit("High")).when(F.col("_high") == 0, F.lit("Low"))
+    return days.withColumns({C.MOST_WATCH: F.get(names, (F.col("_most") - 1).cast("int")), C.ACTIVE: active, TOTAL: total}).drop("_high", "_most")
 
 
 def v_kpi(serving: DataFrame) -> DataFrame:
@@ -54,10 +60,10 @@ def v_kpi(serving: DataFrame) -> DataFrame:
 def v_content(serving: DataFrame) -> DataFrame:
     cd = contract_days(serving)
     per_day = cd.groupBy(C.EXEC_DAY).agg(*[F.sum(c).alias(c) for c in C.CATEGORIES])
-    long = per_day.unpivot(C.EXEC_DAY, list(C.CATEGORIES), "category", "duration")
     day_total = sum((F.col(c) for c in C.CATEGORIES[1:]), F.col(C.CATEGORIES[0]))
-    shares = per_day.select(C.EXEC_DAY, day_total.alias("_day_total"))
-    return long.join(shares, C.EXEC_DAY).select(
+    # The day's total goes along as an id column of the unpivot.
+    with_total = per_day.withColumn("_day_total", day_total)
+    return with_total.unpivot([C.EXEC_DAY, "_day_total"], list(C.CATEGORIES), "category", "duration").select(
         C.EXEC_DAY,
         "category",
         "duration",

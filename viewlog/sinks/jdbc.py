@@ -36,13 +36,19 @@ def write_staging(df: DataFrame, url: str, table: str, props: dict[str, str] | N
 def merge_sql(target: str, staging: str, columns: Sequence[str], keys: Sequence[str],
               dialect: str = "ansi") -> str:
     """K8: the statement that upserts ``staging`` into ``target``."""
-    cols = list(columns)
-    rest = [c for c in cols if c not in keys]
+    mark = "`" if dialect == "mysql" else '"'
+
+    def name(c: str) -> str:
+        return mark + c.replace(mark, mark * 2) + mark
+
+    cols = [name(c) for c in columns]
+    rest = [name(c) for c in columns if c not in keys]
     if dialect == "mysql":
         upd = ", ".join(f"{c}=VALUES({c})" for c in rest)
         return f"INSERT INTO {target} ({', '.join(cols)}) SELECT {', '.join(cols)} FROM {staging} " \
                f"ON DUPLICATE KEY UPDATE {upd}"
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    # Null-safe, as the table path matches keys.
+    on = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in map(name, keys))
     upd = ", ".join(f"{c} = s.{c}" for c in rest)
     ins = ", ".join(f"s.{c}" for c in cols)
     return (f"MERGE INTO {target} t USING {staging} s ON {on} "
@@ -77,8 +83,8 @@ def upsert_via_staging(spark: SparkSession, df: DataFrame, url: str, target: str
                        batch_size: int = 50_000, partitions: int = 4) -> None:
     """K7 -> K8 -> K9: stage, merge, and always drop the staging table."""
     staging = f"{target}_staging"
-    write_staging(df, url, staging, props, batch_size, partitions)
     try:
+        write_staging(df, url, staging, props, batch_size, partitions)
         execute(spark, url, [merge_sql(target, staging, df.columns, keys, dialect)], props)
     finally:
-        execute(spark, url, [f"DROP TABLE {staging}"], props)
+        execute(spark, url, [f"DROP TABLE IF EXISTS {staging}"], props)

@@ -9,6 +9,7 @@ the partition columns.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -120,9 +121,38 @@ def register_existing(spark: SparkSession, table: str, location: str, partitione
     return True
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def fits(given: T.DataType, column: T.DataType) -> bool:
+    """Whether every value of ``given`` can be stored as ``column`` unchanged."""
+    a, b = given.simpleString(), column.simpleString()
+    if a in (b, "void"):
+        return True
+    if a in _INTEGRAL and b in _INTEGRAL:
+        return _INTEGRAL.index(a) <= _INTEGRAL.index(b)
+    if b == "double":
+        return a in ("float", "int", "smallint", "tinyint")
+    return b == "string" and not isinstance(given, (T.StructType, T.ArrayType, T.MapType, T.BinaryType))
+
+
+def routed(schema: T.StructType, df: DataFrame) -> DataFrame:
+    """``df`` with every column that the table's column of its name cannot
+    hold renamed to a sibling, ``<name>_<type>``: no value is cut or lost."""
+    have = {f.name.lower(): f.dataType for f in schema.fields}
+    for f in df.schema.fields:
+        column = have.get(f.name.lower())
+        if column is not None and not fits(f.dataType, column):
+            kind = re.sub(r"\W+", "_", f.dataType.simpleString()).strip("_")
+            df = df.withColumnRenamed(f.name, f"{f.name}_{kind}")
+    return df
+
+
 def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     """K5: add the columns ``df`` has and the table lacks, with their real
-    types and quoted names (Q6). Old rows read NULL for them."""
+    types and quoted names (Q6). Old rows read NULL for them. A known column
+    that comes with a type the table's cannot hold gets a sibling column."""
+    df = routed(spark.table(table).schema, df)
     have = {c.lower() for c in columns_of(spark, table)}
     new = [f for f in df.schema.fields if f.name.lower() not in have]
     if new:
@@ -135,6 +165,7 @@ def align(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
     """Reorder ``df`` to the table's column order; absent columns are NULL.
     Names match without regard to case, as in ``evolve``."""
     schema = spark.table(table).schema
+    df = routed(schema, df)
     have = {c.lower(): c for c in df.columns}
     return df.select(
         *[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)

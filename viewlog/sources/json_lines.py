@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from .. import constants as C
 from .. import schemas
+from ..sinks.tables import quote
 
 CORRUPT = "_corrupt_record"
 PATH = "_path"
@@ -157,11 +158,13 @@ def slice_rows(lines: DataFrame, offset: int | Column, n: int | Column) -> DataF
     return lines.filter((F.col(C.ROW_INDEX) >= o) & (F.col(C.ROW_INDEX) < o + k))
 
 
+# Where a type stands, not a key of the same name: at the start, after a key's
+# colon, or as an array's element.
+_TYPE_AT = r"(?:^|(?<=: )|(?<=ARRAY<))"
 _VARIANT_FIXES = (
-    (re.compile(r"\bOBJECT<"), "STRUCT<"),
-    (re.compile(r"\bDECIMAL\(\d+,\s*\d+\)"), "DOUBLE"),
-    (re.compile(r"\bVOID\b"), "STRING"),
-    (re.compile(r"\bVARIANT\b"), "STRING"),
+    (re.compile(_TYPE_AT + r"OBJECT<"), "STRUCT<"),
+    (re.compile(_TYPE_AT + r"DECIMAL\(\d+,\s*\d+\)(?=[,>]|$)"), "DOUBLE"),
+    (re.compile(_TYPE_AT + r"(?:VOID|VARIANT)(?=[,>]|$)"), "STRING"),
 )
 
 
@@ -186,36 +189,68 @@ def discover_source_schema(spark: SparkSession, lines: DataFrame, declared: T.St
     fields = list(declared.fields)
     if found and found.startswith("OBJECT<"):
         inferred = _variant_type(spark, found)
-        known = {f.name for f in declared.fields}
-        fields += [f for f in inferred.fields if f.name not in known]
+        exact = {f.name for f in declared.fields}
+        names = {f.name.lower() for f in fields}
+        for f in inferred.fields:
+            if f.name in exact:
+                continue
+            if f.name.lower() in names:
+                # Differs from another key in case only: a text column with a name of its own.
+                f = T.StructField(free_name(f.name, names), T.StringType(), metadata={KEY: f.name})
+            names.add(f.name.lower())
+            fields.append(f)
     return T.StructType(fields)
 
 
+KEY = "json_key"
+
+
+def free_name(name: str, taken: set[str]) -> str:
+    """``name``, or the first of ``name_2``, ``name_3``, ... not taken (in lower case)."""
+    k, out = 2, name
+    while out.lower() in taken:
+        out, k = f"{name}_{k}", k + 1
+    return out
+
+
 def parse_records(lines: DataFrame, payload_schema: T.StructType, payload: str = "_source") -> DataFrame:
     """``from_json`` of each line; keeps the other line columns. A malformed
     line gives a NULL payload and its text in ``_corrupt_record``; a record
     without the payload key gives a NULL payload."""
-    schema = T.StructType([T.StructField(payload, payload_schema), T.StructField(CORRUPT, T.StringType())])
+    plain = [f for f in payload_schema.fields if KEY not in f.metadata]
+    other = [f for f in payload_schema.fields if KEY in f.metadata]
+    schema = T.StructType([T.StructField(payload, T.StructType(plain)), T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     rest = [c for c in lines.columns if c != "value"]
-    return lines.select(*rest, parsed.alias("_rec")).select(*rest, f"_rec.{payload}", f"_rec.{CORRUPT}")
+    out = lines.select("value", *rest, parsed.alias("_rec"))
+    body = F.col(f"_rec.{payload}")
+    for f in other:  # JSON paths tell case apart, struct fields do not
+        body = body.withField(quote(f.name), F.get_json_object("value", f"$.{payload}['{f.metadata[KEY]}']"))
+    return out.select(*rest, body.alias(payload), f"_rec.{CORRUPT}")
 
 
-def _flat_columns(dt: T.StructType, prefix: str, path: list[str]) -> list[Column]:
-    out = []
+def _flat_columns(dt: T.StructType, prefix: str, path: list[str]) -> list[tuple[str, Column]]:
+    out: list[tuple[str, Column]] = []
     for f in dt.fields:
         name = f"{prefix}_{f.name}" if prefix else f.name
-        ref = F.col(".".join(f"`{p}`" for p in [*path, f.name]))
+        ref = F.col(".".join(quote(p) for p in [*path, f.name]))
         if isinstance(f.dataType, T.StructType) and f.dataType.fields:
             out += _flat_columns(f.dataType, name, [*path, f.name])
         else:
-            out.append(ref.alias(name))
+            out.append((name, ref))
     return out
 
 
 def flatten(df: DataFrame, payload: str = "_source") -> DataFrame:
     """Payload keys become top-level columns (S3); nested objects are
-    flattened recursively with ``_`` joining the key path."""
+    flattened recursively with ``_`` joining the key path. A key whose column
+    would be called like one of the line's own, or like another key's, gets
+    the next free name (``a_b``, ``a_b_2``, ...)."""
     st = df.schema[payload].dataType
-    rest = [F.col(c) for c in df.columns if c != payload]
-    return df.select(*_flat_columns(st, "", [payload]), *rest)
+    rest = [c for c in df.columns if c != payload]
+    taken, out = {c.lower() for c in rest}, []
+    for name, column in _flat_columns(st, "", [payload]):
+        name = free_name(name, taken)
+        taken.add(name.lower())
+        out.append(column.alias(name))
+    return df.select(*out, *[F.col(c) for c in rest])

@@ -17,6 +17,8 @@ partial files. Do not mix both paths on one bronze table.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,12 +96,13 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
         _mark(spark, log_table, batch_id, names, "done", run_date, layout, stream)
 
 
-def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpoint: str, run_date: str,
+def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpoint: str, run_date: str | None = None,
                   files_per_batch: int = 8, processing_time: str | None = None):
     """Ingest every file under ``source_root`` not yet recorded in
     ``checkpoint``, then stop (``availableNow``). With ``processing_time``
     (e.g. ``"1 minute"``) the query keeps running, picking up new files on
-    that interval, and is returned to the caller (stop it with ``.stop()``)."""
+    that interval, and is returned to the caller (stop it with ``.stop()``).
+    Without ``run_date`` each micro-batch bears the day it runs on."""
     tables.create_namespace(spark, layout.database, layout.location("_db"))
     bronze = layout.table(layout.bronze)
     rejects = layout.table(layout.rejects)
@@ -114,8 +117,8 @@ def stream_ingest(spark: SparkSession, layout: Layout, source_root: str, checkpo
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch belongs to the stream's own session: write through it.
-        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects, run_date, layout, batch_id, log_table,
-                         checkpoint)
+        _ingest_batch_df(batch.sparkSession, batch, bronze, rejects,
+                         run_date or _dt.date.today().isoformat(), layout, batch_id, log_table, checkpoint)
 
     w = positioned.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if processing_time is not None:
