@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import bpe, jaccard_join, lattice_lm, line_rules, packing, quality, sharding, substring_dedup, topk, toxicity
 from .common import fold, read
+from .oracle import oracle_sql
+
+__all__ = ["oracle_sql", "registry"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,7 +85,3 @@ def registry() -> dict[str, Query]:
         "op9_topk": q_op9_topk,
         "op10_packing": q_op10_packing,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
