@@ -18,6 +18,7 @@ INGEST_ROUNDS = 4
 # whole files.
 FILES_PER_RUN = 5
 FIRST_RUN_DATE = "2024-02-01"
+SECOND_RUN_DATE = "2024-02-02"
 TOP_N = 10
 
 BRONZE = """
@@ -240,6 +241,40 @@ SELECT Contract, Mac, TotalDuration, AppName, source_file,
        CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS BIGINT) AS row_index
 FROM bronze"""
     q["stream_ingest"] = q["incremental_ingest"]
+    odd = BRONZE + """, odd AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS BIGINT) AS row_index,
+         event_id % 17 = 3 AS malformed, event_id % 19 = 5 AS no_payload, event_id % 23 = 7 AS no_app
+  FROM bronze
+), given AS (
+  SELECT CASE WHEN NOT no_payload THEN Contract END AS Contract, CASE WHEN NOT no_payload THEN Mac END AS Mac,
+         CASE WHEN NOT no_payload THEN TotalDuration END AS TotalDuration,
+         CASE WHEN NOT no_payload AND NOT no_app THEN AppName END AS AppName, source_file, row_index
+  FROM odd WHERE NOT malformed
+)"""
+    q["odd_records"] = _with(odd) + "SELECT * FROM given"
+    q["ingest_rejects"] = _with(odd) + f"""
+SELECT source_file, row_index, '{{"_id": ' || event_id || ', "_source": {{' AS line, '{FIRST_RUN_DATE}' AS execution_date
+FROM odd WHERE malformed"""
+    q["observed_counts"] = _with(odd) + """
+SELECT 'read' AS what, count(*) AS n FROM odd
+UNION ALL SELECT 'rejects', count(*) FROM odd WHERE malformed
+UNION ALL SELECT 'silver', count(*) FROM (SELECT DISTINCT Contract, source_file FROM given WHERE Contract IS NOT NULL)
+UNION ALL SELECT 'gold', count(*) FROM (SELECT DISTINCT Contract, source_file FROM given WHERE Contract IS NOT NULL)"""
+    q["stage_status"] = _with(BRONZE) + f"""
+SELECT f.source_file, '{FIRST_RUN_DATE}' AS run_date, s.stage,
+       CASE WHEN f.found THEN 'ok' WHEN s.stage = 'bronze' THEN 'failed' ELSE 'skipped' END AS status
+FROM (SELECT min(source_file) AS source_file, true AS found FROM bronze UNION ALL SELECT '19000101', false) f,
+     (SELECT unnest(['bronze', 'silver', 'gold', 'export']) AS stage) s"""
+    q["replayed_ingest"] = _with(BRONZE) + f"""
+SELECT Contract, Mac, TotalDuration, AppName, source_file, row_index,
+       CASE WHEN row_index < (n + 1) // 2 THEN '{FIRST_RUN_DATE}' ELSE '{SECOND_RUN_DATE}' END AS execution_date
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS BIGINT) AS row_index,
+             count(*) OVER (PARTITION BY source_file) AS n FROM bronze)"""
+    kind = "CAST(source_file[7:8] AS INTEGER) % 3"
+    q["evolved_types"] = _with(BRONZE.replace("event_id, event_type, ts", "event_id, event_type, ts, value")) + f"""
+SELECT Contract, Mac, source_file, CASE WHEN {kind} = 0 THEN TotalDuration END AS extra,
+       CASE WHEN {kind} = 1 THEN value END AS "Extra_double", CASE WHEN {kind} = 2 THEN event_type END AS "Extra_string"
+FROM bronze"""
     q["pipeline_serving"] = _with(BRONZE, f"""
 files AS (
   SELECT source_file, row_number() OVER (ORDER BY source_file) AS fno

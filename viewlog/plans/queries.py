@@ -239,6 +239,89 @@ def q_incremental_ingest(spark, sf_dir):
                                                     C.ROW_INDEX)
 
 
+def _odd_ingest(spark: SparkSession, sf_dir: str, tag: str):
+    """Layout and result of ingesting the log with odd lines in one batch."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import write_odd_log
+    from .pipeline import ingest_batch
+
+    root = scratch_path(spark, "odd-log")
+    write_odd_log(read_events(spark, sf_dir), root)
+    lay = _scratch_layout(spark, tag)
+    return lay, ingest_batch(spark, lay, root, None, run_date=O.FIRST_RUN_DATE)
+
+
+def q_odd_records(spark, sf_dir):
+    """Bronze of a log with malformed lines, records without a payload and
+    payloads without an app code: the latter two are rows with NULLs (Q13)."""
+    lay, _ = _odd_ingest(spark, sf_dir, "odd")
+    return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE, C.ROW_INDEX)
+
+
+def q_ingest_rejects(spark, sf_dir):
+    """The malformed lines of that log with their offsets (Q21)."""
+    lay, _ = _odd_ingest(spark, sf_dir, "rejects")
+    return spark.table(lay.table(lay.rejects)).select(C.SOURCE_FILE, C.ROW_INDEX, "line", C.EXEC_DATE)
+
+
+def q_observed_counts(spark, sf_dir):
+    """What the stages report of that log: lines read, malformed ones, silver and gold rows."""
+    from .pipeline import gold_stage, silver_stage
+
+    lay, info = _odd_ingest(spark, sf_dir, "counts")
+    counts = [("read", info["rows"]), ("rejects", info["rejects"]), ("silver", silver_stage(spark, lay, O.FIRST_RUN_DATE)),
+              ("gold", gold_stage(spark, lay, O.FIRST_RUN_DATE))]
+    return spark.createDataFrame(counts, "what string, n bigint")
+
+
+def q_stage_status(spark, sf_dir):
+    """Status rows of a run whose first batch names a file that is not there (Q16)."""
+    from ..sinks import tables
+    from .pipeline import run_batches
+
+    root = log_dir(spark, sf_dir, per_file=True)
+    first = tables.list_partition_values(spark, root, C.SOURCE_FILE)[0]
+    status = run_batches(spark, _scratch_layout(spark, "status"), root, [("19000101", None, O.FIRST_RUN_DATE), (first, None, O.FIRST_RUN_DATE)])
+    return status.select("source_file", "run_date", "stage", "status")
+
+
+def q_replayed_ingest(spark, sf_dir):
+    """Bronze after a run that died with half of a batch written, and the next
+    run, which repeats the batch and goes on."""
+    from ..sources import checkpoint as CP
+    from ..sources import line_index as LI
+    from ..sinks import tables
+    from . import pipeline as P
+
+    root = log_dir(spark, sf_dir, per_file=True)
+    lay = _scratch_layout(spark, "replay")
+    tables.create_namespace(spark, lay.database, lay.location("_db"))
+    CP.ensure_table(spark, lay.table(lay.checkpoint), lay.location(lay.checkpoint))
+    listing = LI.list_source_files(spark, root)
+    lines, n = LI.ensure_index(spark, root, P._index_path(spark, lay), listing)
+    ranges = [(f, 0, -(-n[f] // 2), 0) for f in sorted(n) if n[f]]
+    P._checkpoint(spark, lay, ranges, listing, O.FIRST_RUN_DATE, "dead", "pending")
+    P._write_batch(spark, lay, lines, [(f, stop // 2, stop) for f, _, stop, _ in ranges], O.FIRST_RUN_DATE, "dead")
+    P.ingest_batch(spark, lay, root, None, run_date=O.SECOND_RUN_DATE)
+    return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE, C.ROW_INDEX, C.EXEC_DATE)
+
+
+def q_evolved_types(spark, sf_dir):
+    """A bronze column that comes as a number, a fraction and a text in turn: no value is cut or lost (K5, Q6)."""
+    from ..sinks import tables
+
+    lay = _scratch_layout(spark, "types")
+    tables.create_namespace(spark, lay.database, lay.location("_db"))
+    t = lay.table(lay.bronze)
+    tables.create_table(spark, t, schemas.BRONZE, [C.EXEC_DATE], lay.location(lay.bronze))
+    b = events_as_bronze(read_events(spark, sf_dir), extra=("event_type", "value"))
+    kinds = [F.col(C.DURATION), F.col("value"), F.col("event_type")]
+    for k, kind in enumerate(kinds):
+        part = b.filter(F.dayofmonth(F.to_date(C.SOURCE_FILE, "yyyyMMdd")) % len(kinds) == k)
+        tables.append(spark, t, part.withColumn("Extra" if k else "extra", kind).drop("event_type", "value"), [C.EXEC_DATE])
+    return spark.table(t).select(C.CONTRACT, C.MAC, C.SOURCE_FILE, "extra", "Extra_double", "Extra_string")
+
+
 def q_stream_ingest(spark, sf_dir):
     """Per-day JSON-lines files ingested into bronze as whole new files by an
     availableNow file stream (section 2.11); the second run adds nothing."""
@@ -316,6 +399,12 @@ def registry() -> dict[str, Query]:
         "flatten_source": q_flatten_source,
         "evolved_schema": q_evolved_schema,
         "incremental_ingest": q_incremental_ingest,
+        "odd_records": q_odd_records,
+        "ingest_rejects": q_ingest_rejects,
+        "observed_counts": q_observed_counts,
+        "stage_status": q_stage_status,
+        "replayed_ingest": q_replayed_ingest,
+        "evolved_types": q_evolved_types,
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,
         "pipeline_serving": q_pipeline_serving,

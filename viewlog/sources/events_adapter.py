@@ -97,6 +97,36 @@ def source_records(events: DataFrame) -> DataFrame:
     )
 
 
+# Shares of the odd lines in ``odd_lines``: every so many events, from this one on.
+MALFORMED = (17, 3)
+NO_PAYLOAD = (19, 5)
+NO_APP = (23, 7)
+
+
+def odd_lines(events: DataFrame) -> DataFrame:
+    """The log as text lines (``value``) with malformed lines, records without
+    a payload, and payloads without an app code in fixed places."""
+    recs = source_records(events)
+
+    def every(share: tuple[int, int]) -> Column:
+        return F.col("_id") % share[0] == share[1]
+
+    line = (
+        F.when(every(MALFORMED), F.concat(F.lit('{"_id": '), F.col("_id").cast("string"), F.lit(', "_source": {')))
+        .when(every(NO_PAYLOAD), F.to_json(F.struct("_id", "_index")))
+        .when(every(NO_APP), F.to_json(F.struct("_id", "_index", F.col("_source").dropFields(C.APP).alias("_source"))))
+        .otherwise(F.to_json(F.struct("_id", "_index", "_source")))
+    )
+    return recs.select(line.alias("value"), C.SOURCE_FILE, "_id")
+
+
+def write_odd_log(events: DataFrame, path: str) -> None:
+    """``odd_lines`` as one directory per source file, its part files in name order holding it in ``_id`` order."""
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = odd_lines(events).repartitionByRange(n, C.SOURCE_FILE, "_id").sortWithinPartitions(C.SOURCE_FILE, "_id")
+    lines.drop("_id").write.partitionBy(C.SOURCE_FILE).text(path)
+
+
 def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None,
                      whole: bool = False) -> None:
     """Write the records as JSON lines in ``_id`` order.
