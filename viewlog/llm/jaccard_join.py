@@ -1,24 +1,28 @@
 """Operator 6, n-gram Jaccard join by token-combination prefixes.
 
 A document is the set of its distinct word shingles (64-bit hashes). Documents
-with equal sets are one node. All nodes order their shingles alike: by hash,
-with the corpus's heavy hitters last, by frequency. A node of n shingles that
-links with another misses at most e = n - ceil(t n) of its shingles, so of any
-e + 1 of its first ones at least one is shared.
-
-Shingles that few prefixes hold are indexed alone. Frequent ones are dealt into
-groups by hash and indexed by combinations of ``COMBINE`` of a group; such a
-group only guarantees a shared combination if more of it survive, so the prefix
-is extended until singles + sum over groups of (size - COMBINE + 1) >= e + 1.
-The number of groups depends on the size class of the node; a node also indexes
+with equal sets are one node. A node of n shingles that links with another lacks
+at most e = n - ceil(t n) of them there.
+
+First, nodes that cannot link are set aside. Every node shows its shingles under
+a hash bound that falls with its size class; a shown shingle that no other node
+shows is missing in any partner, so a node with more than e of those is alone.
+
+The others order their shingles alike, rare ones first (by the number of these
+nodes that hold them, then by hash); of any e + 1 of its first shingles a node
+shares one with each partner. Rare shingles are indexed alone. Frequent ones are
+dealt into groups by hash and indexed by combinations of ``COMBINE`` of a group;
+a group only guarantees a shared combination if more of it survive, so the
+prefix is extended until singles + sum over groups of (size - COMBINE + 1)
+>= e + 1. The number of groups depends on the size class; a node also indexes
 for the class below where its partners can be in it.
 
-Nodes with a common signature are candidates. In every signature's bucket, some
+Nodes with a common signature are candidates, if their sizes, and the shingles
+that only one of them has, allow a link. In every signature's bucket, some
 pivots (those with most links first) are compared with the members of other
-components: first by an upper bound from both prefixes, then by the full sets.
-Found links merge components, so that members of one component are not compared
-again; the number of pivots grows until a bucket is one component or each of
-its members has been a pivot. So no link between different components is lost,
+components by their full sets. Found links merge components, so that members of one component are not compared
+again; a pivot leaves its bucket, and the number of pivots grows until a bucket
+is one component. So no link between different components is lost,
 and no bucket's pairs are listed as a whole where its members are linked.
 
 Defined results: a null, empty or blank text has 0 shingles and its own id as
@@ -39,20 +43,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, drop_shuffles, materialize, mix, prepare, sub_batches, word_hashes, word_spans
+from .common import bytes_of, discard, drop_shuffles, materialize, mix, prepare, sub_batches, word_hashes, word_spans
 
 WORDS = 4
 PERCENT = 85
-#: A shingle that at most so many prefixes hold is indexed alone.
+#: A shingle that at most so many nodes hold is indexed alone.
 RARE = 2
 COMBINE = 3
-#: Pivots per bucket in the first rounds; later rounds take four times as many each.
-FIRST_SLICES = (1, 1, 1)
-#: Shingles counted together for heavy hitters, and the least count that a task reports.
-COUNT_BLOCK = 1 << 21
-REPORT_FROM = 4
-#: A heavy hitter has at least this share of all shingles; so there are at most 2^17.
-HEAVY_SHARE = 2.0**-17
+#: Pivots per bucket in the first rounds; later rounds take so many times more each.
+FIRST_SLICES = (1, 1)
+GROWTH = 64
 
 
 def _sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -106,129 +106,101 @@ class SizeClasses:
         own, least = self.of(n), self.of(max(1, -(-self.percent * n // 100)))
         return [own] if own == least else [own, own - 1]
 
-    def prefix(self, n: int) -> int:
-        """Shingles that suffice whatever their frequencies."""
-        return min(n, errors(n, self.percent) + 1 + (COMBINE - 1) * self.groups(self.of(n)))
+    def shown(self, c: int) -> np.uint64:
+        """Nodes of class c show their shingles up to this hash: about 2 e of them, more of small sets."""
+        self.groups(c)
+        share = 2 * (1 - self.percent / 100) + 12 / self.bounds[c]
+        return np.uint64(min(2**64 - 1, int(share * 2**64)))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, digest of the set, and with some rows a task's locally frequent shingles."""
+    """doc_id, n and digest (null for none) of each document's set."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def frequent() -> tuple[list[int], list[int]]:
-            if not held:
-                return [], []
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            return h[n >= REPORT_FROM].view(np.int64).tolist(), n[n >= REPORT_FROM].tolist()
-
-        def rows(ids: pa.Array, sets: list[np.ndarray], found: tuple[list[int], list[int]]) -> pa.RecordBatch:
-            ends = [0] * len(sets) + [len(found[0])]
-            entries = pa.StructArray.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["h", "n"])
-            return pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries),
-                ],
-                ["doc_id", "n", "digest", "heavy"],
-            )
-
-        last = None
         for batch in batches:
             texts = bytes_of(batch.column("text"))
             for lo, hi in sub_batches([len(t) for t in texts]):
-                if last is not None:
-                    yield rows(*last)
                 sets = _sets(texts[lo:hi], words)
-                held += sets
-                size += sum(map(len, sets))
-                found: tuple[list[int], list[int]] = ([], [])
-                if size >= COUNT_BLOCK:
-                    found, held, size = frequent(), [], 0
-                last = (batch.column("doc_id").slice(lo, hi - lo), sets, found)
-        if last is not None:
-            yield rows(last[0], last[1], frequent() if held else last[2])
-
-    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, f"doc_id {id_type}, n long, digest binary, heavy array<struct<h: long, n: long>>")
-
-
-def heavy_hitters(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and counts of the shingles with at least HEAVY_SHARE of all: at most 1 / HEAVY_SHARE.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(lo, hi - lo),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                    ],
+                    ["doc_id", "n", "digest"],
+                )
 
-    They only set the order of the shingles, so a shingle that no task reports costs time, not results.
-    """
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    counts = sets.select(F.explode("heavy").alias("x")).groupBy("x.h").agg(F.sum("x.n").alias("n"))
-    rows = counts.where(F.col("n") >= max(REPORT_FROM, total * HEAVY_SHARE)).collect()
-    h = np.array([r["h"] for r in rows], dtype=np.int64).view(np.uint64)
-    n = np.array([r["n"] for r in rows], dtype=np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {id_type}, n long, digest binary")
 
 
-def ordered(tokens: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Shingles in the common order: by hash, then the heavy ones by count and hash."""
-    if not len(heavy):
-        return tokens
-    at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
-    is_heavy = heavy[at] == tokens
-    last, n = tokens[is_heavy], counts[at[is_heavy]]
-    return np.concatenate([tokens[~is_heavy], last[np.lexsort((last, n))]])
+def _digest(tokens: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def nodes_of(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
-    """node, digest, n, prefix: one row per distinct set, with its first shingles in the common order."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)  # at most 1 / HEAVY_SHARE entries
+def nodes_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, digest, n, shown: one row per distinct set, with the shingles it shows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, (h, n) = SizeClasses(percent), shared.value
+        classes = SizeClasses(percent)
         for batch in batches:
             texts = bytes_of(batch.column("text"))
             for lo, hi in sub_batches([len(t) for t in texts]):
                 sets = [s for s in _sets(texts[lo:hi], words) if len(s)]
+                shown = [s[: np.searchsorted(s, classes.shown(classes.of(len(s))), side="right")].tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([ordered(s, h, n)[: classes.prefix(len(s))].tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["digest", "n", "prefix"],
+                    [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(shown, pa.binary())],
+                    ["digest", "n", "shown"],
                 )
 
-    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "digest binary, n long, prefix binary")
+    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "digest binary, n long, shown binary")
     # Copies of a set meet in a partial aggregate before the shuffle.
-    once = found.groupBy("digest").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    once = found.groupBy("digest").agg(F.first("n").alias("n"), F.first("shown").alias("shown"))
     return once.withColumn("node", F.monotonically_increasing_id())
 
 
-def exploded(nodes: DataFrame) -> DataFrame:
-    """node, h: a row per shingle of a prefix."""
+def linkable(nodes: DataFrame, percent: int) -> DataFrame:
+    """node, digest, n of the nodes that may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = SizeClasses(percent)
         for batch in batches:
-            prefixes = [np.frombuffer(p, dtype=np.int64) for p in batch.column("prefix").to_pylist()]
-            if prefixes:
-                node = np.repeat(batch.column("node").to_numpy(), [len(p) for p in prefixes])
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(prefixes))], ["node", "h"])
+            shown = [np.frombuffer(x, dtype=np.uint64) for x in batch.column("shown").to_pylist()]
+            if shown:
+                sizes = [len(x) for x in shown]
+                # A larger partner shows less; what it may not show proves nothing.
+                sure = [np.searchsorted(x, classes.shown(classes.of(n) + 1), side="right") for x, n in zip(shown, batch.column("n").to_pylist(), strict=True)]
+                place = np.arange(sum(sizes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(batch.column("node").to_numpy(), sizes)),
+                        pa.array(np.concatenate(shown).view(np.int64)),
+                        pa.array((place < np.repeat(sure, sizes)).astype(np.int64)),
+                    ],
+                    ["node", "h", "sure"],
+                )
 
-    return nodes.select("node", "prefix").mapInArrow(run, "node long, h long")
+    # Sets without errors whose partners could only have their size link with nothing else.
+    possible = nodes.where(f"(100 - {percent}) * n >= 100 OR 100 * n div {percent} > n")
+    rows = possible.select("node", "n", "shown").mapInArrow(run, "node long, h long, sure long")
+    alone = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.max("node").alias("node"), F.max("sure").alias("sure"))
+    missing = alone.where("c = 1").groupBy("node").agg(F.sum("sure").alias("missing"))
+    kept = possible.select("node", "digest", "n").join(missing, "node", "left")
+    return kept.where(f"coalesce(missing, 0) <= n - ({percent} * n + 99) div 100").select("node", "digest", "n")
 
 
 def signatures_of(tokens: np.ndarray, n: int, held_by: dict[int, int], classes: SizeClasses) -> list[int]:
-    """The signatures of one node; ``held_by`` has the prefixes that hold a shingle, where two or more do."""
+    """The signatures of one node; ``held_by`` has the nodes that hold a shingle (as a signed number), where two or more do."""
     out: list[int] = []
     need = errors(n, classes.percent) + 1
-    counts = [held_by.get(int(t), 1) for t in tokens.view(np.int64)]
+    counts = np.array([held_by.get(t, 1) for t in tokens.view(np.int64).tolist()])
+    order = np.lexsort((tokens, counts))
+    tokens, counts = tokens[order], counts[order].tolist()
+    if need <= len(counts) and counts[need - 1] == 1:
+        return out  # more shingles of its own than a partner may lack
     for c in classes.emitted(n):
         m = classes.groups(c)
         group = (mix(tokens ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(m)).tolist()
-        salt = (c + 1) * 0x9E3779B97F4A7C15
         found, singles, sure = {}, [], 0
         for t, g, count in zip(tokens.tolist(), group, counts, strict=True):
             if count <= RARE:
@@ -244,32 +216,54 @@ def signatures_of(tokens: np.ndarray, n: int, held_by: dict[int, int], classes:
         combined = (x for have in found.values() for x in itertools.combinations(sorted(have), COMBINE))
         keys = np.array([(*x, *(0,) * (COMBINE - len(x))) for x in itertools.chain(singles, combined)], dtype=np.uint64)
         if len(keys):
-            h = np.full(len(keys), salt & (2**64 - 1), dtype=np.uint64)
+            h = np.full(len(keys), ((c + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1), dtype=np.uint64)
             for j in range(COMBINE):
                 h = mix(h * np.uint64(0xD6E8FEB86659FD93) + keys[:, j])
             out += h.view(np.int64).tolist()
     return out
 
 
-def signatures(nodes: DataFrame, percent: int) -> DataFrame:
-    """sig, node of the signatures that two nodes or more have."""
-    rows = exploded(nodes)
-    held = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
+def largest_partner(n: int, own: int, percent: int) -> int:
+    """The most shingles that a partner of a set of n can have, if ``own`` of the n are in no other set."""
+    return (100 + percent) * (n - own) // percent - n
+
+
+def possible(members: DataFrame) -> DataFrame:
+    """The members of each bucket (sig, n, cap) that another one's size allows to link, where two or more are left."""
+    bounds = members.groupBy("sig").agg(F.min("n").alias("_least"), F.max("cap").alias("_cap"))
+    kept = members.join(bounds, "sig").where("cap >= _least AND n <= _cap").drop("_least", "_cap")
+    several = kept.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
+    return kept.join(several, "sig")
+
+
+def signatures(sets: DataFrame, percent: int) -> DataFrame:
+    """sig, node, n, cap (``largest_partner``) of the signatures that two nodes or more have; ``sets`` has node, n, tokens."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [np.frombuffer(x, dtype=np.int64) for x in batch.column("tokens").to_pylist()]
+            if tokens:
+                node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in tokens])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(tokens))], ["node", "h"])
+
+    rows = sets.select("node", "tokens").mapInArrow(explode, "node long, h long")
+    held = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = rows.join(held, "h").groupBy("node").agg(F.collect_list("h").alias("hs"), F.collect_list("c").alias("cs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
         for batch in batches:
-            node, sig = [], []
-            for i, n, prefix, hs, cs in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "prefix", "hs", "cs")), strict=True):
-                found = signatures_of(np.frombuffer(prefix, dtype=np.uint64), n, dict(zip(hs, cs, strict=True)), classes)
-                sig += found
-                node += [i] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(node, pa.int64())], ["sig", "node"])
+            out: list[list[int]] = [[], [], [], []]
+            for i, n, tokens, hs, cs in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "tokens", "hs", "cs")), strict=True):
+                found = signatures_of(np.frombuffer(tokens, dtype=np.uint64), n, dict(zip(hs, cs, strict=True)), classes)
+                cap = largest_partner(n, n - len(hs), percent)
+                for column, values in zip(out, (found, [i] * len(found), [n] * len(found), [cap] * len(found)), strict=True):
+                    column += values
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["sig", "node", "n", "cap"])
 
-    signed = materialize(nodes.join(shared, "node").select("node", "n", "prefix", "hs", "cs").mapInArrow(run, "sig long, node long"), "jaccard-signed")
-    met = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("sig")
-    return signed.join(met, "sig")
+    shared = sets.join(shared, "node").select("node", "n", "tokens", "hs", "cs")
+    signed = materialize(shared.mapInArrow(run, "sig long, node long, n long, cap long"), "jaccard-signed")
+    return possible(signed)
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -303,36 +297,26 @@ def _decide(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int) -> bool:
     return len(np.intersect1d(a, b, assume_unique=True)) >= overlap(n, m, percent)
 
 
-def bounded(n: int, a: np.ndarray, m: int, b: np.ndarray, rank) -> int:
-    """The most shingles that sets with these prefixes (whole in the common order up to their last) can share."""
-    if not len(a) or not len(b):
-        return 0
-    ends = sorted((rank(a[-1]), rank(b[-1])))
-    x = len(a) if rank(a[-1]) == ends[0] else int(sum(rank(t) <= ends[0] for t in a))
-    y = len(b) if rank(b[-1]) == ends[0] else int(sum(rank(t) <= ends[0] for t in b))
-    return len(np.intersect1d(a, b, assume_unique=True)) + min(n - x, m - y)
-
-
-def _checked(pairs: DataFrame, left: DataFrame, payload: str, test, out: str) -> DataFrame:
-    """``pairs`` (a, b) with the payloads of both nodes, and the verdict of ``test`` in column ``out``."""
-    sides = pairs.join(left.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(payload).alias("xa")), "a")
-    sides = sides.join(left.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(payload).alias("xb")), "b")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their full sets."""
+    sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("xa")), "a")
+    sides = sides.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("xb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [[np.frombuffer(x, dtype=np.uint64) for x in batch.column(c).to_pylist()] for c in ("xa", "xb")]
-            sizes = [batch.column(c).to_pylist() for c in ("na", "nb")]
-            verdict = [test(n, a, m, b) for n, a, m, b in zip(sizes[0], sets[0], sizes[1], sets[1], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(verdict, pa.bool_())], ["a", "b", out])
+            xa, xb = ([np.frombuffer(x, dtype=np.uint64) for x in batch.column(c).to_pylist()] for c in ("xa", "xb"))
+            linked = [_decide(len(a), a, len(b), b, percent) for a, b in zip(xa, xb, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return sides.select("a", "na", "xa", "b", "nb", "xb").mapInArrow(run, f"a long, b long, {out} boolean")
+    # Sizes alone rule many pairs out.
+    sides = sides.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    return sides.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def full_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, n, tokens of the wanted nodes, from the text of one document each."""
-    named = nodes.join(wanted, "node").select("node", "digest", "n")
+def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, n, tokens of the wanted nodes (node, digest, n), from the text of one document each."""
     one = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    one = named.join(one, "digest").where("doc_id IS NOT NULL").select("doc_id", "node", "n", "digest")
+    one = wanted.join(one, "digest").where("doc_id IS NOT NULL").select("doc_id", "node", "n", "digest")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(one, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +326,7 @@ def full_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, wanted: DataFr
                 found = _sets(texts[lo:hi], words)
                 digests = batch.column("digest").slice(lo, hi - lo).to_pylist()
                 # Of rows that repeat the id, those with another text are not meant.
-                keep = [i for i, (s, d) in enumerate(zip(found, digests, strict=True)) if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == d]
+                keep = [i for i, (s, d) in enumerate(zip(found, digests, strict=True)) if len(s) and _digest(s) == d]
                 at = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -356,61 +340,38 @@ def full_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, wanted: DataFr
     return texts.select("node", "n", "digest", "text").mapInArrow(run, "node long, n long, tokens binary").dropDuplicates(["node"])
 
 
-def link(spark: SparkSession, docs: DataFrame, sets: DataFrame, nodes: DataFrame, heavy: tuple, words: int, percent: int) -> DataFrame:
-    """node, comp of the nodes that link with others."""
-    buckets = materialize(signatures(nodes, percent), "jaccard-buckets").withColumn("used", F.lit(False))
+def link(spark: SparkSession, tokens: DataFrame, percent: int) -> DataFrame:
+    """node, comp of the nodes that link with others; ``tokens`` has node, n, tokens."""
+    buckets = materialize(signatures(tokens, percent), "jaccard-buckets")
     drop_shuffles(spark)
-    h, counts = heavy
-    place = spark.sparkContext.broadcast((h, counts))  # at most 1 / HEAVY_SHARE entries
-
-    def may_link(n: int, a: np.ndarray, m: int, b: np.ndarray) -> bool:
-        heavy_h, heavy_n = place.value
-
-        def rank(t: np.uint64) -> tuple:
-            i = int(np.searchsorted(heavy_h, t))
-            return (int(heavy_n[i]), int(t)) if i < len(heavy_h) and heavy_h[i] == t else (0, int(t))
-
-        return bounded(n, a, m, b, rank) >= overlap(n, m, percent)
-
     none = spark.createDataFrame([], "a long, b long")
     comp = spark.createDataFrame([], "node long, comp long")
     links, tested = none, none
-    tokens = None
-    for slices in itertools.chain(FIRST_SLICES, (4**k for k in itertools.count(1))):
+    for slices in itertools.chain(FIRST_SLICES, (GROWTH**k for k in itertools.count(1))):
         degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
-        members = buckets.join(comp, "node", "left").join(degree, "node", "left")
-        members = members.select("sig", "node", "used", F.coalesce("comp", "node").alias("comp"), F.coalesce("d", F.lit(0)).alias("d"))
-        members = materialize(members, "jaccard-members")
-        # Pivots: of the members not used as such yet, one of each slice of a bucket, those with most
-        # links first, in buckets of several components.
-        best = F.struct((-F.col("d")).alias("d"), "node", "comp")
-        open_ = members.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-        part = F.pmod(F.xxhash64("node"), F.lit(slices)).alias("part")
-        chosen = members.where("NOT used").groupBy("sig", part).agg(F.min(best).alias("p")).join(open_, "sig")
-        chosen = materialize(chosen.select("sig", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "jaccard-pivots")
+        known = buckets.join(comp, "node", "left").join(degree, "node", "left")
+        known = known.select("sig", "node", "n", "cap", F.coalesce("comp", "node").alias("comp"), F.coalesce("d", F.lit(0)).alias("d"))
+        open_ = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
+        members = materialize(known.join(open_, "sig"), "jaccard-members")
+        # Pivots: one member of each slice of a bucket that holds several components, those with most links first.
+        best = F.min(F.struct((-F.col("d")).alias("d"), "node", "comp", "n", "cap")).alias("p")
+        chosen = members.groupBy("sig", F.pmod(F.xxhash64("node"), F.lit(slices)).alias("part")).agg(best)
+        pivot = [F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "comp", "n", "cap")]
+        chosen = materialize(chosen.select("sig", *pivot), "jaccard-pivots")
         if chosen.isEmpty():
             return comp
-        pairs = members.join(chosen, "sig").where("comp != pivot_comp")
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        pairs = members.join(chosen, "sig").where("comp != p_comp AND n <= p_cap AND p_n <= cap")
+        pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        likely = materialize(_checked(pairs, nodes, "prefix", may_link, "may"), "jaccard-likely").where("may").select("a", "b")
-        if tokens is None:
-            wanted = members.select("node").distinct()
-            tokens = materialize(full_sets(docs, sets, nodes, wanted, words), "jaccard-sets")
-            drop_shuffles(spark)
-        verdict = _checked(likely, tokens, "tokens", lambda n, a, m, b: _decide(n, a, m, b, percent), "linked")
-        found = materialize(verdict.where("linked").select("a", "b"), "jaccard-links")
-        links = links.union(found)
-        tested = tested.union(pairs)
-        edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(comp.select("node", "comp"))
-        comp = connected(edges)
-        was_pivot = chosen.select("sig", F.col("pivot").alias("node"), F.lit(True).alias("now"))
-        # Buckets that have become one component need no more work.
-        alive = members.select("sig", "node", "used").join(chosen.select("sig").distinct(), "sig", "left_semi")
-        buckets = materialize(
-            alive.join(was_pivot, ["sig", "node"], "left").select("sig", "node", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
-            "jaccard-buckets",
-        )
+        found = materialize(verified(pairs, tokens, percent), "jaccard-links")
+        drop_shuffles(spark)
+        links, tested = links.union(found), tested.union(pairs)
+        if not found.isEmpty():
+            edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(comp.select("node", "comp"))
+            comp = connected(edges)
+        # A pivot has met its whole bucket: the pairs left to compare are among the others.
+        met = chosen.select("sig", F.col("p_node").alias("node"))
+        buckets = possible(members.select("sig", "node", "n", "cap").join(met, ["sig", "node"], "left_anti"))
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -419,14 +380,19 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     prepare(spark)
     docs = docs.select("doc_id", "text")
     sets = materialize(shingle_sets(docs, words), "jaccard-sets")
-    heavy = heavy_hitters(sets)
-    nodes = materialize(nodes_of(docs, heavy, words, percent), "jaccard-nodes")
+    nodes = materialize(nodes_of(docs, words, percent), "jaccard-nodes")
+    drop_shuffles(spark)
+    wanted = materialize(linkable(nodes, percent), "jaccard-linkable")
+    named = materialize(nodes.select("node", "digest"), "jaccard-names")
+    discard(nodes)
+    drop_shuffles(spark)
+    tokens = materialize(full_sets(docs, sets, wanted, words), "jaccard-tokens")
     drop_shuffles(spark)
-    comp = link(spark, docs, sets, nodes, heavy, words, percent)
-    member = sets.select("doc_id", "n", "digest")
+    comp = link(spark, tokens, percent)
+    member = sets
     # Least id of each set, then of each component; both sums are partial before they shuffle.
     least = member.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    of_node = least.join(nodes.select("digest", "node"), "digest").join(comp, "node", "left")
+    of_node = least.join(named, "digest").join(comp, "node", "left")
     of_node = of_node.select("digest", "doc_id", F.coalesce("comp", "node").alias("comp"))
     first = of_node.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = of_node.join(first, "comp").select("digest", "component_id")
