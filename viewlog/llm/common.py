@@ -72,7 +72,9 @@ def materialize(df: DataFrame, name: str, held: bool = False) -> DataFrame:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     if not held:
         _OPEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
 
 
 def drop_shuffles(spark: SparkSession) -> None:
@@ -94,14 +96,20 @@ def release() -> None:
     pipeline has that writes each stage before the next begins.
     """
     while _OPEN:
-        spark, path = _OPEN.pop()
-        jvm = spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        _delete(*_OPEN.pop())
 
 
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` gave as ``df``, once later tables hold all that is needed of it."""
+    entry = (df.sparkSession, df.scratch_path)
+    if entry in _OPEN:
+        _OPEN.remove(entry)
+        _delete(*entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def fold(doc_id: Column, parts: int) -> Column:

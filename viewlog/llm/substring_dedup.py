@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, drop_shuffles, materialize, prepare, sub_batches, window_hashes, word_hashes, word_spans
+from .common import bytes_of, discard, drop_shuffles, materialize, prepare, sub_batches, window_hashes, word_hashes, word_spans
 
 WINDOW = 20
 GRAM = 8
@@ -277,6 +277,7 @@ def _removed(keys: DataFrame, window: int, gram: int) -> DataFrame:
     found = materialize(segments(keys, window, gram), "substring-segments")
     drop_shuffles(spark)
     ranges = materialize(repeated_spans(found, window), "substring-ranges")
+    discard(found)
     drop_shuffles(spark)
     per_doc = ranges.groupBy("__id", "__t").agg(F.collect_list("a").alias("__a"), F.collect_list("b").alias("__b"))
     return keys.drop("__key").join(per_doc, ["__id", "__t"], "left")
