@@ -31,10 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, drop_shuffles, fold, materialize, prepare, word_hashes, word_spans
+from .common import bytes_of, discard, drop_shuffles, fold, materialize, prepare, word_hashes, word_spans
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 EM_ROUNDS = 2
 #: Weight of the first probabilities in each round, in pieces.
 PRIOR = 1000.0
@@ -194,6 +194,17 @@ def load_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
     return pieces, np.log(first / first.sum())
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, their four byte planes one after the other, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+
+
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per block: its documents, their words as numbers, and its distinct words with training counts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -202,7 +213,12 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     def build(block: int, ids: list, held: list, texts: list[bytes]) -> pa.RecordBatch:
         buf, starts, ends, bounds = word_spans(texts)
         h = word_hashes(buf, starts, ends, lower=True)
-        _, first, number = np.unique(h, return_index=True, return_inverse=True)
+        _, first, number, total = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        # Common words get small numbers, which pack well.
+        common = np.argsort(-total, kind="stable")
+        place = np.empty(len(common), dtype=np.int64)
+        place[common] = np.arange(len(common))
+        first, number = first[common], place[number]
         sizes = np.diff(bounds)
         train = np.repeat(~np.array(held, dtype=bool), sizes)
         counts = np.bincount(number, weights=train, minlength=len(first)).astype(np.int64)
@@ -214,7 +230,7 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             pa.array([ids], pa.list_(id_arrow)),
             pa.array([held], pa.list_(pa.bool_())),
             pa.array([sizes.tolist()], pa.list_(pa.int64())),
-            pa.array([number.astype("<u4").tobytes()], pa.binary()),
+            pa.array([packed(number)], pa.binary()),
             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), flat),
         ]
         return pa.RecordBatch.from_arrays(columns, names)
@@ -328,6 +344,8 @@ def score(docs: DataFrame, pieces_path: str | None = None, rounds: int = EM_ROUN
         words = materialize(score_words(spark, counts, pieces, logp), "lm-words")
     finally:
         prepare(spark)
+    discard(counts)
+    drop_shuffles(spark)
     of_block = vocabulary.select(F.col("block").alias("in_block"), "number", "word").join(words, "word").select("in_block", "number", "n", "lp")
     whole = train_tokens + distinct + 1
     end = (trained, math.log10((trained + 1) / whole), float(logp[Lattice.END]) / math.log(10))
@@ -339,8 +357,8 @@ def score(docs: DataFrame, pieces_path: str | None = None, rounds: int = EM_ROUN
         n, lp = np.zeros(size), np.zeros(size)
         at = found.column("number").to_numpy()
         n[at], lp[at] = found.column("n").to_numpy(), found.column("lp").to_numpy()
-        numbers = np.frombuffer(row["numbers"], dtype="<u4")
         ends = np.cumsum([0, *row["sizes"]])
+        numbers = unpacked(row["numbers"], int(ends[-1]))
 
         def total(x: np.ndarray) -> np.ndarray:
             out = np.zeros(len(ends) - 1)
