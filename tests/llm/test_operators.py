@@ -425,6 +425,38 @@ def test_lattice_lm_base_scores(spark, edge, empty):
     assert lattice_lm.score(empty).count() == 0
 
 
+def test_lattice_learns_from_long_words(spark, monkeypatch):
+    """Most training words exceed 96 bytes, as sentences do that are written without spaces."""
+    rng = np.random.default_rng(2)
+    parts = ["日本", "語の", "文章", "abc", "ab", "東", "c"]
+    texts = ["".join(rng.choice(parts, n)).encode() for n in (3, 5, 60, 90, 90, 400, 2000)]
+    texts = texts[:3] + sorted(set(texts[3:]))
+    pieces = [p.encode() for p in [*parts, "日本語", "文", "章ab", "▁日本", "本語"]]
+    weight = np.arange(1.0, len(texts) + 1)
+    lattice = lattice_lm.Lattice(pieces)
+    logp = first = np.log(rng.dirichlet(np.ones(257 + len(pieces))))
+    monkeypatch.setattr(lattice_lm, "_LONG_STEP", 64)
+    got = np.zeros(len(first))
+    lattice.expected_long(texts, weight, first, got)
+    for _ in range(2):
+        sums = np.zeros(len(first))
+        marked = np.zeros(len(first))
+        for t, n in zip(texts, weight, strict=True):
+            lattice.expected(np.frombuffer(t, dtype=np.uint8)[None], np.array([n]), logp, sums)
+            lattice.expected(np.frombuffer("▁".encode() + t, dtype=np.uint8)[None], np.array([n]), logp, marked)
+        if logp is first:
+            assert np.allclose(got, sums)
+        expected = np.exp(first) * lattice_lm.PRIOR + marked
+        expected[lattice_lm.Lattice.END] += 4
+        logp = np.log(expected / expected.sum())
+    counts = spark.createDataFrame([(bytearray(t), int(n)) for t, n in zip(texts, weight, strict=True)], "word binary, n long")
+    assert np.allclose(lattice_lm.fit_weights(spark, counts, pieces, first, 4), logp)
+    scored = {bytes(r["word"]): r["lp"] for r in rows(lattice_lm.score_words(spark, counts, pieces, logp))}
+    for t in texts:
+        m = np.frombuffer("▁".encode() + t, dtype=np.uint8)[None]
+        assert np.isclose(scored[t], lattice.forward(m, logp, lattice.edges(m))[-1][0] / np.log(10))
+
+
 # --- 9 -----------------------------------------------------------------------
 
 

@@ -2,8 +2,8 @@
 
 The pieces are those of an existing subword vocabulary; its scores give the
 first weights (a piece's chance falls with its rank), and ``EM_ROUNDS`` rounds
-of expectation-maximisation over all training words turn them into unigram
-probabilities. A word's probability is the sum over all of its segmentations
+of expectation-maximisation over all training words, of any length, turn them
+into unigram probabilities. A word's probability is the sum over all of its segmentations
 into pieces (single bytes included, so every word has one), by a forward
 recursion in log space. No piece crosses a word border, so a document's
 probability is the product of its words' and of the end piece's.
@@ -23,6 +23,7 @@ ignored.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, discard, drop_shuffles, fold, materialize, prepare, word_hashes, word_spans
+from .common import bytes_of, discard, drop_shuffles, fold, materialize, prepare, sub_batches, word_hashes, word_spans
 
 FOLDS, HELD_OUT = 7, 2
 BLOCK_BYTES = 16 << 20
 EM_ROUNDS = 2
 #: Weight of the first probabilities in each round, in pieces.
 PRIOR = 1000.0
+#: Words of more bytes are not grouped by length, but laid one after the other: so many bytes of them, and so many positions in one step.
 _LONG_WORD = 96
+_LONG_BYTES = 1 << 20
+_LONG_STEP = 1 << 14
 _MARK = "▁".encode()
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 18
@@ -150,18 +154,75 @@ class Lattice:
                 out += np.bincount(found[has], weights=np.exp((alpha[i] + e + scale)[has]), minlength=len(out))
             beta[i] = b
 
+    def long_edges(self, buf: np.ndarray, inside: np.ndarray, a: int, b: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """(first edge of each end, starts, ends, pieces) of the edges that end in a+1 .. b, by end.
+
+        ``buf`` holds words with one byte between them, which is not ``inside``: no edge crosses it.
+        """
+        lo = max(0, a + 1 - self.longest)
+        codes = np.where(inside[lo:b], buf[lo:b].astype(np.uint64) + np.uint64(1), _P)
+        byte = np.arange(a, b)[inside[a:b]]
+        starts, sizes, pieces = [byte], [np.ones(len(byte), dtype=np.int64)], [buf[byte].astype(np.int64)]
+        h = np.zeros(len(codes), dtype=np.uint64)
+        for size in range(1, min(len(codes), self.longest) + 1):
+            h = h[: len(codes) - size + 1] * _P + codes[size - 1 :]
+            first = max(0, a + 1 - size - lo)
+            found = self.find(h[first:])
+            at = np.flatnonzero(found >= 0)
+            starts.append(at + first + lo)
+            sizes.append(np.full(len(at), size))
+            pieces.append(found[at].astype(np.int64))
+        start, piece = np.concatenate(starts), np.concatenate(pieces)
+        end = start + np.concatenate(sizes)
+        order = np.argsort(end, kind="stable")
+        return np.searchsorted(end[order], np.arange(a + 1, b + 2)).tolist(), start[order], end[order], piece[order]
+
+    def forward_long(self, words: list[bytes], logp: np.ndarray) -> tuple[np.ndarray, np.ndarray, array, np.ndarray]:
+        """The same forward recursion for long words of any lengths, laid one after the other.
+
+        Gives their bytes, which of them are in a word, alpha at each position, and the words' ends.
+        """
+        buf = np.frombuffer(b" ".join(words), dtype=np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        inside = np.ones(len(buf), dtype=bool)
+        inside[ends[:-1]] = False
+        alpha = array("d", bytes(8 * (len(buf) + 1)))
+        for a in range(0, len(buf), _LONG_STEP):
+            b = min(a + _LONG_STEP, len(buf))
+            first, start, _, piece = self.long_edges(buf, inside, a, b)
+            start, lp = start.tolist(), logp[piece].tolist()
+            for j in range(a + 1, b + 1):
+                lo, hi = first[j - a - 1], first[j - a]
+                if lo == hi:  # the first position of a word
+                    continue
+                terms = [alpha[i] + x for i, x in zip(start[lo:hi], lp[lo:hi], strict=True)]
+                top = max(terms)
+                alpha[j] = top + math.log(sum([math.exp(t - top) for t in terms]))
+        return buf, inside, alpha, ends
+
     def score_long(self, word: bytes, logp: np.ndarray) -> float:
         """The same forward recursion for one long word."""
-        alpha = [0.0] + [-math.inf] * len(word)
-        for j in range(1, len(word) + 1):
-            terms = [alpha[j - 1] + logp[word[j - 1]]]
-            for i in range(max(0, j - self.longest), j):
-                piece = self.number.get(word[i:j])
-                if piece is not None:
-                    terms.append(alpha[i] + logp[piece])
-            top = max(terms)
-            alpha[j] = top + math.log(sum(math.exp(t - top) for t in terms))
-        return alpha[-1]
+        return self.forward_long([word], logp)[2][-1]
+
+    def expected_long(self, words: list[bytes], weight: np.ndarray, logp: np.ndarray, out: np.ndarray) -> None:
+        """``expected`` for long words of any lengths; time and memory are linear in their bytes."""
+        buf, inside, alpha, ends = self.forward_long(words, logp)
+        at = np.frombuffer(alpha)
+        beta = array("d", [-math.inf]) * len(alpha)
+        for j, x in zip(ends.tolist(), (np.log(np.maximum(weight, 1e-300)) - at[ends]).tolist(), strict=True):
+            beta[j] = x
+        for a in reversed(range(0, len(buf), _LONG_STEP)):
+            b = min(a + _LONG_STEP, len(buf))
+            first, start, end, piece = self.long_edges(buf, inside, a, b)
+            starts, lp = start.tolist(), logp[piece].tolist()
+            for j in range(b, a, -1):
+                after = beta[j]
+                for k in range(first[j - a - 1], first[j - a]):
+                    x, y = after + lp[k], beta[starts[k]]
+                    if x < y:
+                        x, y = y, x
+                    beta[starts[k]] = x + math.log1p(math.exp(y - x))
+            out += np.bincount(piece, weights=np.exp(at[start] + logp[piece] + np.frombuffer(beta)[end]), minlength=len(out))
 
 
 def by_length(words: list[bytes], limit: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -174,6 +235,13 @@ def by_length(words: list[bytes], limit: int = 2048) -> Iterator[tuple[np.ndarra
             yield part, np.frombuffer(b"".join([words[i] for i in part]), dtype=np.uint8).reshape(len(part), n)
 
 
+def by_size(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Positions in the list of the short words, and of the long ones in runs of some bytes (one word at least)."""
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    long = np.flatnonzero(sizes > _LONG_WORD)
+    return np.flatnonzero(sizes <= _LONG_WORD), [long[a:b] for a, b in sub_batches(sizes[long].tolist(), _LONG_BYTES)]
+
+
 def load_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
     """The vocabulary's pieces that can lie within a word, and the first log probabilities.
 
@@ -274,16 +342,17 @@ def fit_weights(spark: SparkSession, counts: DataFrame, pieces: list[bytes], fir
                 if lattice is None:
                     lattice = _lattice(shared.value[0])
                     total = np.zeros(len(shared.value[1]))
-                given = batch.column("word").to_pylist()
+                given = [_MARK + w for w in batch.column("word").to_pylist()]
                 weight = batch.column("n").to_numpy().astype(np.float64)
-                short = np.flatnonzero([len(w) < _LONG_WORD for w in given])
-                for at, words in by_length([_MARK + given[i] for i in short.tolist()]):
+                short, long = by_size(given)
+                for at, words in by_length([given[i] for i in short.tolist()]):
                     lattice.expected(words, weight[short[at]], shared.value[1], total)
+                for at in long:
+                    lattice.expected_long([given[i] for i in at.tolist()], weight[at], shared.value[1], total)
             if total is not None:
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "n"])
 
-        # Words beyond _LONG_WORD bytes are scored like all others; they teach the pieces nothing.
         sums = counts.where("n > 0").select("word", "n").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         expected = np.exp(first) * PRIOR
         for r in sums.collect():
@@ -314,10 +383,10 @@ def score_words(spark: SparkSession, counts: DataFrame, pieces: list[bytes], log
             lattice = lattice or _lattice(shared.value[0])
             given = [_MARK + w for w in batch.column("word").to_pylist()]
             lp = np.empty(len(given))
-            long = np.array([len(w) > _LONG_WORD for w in given], dtype=bool)
-            for i in np.flatnonzero(long).tolist():
-                lp[i] = lattice.score_long(given[i], shared.value[1])
-            short = np.flatnonzero(~long)
+            short, long = by_size(given)
+            for at in long:
+                _, _, alpha, ends = lattice.forward_long([given[i] for i in at.tolist()], shared.value[1])
+                lp[at] = np.frombuffer(alpha)[ends]
             for at, words in by_length([given[i] for i in short.tolist()]):
                 lp[short[at]] = lattice.forward(words, shared.value[1], lattice.edges(words))[-1]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(lp / math.log(10))], ["word", "n", "lp"])
