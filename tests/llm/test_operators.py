@@ -85,6 +85,29 @@ def test_toxicity_edge_rows(spark, edge, empty):
 # --- 2 -----------------------------------------------------------------------
 
 
+def test_toxicity_long_texts(spark, monkeypatch):
+    """Nine in ten labelled texts are long, all toxic ones among them; a few of their words make them toxic."""
+    bad = ["vilefoo", "scumbar", "trashqux"]
+    rows_, labels = [], []
+    for i in range(100):
+        w = words(13_000 if i % 10 else 60, 1_000 + i)
+        if i % 2:
+            for at in range(20, len(w), 300):
+                w[at] = bad[(i + at) % 3]
+        rows_.append((i, " ".join(w), "s"))
+        labels.append((i, i % 2))
+    docs = docs_frame(spark, rows_)
+    assert sum(len(t) >= 50_000 for _, t, _ in rows_) == 90
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for class_chars in (toxicity.CLASS_CHARS, 1_000_000):
+        monkeypatch.setattr(toxicity.trained_on, "__defaults__", (class_chars,))
+        got = {r["doc_id"]: r["predicted"] for r in rows(toxicity.score(docs, toxicity.fit(docs, marks)))}
+        assert np.mean([got[i] == y for i, y in labels]) >= 0.95
+    used = toxicity.trained_on(np.array([0, 1] * 10), np.full(20, 60_000), 200_000)
+    assert used.tolist() == [True] * 4 + [False] + [True, True] + [False] * 13
+    assert toxicity.trained_on(np.array([0, 1] * 10), np.full(20, 60_000), 1).sum() == 2
+
+
 def brute_dedup(texts, window):
     """[(id, text)] in order -> kept words of each."""
     seen, out = set(), []

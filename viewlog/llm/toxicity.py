@@ -9,10 +9,13 @@ its most toxic segment, so long documents do not water down a short insult, and
 unseen spellings share the n-grams of those seen.
 
 Embeddings and softmax are trained jointly in numpy on a bounded sample of
-labelled documents (``PER_CLASS`` of each label, by hash order, each of at most
-``MAX_TRAIN_CHARS`` characters; sampled texts are used whole). Part of the
-sample is kept back to place the threshold. Since both steps are linear, a
-trained model reduces to one number per bucket, which is what tasks receive.
+labelled documents of all lengths (``PER_CLASS`` of each label, by hash order;
+sampled texts are used whole). Every fifth of the sample is kept back: tasks
+score these texts, again whole, and their scores place the threshold. Should
+the others of a class have over ``CLASS_CHARS`` characters in all, those that
+come first by hash are trained on and the rest helps to place the threshold.
+Since both steps are linear, a trained model reduces to one number per bucket,
+which is what tasks receive.
 
 Defined results: a null or empty text, or one without letters and digits, has
 the score of an empty bag (the bias alone), kept below 0.5; repeated rows get
@@ -32,14 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, prepare, sub_batches
+from .common import fold, materialize, prepare, sub_batches
 
 BUCKETS = 1 << 18
 DIM = 4
 SIZES = (3, 4, 5, 6)
 SEGMENT_WORDS = 4
 PER_CLASS = 1500
-MAX_TRAIN_CHARS = 8_000
+#: Characters of each class that the driver trains on (one text at least).
+CLASS_CHARS = 4_000_000
 EPOCHS = 40
 MIN_TEXTS = 4
 RATE = 1.0
@@ -155,7 +159,7 @@ def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Joint full-batch Adam on embeddings and softmax; every fifth text places the threshold.
+    """Joint full-batch Adam on embeddings and softmax; ``placed`` has yet to set the threshold.
 
     N-grams that fewer than ``MIN_TEXTS`` sampled texts hold keep a zero vector:
     they could only be learnt by heart.
@@ -163,15 +167,12 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs:
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(buckets, dtype=np.float32), -100.0)
     rng = np.random.default_rng(seed)
-    kept_back = np.arange(len(texts)) % 5 == 4
-    if len(set(labels[~kept_back].tolist())) < 2 or len(set(labels[kept_back].tolist())) < 2:
-        kept_back[:] = False
-    vocabulary, flat, sizes = _words([t for t, k in zip(texts, kept_back, strict=True) if not k])
+    vocabulary, flat, sizes = _words(texts)
     starts, n_segments = segment_starts(sizes, SEGMENT_WORDS)
     if not len(starts):
         return Model(np.zeros(buckets, dtype=np.float32), -100.0)
     has = np.flatnonzero(n_segments)
-    y = labels[~kept_back].astype(np.float64)[has]
+    y = labels.astype(np.float64)[has]
     seg_words = np.diff(np.append(starts, len(flat)))
     doc_of_seg = np.repeat(np.arange(len(has)), n_segments[has])
     seg_of_word = np.repeat(np.arange(len(starts)), seg_words)
@@ -225,15 +226,16 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs:
             q -= rate * gr / max(np.abs(gr).max(), 1e-3)
     weights = np.zeros(buckets, dtype=np.float32)
     weights[used] = (soft[1] - soft[0]) @ emb
-    model = Model(weights, float(bias[1] - bias[0]))
-    return _placed(model, [t for t, k in zip(texts, kept_back, strict=True) if k], labels[kept_back])
+    return Model(weights, float(bias[1] - bias[0]))
 
 
-def _placed(model: Model, texts: list[str], labels: np.ndarray) -> Model:
-    """Shift the bias so that 0 is the cut with the fewest errors of either class, in the middle of equals."""
-    if not len(texts):
+def placed(model: Model, z: np.ndarray, labels: np.ndarray) -> Model:
+    """Shift the bias so that 0 is the cut with the fewest errors of either class, in the middle of equals.
+
+    ``z`` are the model's logits of whole texts that it was not trained on.
+    """
+    if len(set(labels.tolist())) < 2:
         return model
-    z = model.logits(texts)
     cuts = np.sort(z)
     cuts = np.concatenate([[cuts[0] - 1], (cuts[1:] + cuts[:-1]) / 2, [cuts[-1] + 1]])
     pos, neg = np.sort(z[labels == 1]), np.sort(z[labels == 0])
@@ -244,33 +246,65 @@ def _placed(model: Model, texts: list[str], labels: np.ndarray) -> Model:
     return Model(model.weights, model.bias - float((best[0] + best[-1]) / 2))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray]:
-    """Up to ``per_class`` labelled texts of each class from the learning folds, by hash order of their ids.
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame | None:
+    """doc_id, toxic, order and whole text of up to ``per_class`` labelled documents of each class.
 
-    First the ids are chosen, from the labels alone; only the chosen texts are
-    gathered, at most 2 x ``per_class`` x ``MAX_TRAIN_CHARS`` characters.
+    They come from the learning folds, by hash order of their ids. First the
+    ids are chosen, from the labels alone.
     """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id"))
-    sizes = docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id").distinct()
-    usable = marked.join(sizes, "doc_id", "left_semi")
+    present = docs.where("text IS NOT NULL").select("doc_id").distinct()
+    usable = marked.join(present, "doc_id", "left_semi")
     chosen = []
     for label in (0, 1):
         chosen += [(r["doc_id"], r["toxic"], r["order"]) for r in usable.where(F.col("toxic") == label).orderBy("order", "doc_id").limit(per_class).collect()]
     if not chosen:
-        return [], np.empty(0, dtype=np.int64)
+        return None
     spark = docs.sparkSession
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("toxic", T.IntegerType()), T.StructField("order", T.LongType())])
     wanted = F.broadcast(spark.createDataFrame(chosen, schema))  # at most 2 x per_class rows
-    rows = docs.select("doc_id", "text").where(F.length("text") <= MAX_TRAIN_CHARS).join(wanted, "doc_id")
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(wanted, "doc_id")
     # A repeated id may bring several texts; the least by hash stands for it, so the bound holds.
     rows = rows.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.first("order").alias("order"), F.min_by("text", F.xxhash64("text")).alias("text"))
-    got = sorted(rows.collect(), key=lambda r: (r["order"], r["doc_id"]))
-    return [r["text"] for r in got], np.array([r["toxic"] for r in got], dtype=np.int64)
+    return materialize(rows, "toxic-sample")
+
+
+def trained_on(labels: np.ndarray, chars: np.ndarray, class_chars: int = CLASS_CHARS) -> np.ndarray:
+    """Which of the sampled texts, in hash order, are trained on; the others place the threshold."""
+    fifth = np.arange(len(labels)) % 5 == 4
+    if len(set(labels[~fifth].tolist())) < 2 or len(set(labels[fifth].tolist())) < 2:
+        fifth[:] = False
+    out = ~fifth
+    for label in (0, 1):
+        at = np.flatnonzero(out & (labels == label))
+        over = np.cumsum(chars[at]) > class_chars
+        over[:1] = False
+        out[at[over]] = False
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    return train(*sample(docs, labels, per_class))
+    prepare(docs.sparkSession)
+    sampled = sample(docs, labels, per_class)
+    if sampled is None:
+        return train([], np.empty(0, dtype=np.int64))
+    found = sorted(sampled.select("order", "doc_id", "toxic", F.length("text").alias("chars")).collect(), key=lambda r: (r["order"], r["doc_id"]))
+    trained = trained_on(np.array([r["toxic"] for r in found]), np.array([r["chars"] for r in found]))
+    of_id = {r["doc_id"]: bool(t) for r, t in zip(found, trained, strict=True)}
+    schema = T.StructType([sampled.schema["doc_id"], T.StructField("trained", T.BooleanType())])
+    split = sampled.join(F.broadcast(docs.sparkSession.createDataFrame(list(of_id.items()), schema)), "doc_id")
+    got = sorted(split.where("trained").select("order", "doc_id", "toxic", "text").collect(), key=lambda r: (r["order"], r["doc_id"]))
+    model = train([r["text"] for r in got], np.array([r["toxic"] for r in got], dtype=np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # BUCKETS numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(own.logits(batch.column("text").to_pylist()))], ["toxic", "z"])
+
+    held = split.where("NOT trained").select("toxic", "text").mapInArrow(run, "toxic int, z double").collect()
+    return placed(model, np.array([r["z"] for r in held]), np.array([r["toxic"] for r in held]))
 
 
 def _probability(model: Model, texts: list[str | None]) -> np.ndarray:
