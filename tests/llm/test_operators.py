@@ -393,6 +393,34 @@ def test_quality_finds_junk_without_labels(spark, empty, edge):
     assert quality.score(empty, *quality.fit(empty)).count() == 0
 
 
+def test_quality_of_long_texts_only(spark):
+    """Every text has over 20,000 characters; clean ones repeat words over their length, as texts do."""
+    rng = np.random.default_rng(3)
+    vocabulary = sorted(set(words(3_000, 40, "abcdefghijklmnop")))
+    rows_, junk = [], set()
+    for i in range(60):
+        n = 60_000 if i % 6 == 1 else 6_000
+        w = [*rng.choice(vocabulary, n)]
+        if i % 5 == 0:
+            junk.add(i)
+            w = [*rng.choice(["#", "$$$", "|||", "BUY", "NOW!!!", "***"], n)]
+        else:
+            w[9::12] = [x + "." for x in w[9::12]]
+        rows_.append((i, " ".join(w), "s"))
+    assert min(len(t) for _, t, _ in rows_) > 20_000
+    docs = docs_frame(spark, rows_)
+    got = rows(quality.score(docs, *quality.fit(docs)))
+    assert {r["doc_id"] for r in got if not r["kept"]} == junk
+    clean = [t.encode() for i, t, _ in rows_ if i not in junk]
+    variety = [x[0] for x in quality.LABELLERS].index("variety")
+    assert (quality.votes(quality.statistics(clean)[0])[:, variety] == quality.GOOD).all()
+    without_id = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    scorer, labels = quality.fit(without_id, 40)  # all rows repeat one id
+    assert sum(r["kept"] for r in rows(quality.score(without_id, scorer, labels))) == len(clean)
+    short = [" ".join(words(300, 41)).encode(), b"a b a"]
+    assert quality.statistics(short)[0]["distinct_share"].tolist() == [len(set(t.split())) / len(t.split()) for t in short]
+
+
 # --- 8 -----------------------------------------------------------------------
 
 

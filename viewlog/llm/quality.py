@@ -5,8 +5,10 @@ overlap and disagree. Votes are counted by pattern over all documents (at most
 3^labellers patterns), and expectation-maximisation over those counts estimates
 each labeller's accuracy on each class and the share of good documents, without
 any given label. The posterior of a pattern labels its documents. A linear
-scorer over hashed features is fitted to a bounded sample (``SAMPLE`` documents,
-by hash order) with these posteriors and then scores every document.
+scorer over hashed features is fitted to a bounded sample (``SAMPLE`` documents
+of all lengths, by hash order) with these posteriors and then scores every
+document. Tasks compute features and posteriors of the sample, so the driver
+gets at most ``BUCKETS`` numbers a document and no text.
 
 Features are hashed character-class 4-grams, hashed word shapes and hashed bins
 of the document statistics, so the scorer also judges documents on which most
@@ -38,6 +40,9 @@ ACCEPT = 0.5
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
 
+#: The share of distinct words falls with length; it is taken within spans of so many words.
+SPAN_WORDS = 1000
+
 _LETTER, _UPPER, _DIGIT, _WHITE, _LINE, _HIGH = range(1, 7)
 
 
@@ -97,7 +102,8 @@ def statistics(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray, n
     text = np.repeat(np.arange(len(texts)), n)
     h = word_hashes(buf, starts, ends, lower=True)
     key = mix(h ^ (text.astype(np.uint64) << np.uint64(32)))
-    once, first = np.unique(key, return_index=True)
+    span = (np.arange(len(text)) - bounds[text]) // SPAN_WORDS
+    _, first = np.unique(mix(key + span.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
     distinct = np.bincount(text[first], minlength=len(texts))
     pair = mix(key[:-1] * np.uint64(3) + key[1:]) if len(key) > 1 else np.empty(0, np.uint64)
     same = text[:-1] == text[1:] if len(text) > 1 else np.empty(0, bool)
@@ -240,20 +246,18 @@ class Scorer:
         return out
 
 
-def fit_scorer(texts: list[bytes], good: np.ndarray, buckets: int = BUCKETS, epochs: int = EPOCHS) -> Scorer:
-    """Logistic regression on posterior labels by full-batch Adam, with a small L2 term."""
+def fit_scorer(r: np.ndarray, c: np.ndarray, v: np.ndarray, good: np.ndarray, buckets: int = BUCKETS, epochs: int = EPOCHS) -> Scorer:
+    """Logistic regression on posterior labels by full-batch Adam, with a small L2 term.
+
+    ``r``, ``c`` and ``v`` are the features of the texts, as ``features`` gives them.
+    """
     weights, bias = np.zeros(buckets), 0.0
-    if not len(texts):
+    if not len(good):
         return Scorer(weights, 4.0)
-    parts = []
-    for lo, hi in sub_batches([len(t) for t in texts]):
-        r, c, v = features(texts[lo:hi], buckets)
-        parts.append((r + lo, c, v))
-    r, c, v = (np.concatenate(x) for x in zip(*parts, strict=True))
     m, s = np.zeros(buckets + 1), np.zeros(buckets + 1)
     for epoch in range(epochs):
-        z = np.bincount(r, weights=v * weights[c], minlength=len(texts)) + bias
-        g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good) / len(texts)
+        z = np.bincount(r, weights=v * weights[c], minlength=len(good)) + bias
+        g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good) / len(good)
         grad = np.append(np.bincount(c, weights=v * g[r], minlength=buckets) + 1e-6 * weights, g.sum())
         m += 0.1 * (grad - m)
         s += 0.01 * (grad * grad - s)
@@ -266,21 +270,39 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, LabelModel]:
     """Label model from all documents; scorer from ``sample`` of them, by hash order of the id."""
     counts = {r["pattern"]: r["n"] for r in patterns(docs).collect()}  # at most 3^labellers rows
     model = fit_labels(counts)
-    # The first ids by hash, without their texts; then just those texts, each of at most MAX_CHARS.
+    # The first ids by hash, without their texts; then features and posteriors of just those texts.
     order = F.xxhash64("doc_id")
-    short = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= MAX_CHARS)
-    last = short.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    last = docs.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if last is None:
-        return fit_scorer([], np.empty(0)), model
-    rows = short.where(order <= last).select(order.alias("h"), F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text"))
-    got = rows.orderBy("h", "t").limit(sample).collect()
-    texts = [bytes(r["text"] or b"") for r in got]
-    posterior = [model.posterior(votes(statistics(texts[lo:hi])[0])) for lo, hi in sub_batches([len(t) for t in texts])]
-    return fit_scorer(texts, np.concatenate(posterior)), model
-
+        return fit_scorer(*np.empty((3, 0)), np.empty(0)), model
+    rows = docs.where(order <= last).select(order.alias("h"), F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text"))
+    over = rows.count() - sample
+    if over > 0:  # many rows repeat the last id: of these, the first by hash of the text
+        repeats = rows.where(F.col("h") == last)
+        text = repeats.select("t").orderBy("t").limit(repeats.count() - over).agg(F.max("t")).first()[0]
+        rows = rows.where((F.col("h") < last) | (F.col("t") <= text))
+    shared = docs.sparkSession.sparkContext.broadcast((model.good, model.accuracy))
 
-#: Longer documents are not sampled for fitting (they are voted on and scored like all others).
-MAX_CHARS = 20_000
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels = LabelModel(*shared.value)
+        for batch in batches:
+            texts = bytes_of(batch.column("text"))
+            for lo, hi in sub_batches([len(t) for t in texts]):
+                r, c, v = features(texts[lo:hi])
+                by_text = np.argsort(r, kind="stable")
+                ends = np.cumsum(np.bincount(r, minlength=hi - lo))[:-1]
+                columns = [
+                    pa.array(labels.posterior(votes(statistics(texts[lo:hi])[0]))),
+                    pa.array([x.tobytes() for x in np.split(c[by_text].astype("<u2"), ends)], pa.binary()),
+                    pa.array([x.tobytes() for x in np.split(v[by_text].astype("<f4"), ends)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([batch.column("h")[lo:hi], batch.column("t")[lo:hi], *columns], ["h", "t", "good", "c", "v"])
+
+    drawn = rows.mapInArrow(run, "h long, t long, good double, c binary, v binary")
+    got = sorted((drawn.orderBy("h", "t").limit(sample) if over > 0 else drawn).collect(), key=lambda x: (x["h"], x["t"], x["good"]))
+    c, v = (np.frombuffer(b"".join([bytes(x[k]) for x in got]), dtype=kind) for k, kind in (("c", "<u2"), ("v", "<f4")))
+    r = np.repeat(np.arange(len(got)), [len(x["c"]) // 2 for x in got])
+    return fit_scorer(r, c.astype(np.int64), v, np.array([x["good"] for x in got])), model
 
 
 def score(docs: DataFrame, scorer: Scorer, label_model: LabelModel) -> DataFrame:
