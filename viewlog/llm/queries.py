@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, jaccard_join, lattice_lm, line_rules, packing, quality, sharding, substring_dedup, topk, toxicity
+from . import (
+    bpe,
+    collocations,
+    jaccard_join,
+    lattice_lm,
+    line_rules,
+    packing,
+    prefix_bpe,
+    quality,
+    sharding,
+    spelling,
+    substring_dedup,
+    topk,
+    toxicity,
+)
 from .common import fold, read
 from .oracle import oracle_sql
 
@@ -72,6 +86,21 @@ def q_op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
 
 
+def q_op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def q_op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every frequent word."""
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def q_op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text under the word vocabulary, and the text they decode to."""
+    return prefix_bpe.encode(read(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_toxicity": q_op1_toxicity,
@@ -84,4 +113,7 @@ def registry() -> dict[str, Query]:
         "op8_lattice_lm": q_op8_lattice_lm,
         "op9_topk": q_op9_topk,
         "op10_packing": q_op10_packing,
+        "op11_collocations": q_op11_collocations,
+        "op12_spelling": q_op12_spelling,
+        "op13_prefix_bpe": q_op13_prefix_bpe,
     }
