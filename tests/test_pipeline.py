@@ -114,13 +114,13 @@ def test_crash_before_rejects(spark, fresh_dir, layout, monkeypatch):
 
 
 def test_finished_file_is_not_indexed_again(spark, fresh_dir, layout, monkeypatch):
-    from viewlog.sources import json_lines as J
+    from viewlog.sources import line_index as LI
 
     src = f"{fresh_dir}/src"
     _log(src, "20220411", 20)
     builds = []
-    real = J.index_lines_with_stats
-    monkeypatch.setattr(J, "index_lines_with_stats", lambda *a, **k: builds.append(1) or real(*a, **k))
+    real = LI.build_index
+    monkeypatch.setattr(LI, "build_index", lambda *a, **k: builds.append(1) or real(*a, **k))
     sizes = [P.ingest_batch(spark, layout, src, None, run_date=f"2024-02-0{d}")["rows"] for d in (1, 2, 3)]
     assert (sizes, len(builds)) == ([20, 0, 0], 1)
     _log(src, "20220412", 0)

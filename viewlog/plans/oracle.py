@@ -19,6 +19,10 @@ INGEST_ROUNDS = 4
 FILES_PER_RUN = 5
 FIRST_RUN_DATE = "2024-02-01"
 SECOND_RUN_DATE = "2024-02-02"
+THIRD_RUN_DATE = "2024-02-03"
+# Stage status query: day files a batch, and the file of the second batch, which is not there.
+STATUS_FILES = 10
+MISSING_FILE = "19000101"
 TOP_N = 10
 
 BRONZE = """
@@ -185,6 +189,21 @@ WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract IS NOT DISTINCT FROM
                   AND n.source_file IS NOT DISTINCT FROM o.source_file)
 UNION ALL
 SELECT * FROM new_rows"""
+    q["upsert_versions"] = _with(
+        BRONZE, silver_cte(), gold_cte(), old_bronze,
+        silver_cte("old_bronze", "old_silver"), gold_cte("old_silver", "old_gold"),
+        f"""
+new_rows AS (SELECT {ALIGNED_COLS} FROM gold WHERE source_file >= '{UPSERT_NEW_FIRST_FILE}'),
+old_rows AS (SELECT {ALIGNED_COLS} FROM old_gold)""",
+    ) + """
+SELECT 1 AS version, o.* FROM old_rows o
+UNION ALL
+SELECT 2, o.* FROM old_rows o
+WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract IS NOT DISTINCT FROM o.Contract
+                  AND n.execution_day IS NOT DISTINCT FROM o.execution_day
+                  AND n.source_file IS NOT DISTINCT FROM o.source_file)
+UNION ALL
+SELECT 2, n.* FROM new_rows n"""
     q["v_kpi"] = _with(BRONZE, silver_cte(), gold_cte(), CONTRACT_DAYS) + """
 SELECT execution_day, count(*) AS contracts, CAST(sum(total_duration) AS BIGINT) AS total_duration,
        CAST(sum(TotalDevices) AS BIGINT) AS total_devices
@@ -261,10 +280,45 @@ UNION ALL SELECT 'rejects', count(*) FROM odd WHERE malformed
 UNION ALL SELECT 'silver', count(*) FROM (SELECT DISTINCT Contract, source_file FROM given WHERE Contract IS NOT NULL)
 UNION ALL SELECT 'gold', count(*) FROM (SELECT DISTINCT Contract, source_file FROM given WHERE Contract IS NOT NULL)"""
     q["stage_status"] = _with(BRONZE) + f"""
-SELECT f.source_file, '{FIRST_RUN_DATE}' AS run_date, s.stage,
-       CASE WHEN f.found THEN 'ok' WHEN s.stage = 'bronze' THEN 'failed' ELSE 'skipped' END AS status
-FROM (SELECT min(source_file) AS source_file, true AS found FROM bronze UNION ALL SELECT '19000101', false) f,
-     (SELECT unnest(['bronze', 'silver', 'gold', 'export']) AS stage) s"""
+SELECT g.source_file, strftime(DATE '{FIRST_RUN_DATE}' + CAST(g.k AS INTEGER), '%Y-%m-%d') AS run_date, s.stage,
+       CASE WHEN g.found THEN 'ok' WHEN s.stage = 'bronze' THEN 'failed' ELSE 'skipped' END AS status
+FROM (
+  SELECT string_agg(source_file, ',' ORDER BY source_file) AS source_file, true AS found, CASE WHEN b > 0 THEN b + 1 ELSE 0 END AS k
+  FROM (
+    SELECT source_file, (row_number() OVER (ORDER BY source_file) - 1) // {STATUS_FILES} AS b
+    FROM (SELECT DISTINCT source_file FROM bronze) d
+  ) f GROUP BY b
+  UNION ALL SELECT '{MISSING_FILE}', false, 1
+) g, (SELECT unnest(['bronze', 'silver', 'gold', 'export']) AS stage) s"""
+    q["created_from_frame"] = _with(BRONZE) + """
+SELECT Contract, Mac, TotalDuration, AppName, execution_date, source_file FROM bronze"""
+    q["table_preview"] = _with(BRONZE, silver_cte(), gold_cte()) + f"""
+SELECT * FROM gold ORDER BY Contract, execution_day, source_file LIMIT {TOP_N}"""
+    third = "CAST(source_file[7:8] AS INTEGER) % 3"
+    q["evolved_siblings"] = _with(BRONZE.replace("event_id, event_type, ts", "event_id, event_type, ts, value")) + f"""
+SELECT Contract, Mac, source_file, CASE WHEN {third} = 0 THEN event_id END AS extra,
+       CASE WHEN {third} <> 1 THEN event_id END AS extra_double, CASE WHEN {third} <> 0 THEN value END AS extra_double_2
+FROM bronze"""
+    q["ledger_fold"] = _with(BRONZE, f"""
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY event_id) AS line,
+         count(*) OVER (PARTITION BY source_file) AS lines FROM bronze
+),
+seen AS (
+  SELECT n.*, d.day FROM numbered n
+  JOIN (SELECT unnest(['{FIRST_RUN_DATE}', '{SECOND_RUN_DATE}', '{THIRD_RUN_DATE}']) AS day) d
+    ON d.day = '{THIRD_RUN_DATE}' OR n.line <= ((SELECT max(lines) FROM numbered) + 1) // 2
+),
+typed AS ({TYPED_SELECT.format(src="seen")}
+),
+totals AS (
+  SELECT day, Contract, {_pivot_cols()},
+         count(*) AS TotalDevices, count(DISTINCT Mac) AS DistinctDevices
+  FROM typed WHERE Contract IS NOT NULL GROUP BY day, Contract
+)""") + """
+SELECT t.Contract, t.Error, t.Giai_Tri, t.Phim_Truyen, t.The_Thao, t.Thieu_Nhi, t.Truyen_Hinh,
+       t.TotalDevices, t.DistinctDevices, s.source_file, t.day AS execution_day
+FROM totals t JOIN (SELECT DISTINCT day, Contract, source_file FROM seen) s ON s.day = t.day AND s.Contract = t.Contract"""
     q["replayed_ingest"] = _with(BRONZE) + f"""
 SELECT Contract, Mac, TotalDuration, AppName, source_file, row_index,
        CASE WHEN row_index < (n + 1) // 2 THEN '{FIRST_RUN_DATE}' ELSE '{SECOND_RUN_DATE}' END AS execution_date

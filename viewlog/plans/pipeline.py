@@ -14,6 +14,7 @@ import traceback
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +26,11 @@ from ..operators import serving as S
 from ..operators import silver as SV
 from ..session import shared_dir
 from ..sinks import tables
+from ..sinks.versioned import VersionedTable
 from ..sources import checkpoint as CP
 from ..sources import json_lines as J
 from ..sources import line_index as LI
+from .ledger import Ledger
 
 
 @dataclasses.dataclass(frozen=True)
@@ -50,6 +53,13 @@ class Layout:
     def location(self, name: str) -> str | None:
         return f"{self.root.rstrip('/')}/{name}" if self.root else None
 
+    def folder(self, spark: SparkSession, name: str) -> str:
+        """Where ``name`` lies: under the root, else in the database's folder of the warehouse."""
+        if self.root:
+            return self.location(name)
+        base = spark.catalog.getDatabase(self.database).locationUri
+        return f"{base.rstrip('/')}/{name}"
+
 
 PARTITIONS = {
     "bronze": [C.EXEC_DATE, C.BATCH_ID],
@@ -70,7 +80,24 @@ def attach(spark: SparkSession, layout: Layout) -> None:
     tables.create_namespace(spark, layout.database, layout.location("_db"))
     for attr, parts in PARTITIONS.items():
         name = getattr(layout, attr)
+        if attr == "serving":
+            VersionedTable(spark, layout.location(name), C.EXEC_DAY).register(layout.table(name))
+            continue
         tables.register_existing(spark, layout.table(name), layout.location(name), parts)
+    log = layout.bronze + "_stream_log"
+    tables.register_existing(spark, layout.table(log), layout.location(log))
+
+
+def committed_batches(spark: SparkSession, layout: Layout) -> DataFrame:
+    """batch_id of every bronze batch whose write is known to be complete: the
+    'done' rows of the checkpoint log and of the streams' log."""
+    logs = [(layout.checkpoint, F.col(C.BATCH_ID)), (layout.bronze + "_stream_log", F.col("bronze_batch"))]
+    out = spark.createDataFrame([], f"{C.BATCH_ID} string")
+    for name, batch in logs:
+        if tables.table_exists(spark, layout.table(name)):
+            done = spark.table(layout.table(name)).where(F.col("state") == "done")
+            out = out.union(done.select(batch.alias(C.BATCH_ID)))
+    return out.distinct()
 
 
 def _today() -> str:
@@ -83,27 +110,99 @@ def _index_path(spark: SparkSession, layout: Layout) -> str:
     return layout.location("_line_index") or f"{shared_dir(spark).rstrip('/')}/line-index-{layout.database}"
 
 
-def _write_batch(spark: SparkSession, layout: Layout, lines: DataFrame, ranges: Sequence[tuple[str, int, int]],
-                 run_date: str, batch_id: str) -> tuple[int, list[str]]:
-    """Write lines ``[start, stop)`` of each file as one batch of bronze and
-    rejects, replacing whatever an earlier attempt at the batch left. Returns
-    the malformed lines and the columns that bronze gained."""
-    wanted = spark.createDataFrame(list(ranges), f"{C.SOURCE_FILE} string, _start bigint, _stop bigint")
-    sliced = lines.join(wanted, C.SOURCE_FILE).filter(
-        (F.col(C.ROW_INDEX) >= F.col("_start")) & (F.col(C.ROW_INDEX) < F.col("_stop"))
-    )
-    # Stage the slice in shared storage: the indexed scan runs once, and
-    # discovery, parsing and the writes read the small staged copy.
-    root = layout.location("_ingest_stage") or f"{shared_dir(spark).rstrip('/')}/ingest-stage"
-    stage_path = f"{root}/{batch_id}-{uuid.uuid4().hex[:8]}"
+@dataclasses.dataclass(frozen=True)
+class FileRange:
+    """Lines ``[start, stop)`` of a source file; ``size`` is the batch size that was asked for (0: to its end)."""
+
+    name: str
+    start: int
+    stop: int
+    size: int = 0
+
+
+@dataclasses.dataclass(frozen=True)
+class BatchPlan:
+    """What a batch will read, fixed before it writes anything."""
+
+    batch_id: str
+    run_date: str
+    ranges: list[FileRange]
+    listing: dict[str, LI.SourceFile]
+    lines: dict[str, int]  # of each listed file
+
+
+def _open_layout(spark: SparkSession, layout: Layout) -> None:
+    attach(spark, layout)
+    tables.create_namespace(spark, layout.database, layout.location("_db"))
+    CP.ensure_table(spark, layout.table(layout.checkpoint), layout.location(layout.checkpoint))
+
+
+def _refuse_changed(recorded: dict[str, tuple], listing: dict[str, LI.SourceFile]) -> None:
+    changed = CP.changed_files(recorded, {n: (f.size, f.mtime) for n, f in listing.items()})
+    if changed:
+        raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
+
+
+def plan_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None, run_date: str,
+               files: Sequence[str] | None = None) -> BatchPlan:
+    """The next ``rows`` lines of every source file, as a batch with an id of its own."""
+    _open_layout(spark, layout)
+    listing = LI.list_source_files(spark, source_root, files)
+    missing = sorted(set(files or []) - set(listing))
+    if missing:
+        raise FileNotFoundError(f"no source file(s) {missing} under {source_root}")
+    ranges, lines = [], {}
+    if listing:
+        files_df = spark.createDataFrame([(n,) for n in sorted(listing)], "file_name string")
+        log = CP.read_log(spark, layout.table(layout.checkpoint))
+        cur = {r["file_name"]: r for r in CP.offsets_for(log, files_df).collect()}
+        _refuse_changed({n: (r["file_size"], r["file_mtime"]) for n, r in cur.items() if r["last_offset"] > 0}, listing)
+        lines = LI.ensure_index(spark, _index_path(spark, layout), listing, {n: r["last_offset"] for n, r in cur.items()})
+        for n, r in sorted(cur.items()):
+            # Rows asked for, else the file's last batch size; 0 means to its end.
+            size, start = int(rows if rows is not None else r["rows_per_run"] or 0), r["last_offset"]
+            stop = min(start + size, lines[n]) if size else lines[n]
+            if stop > start:
+                ranges.append(FileRange(n, start, stop, size))
+    return BatchPlan(uuid.uuid4().hex[:16], run_date, ranges, listing, lines)
+
+
+def _mark_batch(spark: SparkSession, layout: Layout, plan: BatchPlan, state: str) -> None:
+    """A checkpoint row per file: its offset after the batch if done, else before it."""
+    rows = [(r.name, r.stop if state == "done" else r.start, r.stop, r.size, plan.listing[r.name].size, plan.listing[r.name].mtime)
+            for r in plan.ranges]
+    df = spark.createDataFrame(rows, "file_name string, last_offset bigint, next_offset bigint, rows_per_run bigint, "
+                                     "file_size bigint, file_mtime bigint")
+    CP.append(spark, layout.table(layout.checkpoint), df, plan.run_date, state=state, batch_id=plan.batch_id)
+
+
+def begin_batch(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
+    """Record the batch as 'pending' before it writes anything."""
+    _mark_batch(spark, layout, plan, "pending")
+
+
+def write_batch(spark: SparkSession, layout: Layout, plan: BatchPlan) -> tuple[int, list[str]]:
+    """Write the lines of a batch to bronze and rejects (see ``write_lines``)."""
+    lines = LI.lines_of(spark, _index_path(spark, layout), [(r.name, r.start, r.stop) for r in plan.ranges])
+    return write_lines(spark, layout, lines, plan.run_date, plan.batch_id)
+
+
+def write_lines(spark: SparkSession, layout: Layout, lines: DataFrame, run_date: str, batch_id: str) -> tuple[int, list[str]]:
+    """Parse lines (value, source_file, row_index) and write them as one batch of
+    bronze and rejects, replacing whatever an earlier attempt at the batch left.
+    Returns the malformed lines and the columns that bronze gained.
+
+    The lines are read once: key discovery, the bronze write and the rejects
+    share the executors' cached copy, which is read anew from the source where
+    an executor is lost.
+    """
     bronze, rejects = layout.table(layout.bronze), layout.table(layout.rejects)
+    held = lines.persist(StorageLevel.DISK_ONLY)
     try:
-        sliced.select("value", C.SOURCE_FILE, C.ROW_INDEX).write.parquet(stage_path)
-        staged = spark.read.parquet(stage_path)
-        payload = J.discover_source_schema(spark, staged)
+        payload = J.discover_source_schema(spark, held)
         # The reject count rides on the bronze write (K11): no separate job.
         seen_bad = Observation("rejects")
-        parsed = J.parse_records(staged, payload).observe(
+        parsed = J.parse_records(held, payload).observe(
             seen_bad, F.sum(F.when(F.col(J.CORRUPT).isNotNull(), 1).otherwise(0)).alias("n")
         )
         stamp = [F.lit(run_date).alias(C.EXEC_DATE), F.lit(batch_id).alias(C.BATCH_ID)]
@@ -121,13 +220,14 @@ def _write_batch(spark: SparkSession, layout: Layout, lines: DataFrame, ranges:
         if n_rejects:
             tables.overwrite_partitions(spark, rejects, bad, PARTITIONS["rejects"], layout.location(layout.rejects))
     finally:
-        tables.delete_path(spark, stage_path)
+        held.unpersist()
     return n_rejects, [c for c in tables.columns_of(spark, bronze) if before and c not in before]
 
 
-def _finish_pending(spark: SparkSession, layout: Layout, source_root: str, log: DataFrame, index_path: str) -> None:
+def _finish_pending(spark: SparkSession, layout: Layout, source_root: str) -> None:
     """Repeat batches whose checkpoint rows stayed 'pending': exactly their
     ranges, under their own run date and batch id, over all their files."""
+    log = CP.read_log(spark, layout.table(layout.checkpoint))
     open_ = CP.latest_checkpoints(log).filter(F.col("state") == "pending").collect()
     for batch_id in sorted({r[C.BATCH_ID] for r in open_}):
         rows = [r for r in open_ if r[C.BATCH_ID] == batch_id]
@@ -135,26 +235,12 @@ def _finish_pending(spark: SparkSession, layout: Layout, source_root: str, log:
         gone = sorted({r["file_name"] for r in rows} - set(listing))
         if gone:
             raise FileNotFoundError(f"source file(s) {gone} of the unfinished batch {batch_id} are gone")
-        recorded = {r["file_name"]: (r["file_size"], r["file_mtime"]) for r in rows}
-        changed = CP.changed_files(recorded, {n: (f.size, f.mtime) for n, f in listing.items()})
-        if changed:
-            raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
-        lines, _ = LI.ensure_index(spark, source_root, index_path, listing, {r["file_name"]: r["last_offset"] for r in rows})
-        run_date = rows[0]["execution_date"]
-        _write_batch(spark, layout, lines, [(r["file_name"], r["last_offset"], r["next_offset"]) for r in rows],
-                     run_date, batch_id)
-        _checkpoint(spark, layout, [(r["file_name"], r["last_offset"], r["next_offset"], r["rows_per_run"]) for r in rows],
-                    listing, run_date, batch_id, "done")
-
-
-def _checkpoint(spark: SparkSession, layout: Layout, ranges: Sequence[tuple[str, int, int, int]],
-                listing: dict[str, LI.SourceFile], run_date: str, batch_id: str, state: str) -> None:
-    """A checkpoint row per file: its offset after the batch if done, else before it."""
-    rows = [(f, stop if state == "done" else start, stop, n, listing[f].size, listing[f].mtime)
-            for f, start, stop, n in ranges]
-    df = spark.createDataFrame(rows, "file_name string, last_offset bigint, next_offset bigint, rows_per_run bigint, "
-                                     "file_size bigint, file_mtime bigint")
-    CP.append(spark, layout.table(layout.checkpoint), df, run_date, state=state, batch_id=batch_id)
+        _refuse_changed({r["file_name"]: (r["file_size"], r["file_mtime"]) for r in rows}, listing)
+        lines = LI.ensure_index(spark, _index_path(spark, layout), listing, {r["file_name"]: r["last_offset"] for r in rows})
+        ranges = [FileRange(r["file_name"], r["last_offset"], r["next_offset"], r["rows_per_run"]) for r in rows]
+        plan = BatchPlan(batch_id, rows[0]["execution_date"], ranges, listing, lines)
+        write_batch(spark, layout, plan)
+        _mark_batch(spark, layout, plan, "done")
 
 
 def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None,
@@ -165,9 +251,9 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     file-name order), or one file per source file directly under
     ``source_root`` (``20220403.json``: the name before the extension). Per
     file: current offset from the checkpoint log -> lines ``[offset, offset +
-    rows)`` -> parse, flatten -> bronze and rejects -> checkpoint, in that
-    order (Q4). The offset advances by the rows actually read (Q5); an empty
-    slice changes nothing (Q14).
+    rows)``, read from their byte ranges -> parse, flatten -> bronze and rejects
+    -> checkpoint, in that order (Q4). The offset advances by the rows actually
+    read (Q5); an empty slice changes nothing (Q14).
 
     A batch has an id and a partition of its own in bronze and rejects. Its
     'pending' checkpoint rows fix id, run date and line ranges before anything
@@ -179,76 +265,39 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     it and never used it, Q15), else reads to the file's end. Malformed lines
     go to a rejects table with their offsets and still count as read (Q21).
     """
-    attach(spark, layout)
     run_date = run_date or _today()
-    tables.create_namespace(spark, layout.database, layout.location("_db"))
-    cp_table = layout.table(layout.checkpoint)
-    CP.ensure_table(spark, cp_table, layout.location(layout.checkpoint))
-    index_path = _index_path(spark, layout)
-    _finish_pending(spark, layout, source_root, CP.read_log(spark, cp_table), index_path)
-
-    listing = LI.list_source_files(spark, source_root, files)
-    missing = sorted(set(files or []) - set(listing))
-    if missing:
-        raise FileNotFoundError(f"no source file(s) {missing} under {source_root}")
-    names = sorted(listing)
-    nothing = {"files": len(names), "rows": 0, "rejects": 0, "new_columns": []}
-    if not names:
-        return nothing
-    files_df = spark.createDataFrame([(n,) for n in names], "file_name string")
-    cur = {r["file_name"]: r for r in CP.offsets_for(CP.read_log(spark, cp_table), files_df).collect()}
-    recorded = {n: (r["file_size"], r["file_mtime"]) for n, r in cur.items() if r["last_offset"] > 0}
-    changed = CP.changed_files(recorded, {n: (sf.size, sf.mtime) for n, sf in listing.items()})
-    if changed:
-        raise CP.ChangedSourceError(f"source files changed since their checkpoint: {changed}")
-    lines, lines_in = LI.ensure_index(spark, source_root, index_path, listing,
-                                      {n: r["last_offset"] for n, r in cur.items()})
-    ranges = []
-    for n, r in cur.items():
-        # Rows asked for, else the file's last batch size; 0 means to its end.
-        size, start = int(rows if rows is not None else r["rows_per_run"] or 0), r["last_offset"]
-        stop = min(start + size, lines_in[n]) if size else lines_in[n]
-        if stop > start:
-            ranges.append((n, start, stop, size))
-    if not ranges:
-        return nothing
-    batch_id = uuid.uuid4().hex[:16]
-    _checkpoint(spark, layout, ranges, listing, run_date, batch_id, "pending")
-    n_rejects, new_cols = _write_batch(spark, layout, lines, [x[:3] for x in ranges], run_date, batch_id)
-    _checkpoint(spark, layout, ranges, listing, run_date, batch_id, "done")
+    _open_layout(spark, layout)
+    _finish_pending(spark, layout, source_root)
+    plan = plan_batch(spark, layout, source_root, rows, run_date, files)
+    if not plan.ranges:
+        return {"files": len(plan.listing), "rows": 0, "rejects": 0, "new_columns": []}
+    begin_batch(spark, layout, plan)
+    n_rejects, new_cols = write_batch(spark, layout, plan)
+    _mark_batch(spark, layout, plan, "done")
     # The line index of files now read to the end is no longer needed.
-    LI.drop_finished(spark, index_path, [n for n, _, stop, _ in ranges if stop >= lines_in[n]])
-    return {"files": len(names), "rows": sum(stop - start for _, start, stop, _ in ranges), "rejects": n_rejects,
+    LI.drop_finished(spark, _index_path(spark, layout), [r.name for r in plan.ranges if r.stop >= plan.lines[r.name]])
+    return {"files": len(plan.listing), "rows": sum(r.stop - r.start for r in plan.ranges), "rejects": n_rejects,
             "new_columns": new_cols}
 
 
 def silver_stage(spark: SparkSession, layout: Layout, run_date: str | None = None,
-                 incremental: bool = False, since_day: str | None = None) -> int:
+                 incremental: bool = False) -> int:
     """Silver snapshot of all bronze for ``run_date``; a rerun of the same day
     replaces that day's partition (Q7). Returns the rows written.
 
-    ``incremental`` folds only bronze rows not seen before into per-file
-    partial sums and a device-pair table (``plans.incremental``) and builds
-    the same snapshot from them, so a run costs the new rows, not the
-    history. Do not switch modes on a layout that already has silver state
-    from the other mode without rebuilding it.
+    ``incremental`` folds the committed batches that the silver ledger lacks
+    (``plans.ledger``) and builds the same snapshot from its state, so a run
+    reads new batches, not the history.
     """
     attach(spark, layout)
     run_date = run_date or _today()
     bronze = spark.table(layout.table(layout.bronze))
     if incremental:
-        from . import incremental as INC
-
-        ft, dt = layout.table(layout.silver + "_files"), layout.table(layout.silver + "_devices")
-        if layout.root:
-            for name in (ft, dt):
-                tables.register_existing(spark, name, layout.location(name.split(".")[-1]),
-                                         [C.SOURCE_FILE] if name == ft else [])
-        INC.fold(spark, bronze, ft, dt, location=layout.location(layout.silver), since_day=since_day)
-        snap = INC.snapshot(spark, ft, dt, run_date) if tables.table_exists(spark, ft) else None
-        if snap is None:
+        ledger = Ledger(spark, layout.folder(spark, layout.silver + "_state"))
+        ledger.fold(bronze, committed_batches(spark, layout))
+        if not ledger.state()[1]:
             return 0
-        silver, obs = tables.counted(snap)
+        silver, obs = tables.counted(ledger.snapshot(run_date))
     else:
         silver, obs = tables.counted(SV.silver_summary(bronze, run_day=run_date))
     tables.overwrite_partitions(spark, layout.table(layout.silver), silver, [C.EXEC_DAY],
@@ -291,7 +340,8 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
     """Latest gold snapshot -> align -> dedup -> keyed upsert into serving.
 
     The latest day comes from the partition list; only that partition is
-    read, and only that partition of the serving table is rewritten. With
+    read. The serving table switches that partition by pointer
+    (``sinks.versioned``), so a run that dies leaves the table as it was. With
     ``jdbc`` (``url``, ``table``, optional ``props``, ``dialect``) the rows go
     to a relational table through a staging table and a MERGE instead.
     """
@@ -301,8 +351,11 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
     if day is None:
         return None
     serving_t = layout.table(layout.serving)
-    if jdbc is None and tables.table_exists(spark, serving_t):
-        target_schema = spark.table(serving_t).schema
+    target = VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY)
+    if jdbc is None:
+        target.register(serving_t)  # a run that died after its commit left the catalog behind
+        if tables.table_exists(spark, serving_t):
+            target_schema = spark.table(serving_t).schema
     snap = spark.table(gold_t).filter(F.col(C.EXEC_DAY) == F.lit(day))
     rows = S.dedup_on_key(S.align_to_target(snap, target_schema), C.SERVING_KEY)
     if jdbc is not None:
@@ -311,11 +364,8 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
         upsert_via_staging(spark, rows, jdbc["url"], jdbc["table"], C.SERVING_KEY, jdbc.get("props"),
                            jdbc.get("dialect", "ansi"))
         return day
-    if not tables.table_exists(spark, serving_t):
-        order = [f.name for f in target_schema.fields if f.name != C.EXEC_DAY] + [C.EXEC_DAY]
-        tables.append(spark, serving_t, rows.select(*order), [C.EXEC_DAY], layout.location(layout.serving))
-    else:
-        tables.upsert(spark, serving_t, rows, C.SERVING_KEY, partition_col=C.EXEC_DAY, partitions=[day])
+    target.upsert(rows, C.SERVING_KEY)
+    target.register(serving_t)
     return day
 
 

@@ -6,6 +6,7 @@ their whole extent; the DuckDB equivalents live in ``plans.oracle``.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from collections.abc import Callable
 
@@ -275,33 +276,32 @@ def q_observed_counts(spark, sf_dir):
 
 
 def q_stage_status(spark, sf_dir):
-    """Status rows of a run whose first batch names a file that is not there (Q16)."""
+    """Status rows of a run over all day files, STATUS_FILES a batch, whose second batch names a file that is
+    not there (Q16)."""
     from ..sinks import tables
     from .pipeline import run_batches
 
     root = log_dir(spark, sf_dir, per_file=True)
-    first = tables.list_partition_values(spark, root, C.SOURCE_FILE)[0]
-    status = run_batches(spark, _scratch_layout(spark, "status"), root, [("19000101", None, O.FIRST_RUN_DATE), (first, None, O.FIRST_RUN_DATE)])
+    days = tables.list_partition_values(spark, root, C.SOURCE_FILE)
+    groups: list = [days[i:i + O.STATUS_FILES] for i in range(0, len(days), O.STATUS_FILES)]
+    groups.insert(1, [O.MISSING_FILE])
+    first = _dt.date.fromisoformat(O.FIRST_RUN_DATE)
+    batches = [(g, None, (first + _dt.timedelta(days=k)).isoformat()) for k, g in enumerate(groups)]
+    status = run_batches(spark, _scratch_layout(spark, "status"), root, batches)
     return status.select("source_file", "run_date", "stage", "status")
 
 
 def q_replayed_ingest(spark, sf_dir):
     """Bronze after a run that died with half of a batch written, and the next
     run, which repeats the batch and goes on."""
-    from ..sources import checkpoint as CP
-    from ..sources import line_index as LI
-    from ..sinks import tables
     from . import pipeline as P
 
     root = log_dir(spark, sf_dir, per_file=True)
     lay = _scratch_layout(spark, "replay")
-    tables.create_namespace(spark, lay.database, lay.location("_db"))
-    CP.ensure_table(spark, lay.table(lay.checkpoint), lay.location(lay.checkpoint))
-    listing = LI.list_source_files(spark, root)
-    lines, n = LI.ensure_index(spark, root, P._index_path(spark, lay), listing)
-    ranges = [(f, 0, -(-n[f] // 2), 0) for f in sorted(n) if n[f]]
-    P._checkpoint(spark, lay, ranges, listing, O.FIRST_RUN_DATE, "dead", "pending")
-    P._write_batch(spark, lay, lines, [(f, stop // 2, stop) for f, _, stop, _ in ranges], O.FIRST_RUN_DATE, "dead")
+    whole = P.plan_batch(spark, lay, root, None, O.FIRST_RUN_DATE)
+    ranges = [dataclasses.replace(r, stop=-(-r.stop // 2)) for r in whole.ranges]
+    P.begin_batch(spark, lay, dataclasses.replace(whole, ranges=ranges))
+    P.write_batch(spark, lay, dataclasses.replace(whole, ranges=[dataclasses.replace(r, start=r.stop // 2) for r in ranges]))
     P.ingest_batch(spark, lay, root, None, run_date=O.SECOND_RUN_DATE)
     return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE, C.ROW_INDEX, C.EXEC_DATE)
 
@@ -322,6 +322,91 @@ def q_evolved_types(spark, sf_dir):
     return spark.table(t).select(C.CONTRACT, C.MAC, C.SOURCE_FILE, "extra", "Extra_double", "Extra_string")
 
 
+def q_evolved_siblings(spark, sf_dir):
+    """A column that comes as a fraction where the table holds whole numbers, beside keys that are called like
+    the sibling it needs, in the table and in the same batch: nothing is cut, mixed or refused (K5)."""
+    from ..sinks import tables
+
+    lay = _scratch_layout(spark, "siblings")
+    tables.create_namespace(spark, lay.database, lay.location("_db"))
+    t = lay.table(lay.bronze)
+    tables.create_table(spark, t, schemas.BRONZE, [C.EXEC_DATE], lay.location(lay.bronze))
+    b = events_as_bronze(read_events(spark, sf_dir), extra=("event_id", "value"))
+    whole, part = F.col("event_id"), F.col("value")
+    kinds = [{"extra": whole, "extra_double": whole}, {"extra": part}, {"extra": part, "extra_double": whole}]
+    for k, kind in enumerate(kinds):
+        rows = b.filter(F.dayofmonth(F.to_date(C.SOURCE_FILE, "yyyyMMdd")) % len(kinds) == k)
+        tables.append(spark, t, rows.withColumns(kind).drop("event_id", "value"), [C.EXEC_DATE])
+    return spark.table(t).select(C.CONTRACT, C.MAC, C.SOURCE_FILE, "extra", "extra_double", "extra_double_2")
+
+
+def q_created_from_frame(spark, sf_dir):
+    """Bronze created from the DataFrame itself, then appended to by name (K3, K4)."""
+    from ..sinks import tables
+
+    lay = _scratch_layout(spark, "create")
+    tables.create_namespace(spark, lay.database, lay.location("_db"))
+    t = lay.table(lay.bronze)
+    b = _bronze(spark, sf_dir)
+    early = F.col(C.SOURCE_FILE) < F.lit(O.EVOLVE_FIRST_FILE)
+    tables.append(spark, t, b.filter(early), [C.EXEC_DATE])
+    tables.append(spark, t, b.filter(~early).select(*reversed(b.columns)), [C.EXEC_DATE])
+    return spark.table(t)
+
+
+def q_table_preview(spark, sf_dir):
+    """The first rows of the gold table as a stage shows them (O2), in key order."""
+    from ..sinks import tables
+
+    return tables.preview(q_gold_usage(spark, sf_dir).orderBy(*C.SERVING_KEY), O.TOP_N)
+
+
+def q_upsert_versions(spark, sf_dir):
+    """The two versions of a serving table that an early export and a later upsert leave, each read as it was
+    committed (K8, J4)."""
+    from ..session import scratch_path
+    from ..sinks.versioned import VersionedTable
+
+    b = _bronze(spark, sf_dir)
+    new = gold_from_bronze(b).filter(F.col(C.SOURCE_FILE) >= F.lit(O.UPSERT_NEW_FIRST_FILE))
+    table = VersionedTable(spark, scratch_path(spark, "versions"), C.EXEC_DAY)
+    found = []
+    for rows in (_old_gold(b), new):
+        n = table.upsert(S.align_to_target(rows, schemas.SERVING), C.SERVING_KEY)
+        found.append(n)
+    names = [f.name for f in schemas.SERVING.fields]
+    parts = [table.read(n).select(F.lit(n).cast("int").alias("version"), *names) for n in found]
+    return parts[0].unionByName(parts[1])
+
+
+def _dead_batch(spark: SparkSession, lay, root: str, run_date: str) -> None:
+    """A batch of all lines left of each file that dies with half of them written."""
+    from . import pipeline as P
+
+    plan = P.plan_batch(spark, lay, root, None, run_date)
+    P.begin_batch(spark, lay, plan)
+    half = [dataclasses.replace(r, start=(r.start + r.stop) // 2) for r in plan.ranges]
+    P.write_batch(spark, lay, dataclasses.replace(plan, ranges=half))
+
+
+def q_ledger_fold(spark, sf_dir):
+    """Incremental silver after half of the log, after a batch that died half-written, and after its replay:
+    the dead half counts in none of them and nothing is lost (D9, D10)."""
+    from .pipeline import ingest_batch, silver_stage
+
+    root = log_dir(spark, sf_dir, per_file=True)
+    lay = _scratch_layout(spark, "ledger")
+    days = read_events(spark, sf_dir).groupBy(F.date_format("ts", "yyyyMMdd")).count()
+    longest = days.agg(F.max("count")).first()[0] or 1
+    ingest_batch(spark, lay, root, -(-longest // 2), run_date=O.FIRST_RUN_DATE)
+    silver_stage(spark, lay, O.FIRST_RUN_DATE, incremental=True)
+    _dead_batch(spark, lay, root, O.SECOND_RUN_DATE)
+    silver_stage(spark, lay, O.SECOND_RUN_DATE, incremental=True)
+    ingest_batch(spark, lay, root, None, run_date=O.THIRD_RUN_DATE)
+    silver_stage(spark, lay, O.THIRD_RUN_DATE, incremental=True)
+    return spark.table(lay.table(lay.silver))
+
+
 def q_stream_ingest(spark, sf_dir):
     """Per-day JSON-lines files ingested into bronze as whole new files by an
     availableNow file stream (section 2.11); the second run adds nothing."""
@@ -405,6 +490,11 @@ def registry() -> dict[str, Query]:
         "stage_status": q_stage_status,
         "replayed_ingest": q_replayed_ingest,
         "evolved_types": q_evolved_types,
+        "evolved_siblings": q_evolved_siblings,
+        "created_from_frame": q_created_from_frame,
+        "table_preview": q_table_preview,
+        "upsert_versions": q_upsert_versions,
+        "ledger_fold": q_ledger_fold,
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,
         "pipeline_serving": q_pipeline_serving,

@@ -35,6 +35,30 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Start of the comment of a sibling column; the name it was made for follows.
+ORIGIN = "sibling of "
+
+
+def origin_of(column: T.StructField) -> str | None:
+    """The (lower-case) name a sibling column was made for; None for other columns."""
+    comment = column.metadata.get("comment", "")
+    return comment[len(ORIGIN):] if comment.startswith(ORIGIN) else None
+
+
+def free_name(name: str, taken: set[str]) -> str:
+    """``name``, or the first of ``name_2``, ``name_3``, ... not taken (in lower case)."""
+    k, out = 2, name
+    while out.lower() in taken:
+        out, k = f"{name}_{k}", k + 1
+    return out
+
+
+def _column_ddl(f: T.StructField) -> str:
+    comment = f.metadata.get("comment")
+    text = comment.replace("\\", "\\\\").replace("'", "\\'") if comment else ""
+    return f"{quote(f.name)} {f.dataType.simpleString()}" + (f" COMMENT '{text}'" if comment else "")
+
+
 def create_namespace(spark: SparkSession, ns: str, location: str | None = None) -> None:
     """K1 (with an explicit location on shared storage when given)."""
     loc = f" LOCATION '{location}'" if location else ""
@@ -57,7 +81,7 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 def create_table(spark: SparkSession, table: str, schema: T.StructType, partitioned_by: Sequence[str] = (),
                  location: str | None = None) -> None:
     """K2: typed DDL, ``PARTITIONED BY``, optional ``LOCATION``."""
-    cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    cols = ", ".join(map(_column_ddl, schema.fields))
     part = f" PARTITIONED BY ({', '.join(quote(c) for c in partitioned_by)})" if partitioned_by else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part}{loc}")
@@ -138,26 +162,52 @@ def fits(given: T.DataType, column: T.DataType) -> bool:
 
 def routed(schema: T.StructType, df: DataFrame) -> DataFrame:
     """``df`` with every column that the table's column of its name cannot
-    hold renamed to a sibling, ``<name>_<type>``: no value is cut or lost."""
-    have = {f.name.lower(): f.dataType for f in schema.fields}
+    hold renamed to a sibling, so that no value is cut or lost.
+
+    The sibling is the table's column made for this name and wide enough, else
+    ``<name>_<type>`` under the first name (``_2``, ``_3``, ...) that neither
+    the table nor ``df`` uses. Siblings carry the name they were made for in
+    their comment, so a key of the data that is called like one never mixes
+    with it.
+    """
+    have = {f.name.lower(): f for f in schema.fields}
+    taken = set(have) | {c.lower() for c in df.columns}
+    names = []
     for f in df.schema.fields:
-        column = have.get(f.name.lower())
-        if column is not None and not fits(f.dataType, column):
+        name = f.name
+        column = have.get(name.lower())
+        if column is not None and (origin_of(column) or not fits(f.dataType, column.dataType)):
+            made_for = [c for c in schema.fields if origin_of(c) == name.lower() and fits(f.dataType, c.dataType)]
             kind = re.sub(r"\W+", "_", f.dataType.simpleString()).strip("_")
-            df = df.withColumnRenamed(f.name, f"{f.name}_{kind}")
-    return df
+            same = next((c.name for c in made_for if c.dataType == f.dataType), None)
+            name = same or (made_for[0].name if made_for else free_name(f"{f.name}_{kind}", taken))
+            taken.add(name.lower())
+        names.append(name)
+    if names == df.columns:
+        return df
+    return df.select(*[F.col(quote(c)).alias(n) for c, n in zip(df.columns, names, strict=True)])
+
+
+def _siblings(schema: T.StructType, df: DataFrame, moved: DataFrame) -> dict[str, str]:
+    """New sibling columns of ``moved`` and the names they are made for."""
+    have = {f.name.lower() for f in schema.fields}
+    pairs = zip(df.columns, moved.columns, strict=True)
+    return {n: c.lower() for c, n in pairs if n != c and n.lower() not in have}
 
 
 def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     """K5: add the columns ``df`` has and the table lacks, with their real
     types and quoted names (Q6). Old rows read NULL for them. A known column
     that comes with a type the table's cannot hold gets a sibling column."""
-    df = routed(spark.table(table).schema, df)
-    have = {c.lower() for c in columns_of(spark, table)}
-    new = [f for f in df.schema.fields if f.name.lower() not in have]
+    schema = spark.table(table).schema
+    moved = routed(schema, df)
+    made_for = _siblings(schema, df, moved)
+    have = {f.name.lower() for f in schema.fields}
+    new = [f for f in moved.schema.fields if f.name.lower() not in have]
     if new:
-        cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        new = [T.StructField(f.name, f.dataType, metadata={"comment": ORIGIN + made_for[f.name]} if f.name in made_for else {})
+               for f in new]
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(map(_column_ddl, new))})")
     return [f.name for f in new]
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .. import constants as C
 from .. import schemas
-from ..sinks.tables import quote
+from ..sinks.tables import free_name, quote
 
 CORRUPT = "_corrupt_record"
 PATH = "_path"
@@ -205,14 +205,6 @@ def discover_source_schema(spark: SparkSession, lines: DataFrame, declared: T.St
 KEY = "json_key"
 
 
-def free_name(name: str, taken: set[str]) -> str:
-    """``name``, or the first of ``name_2``, ``name_3``, ... not taken (in lower case)."""
-    k, out = 2, name
-    while out.lower() in taken:
-        out, k = f"{name}_{k}", k + 1
-    return out
-
-
 def parse_records(lines: DataFrame, payload_schema: T.StructType, payload: str = "_source") -> DataFrame:
     """``from_json`` of each line; keeps the other line columns. A malformed
     line gives a NULL payload and its text in ``_corrupt_record``; a record

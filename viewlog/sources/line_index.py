@@ -1,42 +1,48 @@
-"""A line index per source file version, so offset batches stop re-reading
-whole files.
-
-Computing row offsets needs two passes over a file (split summary, then the
-lines). Doing that for every batch re-reads the file 2k times for k batches.
-Here a file is indexed once per version: its non-blank lines are written as
-Parquet (``value``, ``row_index``) under ``index_path/source_file=<name>/``
-(written in row order, so Parquet's min/max statistics on ``row_index`` let a
-range filter skip most row groups), and a small manifest records the
-(size, modification time) the index was built from. A batch reads only
-``row_index`` in ``[offset, offset + n)`` of the index. A file whose listing no
-longer matches its manifest entry is indexed again; the index of a file that is
-fully ingested is dropped, but its manifest entry stays, so a later batch knows
-that there is nothing left to read.
+"""A sparse line index per source file version, so that offset batches read
+their bytes only.
+
+A file is indexed once per version (listed size and modification time): one
+pass counts the lines of each byte range and marks the place of every
+``MARK_LINES``-th one. The index holds one small row per range, with the number
+of lines before it, under ``index_path/source_file=<name>/``; a manifest records
+the version. A batch of lines ``[offset, offset + n)`` becomes byte ranges that
+start at the last mark before its first line and end at the first mark past its
+last (``sources.line_source``): the text is read where it lies and copied
+nowhere. A file whose listing no longer matches its manifest entry is indexed
+again; the index of a file that is fully ingested is dropped, but its manifest
+entry stays, so a later batch knows that there is nothing left to read.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import json
 import re
+import weakref
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
 from ..sinks import tables
-from . import json_lines as J
+from . import line_source as LS
 
+_SESSIONS: weakref.WeakSet[SparkSession] = weakref.WeakSet()
 _SUFFIX = re.compile(r"(\.jsonl?)?(\.gz|\.bz2|\.zst|\.deflate)?$")
-# Scheme and authority of a URI ("file:", "file://", "s3a://bucket"): paths are
-# compared without them, in their encoded form, on both sides of the join.
-_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+_MARKS = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("at", T.LongType())]))
 INDEX_SCHEMA = T.StructType(
     [
-        T.StructField("value", T.StringType()),
-        T.StructField(C.ROW_INDEX, T.LongType()),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("uri", T.StringType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("stop", T.LongType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("marks", _MARKS),
+        T.StructField("base", T.LongType()),  # lines of the file before the range
         T.StructField(C.SOURCE_FILE, T.StringType()),
     ]
 )
@@ -46,8 +52,9 @@ MANIFEST_SCHEMA = "source_file string, file_size bigint, file_mtime bigint, line
 @dataclasses.dataclass(frozen=True)
 class SourceFile:
     name: str
-    paths: tuple[str, ...]  # for reading
-    uris: tuple[str, ...]  # encoded paths without scheme/authority, as matched against _metadata
+    paths: tuple[str, ...]  # for reading, in the order of their lines
+    uris: tuple[str, ...]  # the same as encoded URIs
+    sizes: tuple[int, ...]
     size: int
     mtime: int  # epoch milliseconds (latest part)
 
@@ -100,7 +107,8 @@ def list_source_files(spark: SparkSession, root: str, files: Sequence[str] | Non
         out[name] = SourceFile(
             name,
             tuple(st.getPath().toString() for st in sts),
-            tuple(re.sub(_AUTHORITY, "", st.getPath().toUri().toString()) for st in sts),
+            tuple(st.getPath().toUri().toString() for st in sts),
+            tuple(int(st.getLen()) for st in sts),
             sum(int(st.getLen()) for st in sts),
             max(int(st.getModificationTime()) for st in sts),
         )
@@ -122,12 +130,48 @@ def _record(spark: SparkSession, manifest_path: str, rows: list[tuple]) -> None:
     spark.createDataFrame([(*r, now) for r in rows], MANIFEST_SCHEMA).write.mode("append").parquet(manifest_path)
 
 
-def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[str, SourceFile],
-                 offsets: dict[str, int] | None = None) -> tuple[DataFrame, dict[str, int]]:
-    """Index rows of the listed files, (re)building stale indexes first; also
-    returns the line count of every listed file. A file read up to its last
-    line (``offsets``) at the recorded size and time is left alone; one whose
-    index was dropped is indexed again if an earlier offset is asked for."""
+def _registered(spark: SparkSession) -> None:
+    """Make the data source known to the session, its code sent along with it."""
+    if spark not in _SESSIONS:
+        cloudpickle.register_pickle_by_value(LS)
+        spark.dataSource.register(LS.LogLines)
+        _SESSIONS.add(spark)
+
+
+def _source(spark: SparkSession, mode: str, ranges: Sequence[LS.Range]) -> DataFrame:
+    _registered(spark)
+    spec = json.dumps([dataclasses.astuple(r) for r in ranges])
+    return spark.read.format(LS.LogLines.name()).option("mode", mode).option("ranges", spec).load()
+
+
+def build_index(spark: SparkSession, index_path: str, files: Sequence[SourceFile], range_bytes: int | None = None) -> dict[str, int]:
+    """Write the index of the given files, replacing earlier ones; returns the lines of each."""
+    size = range_bytes or LS.RANGE_BYTES
+    ranges = [r for f in files for part, (uri, n) in enumerate(zip(f.uris, f.sizes, strict=True))
+              for r in LS.cut_ranges(uri, f.name, part, n, size)]
+    if not ranges:
+        return {f.name: 0 for f in files}
+    before = Window.partitionBy(C.SOURCE_FILE).orderBy("part", "start").rowsBetween(Window.unboundedPreceding, -1)
+    # The window sees one row per range of a file.
+    found = _source(spark, "index", ranges).withColumn("base", F.coalesce(F.sum("lines").over(before), F.lit(0)).cast("bigint"))
+    (found.select(*INDEX_SCHEMA.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(C.SOURCE_FILE).parquet(index_path))
+    per_file = _index(spark, index_path, [f.name for f in files]).groupBy(C.SOURCE_FILE).agg(F.sum("lines"))
+    return {f.name: 0 for f in files} | {r[0]: int(r[1]) for r in per_file.collect()}
+
+
+def _index(spark: SparkSession, index_path: str, names: Sequence[str]) -> DataFrame:
+    """Index rows of the named files: a filter on the partition column."""
+    idx = spark.read.schema(INDEX_SCHEMA).option("basePath", index_path).parquet(index_path)
+    return idx.filter(F.col(C.SOURCE_FILE).isin(list(names)))
+
+
+def ensure_index(spark: SparkSession, index_path: str, listing: dict[str, SourceFile],
+                 offsets: dict[str, int] | None = None) -> dict[str, int]:
+    """Build missing and stale indexes of the listed files; returns the line
+    count of each. A file read up to its last line (``offsets``) at the recorded
+    size and time is left alone; one whose index was dropped is indexed again if
+    an earlier offset is asked for."""
     manifest_path = f"{index_path.rstrip('/')}_manifest"
     known = _manifest(spark, manifest_path)
     read_to = offsets or {}
@@ -138,32 +182,34 @@ def ensure_index(spark: SparkSession, root: str, index_path: str, listing: dict[
     ]
     counts = {n: known[n][2] for n in listing if n not in stale}
     if stale:
-        paths = [p for n in stale for p in listing[n].paths]
-        # One row per listed path; Spark measures it and picks the join.
-        by_path = spark.createDataFrame([(u, n) for n in stale for u in listing[n].uris],
-                                        f"{J.PATH} string, {C.SOURCE_FILE} string")
-        lines = J.with_position(spark.read.text(paths))
-        lines = lines.withColumn(J.PATH, F.regexp_replace(F.col(J.PATH), _AUTHORITY, "")).join(by_path, J.PATH)
-        indexed, _, built = J.index_lines_with_stats(spark, lines, C.SOURCE_FILE)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # Written straight from the input splits: each split is a contiguous
-        # row range of one file, so no shuffle and no single task per file.
-        (indexed.select("value", C.ROW_INDEX, C.SOURCE_FILE)
-         .sortWithinPartitions(C.SOURCE_FILE, C.ROW_INDEX)
-         .write.mode("overwrite").partitionBy(C.SOURCE_FILE).parquet(index_path))
-        lost = [n for n in stale if listing[n].size > 0 and n not in built]
-        # Files of blank lines only have no lines to index.
-        blank = F.length(F.trim(F.col("value"))) == 0
-        if lost and not spark.read.text([p for n in lost for p in listing[n].paths]).where(~blank).isEmpty():  # a path that matched no listed file would silently drop lines
-            raise RuntimeError(f"no lines indexed for non-empty source files {lost}")
-        for n in stale:  # from the split summary: no count job
-            counts[n] = int(built[n][2]) if n in built else 0
-        _record(spark, manifest_path, [(n, listing[n].size, listing[n].mtime, counts[n]) for n in stale])
-    names = list(listing)
-    if not tables.path_exists(spark, index_path):  # every file is finished
-        return spark.createDataFrame([], INDEX_SCHEMA), counts
-    idx = spark.read.schema(INDEX_SCHEMA).option("basePath", index_path).parquet(index_path)
-    return idx.filter(F.col(C.SOURCE_FILE).isin(names)), counts
+        built = build_index(spark, index_path, [listing[n] for n in stale])
+        counts |= built
+        _record(spark, manifest_path, [(n, listing[n].size, listing[n].mtime, built[n]) for n in stale])
+    return counts
+
+
+def lines_of(spark: SparkSession, index_path: str, wanted: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """value, source_file, row_index: lines ``[start, stop)`` of each file, read
+    from the byte ranges that hold them. One row per range reaches the driver,
+    as the tasks of the read that it becomes."""
+    want = spark.createDataFrame(list(wanted), f"{C.SOURCE_FILE} string, _from bigint, _to bigint")
+    idx = _index(spark, index_path, [n for n, _, _ in wanted]).join(want, C.SOURCE_FILE)
+    idx = idx.where("base < _to AND base + lines > _from")
+    first = F.expr("element_at(filter(marks, m -> base + m.line <= _from), -1)")
+    past = F.expr("get(filter(marks, m -> base + m.line >= _to), 0)")
+    rows = idx.select("uri", C.SOURCE_FILE, "part", "start", "stop", "lines", "base", "_from", "_to",
+                      F.when(F.expr("exists(marks, m -> base + m.line <= _from)"), first).alias("mark"), past.alias("end")).collect()
+    ranges = []
+    for r in sorted(rows, key=lambda r: (r[C.SOURCE_FILE], r["part"], r["start"])):
+        row = max(r["base"], r["_from"])
+        line, at = (r["mark"]["line"], r["mark"]["at"]) if r["mark"] is not None else (0, None)
+        ranges.append(LS.Range(
+            r["uri"], r[C.SOURCE_FILE], r["part"], r["start"] if at is None else at, r["end"]["at"] if r["end"] is not None else r["stop"],
+            at is not None, row, row - r["base"] - line, min(r["_to"], r["base"] + r["lines"]) - row,
+        ))
+    lines = _source(spark, "lines", ranges)
+    # The raw bytes as text, as a text scan gives them.
+    return lines.select(F.col("value").cast("string").alias("value"), C.SOURCE_FILE, C.ROW_INDEX)
 
 
 def drop_finished(spark: SparkSession, index_path: str, finished: Sequence[str]) -> None:
@@ -176,5 +222,3 @@ def drop_finished(spark: SparkSession, index_path: str, finished: Sequence[str])
 
 def _of_file(index_path: str, name: str) -> str:
     return f"{index_path.rstrip('/')}/{C.SOURCE_FILE}={name}"
-
-

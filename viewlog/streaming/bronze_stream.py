@@ -18,6 +18,7 @@ partial files. Do not mix both paths on one bronze table.
 from __future__ import annotations
 
 import datetime as _dt
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,12 @@ from ..sources import json_lines as J
 
 # Batch ids restart with a new checkpoint location, so the log is keyed by
 # (stream checkpoint, batch id).
-LOG_SCHEMA = "stream string, batch_id bigint, source_file string, state string, execution_date string"
+LOG_SCHEMA = "stream string, batch_id bigint, source_file string, state string, execution_date string, bronze_batch string"
+
+
+def bronze_batch(stream: str, batch_id: int | None) -> str:
+    """The id of a micro-batch in bronze: one of its own among all streams."""
+    return "stream" if batch_id is None else f"stream-{zlib.crc32(stream.encode()):08x}-{batch_id}"
 
 
 def _log(spark: SparkSession, log_table: str, batch_id: int, stream: str = "") -> dict[str, set[str]]:
@@ -48,7 +54,7 @@ def _log(spark: SparkSession, log_table: str, batch_id: int, stream: str = "") -
 
 def _mark(spark: SparkSession, log_table: str, batch_id: int, files: list[str], state: str, run_date: str,
           layout: Layout, stream: str = "") -> None:
-    df = spark.createDataFrame([(stream, batch_id, f, state, run_date) for f in files], LOG_SCHEMA)
+    df = spark.createDataFrame([(stream, batch_id, f, state, run_date, bronze_batch(stream, batch_id)) for f in files], LOG_SCHEMA)
     tables.append(spark, log_table, df, [], layout.location(log_table.split(".")[-1]))
 
 
@@ -82,7 +88,7 @@ def _ingest_batch_df(spark: SparkSession, batch: DataFrame, bronze: str, rejects
         _mark(spark, log_table, batch_id, names, "pending", run_date, layout, stream)
     payload = J.discover_source_schema(spark, lines)
     parsed = J.parse_records(lines, payload)
-    stamp = [F.lit(run_date).alias(C.EXEC_DATE), F.lit("stream" if batch_id is None else f"stream-{batch_id}").alias(C.BATCH_ID)]
+    stamp = [F.lit(run_date).alias(C.EXEC_DATE), F.lit(bronze_batch(stream, batch_id)).alias(C.BATCH_ID)]
     good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).select("*", *stamp)
     if not tables.table_exists(spark, bronze):
         tables.create_table(spark, bronze, schemas.BRONZE_TABLE, PARTITIONS["bronze"], layout.location(layout.bronze))
