@@ -576,3 +576,13 @@ def test_all_results_on_all_columns_null(spark):
     assert packing.pack(docs).first()["length"] == 1
     assert quality.score(docs, *quality.fit(docs)).first()["kept"] is False
     assert docs.where(F.col("doc_id").isNotNull()).count() == 0
+
+
+def test_packing_ids_equal_the_library_on_every_letter_before_closing_marks():
+    from tokenizers import Tokenizer
+
+    encoder, library = packing._Encoder(packing.default_vocabulary()), Tokenizer.from_file(packing.default_vocabulary())
+    letters = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    texts = [c + m for m in (".", "!?") for c in letters] + ["हक़.", "İ, x!", "é.a", "Σ."]
+    want = library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == [w.ids for w in want]

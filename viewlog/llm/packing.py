@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_shuffles, materialize, prepare
+from .common import drop_shuffles, materialize, prepare, sub_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -36,6 +36,10 @@ _CACHE_WORDS = 400_000
 _CACHE_CHARS = 48
 _LINE_WORDS = 48
 _CLOSING = ".,!?;:"
+#: Last characters after which closing marks are split off; lower-casing takes U+0130 apart.
+_LATIN = frozenset(c for c in map(chr, range(0x250)) if c.isalnum() and c != "\u0130")
+#: Characters of text encoded at a time.
+_STEP_CHARS = 1 << 18
 #: str.split() also splits at these; to the tokenizer they are no white space.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -52,8 +56,9 @@ class _Encoder:
 
     This vocabulary's pre-tokenizer drops white space and never joins across it,
     so the ids of a text are those of its words in order; nor does it join a
-    letter or digit with a mark after it, so a word's closing marks are a piece
-    of their own. Ids are below 2^16.
+    Latin letter or digit with a mark after it, so closing marks after one are a
+    piece of their own. Other words are left whole: normalisation takes some
+    letters apart, and the last part may be a mark. Ids are below 2^16.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -70,7 +75,7 @@ class _Encoder:
 
     def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
         known = self.pieces
-        new = [p for p in pieces if p not in known]
+        new = list(pieces.difference(known))
         if len(known) + len(new) > _CACHE_PIECES:
             known = self.pieces = {p: known[p] for p in pieces if p in known}
         once: dict[str, bytes] = {}
@@ -102,10 +107,9 @@ class _Encoder:
         split = [(_WHITE.split(t) if _ODD_SPACE.search(t) else t.split()) for t in texts]
         need = set().union(*split)
         new = {}
-        for w in need:
-            if w not in self.words:
-                stem = w.rstrip(_CLOSING)
-                new[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem[-1:].isalnum() else (w, "")
+        for w in need.difference(self.words):
+            stem = w.rstrip(_CLOSING)
+            new[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem[-1:] in _LATIN else (w, "")
         ids = self._encode_pieces({p for pair in new.values() for p in pair if p})
         ids[""] = b""
         found = {w: ids[a] + ids[b] for w, (a, b) in new.items()}
@@ -113,7 +117,7 @@ class _Encoder:
             self.words = {w: self.words[w] for w in need if w in self.words}
         words = self.words
         words.update(found)
-        out = [b"".join([words[w] for w in ws]) for ws in split]
+        out = [b"".join(map(words.__getitem__, ws)) for ws in split]
         for w in found:
             if len(w) > _CACHE_CHARS:
                 del words[w]
@@ -143,8 +147,8 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
         for batch in batches:
             encoder = encoder or _encoder(vocabulary)
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i in range(0, len(texts), 64):
-                ids = [x + end for x in encoder.encode(texts[i : i + 64])]
+            for i, j in sub_batches([len(t) for t in texts], _STEP_CHARS):
+                ids = [x + end for x in encoder.encode(texts[i:j])]
                 sizes = np.array([len(x) // 2 for x in ids], dtype=np.int64)
                 places = place + np.cumsum(sizes) - sizes
                 place += int(sizes.sum())
@@ -152,7 +156,7 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
                     [
                         pa.array([part] * len(ids), pa.int32()),
                         pa.array(places),
-                        batch.column("doc_id").slice(i, 64),
+                        batch.column("doc_id").slice(i, j - i),
                         pa.array(sizes),
                         pa.array(ids, pa.binary()),
                     ],
