@@ -586,3 +586,12 @@ def test_packing_ids_equal_the_library_on_every_letter_before_closing_marks():
     texts = [c + m for m in (".", "!?") for c in letters] + ["हक़.", "İ, x!", "é.a", "Σ."]
     want = library.encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == [w.ids for w in want]
+
+
+def test_jaccard_links_through_a_row_without_an_id(spark):
+    base = words(60, 77)
+    left, right = [*base], [*base]
+    left[2], right[57] = "left", "right"
+    rows_ = [(1, " ".join(left), "s"), (None, " ".join(base), "s"), (3, " ".join(right), "s"), (None, " ".join(words(40, 78)), "s")]
+    got = rows(jaccard_join.components(docs_frame(spark, rows_)))
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (0, 1), (1, 1), (3, 1)]

@@ -315,9 +315,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """node, n, tokens of the wanted nodes (node, digest, n), from the text of one document each."""
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = bytes_of(batch.column("text"))
+            for lo, hi in sub_batches([len(t) for t in texts]):
+                digests = [_digest(s) for s in _sets(texts[lo:hi], words)]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column("text").slice(lo, hi - lo)], ["digest", "text"])
+
     one = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    one = wanted.join(one, "digest").where("doc_id IS NOT NULL").select("doc_id", "node", "n", "digest")
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(one, "doc_id")
+    one = wanted.join(one, "digest").select("doc_id", "node", "n", "digest")
+    text = F.col("text").cast("binary").alias("text")
+    named = docs.select("doc_id", text).join(one.where("doc_id IS NOT NULL"), "doc_id").select("node", "n", "digest", "text")
+    # Sets that only rows without an id hold are found by their digest.
+    bare = docs.where("doc_id IS NULL").select(text).mapInArrow(digested, "digest binary, text binary")
+    bare = bare.join(one.where("doc_id IS NULL"), "digest").select("node", "n", "digest", "text").dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +349,7 @@ def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -
                     ["node", "n", "tokens"],
                 )
 
-    return texts.select("node", "n", "digest", "text").mapInArrow(run, "node long, n long, tokens binary").dropDuplicates(["node"])
+    return named.unionByName(bare).mapInArrow(run, "node long, n long, tokens binary").dropDuplicates(["node"])
 
 
 def link(spark: SparkSession, tokens: DataFrame, percent: int) -> DataFrame:
