@@ -23,6 +23,8 @@ THIRD_RUN_DATE = "2024-02-03"
 # Stage status query: day files a batch, and the file of the second batch, which is not there.
 STATUS_FILES = 10
 MISSING_FILE = "19000101"
+# Row-offset stream query: the first lot holds every so many events.
+FIRST_LOT = 3
 TOP_N = 10
 
 BRONZE = """
@@ -294,6 +296,10 @@ FROM (
 SELECT Contract, Mac, TotalDuration, AppName, execution_date, source_file FROM bronze"""
     q["table_preview"] = _with(BRONZE, silver_cte(), gold_cte()) + f"""
 SELECT * FROM gold ORDER BY Contract, execution_day, source_file LIMIT {TOP_N}"""
+    q["stream_offsets"] = _with(BRONZE) + f"""
+SELECT Contract, Mac, TotalDuration, AppName, source_file, '{FIRST_RUN_DATE}' AS execution_date,
+       CAST(row_number() OVER (PARTITION BY source_file ORDER BY event_id % {FIRST_LOT} <> 0, event_id) - 1 AS BIGINT) AS row_index
+FROM bronze"""
     third = "CAST(source_file[7:8] AS INTEGER) % 3"
     q["evolved_siblings"] = _with(BRONZE.replace("event_id, event_type, ts", "event_id, event_type, ts, value")) + f"""
 SELECT Contract, Mac, source_file, CASE WHEN {third} = 0 THEN event_id END AS extra,

@@ -84,14 +84,15 @@ def attach(spark: SparkSession, layout: Layout) -> None:
             VersionedTable(spark, layout.location(name), C.EXEC_DAY).register(layout.table(name))
             continue
         tables.register_existing(spark, layout.table(name), layout.location(name), parts)
-    log = layout.bronze + "_stream_log"
-    tables.register_existing(spark, layout.table(log), layout.location(log))
+    for log in (layout.bronze + "_stream_log", layout.bronze + "_offset_log"):
+        tables.register_existing(spark, layout.table(log), layout.location(log))
 
 
 def committed_batches(spark: SparkSession, layout: Layout) -> DataFrame:
     """batch_id of every bronze batch whose write is known to be complete: the
     'done' rows of the checkpoint log and of the streams' log."""
-    logs = [(layout.checkpoint, F.col(C.BATCH_ID)), (layout.bronze + "_stream_log", F.col("bronze_batch"))]
+    logs = [(layout.checkpoint, F.col(C.BATCH_ID)), (layout.bronze + "_stream_log", F.col("bronze_batch")),
+            (layout.bronze + "_offset_log", F.col("bronze_batch"))]
     out = spark.createDataFrame([], f"{C.BATCH_ID} string")
     for name, batch in logs:
         if tables.table_exists(spark, layout.table(name)):

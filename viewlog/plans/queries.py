@@ -422,6 +422,23 @@ def q_stream_ingest(spark, sf_dir):
                                                     C.ROW_INDEX)
 
 
+def q_stream_offsets(spark, sf_dir):
+    """Bronze of a log that comes in two lots of part files, streamed by row offset in micro-batches bounded by
+    bytes (section 2.11, S6): each line once, numbered on from the lot before; a last run finds nothing."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import write_source_log
+    from ..streaming.offset_stream import offset_ingest
+
+    root, checkpoint = scratch_path(spark, "lots"), scratch_path(spark, "offset-ckpt")
+    lay = _scratch_layout(spark, "offsets")
+    first = F.col("event_id") % O.FIRST_LOT == 0
+    for lot in (first, ~first):
+        write_source_log(read_events(spark, sf_dir).where(lot), root, per_file=True, mode="append")
+        offset_ingest(spark, lay, root, checkpoint, run_date=O.FIRST_RUN_DATE)
+    offset_ingest(spark, lay, root, checkpoint, run_date=O.SECOND_RUN_DATE)
+    return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE, C.ROW_INDEX, C.EXEC_DATE)
+
+
 def _pipeline_serving(spark: SparkSession, sf_dir: str, incremental: bool) -> DataFrame:
     """The stage pipeline end to end (D10 -> D9, silver, gold, D8): the day
     files are ingested whole, FILES_PER_RUN per run, one run date per run;
@@ -497,6 +514,7 @@ def registry() -> dict[str, Query]:
         "ledger_fold": q_ledger_fold,
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,
+        "stream_offsets": q_stream_offsets,
         "pipeline_serving": q_pipeline_serving,
         "pipeline_serving_incremental": q_pipeline_serving_incremental,
     }

@@ -128,7 +128,7 @@ def write_odd_log(events: DataFrame, path: str) -> None:
 
 
 def write_source_log(events: DataFrame, path: str, per_file: bool = False, files: int | None = None,
-                     whole: bool = False) -> None:
+                     whole: bool = False, mode: str = "errorifexists") -> None:
     """Write the records as JSON lines in ``_id`` order.
 
     ``per_file`` writes one directory per source file (``source_file=...``)
@@ -143,6 +143,6 @@ def write_source_log(events: DataFrame, path: str, per_file: bool = False, files
     if per_file:
         by_day = recs.repartition(n, C.SOURCE_FILE) if whole else recs.repartitionByRange(n, C.SOURCE_FILE, "_id")
         by_day = by_day.sortWithinPartitions(C.SOURCE_FILE, "_id")
-        by_day.write.partitionBy(C.SOURCE_FILE).json(path)
+        by_day.write.mode(mode).partitionBy(C.SOURCE_FILE).json(path)
     else:
         recs.repartitionByRange(n, "_id").sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)

@@ -35,7 +35,7 @@ BATCH_LINES = 8192
 
 LINES = "value binary, source_file string, row_index bigint"
 INDEX = "source_file string, part int, uri string, start bigint, stop bigint, lines bigint, marks array<struct<line: bigint, at: bigint>>"
-STREAM = "value binary, source_file string, uri string, start bigint, line bigint"
+STREAM = "value binary, source_file string, uri string, start bigint, stop bigint, line bigint"
 _BOM = b"\xef\xbb\xbf"
 _PACKED = (".gz", ".bz2", ".zst", ".deflate")
 _END = 1 << 62
@@ -178,7 +178,7 @@ def batches(rows: Iterator[tuple], names: Sequence[str], types: Sequence[pa.Data
 def cut_ranges(uri: str, source_file: str, part: int, size: int, range_bytes: int, start: int = 0) -> list[Range]:
     """[start, size) of a file in ranges of ``range_bytes``."""
     if packed(uri):
-        return [Range(uri, source_file, part)]
+        return [Range(uri, source_file, part, 0, _END)]
     return [Range(uri, source_file, part, a, min(a + range_bytes, size)) for a in range(start, size, range_bytes)]
 
 
@@ -265,13 +265,16 @@ class LineStream(DataSourceStreamReader):
         out, left = dict(self.at), self.max_bytes
         for uri, size in self._listed():
             since = out.get(uri, 0)
-            if size > since and left > 0:
-                stop = size if packed(uri) else self._complete(uri, min(size, since + max(left, self.range_bytes)), since)
-                if stop == since and size > since + max(left, self.range_bytes):  # one very long line
-                    stop = self._complete(uri, size, since)
-                if stop > since:
-                    out[uri] = stop
-                    left -= stop - since
+            if size <= since or left <= 0:
+                continue
+            limit = since + max(left, self.range_bytes)
+            stop = size if packed(uri) else self._complete(uri, min(size, limit), since)
+            if stop == since and size > limit:  # one very long line
+                stop = self._complete(uri, size, since)
+            if stop > since:
+                out[uri] = stop
+                # The parts of a source file are taken in order: none before the one ahead of it is done.
+                left = 0 if size > limit and not packed(uri) else left - (stop - since)
         return out
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
@@ -290,8 +293,9 @@ class LineStream(DataSourceStreamReader):
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         p = partition
-        rows = ((line, p.source_file, p.uri, p.start, k) for k, (_, line) in enumerate(read_range(p)))
-        return batches(rows, ["value", "source_file", "uri", "start", "line"], [pa.binary(), pa.string(), pa.string(), pa.int64(), pa.int64()])
+        rows = ((line, p.source_file, p.uri, p.start, p.stop, k) for k, (_, line) in enumerate(read_range(p)))
+        names = ["value", "source_file", "uri", "start", "stop", "line"]
+        return batches(rows, names, [pa.binary(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()])
 
 
 def source_name(uri: str, root: str) -> str:
