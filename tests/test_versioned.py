@@ -236,3 +236,47 @@ def test_a_key_called_like_the_sibling_does_not_clash(spark, tmp_path):
     # A key with the name of a sibling made for another one gets a column of its own.
     tables.append(spark, t, spark.createDataFrame([(5.5,)], "a_double_2 double"))
     assert spark.table(t).where("a_double_2 = 5.5").count() == 0
+
+
+# --- the schema register ---------------------------------------------------------
+
+
+def test_a_new_process_reads_the_register_and_no_file(spark, tmp_path, lay, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    src = str(tmp_path / "src")
+    _log(src, "f1", 4)
+    P.ingest_batch(spark, lay, src, None, run_date="d1")
+    with open(f"{src}/source_file=f1/more.json", "w") as f:
+        f.write(json.dumps({"_source": {"Contract": "n", "extra": 1, "a": {"b": 2}, "a_b": "x"}}) + "\n")
+    P.ingest_batch(spark, lay, src, None, run_date="d2")
+
+    def boom(*a, **k):
+        raise AssertionError("a file was opened for its schema")
+
+    again = P.Layout(database=f"l_{uuid.uuid4().hex[:8]}", root=lay.root)
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameReader, "parquet", boom)
+        P.attach(spark, again)
+    b = spark.table(again.table(again.bronze))
+    assert b.count() == 5 and b.schema.fieldNames() == spark.table(lay.table(lay.bronze)).schema.fieldNames()
+    register = M.load(spark, lay.location(lay.bronze), folder=tables.SCHEMA_FOLDER)[1]["columns"]
+    keys = {c["name"]: c["key"] for c in register}
+    assert keys["extra"] == "extra" and {keys["a_b"], keys["a_b_2"]} == {"a_b", '["a", "b"]'}
+    # The nested key alone still goes to its own column, through the new process too.
+    with open(f"{src}/source_file=f1/n.json", "w") as f:
+        f.write(json.dumps({"_source": {"Contract": "late", "a": {"b": 5}}}) + "\n")
+    P.ingest_batch(spark, again, src, None, run_date="d3")
+    row = spark.table(again.table(again.bronze)).where("Contract = 'late'").first().asDict()
+    nested = next(n for n, k in keys.items() if k.startswith("["))
+    assert row[nested] == 5 and row[next(n for n in ("a_b", "a_b_2") if n != nested)] is None
+
+
+def test_two_writers_lose_no_column_of_the_register(spark, tmp_path):
+    t = _create(spark, tmp_path, "a bigint")
+    location = str(tmp_path / "e")
+    content = M.load(spark, location, folder=tables.SCHEMA_FOLDER)
+    other = [*content[1]["columns"], {"name": "z", "key": "z", "type": "string", "comment": None}]
+    M.commit(spark, location, content[0] + 1, {"columns": other}, folder=tables.SCHEMA_FOLDER)
+    tables.append(spark, t, spark.createDataFrame([(1, 2)], "a bigint, b bigint"))
+    assert {f.name for f in tables.registered_schema(spark, location).fields} == {"a", "b", "z"}

@@ -292,6 +292,10 @@ FROM (
   ) f GROUP BY b
   UNION ALL SELECT '{MISSING_FILE}', false, 1
 ) g, (SELECT unnest(['bronze', 'silver', 'gold', 'export']) AS stage) s"""
+    q["registered_schema"] = _with(BRONZE) + f"""
+SELECT Contract, Mac, source_file, CASE WHEN source_file < '{EVOLVE_FIRST_FILE}' THEN source_file END AS meta_file,
+       event_type AS meta_file_2
+FROM bronze"""
     q["created_from_frame"] = _with(BRONZE) + """
 SELECT Contract, Mac, TotalDuration, AppName, execution_date, source_file FROM bronze"""
     q["table_preview"] = _with(BRONZE, silver_cte(), gold_cte()) + f"""

@@ -210,8 +210,9 @@ def write_lines(spark: SparkSession, layout: Layout, lines: DataFrame, run_date:
         bad = parsed.filter(F.col(J.CORRUPT).isNotNull()).select(
             C.SOURCE_FILE, C.ROW_INDEX, F.col(J.CORRUPT).alias("line"), *stamp
         )
-        good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT)).select("*", *stamp)
         known = tables.table_exists(spark, bronze)
+        schema = spark.table(bronze).drop(C.EXEC_DATE, C.BATCH_ID).schema if known else None
+        good = J.flatten(parsed.filter(F.col(J.CORRUPT).isNull()).drop(J.CORRUPT), table=schema).select("*", *stamp)
         before = set(tables.columns_of(spark, bronze)) if known else set()
         if not known:
             tables.create_table(spark, bronze, schemas.BRONZE_TABLE, PARTITIONS["bronze"],

@@ -340,6 +340,28 @@ def q_evolved_siblings(spark, sf_dir):
     return spark.table(t).select(C.CONTRACT, C.MAC, C.SOURCE_FILE, "extra", "extra_double", "extra_double_2")
 
 
+def q_registered_schema(spark, sf_dir):
+    """Bronze seen by a process that knows only the schema register beside the files: of two keys that want one
+    column name, each keeps its column when it comes without the other (K5, S8)."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import source_records
+    from .pipeline import Layout, attach, ingest_batch
+
+    root, lay = scratch_path(spark, "keyed-log"), _scratch_layout(spark, "register")
+    early = F.col(C.SOURCE_FILE) < F.lit(O.EVOLVE_FIRST_FILE)
+    kind = F.col("_source.EventType")
+    payload = F.col("_source").dropFields("EventType", "meta.seq").withField("meta_file", kind)
+    payload = F.when(early, payload).otherwise(payload.withField("meta", F.lit(None)))
+    lines = source_records(read_events(spark, sf_dir)).select(C.SOURCE_FILE, F.to_json(F.struct(payload.alias("_source"))).alias("value"))
+    lines.write.partitionBy(C.SOURCE_FILE).text(root)
+    for lot in (early, ~early):
+        files = [r[0] for r in lines.where(lot).select(C.SOURCE_FILE).distinct().collect()]
+        ingest_batch(spark, lay, root, None, run_date=O.FIRST_RUN_DATE, files=sorted(files))
+    fresh = Layout(database=lay.database + "_again", root=lay.root)
+    attach(spark, fresh)
+    return spark.table(fresh.table(fresh.bronze)).select(C.CONTRACT, C.MAC, C.SOURCE_FILE, "meta_file", "meta_file_2")
+
+
 def q_created_from_frame(spark, sf_dir):
     """Bronze created from the DataFrame itself, then appended to by name (K3, K4)."""
     from ..sinks import tables
@@ -509,6 +531,7 @@ def registry() -> dict[str, Query]:
         "evolved_types": q_evolved_types,
         "evolved_siblings": q_evolved_siblings,
         "created_from_frame": q_created_from_frame,
+        "registered_schema": q_registered_schema,
         "table_preview": q_table_preview,
         "upsert_versions": q_upsert_versions,
         "ledger_fold": q_ledger_fold,

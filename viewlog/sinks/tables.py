@@ -9,6 +9,7 @@ the partition columns.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.serving import upsert as upsert_rows
+from . import manifest as M
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -45,6 +47,23 @@ def origin_of(column: T.StructField) -> str | None:
     return comment[len(ORIGIN):] if comment.startswith(ORIGIN) else None
 
 
+#: Start of the comment of a column that holds a JSON key not called like it; the key's path follows.
+KEY = "key "
+#: Metadata entry with that path on the way to a new column.
+KEY_METADATA = "json_path"
+
+
+def key_path(path: Sequence[str]) -> str:
+    """A JSON key's path as text: the key itself, or a JSON list of nested ones."""
+    return path[0] if len(path) == 1 and not path[0].startswith("[") else json.dumps(list(path), ensure_ascii=False)
+
+
+def key_of(column: T.StructField) -> str:
+    """The path of the JSON key that a column holds; its name where no comment tells another."""
+    comment = column.metadata.get("comment", "")
+    return comment[len(KEY):] if comment.startswith(KEY) else column.name
+
+
 def free_name(name: str, taken: set[str]) -> str:
     """``name``, or the first of ``name_2``, ``name_3``, ... not taken (in lower case)."""
     k, out = 2, name
@@ -78,6 +97,52 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+#: Folder of the schema register below a table's location.
+SCHEMA_FOLDER = "_schema"
+
+
+def location_of(spark: SparkSession, table: str) -> str | None:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()
+    return found["data_type"] if found else None
+
+
+def registered_schema(spark: SparkSession, location: str) -> T.StructType | None:
+    """The newest schema of the register beside a table's files."""
+    found = M.load(spark, location, folder=SCHEMA_FOLDER)
+    if found is None:
+        return None
+    return T.StructType([
+        T.StructField(c["name"], T._parse_datatype_string(c["type"]), metadata={"comment": c["comment"]} if c["comment"] else {})
+        for c in found[1]["columns"]
+    ])
+
+
+def record_schema(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """Put the table's columns into the register: name, JSON key, type and comment, one version per change.
+
+    Called before a new column is written, so the register is never behind the
+    files. Columns that another writer recorded meanwhile stay.
+    """
+    location = location or location_of(spark, table)
+    if location is None:
+        return
+    for _ in range(10):
+        found = M.load(spark, location, folder=SCHEMA_FOLDER)
+        old = found[1]["columns"] if found else []
+        schema = spark.table(table).schema
+        mine = [{"name": f.name, "key": key_of(f), "type": f.dataType.simpleString(), "comment": f.metadata.get("comment")} for f in schema.fields]
+        names = {c["name"].lower() for c in mine}
+        columns = [*mine, *(c for c in old if c["name"].lower() not in names)]
+        if found and {json.dumps(c, sort_keys=True) for c in columns} == {json.dumps(c, sort_keys=True) for c in old}:
+            return
+        try:
+            M.commit(spark, location, (found[0] if found else 0) + 1, {"columns": columns}, folder=SCHEMA_FOLDER)
+            return
+        except M.VersionTaken:
+            continue
+    raise RuntimeError(f"the schema register of {table} kept changing")
+
+
 def create_table(spark: SparkSession, table: str, schema: T.StructType, partitioned_by: Sequence[str] = (),
                  location: str | None = None) -> None:
     """K2: typed DDL, ``PARTITIONED BY``, optional ``LOCATION``."""
@@ -85,6 +150,8 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, partitio
     part = f" PARTITIONED BY ({', '.join(quote(c) for c in partitioned_by)})" if partitioned_by else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part}{loc}")
+    if location:
+        record_schema(spark, table, location)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -127,15 +194,18 @@ def _has_files(spark: SparkSession, location: str) -> bool:
 
 def register_existing(spark: SparkSession, table: str, location: str, partitioned_by: Sequence[str] = ()) -> bool:
     """Put a table whose files already exist at ``location`` back into the
-    catalog (schema and partitions from the files). Used when the catalog
-    does not outlive the process; a no-op if the table is known or the
-    location holds no data yet."""
+    catalog: its schema from the register beside them, so that no file is
+    opened, its partitions from the folders. Used when the catalog does not
+    outlive the process; a no-op if the table is known or the location holds
+    nothing yet."""
     if table_exists(spark, table) or not path_exists(spark, location):
         return False
-    if not _has_files(spark, location):
-        return False
-    # All files' schemas merged: columns that came by evolution are in the later ones only.
-    schema = spark.read.option("basePath", location).option("mergeSchema", "true").parquet(location).schema
+    schema = registered_schema(spark, location)
+    if schema is None:
+        if not _has_files(spark, location):
+            return False
+        # Files of before the register: their schemas merged, as evolved columns are in the later ones only.
+        schema = spark.read.option("basePath", location).option("mergeSchema", "true").parquet(location).schema
     data = [f for f in schema.fields if f.name not in partitioned_by]
     parts = [schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in partitioned_by]
     create_table(spark, table, T.StructType(data + parts), partitioned_by, location)
@@ -195,6 +265,13 @@ def _siblings(schema: T.StructType, df: DataFrame, moved: DataFrame) -> dict[str
     return {n: c.lower() for c, n in pairs if n != c and n.lower() not in have}
 
 
+def _marked(f: T.StructField, made_for: dict[str, str]) -> dict:
+    """Metadata of a new column: a comment if it is a sibling, or holds a key that is not called like it."""
+    if f.name in made_for:
+        return {"comment": ORIGIN + made_for[f.name]}
+    return {"comment": KEY + f.metadata[KEY_METADATA]} if KEY_METADATA in f.metadata else {}
+
+
 def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     """K5: add the columns ``df`` has and the table lacks, with their real
     types and quoted names (Q6). Old rows read NULL for them. A known column
@@ -205,9 +282,9 @@ def evolve(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     have = {f.name.lower() for f in schema.fields}
     new = [f for f in moved.schema.fields if f.name.lower() not in have]
     if new:
-        new = [T.StructField(f.name, f.dataType, metadata={"comment": ORIGIN + made_for[f.name]} if f.name in made_for else {})
-               for f in new]
+        new = [T.StructField(f.name, f.dataType, metadata=_marked(f, made_for)) for f in new]
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(map(_column_ddl, new))})")
+        record_schema(spark, table)
     return [f.name for f in new]
 
 

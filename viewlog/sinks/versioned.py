@@ -208,7 +208,7 @@ def evolved(schema: T.StructType, df: DataFrame) -> T.StructType:
     made_for = tables._siblings(schema, df, moved)
     have = {f.name.lower() for f in schema.fields}
     new = [
-        T.StructField(f.name, f.dataType, metadata={"comment": tables.ORIGIN + made_for[f.name]} if f.name in made_for else {})
+        T.StructField(f.name, f.dataType, metadata=tables._marked(f, made_for))
         for f in moved.schema.fields
         if f.name.lower() not in have
     ]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from .. import schemas
+from ..sinks import tables
 
 
 _EXTRA = ("file_size", "file_mtime", "state", "execution_date", C.BATCH_ID, "next_offset")
@@ -48,11 +49,8 @@ def offsets_for(log: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    if spark.catalog.tableExists(table):
-        return
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.CHECKPOINT.fields)
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{loc}")
+    if not tables.table_exists(spark, table):
+        tables.create_table(spark, table, schemas.CHECKPOINT, (), location)
 
 
 class ChangedSourceError(RuntimeError):

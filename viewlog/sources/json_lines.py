@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .. import constants as C
 from .. import schemas
-from ..sinks.tables import free_name, quote
+from ..sinks.tables import KEY_METADATA, free_name, key_of, key_path, origin_of, quote
 
 CORRUPT = "_corrupt_record"
 PATH = "_path"
@@ -221,28 +221,40 @@ def parse_records(lines: DataFrame, payload_schema: T.StructType, payload: str =
     return out.select(*rest, body.alias(payload), f"_rec.{CORRUPT}")
 
 
-def _flat_columns(dt: T.StructType, prefix: str, path: list[str]) -> list[tuple[str, Column]]:
-    out: list[tuple[str, Column]] = []
+def _flat_columns(dt: T.StructType, prefix: str, path: list[str]) -> list[tuple[str, list[str], Column]]:
+    out: list[tuple[str, list[str], Column]] = []
     for f in dt.fields:
         name = f"{prefix}_{f.name}" if prefix else f.name
         ref = F.col(".".join(quote(p) for p in [*path, f.name]))
         if isinstance(f.dataType, T.StructType) and f.dataType.fields:
             out += _flat_columns(f.dataType, name, [*path, f.name])
         else:
-            out.append((name, ref))
+            out.append((name, [*path[1:], f.name], ref))
     return out
 
 
-def flatten(df: DataFrame, payload: str = "_source") -> DataFrame:
+def flatten(df: DataFrame, payload: str = "_source", table: T.StructType | None = None) -> DataFrame:
     """Payload keys become top-level columns (S3); nested objects are
     flattened recursively with ``_`` joining the key path. A key whose column
     would be called like one of the line's own, or like another key's, gets
-    the next free name (``a_b``, ``a_b_2``, ...)."""
-    st = df.schema[payload].dataType
+    the next free name (``a_b``, ``a_b_2``, ...).
+
+    ``table`` is the schema of the table that the rows go to: a key that has a
+    column there keeps it, and no other key's column is taken, so what a column
+    holds does not depend on which keys came together."""
     rest = [c for c in df.columns if c != payload]
+    columns = [] if table is None else [f for f in table.fields if f.name not in rest]
+    # A key that differs from a column's in case only is the same column, as names are compared.
+    known = {key_of(f).lower(): f.name for f in columns if origin_of(f) is None}
+    others = {f.name.lower() for f in columns}
     taken, out = {c.lower() for c in rest}, []
-    for name, column in _flat_columns(st, "", [payload]):
-        name = free_name(name, taken)
+    for name, path, column in _flat_columns(df.schema[payload].dataType, "", [payload]):
+        key = key_path(path)
+        have = known.get(key.lower())
+        if have is None or have.lower() in taken:
+            name = free_name(name, taken | others)
+        elif have.lower() != name.lower():
+            name = have
         taken.add(name.lower())
-        out.append(column.alias(name))
+        out.append(column.alias(name) if name.lower() == key.lower() else column.alias(name, metadata={KEY_METADATA: key}))
     return df.select(*out, *[F.col(c) for c in rest])
