@@ -81,7 +81,7 @@ def test_merge_sql_forms():
     ansi = merge_sql("t", "s", cols, cols[:2])
     assert 't."Contract" IS NOT DISTINCT FROM s."Contract"' in ansi and 'SET "Odd ""name" = s."Odd ""name"' in ansi
     my = merge_sql("t", "s", cols, cols[:2], dialect="mysql")
-    assert "ON DUPLICATE KEY UPDATE `Odd \"name`=VALUES(`Odd \"name`)" in my
+    assert "ON DUPLICATE KEY UPDATE `Odd \"name` = new.`Odd \"name`" in my and ") AS new " in my
 
 
 def test_upsert_keeps_rows_of_the_null_partition(spark, fresh_dir):
@@ -141,3 +141,34 @@ def test_upsert_null_key_part_is_replaced(spark):
     upd = _rows(spark, [("A", "d1", None, 10, "new")])
     got = sorted((tuple(r) for r in S.upsert(target, upd, KEY).collect()), key=repr)
     assert got == sorted([("A", "d1", None, 10, "new"), ("A", "d1", "f", 2, "keep")], key=repr)
+
+
+def test_export_to_a_relational_table_uses_its_own_columns(spark, fresh_dir, monkeypatch):
+    """Without a database: the metadata probe and the connection's statements are stood in for."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from viewlog import __main__ as cli
+    from viewlog.plans import pipeline as P
+    from viewlog.sinks import jdbc
+
+    layout = P.Layout(database=f"j_{uuid.uuid4().hex[:8]}", root=f"{fresh_dir}/tables")
+    gold = spark.createDataFrame([("A", 5, "f1", "d1", "x"), ("A", 5, "f1", "d1", "x"), ("B", None, "f1", "d1", "y")],
+                                 "Contract string, VOD bigint, source_file string, execution_day string, Extra string")
+    from viewlog.sinks import tables
+    tables.create_namespace(spark, layout.database, layout.location("_db"))
+    tables.append(spark, layout.table(layout.gold), gold, ["execution_day"], layout.location(layout.gold))
+    target = T.StructType([T.StructField("Contract", T.StringType()), T.StructField("execution_day", T.StringType()),
+                           T.StructField("source_file", T.StringType()), T.StructField("VOD", T.LongType()), T.StructField("Score", T.LongType())])
+    staged, ran = {}, []
+    monkeypatch.setattr(jdbc.JdbcTarget, "schema", lambda self, spark: target)
+    monkeypatch.setattr(jdbc, "write_staging", lambda df, url, table, props, *a: staged.update({table: df.collect()}))
+    monkeypatch.setattr(jdbc, "execute", lambda spark, url, statements, props: ran.append((url, statements, props)))
+    a = cli.argparse.Namespace(jdbc_url="jdbc:x:y", jdbc_table="t", jdbc_prop=["user=u", "password=a=b"], jdbc_dialect="mysql")
+    assert P.export_stage(spark, layout, jdbc=cli._target(a)) == "d1"
+    assert sorted(tuple(r) for r in staged["t_staging"]) == [("A", "d1", "f1", 5, 0), ("B", "d1", "f1", 0, 0)]
+    (url, merge, props), (_, drop, _) = ran
+    assert (url, props) == ("jdbc:x:y", {"user": "u", "password": "a=b"}) and drop == ["DROP TABLE IF EXISTS t_staging"]
+    assert merge[0].startswith("INSERT INTO t (`Contract`, `execution_day`, `source_file`, `VOD`, `Score`) SELECT")
+    assert not tables.table_exists(spark, layout.table(layout.serving))

@@ -23,6 +23,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans import pipeline as P
+from .sinks.jdbc import DIALECTS, JdbcTarget
 from .session import DEFAULT_CONF, apply_sql_conf
 
 
@@ -45,6 +46,13 @@ def _batch(text: str, default_day: str) -> tuple[str, int | None, str]:
     return parts[0], rows, parts[2] if len(parts) == 3 else default_day
 
 
+def _target(a: argparse.Namespace) -> JdbcTarget | None:
+    if a.jdbc_url is None:
+        return None
+    props = dict(p.partition("=")[::2] for p in a.jdbc_prop)
+    return JdbcTarget(a.jdbc_url, a.jdbc_table, props, a.jdbc_dialect)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="viewlog", description=__doc__.split("\n")[0])
     ap.add_argument("--database", default="viewlog")
@@ -61,18 +69,23 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--source", required=True, help="root holding source_file=<name>/ directories")
     b.add_argument("--file", action="append", help="source file name(s); default: all")
     b.add_argument("--rows", type=int, default=None,
-                   help="lines per file; default: the file's last batch size, else 1,000,000")
+                   help="lines per file; default: the file's last batch size, else all the rest")
     b.add_argument("--run-date", default=today)
     for name in ("silver", "gold"):
         s = sub.add_parser(name)
         s.add_argument("--run-date", default=today)
         s.add_argument("--incremental", action="store_true",
                        help="silver: fold only new bronze rows; gold: carry day counts forward")
-    sub.add_parser("export")
+    e = sub.add_parser("export")
     r = sub.add_parser("run", help="bronze -> silver -> gold -> export per batch")
     r.add_argument("--source", required=True)
     r.add_argument("--batch", action="append", required=True, help="FILE[:ROWS[:RUN_DATE]]; empty ROWS: default batch size")
     r.add_argument("--incremental", action="store_true", help="incremental silver and gold")
+    for target in (e, r):
+        target.add_argument("--jdbc-url", default=None, help="export to a relational table instead of the serving table")
+        target.add_argument("--jdbc-table", default="serving_summary")
+        target.add_argument("--jdbc-prop", action="append", default=[], metavar="KEY=VALUE", help="driver, user, password, ...")
+        target.add_argument("--jdbc-dialect", default="ansi", choices=DIALECTS)
     v = sub.add_parser("views")
     v.add_argument("--show", type=int, default=20)
     a = ap.parse_args(argv)
@@ -102,12 +115,13 @@ def main(argv: list[str] | None = None) -> int:
         print({"rows": P.gold_stage(spark, layout, a.run_date, incremental=a.incremental)})
         preview(layout.gold, "execution_day", a.run_date)
     elif a.cmd == "export":
-        day = P.export_stage(spark, layout)
+        day = P.export_stage(spark, layout, jdbc=_target(a))
         print({"day": day})
-        preview(layout.serving, "execution_day", day)
+        if a.jdbc_url is None:
+            preview(layout.serving, "execution_day", day)
     elif a.cmd == "run":
         status = P.run_batches(spark, layout, a.source, [_batch(x, today) for x in a.batch],
-                               incremental=a.incremental)
+                               incremental=a.incremental, jdbc=_target(a))
         rows = status.collect()
         for row in rows:
             print(f"{row.source_file} {row.run_date} {row.stage:7s} {row.status:8s} {row.detail or ''}")

@@ -26,6 +26,7 @@ from ..operators import serving as S
 from ..operators import silver as SV
 from ..session import shared_dir
 from ..sinks import tables
+from ..sinks.jdbc import JdbcTarget
 from ..sinks.versioned import VersionedTable
 from ..sources import checkpoint as CP
 from ..sources import json_lines as J
@@ -338,14 +339,14 @@ def gold_stage(spark: SparkSession, layout: Layout, run_date: str | None = None,
 
 
 def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructType = schemas.SERVING,
-                 jdbc: dict | None = None) -> str | None:
+                 jdbc: JdbcTarget | None = None) -> str | None:
     """Latest gold snapshot -> align -> dedup -> keyed upsert into serving.
 
     The latest day comes from the partition list; only that partition is
     read. The serving table switches that partition by pointer
     (``sinks.versioned``), so a run that dies leaves the table as it was. With
-    ``jdbc`` (``url``, ``table``, optional ``props``, ``dialect``) the rows go
-    to a relational table through a staging table and a MERGE instead.
+    ``jdbc`` the rows go to a relational table instead, in that table's own
+    column layout, through a staging table and a merge by key.
     """
     attach(spark, layout)
     gold_t = layout.table(layout.gold)
@@ -354,17 +355,16 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
         return None
     serving_t = layout.table(layout.serving)
     target = VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY)
-    if jdbc is None:
+    if jdbc is not None:
+        target_schema = jdbc.schema(spark)
+    else:
         target.register(serving_t)  # a run that died after its commit left the catalog behind
         if tables.table_exists(spark, serving_t):
             target_schema = spark.table(serving_t).schema
     snap = spark.table(gold_t).filter(F.col(C.EXEC_DAY) == F.lit(day))
     rows = S.dedup_on_key(S.align_to_target(snap, target_schema), C.SERVING_KEY)
     if jdbc is not None:
-        from ..sinks.jdbc import upsert_via_staging
-
-        upsert_via_staging(spark, rows, jdbc["url"], jdbc["table"], C.SERVING_KEY, jdbc.get("props"),
-                           jdbc.get("dialect", "ansi"))
+        jdbc.upsert(spark, rows, C.SERVING_KEY)
         return day
     target.upsert(rows, C.SERVING_KEY)
     target.register(serving_t)
@@ -375,7 +375,8 @@ STAGES = ("bronze", "silver", "gold", "export")
 
 
 def run_batches(spark: SparkSession, layout: Layout, source_root: str,
-                batches: Sequence[tuple[str | Sequence[str], int | None, str]], incremental: bool = False) -> DataFrame:
+                batches: Sequence[tuple[str | Sequence[str], int | None, str]], incremental: bool = False,
+                jdbc: JdbcTarget | None = None) -> DataFrame:
     """Run bronze -> silver -> gold -> export for each (file, rows, run_date)
     (D10); ``file`` may also be a list of files ingested in the same batch.
     A failing stage skips the rest of that batch only; every stage gets a
@@ -398,7 +399,7 @@ def run_batches(spark: SparkSession, layout: Layout, source_root: str,
                 elif stage == "gold":
                     detail = f"rows={gold_stage(spark, layout, run_date, incremental=incremental)}"
                 else:
-                    detail = f"day={export_stage(spark, layout)}"
+                    detail = f"day={export_stage(spark, layout, jdbc=jdbc)}"
                 status.append((name, run_date, stage, "ok", detail))
             except Exception as e:  # noqa: BLE001 - recorded, rest of batch skipped
                 failed = True

@@ -12,9 +12,40 @@ available here would be private to one process (see README).
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+DIALECTS = ("ansi", "mysql")
+
+
+@dataclasses.dataclass(frozen=True)
+class JdbcTarget:
+    """A keyed table of a relational database."""
+
+    url: str
+    table: str
+    props: dict[str, str] = dataclasses.field(default_factory=dict)
+    dialect: str = "ansi"
+    batch_size: int = 50_000
+    partitions: int = 4
+
+    def __post_init__(self) -> None:
+        if self.dialect not in DIALECTS:
+            raise ValueError(f"dialect is one of {', '.join(DIALECTS)}, not {self.dialect!r}")
+
+    def schema(self, spark: SparkSession) -> T.StructType:
+        """The table's own columns and types, from the database's metadata; no row is read."""
+        reader = spark.read.format("jdbc").option("url", self.url).option("dbtable", self.table)
+        for k, v in self.props.items():
+            reader = reader.option(k, v)
+        return reader.load().schema
+
+    def upsert(self, spark: SparkSession, rows: DataFrame, keys: Sequence[str]) -> None:
+        """Rows in the table's layout go in by key, through a staging table."""
+        upsert_via_staging(spark, rows, self.url, self.table, keys, self.props, self.dialect, self.batch_size, self.partitions)
 
 
 def write_staging(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None,
@@ -44,9 +75,10 @@ def merge_sql(target: str, staging: str, columns: Sequence[str], keys: Sequence[
     cols = [name(c) for c in columns]
     rest = [name(c) for c in columns if c not in keys]
     if dialect == "mysql":
-        upd = ", ".join(f"{c}=VALUES({c})" for c in rest)
-        return f"INSERT INTO {target} ({', '.join(cols)}) SELECT {', '.join(cols)} FROM {staging} " \
-               f"ON DUPLICATE KEY UPDATE {upd}"
+        upd = ", ".join(f"{c} = new.{c}" for c in rest) or f"{cols[0]} = new.{cols[0]}"
+        listed = ", ".join(cols)
+        return (f"INSERT INTO {target} ({listed}) SELECT {listed} FROM (SELECT {listed} FROM {staging}) AS new "
+                f"ON DUPLICATE KEY UPDATE {upd}")
     # Null-safe, as the table path matches keys.
     on = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in map(name, keys))
     upd = ", ".join(f"{c} = s.{c}" for c in rest)
