@@ -206,6 +206,49 @@ WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract IS NOT DISTINCT FROM
                   AND n.source_file IS NOT DISTINCT FROM o.source_file)
 UNION ALL
 SELECT 2, n.* FROM new_rows n"""
+    q["maintained_views"] = _with(
+        BRONZE, silver_cte(), gold_cte(), old_bronze,
+        silver_cte("old_bronze", "old_silver"), gold_cte("old_silver", "old_gold"),
+        f"""
+new_rows AS (SELECT {ALIGNED_COLS} FROM gold WHERE source_file >= '{UPSERT_NEW_FIRST_FILE}'),
+old_rows AS (SELECT {ALIGNED_COLS} FROM old_gold),
+served AS (
+  SELECT o.* FROM old_rows o
+  WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract = o.Contract AND n.execution_day = o.execution_day AND n.source_file = o.source_file)
+  UNION ALL SELECT n.* FROM new_rows n
+),
+days AS (SELECT * FROM served WHERE Contract <> '0'),
+kpi AS (
+  SELECT execution_day, count(*) AS contracts,
+         CAST(sum(Error + Giai_Tri + Phim_Truyen + The_Thao + Thieu_Nhi + Truyen_Hinh) AS BIGINT) AS total_duration,
+         CAST(sum(TotalDevices) AS BIGINT) AS total_devices
+  FROM days GROUP BY execution_day
+),
+content AS (
+  UNPIVOT (SELECT execution_day, CAST(sum(Giai_Tri) AS BIGINT) AS Giai_Tri, CAST(sum(Phim_Truyen) AS BIGINT) AS Phim_Truyen,
+                  CAST(sum(The_Thao) AS BIGINT) AS The_Thao, CAST(sum(Thieu_Nhi) AS BIGINT) AS Thieu_Nhi,
+                  CAST(sum(Truyen_Hinh) AS BIGINT) AS Truyen_Hinh FROM days GROUP BY execution_day)
+  ON Giai_Tri, Phim_Truyen, The_Thao, Thieu_Nhi, Truyen_Hinh INTO NAME a VALUE n
+)""",
+    ) + """
+SELECT 'v_kpi' AS view, execution_day, a, CAST(NULL AS VARCHAR) AS b, n
+FROM (UNPIVOT kpi ON contracts, total_duration, total_devices INTO NAME a VALUE n)
+UNION ALL SELECT 'v_content', execution_day, a, NULL, n FROM content
+UNION ALL SELECT 'v_segment', execution_day, Active, MostWatch, count(*) FROM days GROUP BY execution_day, Active, MostWatch"""
+    q["device_sketches"] = _with(BRONZE) + """
+SELECT Contract, count(DISTINCT Mac) AS DistinctDevices, true AS within_bound FROM bronze GROUP BY Contract"""
+    q["stream_device_count"] = _with(BRONZE) + """
+SELECT Contract, count(DISTINCT Mac) AS DistinctDevices FROM bronze GROUP BY Contract"""
+    q["resumed_run"] = _with(BRONZE) + f"""
+SELECT g.source_file, strftime(DATE '{FIRST_RUN_DATE}' + CAST(g.b AS INTEGER), '%Y-%m-%d') AS run_date, s.stage, 'ok' AS status,
+       CAST(CASE WHEN g.b = 1 AND s.stage = 'bronze' THEN 2 ELSE 1 END AS BIGINT) AS starts
+FROM (
+  SELECT string_agg(source_file, ',' ORDER BY source_file) AS source_file, b
+  FROM (
+    SELECT source_file, (row_number() OVER (ORDER BY source_file) - 1) // {STATUS_FILES} AS b
+    FROM (SELECT DISTINCT source_file FROM bronze) d
+  ) f GROUP BY b
+) g, (SELECT unnest(['bronze', 'silver', 'gold', 'export']) AS stage) s"""
     q["v_kpi"] = _with(BRONZE, silver_cte(), gold_cte(), CONTRACT_DAYS) + """
 SELECT execution_day, count(*) AS contracts, CAST(sum(total_duration) AS BIGINT) AS total_duration,
        CAST(sum(TotalDevices) AS BIGINT) AS total_devices

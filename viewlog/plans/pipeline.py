@@ -32,6 +32,10 @@ from ..sources import checkpoint as CP
 from ..sources import json_lines as J
 from ..sources import line_index as LI
 from .ledger import Ledger
+from .maintained import MaintainedViews
+from .run_ledger import RunLedger, plan_of
+
+RUN_LEDGER = "run_ledger"
 
 
 @dataclasses.dataclass(frozen=True)
@@ -146,8 +150,8 @@ def _refuse_changed(recorded: dict[str, tuple], listing: dict[str, LI.SourceFile
 
 
 def plan_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None, run_date: str,
-               files: Sequence[str] | None = None) -> BatchPlan:
-    """The next ``rows`` lines of every source file, as a batch with an id of its own."""
+               files: Sequence[str] | None = None, batch_id: str | None = None) -> BatchPlan:
+    """The next ``rows`` lines of every source file, as a batch with an id of its own (or the given one)."""
     _open_layout(spark, layout)
     listing = LI.list_source_files(spark, source_root, files)
     missing = sorted(set(files or []) - set(listing))
@@ -166,7 +170,7 @@ def plan_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int
             stop = min(start + size, lines[n]) if size else lines[n]
             if stop > start:
                 ranges.append(FileRange(n, start, stop, size))
-    return BatchPlan(uuid.uuid4().hex[:16], run_date, ranges, listing, lines)
+    return BatchPlan(batch_id or uuid.uuid4().hex[:16], run_date, ranges, listing, lines)
 
 
 def _mark_batch(spark: SparkSession, layout: Layout, plan: BatchPlan, state: str) -> None:
@@ -246,8 +250,21 @@ def _finish_pending(spark: SparkSession, layout: Layout, source_root: str) -> No
         _mark_batch(spark, layout, plan, "done")
 
 
+def _complete(spark: SparkSession, layout: Layout, batch_id: str) -> dict | None:
+    """What a batch read, if its checkpoint rows are 'done'."""
+    log = CP.read_log(spark, layout.table(layout.checkpoint)).where(F.col(C.BATCH_ID) == batch_id)
+    if log.where("state = 'done'").isEmpty():
+        return None
+    # A replayed batch has its 'pending' rows once, as they are written before its first attempt only.
+    read = log.where("state = 'pending'").agg(F.count(F.lit(1)).alias("files"), F.sum(F.expr("next_offset - last_offset")).alias("rows")).first()
+    rejects = 0
+    if tables.table_exists(spark, layout.table(layout.rejects)):
+        rejects = spark.table(layout.table(layout.rejects)).where(F.col(C.BATCH_ID) == batch_id).count()
+    return {"files": read["files"], "rows": int(read["rows"] or 0), "rejects": rejects, "new_columns": []}
+
+
 def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None,
-                 run_date: str | None = None, files: Sequence[str] | None = None) -> dict:
+                 run_date: str | None = None, files: Sequence[str] | None = None, batch_id: str | None = None) -> dict:
     """Ingest the next ``rows`` lines of every source file into bronze.
 
     Source layout: ``source_root/source_file=<name>/*.json`` (JSON lines, in
@@ -267,11 +284,16 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     ``rows=None`` uses each file's last ``rows_per_run`` (the original stored
     it and never used it, Q15), else reads to the file's end. Malformed lines
     go to a rejects table with their offsets and still count as read (Q21).
+
+    With ``batch_id`` the call is one certain batch: if that batch is complete
+    (now, or after its replay), nothing more is read and its counts are returned.
     """
     run_date = run_date or _today()
     _open_layout(spark, layout)
     _finish_pending(spark, layout, source_root)
-    plan = plan_batch(spark, layout, source_root, rows, run_date, files)
+    if batch_id is not None and (known := _complete(spark, layout, batch_id)) is not None:
+        return known
+    plan = plan_batch(spark, layout, source_root, rows, run_date, files, batch_id)
     if not plan.ranges:
         return {"files": len(plan.listing), "rows": 0, "rejects": 0, "new_columns": []}
     begin_batch(spark, layout, plan)
@@ -354,7 +376,7 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
     if day is None:
         return None
     serving_t = layout.table(layout.serving)
-    target = VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY)
+    target = serving_table(spark, layout)
     if jdbc is not None:
         target_schema = jdbc.schema(spark)
     else:
@@ -374,36 +396,59 @@ def export_stage(spark: SparkSession, layout: Layout, target_schema: T.StructTyp
 STAGES = ("bronze", "silver", "gold", "export")
 
 
+def serving_table(spark: SparkSession, layout: Layout) -> VersionedTable:
+    return VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY)
+
+
+def maintained_views(spark: SparkSession, layout: Layout) -> MaintainedViews:
+    """The reporting views that follow the serving table version by version."""
+    return MaintainedViews(spark, serving_table(spark, layout), layout.folder(spark, layout.serving + "_views"))
+
+
 def run_batches(spark: SparkSession, layout: Layout, source_root: str,
                 batches: Sequence[tuple[str | Sequence[str], int | None, str]], incremental: bool = False,
-                jdbc: JdbcTarget | None = None) -> DataFrame:
+                jdbc: JdbcTarget | None = None, run_id: str | None = None) -> DataFrame:
     """Run bronze -> silver -> gold -> export for each (file, rows, run_date)
     (D10); ``file`` may also be a list of files ingested in the same batch.
     A failing stage skips the rest of that batch only; every stage gets a
-    status row, so the caller sees exactly what ran (Q16)."""
+    status row, so the caller sees exactly what ran (Q16).
+
+    With ``run_id`` the stages' states are kept (``plans.run_ledger``): the same
+    call after a failure or a kill goes on at the first stage that is not
+    done, and reports the others as they ended."""
     status = []
-    for spec, n, run_date in batches:
+    tables.create_namespace(spark, layout.database, layout.location("_db"))
+    plans = [plan_of(b) for b in batches]
+    ledger = RunLedger(spark, layout.table(RUN_LEDGER), layout.location(RUN_LEDGER), run_id) if run_id else None
+    done = ledger.done(plans) if ledger else {}
+    for k, (spec, n, run_date) in enumerate(batches):
         files = [spec] if isinstance(spec, str) else list(spec)
         name = ",".join(files)
+
+        def bronze() -> str:
+            batch_id = f"{run_id}-{k}" if run_id else None  # noqa: B023
+            info = ingest_batch(spark, layout, source_root, n, run_date, files=files, batch_id=batch_id)  # noqa: B023
+            return f"rows={info['rows']} rejects={info['rejects']}"
+
+        work = {
+            "bronze": bronze,
+            "silver": lambda: f"rows={silver_stage(spark, layout, run_date, incremental=incremental)}",  # noqa: B023
+            "gold": lambda: f"rows={gold_stage(spark, layout, run_date, incremental=incremental)}",  # noqa: B023
+            "export": lambda: f"day={export_stage(spark, layout, jdbc=jdbc)}",
+        }
         failed = False
         for stage in STAGES:
             if failed:
                 status.append((name, run_date, stage, "skipped", None))
-                continue
-            try:
-                if stage == "bronze":
-                    info = ingest_batch(spark, layout, source_root, n, run_date, files=files)
-                    detail = f"rows={info['rows']} rejects={info['rejects']}"
-                elif stage == "silver":
-                    detail = f"rows={silver_stage(spark, layout, run_date, incremental=incremental)}"
-                elif stage == "gold":
-                    detail = f"rows={gold_stage(spark, layout, run_date, incremental=incremental)}"
-                else:
-                    detail = f"day={export_stage(spark, layout, jdbc=jdbc)}"
-                status.append((name, run_date, stage, "ok", detail))
-            except Exception as e:  # noqa: BLE001 - recorded, rest of batch skipped
-                failed = True
-                msg = f"{type(e).__name__}: {e}"[:500]
-                status.append((name, run_date, stage, "failed", msg + "\n" + traceback.format_exc(limit=2)[:500]))
+            elif (k, stage) in done:
+                status.append((name, run_date, stage, "ok", done[k, stage]))
+            else:
+                try:
+                    detail = ledger.step(k, plans[k], stage, work[stage]) if ledger else work[stage]()
+                    status.append((name, run_date, stage, "ok", detail))
+                except Exception as e:  # noqa: BLE001 - recorded, rest of batch skipped
+                    failed = True
+                    msg = f"{type(e).__name__}: {e}"[:500]
+                    status.append((name, run_date, stage, "failed", msg + "\n" + traceback.format_exc(limit=2)[:500]))
     return spark.createDataFrame(status, "source_file string, run_date string, stage string, status string, "
                                          "detail string")

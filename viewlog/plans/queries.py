@@ -461,6 +461,79 @@ def q_stream_offsets(spark, sf_dir):
     return spark.table(lay.table(lay.bronze)).select(C.CONTRACT, C.MAC, C.DURATION, C.APP, C.SOURCE_FILE, C.ROW_INDEX, C.EXEC_DATE)
 
 
+def q_device_sketches(spark, sf_dir):
+    """Distinct devices per contract by the union of its files' sketches: the exact count beside them, and
+    whether the estimate lies within the stated bound (A1, A4)."""
+    from ..operators import sketches as SK
+
+    b = _bronze(spark, sf_dir)
+    estimated = SK.merged(SK.device_sketches(b)).select(F.col(C.CONTRACT).alias("_contract"), SK.estimate().alias("_estimate"))
+    exact = SV.device_count(b)
+    both = exact.join(estimated, F.col(C.CONTRACT).eqNullSafe(F.col("_contract")))
+    return both.select(C.CONTRACT, C.DISTINCT_DEVICES, SK.within_bound(F.col("_estimate"), F.col(C.DISTINCT_DEVICES)).alias("within_bound"))
+
+
+def q_stream_device_count(spark, sf_dir):
+    """Distinct devices per contract kept by a stream over a log that comes in two lots (A4, section 2.11)."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import write_source_log
+    from ..streaming.device_stream import count_devices
+
+    root, out, checkpoint = (scratch_path(spark, f"devices-{x}") for x in ("log", "out", "ckpt"))
+    first = F.col("event_id") % O.FIRST_LOT == 0
+    for lot in (first, ~first):
+        write_source_log(read_events(spark, sf_dir).where(lot), root, per_file=True, mode="append")
+        found = count_devices(spark, root, out, checkpoint)
+    return found
+
+
+def q_maintained_views(spark, sf_dir):
+    """The three views kept with the serving table over two exports, each refresh reading changed days only
+    (D11); in one table of view, day, two labels and a number."""
+    from ..session import scratch_path
+    from ..sinks.versioned import VersionedTable
+    from .maintained import MaintainedViews
+
+    b = _bronze(spark, sf_dir)
+    new = gold_from_bronze(b).filter(F.col(C.SOURCE_FILE) >= F.lit(O.UPSERT_NEW_FIRST_FILE))
+    serving = VersionedTable(spark, scratch_path(spark, "served"), C.EXEC_DAY)
+    views = MaintainedViews(spark, serving, scratch_path(spark, "served-views"))
+    for rows in (_old_gold(b), new):
+        serving.upsert(S.align_to_target(rows, schemas.SERVING), C.SERVING_KEY)
+        views.refresh()
+    none = F.lit(None).cast("string")
+    kpi = views.read("v_kpi").unpivot([C.EXEC_DAY], ["contracts", V.TOTAL, "total_devices"], "a", "n")
+    parts = [
+        kpi.select(F.lit("v_kpi").alias("view"), C.EXEC_DAY, "a", none.alias("b"), "n"),
+        views.read("v_content").select(F.lit("v_content"), C.EXEC_DAY, "category", none, "duration"),
+        views.read("v_segment").select(F.lit("v_segment"), C.EXEC_DAY, C.ACTIVE, C.MOST_WATCH, "contracts"),
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def q_resumed_run(spark, sf_dir):
+    """A run over all day files whose second batch finds no files at first, started again under its id once they
+    are there: the status of every stage, and how often each was started (D10, Q16)."""
+    from ..session import scratch_path
+    from ..sources.events_adapter import write_source_log
+    from . import pipeline as P
+
+    events, root, lay = read_events(spark, sf_dir), scratch_path(spark, "run-log"), _scratch_layout(spark, "resume")
+    day = F.date_format("ts", "yyyyMMdd")
+    days = sorted(r[0] for r in events.select(day).distinct().collect())
+    groups = [days[i:i + O.STATUS_FILES] for i in range(0, len(days), O.STATUS_FILES)]
+    late = day.isin(groups[1])
+    first = _dt.date.fromisoformat(O.FIRST_RUN_DATE)
+    batches = [(g, None, (first + _dt.timedelta(days=k)).isoformat()) for k, g in enumerate(groups)]
+    for lot in (~late, late):
+        write_source_log(events.where(lot), root, per_file=True, mode="append")
+        status = P.run_batches(spark, lay, root, batches, run_id="run")
+    starts = spark.table(lay.table(P.RUN_LEDGER)).where("state = 'started'")
+    starts = starts.groupBy("batch", "stage").agg(F.count(F.lit(1)).alias("starts"))
+    names = spark.createDataFrame([(k, ",".join(g)) for k, g in enumerate(groups)], "batch int, source_file string")
+    return status.join(names, "source_file").join(starts, ["batch", "stage"]).select("source_file", "run_date", "stage", "status", "starts")
+
+
 def _pipeline_serving(spark: SparkSession, sf_dir: str, incremental: bool) -> DataFrame:
     """The stage pipeline end to end (D10 -> D9, silver, gold, D8): the day
     files are ingested whole, FILES_PER_RUN per run, one run date per run;
@@ -538,6 +611,10 @@ def registry() -> dict[str, Query]:
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,
         "stream_offsets": q_stream_offsets,
+        "device_sketches": q_device_sketches,
+        "stream_device_count": q_stream_device_count,
+        "maintained_views": q_maintained_views,
+        "resumed_run": q_resumed_run,
         "pipeline_serving": q_pipeline_serving,
         "pipeline_serving_incremental": q_pipeline_serving_incremental,
     }

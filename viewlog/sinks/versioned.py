@@ -69,9 +69,10 @@ class VersionedTable:
         v = self.version(number)
         if v is None:
             raise FileNotFoundError(f"nothing was written to {self.root}")
-        return self._rows(v, v.partitions)
+        return self.rows(v, v.partitions)
 
-    def _rows(self, v: Version, partitions: dict[str, str]) -> DataFrame:
+    def rows(self, v: Version, partitions: dict[str, str]) -> DataFrame:
+        """The rows of some partitions of a version."""
         if not partitions:
             return self.spark.createDataFrame([], v.schema)
         schema = T.StructType([*v.schema.fields, T.StructField(_WRITE, T.StringType())])
@@ -108,18 +109,33 @@ class VersionedTable:
             rows = _aligned(staged, schema)
             if old is not None:
                 touched = self._touched(rows, old)
-                rows = upsert_rows(_aligned(self._rows(old, touched), schema), rows, keys)
-            write = f"{_WRITE}={uuid.uuid4().hex}"
-            rows.write.partitionBy(self.partition_col).parquet(f"{self.root}/{write}")
-            written = {n: f"{write}/{n}" for n in self._folders(write)}
-            parts = {**(old.partitions if old else {}), **written}
-            number = (old.number if old else 0) + 1
-            M.commit(spark, self.root, number, {"schema": schema.jsonValue(), "partitions": parts})
+                rows = upsert_rows(_aligned(self.rows(old, touched), schema), rows, keys)
+            number = self._switch(rows, schema, old, ())
         finally:
             tables.delete_path(spark, stage)
         self.vacuum(keep)
         return number
 
+    def replace(self, rows: DataFrame, partitions: Sequence[str], keep: int = KEEP_VERSIONS) -> int:
+        """Put ``rows`` in place of the named partitions (folder names); those that get no row go."""
+        old = self.version()
+        schema = T.StructType([*[f for f in rows.schema.fields if f.name != self.partition_col], rows.schema[self.partition_col]])
+        if old is not None:
+            schema = evolved(old.schema, rows)
+            rows = tables.routed(schema, rows)
+        number = self._switch(_aligned(rows, schema), schema, old, partitions)
+        self.vacuum(keep)
+        return number
+
+    def _switch(self, rows: DataFrame, schema: T.StructType, old: Version | None, gone: Sequence[str]) -> int:
+        """Write the partitions of ``rows`` and commit a version that has them, the old ones, and none of ``gone``."""
+        write = f"{_WRITE}={uuid.uuid4().hex}"
+        rows.write.partitionBy(self.partition_col).parquet(f"{self.root}/{write}")
+        written = {n: f"{write}/{n}" for n in self._folders(write)}
+        kept = {n: p for n, p in (old.partitions if old else {}).items() if n not in set(gone)}
+        number = (old.number if old else 0) + 1
+        return M.commit(self.spark, self.root, number, {"schema": schema.jsonValue(), "partitions": {**kept, **written}})
+
     def _touched(self, rows: DataFrame, old: Version) -> dict[str, str]:
         """The old partitions that hold a value of the partition column in ``rows``."""
         values = [(n, self._value(n)) for n in old.partitions]
