@@ -280,3 +280,29 @@ def test_two_writers_lose_no_column_of_the_register(spark, tmp_path):
     M.commit(spark, location, content[0] + 1, {"columns": other}, folder=tables.SCHEMA_FOLDER)
     tables.append(spark, t, spark.createDataFrame([(1, 2)], "a bigint, b bigint"))
     assert {f.name for f in tables.registered_schema(spark, location).fields} == {"a", "b", "z"}
+
+
+# --- lookups -----------------------------------------------------------------------
+
+
+def test_a_keyed_read_skips_files_and_row_groups(spark, tmp_path, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from viewlog.sinks import versioned as V
+
+    monkeypatch.setattr(V, "ROW_GROUP_BYTES", 64 << 10)
+    t = VersionedTable(spark, str(tmp_path / "t"), "day", lookup="k")
+    rows = spark.range(200_000).select(F.concat(F.lit("key-"), F.sha1(F.col("id").cast("string"))).alias("k"), F.col("id").alias("v"), F.lit("d1").alias("day"))
+    t.upsert(rows, ["k", "day"])
+    key = rows.where("v = 777").first()["k"]
+    found = t.read().where(F.col("k") == key)
+    assert [r["v"] for r in found.collect()] == [777]
+    plan = found._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    read = scan.metrics().get("numOutputRows").get().value()
+    assert read < 60_000  # of 200,000: the other files and row groups were skipped
+    files = glob.glob(f"{tmp_path}/t/_write=*/day=d1/*.parquet")
+    meta = [pq.ParquetFile(f).metadata for f in files]
+    assert len(files) > 1 and sum(m.num_row_groups for m in meta) > len(files)

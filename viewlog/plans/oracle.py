@@ -206,6 +206,8 @@ WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE n.Contract IS NOT DISTINCT FROM
                   AND n.source_file IS NOT DISTINCT FROM o.source_file)
 UNION ALL
 SELECT 2, n.* FROM new_rows n"""
+    q["serving_lookup"] = _with(BRONZE, silver_cte(), gold_cte()) + f"""
+SELECT {ALIGNED_COLS} FROM gold WHERE Contract = '0'"""
     q["maintained_views"] = _with(
         BRONZE, silver_cte(), gold_cte(), old_bronze,
         silver_cte("old_bronze", "old_silver"), gold_cte("old_silver", "old_gold"),

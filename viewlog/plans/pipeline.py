@@ -397,7 +397,7 @@ STAGES = ("bronze", "silver", "gold", "export")
 
 
 def serving_table(spark: SparkSession, layout: Layout) -> VersionedTable:
-    return VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY)
+    return VersionedTable(spark, layout.folder(spark, layout.serving), C.EXEC_DAY, lookup=C.CONTRACT)
 
 
 def maintained_views(spark: SparkSession, layout: Layout) -> MaintainedViews:

@@ -1,7 +1,7 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads the provided tables (through the ``events`` adapter) over
-their whole extent; the DuckDB equivalents live in ``plans.oracle``.
+their whole extent (a preview shows the first rows, a lookup those of its key); the DuckDB equivalents live in ``plans.oracle``.
 """
 
 from __future__ import annotations
@@ -401,6 +401,16 @@ def q_upsert_versions(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def q_serving_lookup(spark, sf_dir):
+    """Serving rows of the null bucket, looked up in the table that is laid out for reads by contract (K6)."""
+    from ..session import scratch_path
+    from ..sinks.versioned import VersionedTable
+
+    table = VersionedTable(spark, scratch_path(spark, "lookup"), C.EXEC_DAY, lookup=C.CONTRACT)
+    table.upsert(S.align_to_target(q_gold_usage(spark, sf_dir), schemas.SERVING), C.SERVING_KEY)
+    return table.read().where(F.col(C.CONTRACT) == F.lit(C.NULL_BUCKET_CONTRACT))
+
+
 def _dead_batch(spark: SparkSession, lay, root: str, run_date: str) -> None:
     """A batch of all lines left of each file that dies with half of them written."""
     from . import pipeline as P
@@ -607,6 +617,7 @@ def registry() -> dict[str, Query]:
         "registered_schema": q_registered_schema,
         "table_preview": q_table_preview,
         "upsert_versions": q_upsert_versions,
+        "serving_lookup": q_serving_lookup,
         "ledger_fold": q_ledger_fold,
         "file_stream_usage": q_file_stream_usage,
         "stream_ingest": q_stream_ingest,

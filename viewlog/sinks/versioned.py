@@ -26,6 +26,8 @@ from . import tables
 
 #: Versions whose folders stay for readers that opened them.
 KEEP_VERSIONS = 5
+#: Bytes of a row group in tables with a lookup column: what a keyed read reads at least.
+ROW_GROUP_BYTES = 8 << 20
 _WRITE = "_write"
 _PROPERTY = "viewlog.version"
 
@@ -38,8 +40,15 @@ class Version:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_col: str) -> None:
-        self.spark, self.root, self.partition_col = spark, root.rstrip("/"), partition_col
+    """The table under ``root``, one folder per value of ``partition_col``.
+
+    ``lookup`` names a column that single rows are looked up by: each partition
+    is written in ranges of it, sorted, with a Bloom filter per row group, so a
+    read of one key skips the files and row groups that cannot hold it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_col: str, lookup: str | None = None) -> None:
+        self.spark, self.root, self.partition_col, self.lookup = spark, root.rstrip("/"), partition_col, lookup
 
     # --- reading ---
 
@@ -130,7 +139,13 @@ class VersionedTable:
     def _switch(self, rows: DataFrame, schema: T.StructType, old: Version | None, gone: Sequence[str]) -> int:
         """Write the partitions of ``rows`` and commit a version that has them, the old ones, and none of ``gone``."""
         write = f"{_WRITE}={uuid.uuid4().hex}"
-        rows.write.partitionBy(self.partition_col).parquet(f"{self.root}/{write}")
+        writer = rows.write
+        if self.lookup is not None:
+            order = [F.col(tables.quote(c)) for c in (self.partition_col, self.lookup)]
+            # Ranges are cut by sampled rows, so a large partition is spread over many files.
+            writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.lookup}", "true").option("parquet.block.size", str(ROW_GROUP_BYTES))
+        writer.partitionBy(self.partition_col).parquet(f"{self.root}/{write}")
         written = {n: f"{write}/{n}" for n in self._folders(write)}
         kept = {n: p for n, p in (old.partitions if old else {}).items() if n not in set(gone)}
         number = (old.number if old else 0) + 1
