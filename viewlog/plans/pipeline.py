@@ -150,9 +150,11 @@ def _refuse_changed(recorded: dict[str, tuple], listing: dict[str, LI.SourceFile
 
 
 def plan_batch(spark: SparkSession, layout: Layout, source_root: str, rows: int | None, run_date: str,
-               files: Sequence[str] | None = None, batch_id: str | None = None) -> BatchPlan:
-    """The next ``rows`` lines of every source file, as a batch with an id of its own (or the given one)."""
-    _open_layout(spark, layout)
+               files: Sequence[str] | None = None, batch_id: str | None = None, opened: bool = False) -> BatchPlan:
+    """The next ``rows`` lines of every source file, as a batch with an id of its own (or the given one).
+    ``opened``: the caller has registered the layout's tables."""
+    if not opened:
+        _open_layout(spark, layout)
     listing = LI.list_source_files(spark, source_root, files)
     missing = sorted(set(files or []) - set(listing))
     if missing:
@@ -203,7 +205,7 @@ def write_lines(spark: SparkSession, layout: Layout, lines: DataFrame, run_date:
     an executor is lost.
     """
     bronze, rejects = layout.table(layout.bronze), layout.table(layout.rejects)
-    held = lines.persist(StorageLevel.DISK_ONLY)
+    held = lines.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         payload = J.discover_source_schema(spark, held)
         # The reject count rides on the bronze write (K11): no separate job.
@@ -293,7 +295,7 @@ def ingest_batch(spark: SparkSession, layout: Layout, source_root: str, rows: in
     _finish_pending(spark, layout, source_root)
     if batch_id is not None and (known := _complete(spark, layout, batch_id)) is not None:
         return known
-    plan = plan_batch(spark, layout, source_root, rows, run_date, files, batch_id)
+    plan = plan_batch(spark, layout, source_root, rows, run_date, files, batch_id, opened=True)
     if not plan.ranges:
         return {"files": len(plan.listing), "rows": 0, "rejects": 0, "new_columns": []}
     begin_batch(spark, layout, plan)
