@@ -595,3 +595,15 @@ def test_jaccard_links_through_a_row_without_an_id(spark):
     rows_ = [(1, " ".join(left), "s"), (None, " ".join(base), "s"), (3, " ".join(right), "s"), (None, " ".join(words(40, 78)), "s")]
     got = rows(jaccard_join.components(docs_frame(spark, rows_)))
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (0, 1), (1, 1), (3, 1)]
+
+
+def test_toxicity_scores_long_texts_as_a_whole(monkeypatch):
+    """Cut into parts of any length, a text has the segments, and so the score, of the whole."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(0, 1, 1 << 12).astype(np.float32), 0.1)
+    texts = [" ".join(words(n, n)) + tail for n in (1, 3, 4, 5, 6, 41, 400) for tail in ("", ". é İx_y  ", "--")] + ["x" * 500, " " * 300 + "ab cd"]
+    whole = model.logits(texts)
+    for chars in (1, 7, 30, 100):
+        monkeypatch.setattr(toxicity, "CHUNK_CHARS", chars)
+        assert all("".join(toxicity.parts_of(t)) in (t, t.lower()) for t in texts)
+        assert np.allclose(model.logits(texts), whole), chars

@@ -49,7 +49,7 @@ MIN_TEXTS = 4
 RATE = 1.0
 _WORD = re.compile(r"[^\W_]+")
 FOLDS = 5
-#: Characters that one numpy step handles.
+#: Characters that one numpy step handles; longer texts are cut where a segment ends.
 CHUNK_CHARS = 1 << 19
 
 _cache: dict[str, np.ndarray] = {}
@@ -119,6 +119,32 @@ def bags(texts: list[str], buckets: int = BUCKETS, size: int = SEGMENT_WORDS) ->
     )
 
 
+def parts_of(text: str, chars: int | None = None, size: int = SEGMENT_WORDS) -> Iterator[str]:
+    """The text in parts of about ``chars`` characters that hold the same segments as the whole.
+
+    Every part but the last ends where a segment ends, and the last holds a
+    segment's words at least, so that a short rest joins the segment before it.
+    """
+    chars = chars or CHUNK_CHARS
+    if len(text) <= chars:
+        yield text
+        return
+    text = text.lower()  # as words are found in it
+    start, end, words, since = 0, None, 0, 0
+    for m in _WORD.finditer(text):
+        if end is not None and since == size:
+            yield text[start:end]
+            start, end = end, None
+        if end is None and words % size == 0 and m.start() - start >= chars:
+            end, since = m.start(), 0
+        words += 1
+        since += 1
+    if end is not None and since >= size:
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 def _segment_means(word_values: np.ndarray, segments: np.ndarray) -> np.ndarray:
     if not len(segments):
         return np.empty(0)
@@ -136,7 +162,7 @@ class Model:
     def logits(self, texts: list[str]) -> np.ndarray:
         """The largest segment logit of each text; for a text without words the bias, below 0."""
         out = np.full(len(texts), -np.inf)
-        cut = [(i, t[a : a + CHUNK_CHARS]) for i, t in enumerate(texts) for a in range(0, len(t), CHUNK_CHARS)]
+        cut = [(i, part) for i, t in enumerate(texts) for part in parts_of(t)]
         for lo, hi in sub_batches([len(t) for _, t in cut], CHUNK_CHARS):
             b = bags([t for _, t in cut[lo:hi]], len(self.weights))
             if not len(b.segments):
