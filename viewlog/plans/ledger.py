@@ -97,7 +97,7 @@ class Ledger:
         if runs:
             pairs = pairs.join(self.table("devices", runs), [C.CONTRACT, C.MAC], "left_anti")
         self._write(pairs, run, "devices")
-        self._write(self.spark.createDataFrame([(i,) for i in ids], BATCHES), run, "batches")
+        self._write(self.spark.createDataFrame([(i,) for i in ids], BATCHES).coalesce(1), run, "batches")
         M.commit(self.spark, self.root, version + 1, {"runs": [*runs, run]})
         if len(runs) + 1 >= MAX_RUNS:
             self.merge()

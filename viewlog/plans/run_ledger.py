@@ -39,7 +39,7 @@ class RunLedger:
     def record(self, batch: int, plan: int, stage: str, state: str, detail: str | None = None) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = self.spark.createDataFrame([(self.run_id, batch, plan, stage, state, detail, now)], SCHEMA)
-        tables.append(self.spark, self.table, row, [], self.location)
+        tables.append(self.spark, self.table, row.coalesce(1), [], self.location)
 
     def done(self, plans: Sequence[int]) -> dict[tuple[int, str], str | None]:
         """The stages that are 'ok', with their details; refuses a run id whose batches were others."""

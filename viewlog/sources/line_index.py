@@ -127,7 +127,7 @@ def _manifest(spark: SparkSession, manifest_path: str) -> dict[str, tuple[int, i
 
 def _record(spark: SparkSession, manifest_path: str, rows: list[tuple]) -> None:
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(*r, now) for r in rows], MANIFEST_SCHEMA).write.mode("append").parquet(manifest_path)
+    spark.createDataFrame([(*r, now) for r in rows], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path)
 
 
 def _registered(spark: SparkSession) -> None:
@@ -141,7 +141,8 @@ def _registered(spark: SparkSession) -> None:
 def _source(spark: SparkSession, mode: str, ranges: Sequence[LS.Range]) -> DataFrame:
     _registered(spark)
     spec = json.dumps([dataclasses.astuple(r) for r in ranges])
-    return spark.read.format(LS.LogLines.name()).option("mode", mode).option("ranges", spec).load()
+    tasks = str(2 * spark.sparkContext.defaultParallelism)
+    return spark.read.format(LS.LogLines.name()).option("mode", mode).option("ranges", spec).option("tasks", tasks).load()
 
 
 def build_index(spark: SparkSession, index_path: str, files: Sequence[SourceFile], range_bytes: int | None = None) -> dict[str, int]:

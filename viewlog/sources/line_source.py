@@ -182,40 +182,63 @@ def cut_ranges(uri: str, source_file: str, part: int, size: int, range_bytes: in
     return [Range(uri, source_file, part, a, min(a + range_bytes, size)) for a in range(start, size, range_bytes)]
 
 
+@dataclass
+class Ranges(InputPartition):
+    """What one task reads: a range, or several small ones."""
+
+    items: list[Range]
+
+
+def dealt(ranges: Sequence[Range], tasks: int) -> list[Ranges]:
+    """The ranges in order, small ones together, in about ``tasks`` partitions or more."""
+    sizes = [min(r.stop - r.start, RANGE_BYTES) for r in ranges]
+    target = min(RANGE_BYTES, max(1, sum(sizes) // max(tasks, 1)))
+    out: list[Ranges] = []
+    held = target
+    for r, size in zip(ranges, sizes, strict=True):
+        if held + size > target:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].items.append(r)
+        held += size
+    return out
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, ranges: list[Range]) -> None:
-        self.ranges = ranges
+    def __init__(self, ranges: list[Range], tasks: int) -> None:
+        self.ranges, self.tasks = ranges, tasks
 
-    def partitions(self) -> list[Range]:
-        return self.ranges
+    def partitions(self) -> list[Ranges]:
+        return dealt(self.ranges, self.tasks)
 
 
 class _LineReader(_Reader):
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for k, (_, line) in enumerate(read_range(partition)):
-                if k >= partition.skip + partition.take:
-                    return
-                if k >= partition.skip:
-                    yield line, partition.source_file, partition.row + k - partition.skip
+            for r in partition.items:
+                for k, (_, line) in enumerate(read_range(r)):
+                    if k >= r.skip + r.take:
+                        break
+                    if k >= r.skip:
+                        yield line, r.source_file, r.row + k - r.skip
 
         return batches(rows(), ["value", "source_file", "row_index"], [pa.binary(), pa.string(), pa.int64()])
 
 
 class _IndexReader(_Reader):
-    def __init__(self, ranges: list[Range], mark_lines: int) -> None:
-        super().__init__(ranges)
+    def __init__(self, ranges: list[Range], tasks: int, mark_lines: int) -> None:
+        super().__init__(ranges, tasks)
         self.mark_lines = mark_lines
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        lines, due, last, marks = 0, 0, -1, []
-        for at, _ in read_range(partition):
-            if lines >= due and at != last and not packed(partition.uri):
-                marks.append((lines, at))
-                due = lines - lines % self.mark_lines + self.mark_lines
-            lines, last = lines + 1, at
-        p = partition
-        yield (p.source_file, p.part, p.uri, p.start, p.stop, lines, marks)
+    def read(self, partition: Ranges) -> Iterator[tuple]:
+        for r in partition.items:
+            lines, due, last, marks = 0, 0, -1, []
+            for at, _ in read_range(r):
+                if lines >= due and at != last and not packed(r.uri):
+                    marks.append((lines, at))
+                    due = lines - lines % self.mark_lines + self.mark_lines
+                lines, last = lines + 1, at
+            yield (r.source_file, r.part, r.uri, r.start, r.stop, lines, marks)
 
 
 class LineStream(DataSourceStreamReader):
@@ -311,7 +334,7 @@ def source_name(uri: str, root: str) -> str:
 
 
 class LogLines(DataSource):
-    """Options: ``mode`` (index or lines) and ``ranges`` (JSON), or for a stream ``path``."""
+    """Options: ``mode`` (index or lines), ``ranges`` (JSON) and ``tasks``, or for a stream ``path``."""
 
     @classmethod
     def name(cls) -> str:
@@ -326,8 +349,8 @@ class LogLines(DataSource):
     def reader(self, schema) -> DataSourceReader:
         ranges = [Range(*r) for r in json.loads(self.options["ranges"])]
         if self.options["mode"] == "index":
-            return _IndexReader(ranges, self._number("mark_lines", MARK_LINES))
-        return _LineReader(ranges)
+            return _IndexReader(ranges, self._number("tasks", 1), self._number("mark_lines", MARK_LINES))
+        return _LineReader(ranges, self._number("tasks", 1))
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         size = self._number("range_bytes", RANGE_BYTES)
