@@ -22,7 +22,9 @@ that only one of them has, allow a link. In every signature's bucket, some
 pivots (those with most links first) are compared with the members of other
 components by their full sets. Found links merge components, so that members of one component are not compared
 again; a pivot leaves its bucket, and the number of pivots grows until a bucket
-is one component. So no link between different components is lost,
+is one component. Once buckets have many pivots, a pair that meets in several
+buckets is left to a lower one of them (see ``LOWER``), so that it is not
+proposed once by each. So no link between different components is lost,
 and no bucket's pairs are listed as a whole where its members are linked.
 
 Defined results: a null, empty or blank text has 0 shingles and its own id as
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bytes_of, discard, drop_shuffles, materialize, mix, prepare, sub_batches, word_hashes, word_spans
@@ -53,6 +55,8 @@ COMBINE = 3
 #: Pivots per bucket in the first rounds; later rounds take so many times more each.
 FIRST_SLICES = (1, 1)
 GROWTH = 64
+#: In later rounds a member knows so many of its lower signatures; a pair that shares one of them is left to that bucket.
+LOWER = 16
 
 
 def _sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -364,15 +368,21 @@ def link(spark: SparkSession, tokens: DataFrame, percent: int) -> DataFrame:
         known = buckets.join(comp, "node", "left").join(degree, "node", "left")
         known = known.select("sig", "node", "n", "cap", F.coalesce("comp", "node").alias("comp"), F.coalesce("d", F.lit(0)).alias("d"))
         open_ = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-        members = materialize(known.join(open_, "sig"), "jaccard-members")
+        members = known.join(open_, "sig")
+        if slices > 1:
+            below = Window.partitionBy("node").orderBy("sig").rowsBetween(-LOWER, -1)
+            members = members.withColumn("lower", F.collect_list("sig").over(below))
+        else:
+            members = members.withColumn("lower", F.array().cast("array<long>"))
+        members = materialize(members, "jaccard-members")
         # Pivots: one member of each slice of a bucket that holds several components, those with most links first.
-        best = F.min(F.struct((-F.col("d")).alias("d"), "node", "comp", "n", "cap")).alias("p")
+        best = F.min(F.struct((-F.col("d")).alias("d"), "node", "comp", "n", "cap", "lower")).alias("p")
         chosen = members.groupBy("sig", F.pmod(F.xxhash64("node"), F.lit(slices)).alias("part")).agg(best)
-        pivot = [F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "comp", "n", "cap")]
+        pivot = [F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "comp", "n", "cap", "lower")]
         chosen = materialize(chosen.select("sig", *pivot), "jaccard-pivots")
         if chosen.isEmpty():
             return comp
-        pairs = members.join(chosen, "sig").where("comp != p_comp AND n <= p_cap AND p_n <= cap")
+        pairs = members.join(chosen, "sig").where("comp != p_comp AND n <= p_cap AND p_n <= cap AND NOT arrays_overlap(lower, p_lower)")
         pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         found = materialize(verified(pairs, tokens, percent), "jaccard-links")
@@ -381,7 +391,8 @@ def link(spark: SparkSession, tokens: DataFrame, percent: int) -> DataFrame:
         if not found.isEmpty():
             edges = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(comp.select("node", "comp"))
             comp = connected(edges)
-        # A pivot has met its whole bucket: the pairs left to compare are among the others.
+        # A pivot has met its whole bucket, but for pairs left to a lower bucket that both are still in, as
+        # their components differ and their sizes fit there too: the pairs left to compare are among the others.
         met = chosen.select("sig", F.col("p_node").alias("node"))
         buckets = possible(members.select("sig", "node", "n", "cap").join(met, ["sig", "node"], "left_anti"))
 
