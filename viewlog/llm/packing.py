@@ -16,12 +16,14 @@ each packed; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,12 +37,14 @@ _CACHE_PIECES = 1_200_000
 _CACHE_WORDS = 400_000
 _CACHE_CHARS = 48
 _LINE_WORDS = 48
-_CLOSING = ".,!?;:"
+_CLOSING = string.punctuation
 #: Last characters after which closing marks are split off; lower-casing takes U+0130 apart.
 _LATIN = frozenset(c for c in map(chr, range(0x250)) if c.isalnum() and c != "\u0130")
 #: Characters of text encoded at a time.
-_STEP_CHARS = 1 << 18
-#: str.split() also splits at these; to the tokenizer they are no white space.
+_STEP_CHARS = 1 << 20
+#: Words whose ids are put together at a time.
+_STEP_WORDS = 1 << 17
+#: Arrow's split also splits at these; to the tokenizer they are no white space.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -56,7 +60,7 @@ class _Encoder:
 
     This vocabulary's pre-tokenizer drops white space and never joins across it,
     so the ids of a text are those of its words in order; nor does it join a
-    Latin letter or digit with a mark after it, so closing marks after one are a
+    Latin letter or digit with a mark after it, so ASCII marks after one are a
     piece of their own. Other words are left whole: normalisation takes some
     letters apart, and the last part may be a mark. Ids are below 2^16.
     """
@@ -102,27 +106,58 @@ class _Encoder:
                 out += [array("H", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(line, add_special_tokens=False)]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as 16-bit integers of this machine's order."""
-        split = [(_WHITE.split(t) if _ODD_SPACE.search(t) else t.split()) for t in texts]
-        need = set().union(*split)
-        new = {}
-        for w in need.difference(self.words):
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each of these distinct words."""
+        out = list(map(self.words.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        if not missing:
+            return out
+        parts = []
+        for i in missing:
+            w = words[i]
             stem = w.rstrip(_CLOSING)
-            new[w] = (stem, w[len(stem) :]) if len(stem) < len(w) and stem[-1:] in _LATIN else (w, "")
-        ids = self._encode_pieces({p for pair in new.values() for p in pair if p})
+            parts.append((stem, w[len(stem) :]) if len(stem) < len(w) and stem[-1:] in _LATIN else (w, ""))
+        ids = self._encode_pieces({p for pair in parts for p in pair if p})
         ids[""] = b""
-        found = {w: ids[a] + ids[b] for w, (a, b) in new.items()}
-        if len(self.words) + len(found) > _CACHE_WORDS:
-            self.words = {w: self.words[w] for w in need if w in self.words}
-        words = self.words
-        words.update(found)
-        out = [b"".join(map(words.__getitem__, ws)) for ws in split]
-        for w in found:
-            if len(w) > _CACHE_CHARS:
-                del words[w]
+        if len(self.words) + len(missing) > _CACHE_WORDS:
+            self.words = {w: x for w, x in zip(words, out, strict=True) if x is not None}
+        for i, (stem, marks) in zip(missing, parts, strict=True):
+            out[i] = ids[stem] + ids[marks]
+            if len(words[i]) <= _CACHE_CHARS:
+                self.words[words[i]] = out[i]
         return out
 
+    def _encode_split(self, split: pa.ListArray) -> list[bytes]:
+        """The ids of texts given as lists of words; each distinct word is looked up once."""
+        coded = split.flatten().dictionary_encode()
+        ids = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        joined = np.frombuffer(b"".join(ids), dtype=np.uint16)
+        sizes = np.array([len(x) // 2 for x in ids], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        done = [b""]
+        before = np.zeros(len(at) + 1, dtype=np.int64)
+        for lo in range(0, len(at), _STEP_WORDS):
+            part = at[lo : lo + _STEP_WORDS]
+            n = sizes[part]
+            ends = np.cumsum(n)
+            done.append(joined[np.arange(n.sum()) + np.repeat(starts[part] - ends + n, n)].tobytes())
+            before[lo + 1 : lo + 1 + len(part)] = before[lo] + ends
+        data = b"".join(done)
+        bounds = (2 * before[split.offsets.to_numpy()]).tolist()
+        return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 16-bit integers of this machine's order."""
+        odd = [i for i, t in enumerate(texts) if _ODD_SPACE.search(t)]
+        if not odd:
+            return self._encode_split(pc.utf8_split_whitespace(pa.array(texts, pa.string())))
+        ids = self.encode([t if not _ODD_SPACE.search(t) else "" for t in texts])
+        split = pa.array([_WHITE.split(texts[i]) for i in odd], pa.list_(pa.string()))
+        for i, x in zip(odd, self._encode_split(split), strict=True):
+            ids[i] = x
+        return ids
+
 
 _encoders: dict[str, _Encoder] = {}
 
