@@ -607,3 +607,25 @@ def test_toxicity_scores_long_texts_as_a_whole(monkeypatch):
         monkeypatch.setattr(toxicity, "CHUNK_CHARS", chars)
         assert all("".join(toxicity.parts_of(t)) in (t, t.lower()) for t in texts)
         assert np.allclose(model.logits(texts), whole), chars
+
+
+def test_toxicity_trains_in_little_memory():
+    """The driver's arrays of all words and n-grams are short ones; their sums are those of one step over all."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    into, source, values = rng.integers(0, 50, 700_000), rng.integers(0, 90, 700_000), rng.normal(0, 1, 90)
+    assert np.array_equal(toxicity._sums(into, values, source, 60), np.bincount(into, weights=values[source], minlength=60))
+    vocabulary = words(2000, 8)
+    grams, owners = toxicity._ngrams(vocabulary, 1 << 12)
+    whole = toxicity.bags(vocabulary, 1 << 12)
+    assert np.array_equal(grams, whole.buckets) and np.array_equal(owners, whole.words)
+    letters = np.array(list("abcdefghijklmnop"))
+    texts = [" ".join(map("".join, rng.choice(letters, (200, 9)))) for _ in range(400)]
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, np.arange(400) % 2, epochs=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 << 20, peak  # 80,000 words of 30 n-grams each

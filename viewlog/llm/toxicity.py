@@ -26,7 +26,8 @@ an empty result; other columns are ignored, or kept as they are by ``accepted``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +52,8 @@ _WORD = re.compile(r"[^\W_]+")
 FOLDS = 5
 #: Characters that one numpy step handles; longer texts are cut where a segment ends.
 CHUNK_CHARS = 1 << 19
+#: N-grams or words that one numpy step of the training handles, and characters of words cut into n-grams at a time.
+STEP = 1 << 18
 
 _cache: dict[str, np.ndarray] = {}
 
@@ -83,7 +86,7 @@ def segment_starts(words_per_text: np.ndarray, size: int) -> tuple[np.ndarray, n
     return first_word[text] + k * size, n_segments
 
 
-def bags(texts: list[str], buckets: int = BUCKETS, size: int = SEGMENT_WORDS) -> Bags:
+def bags(texts: list[str], buckets: int = BUCKETS, size: int = SEGMENT_WORDS, sizes: Sequence[int] = SIZES) -> Bags:
     joined = " ".join(["", *(t.lower() for t in texts), ""]) + " "
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     lengths = np.array([len(t.lower()) + 1 for t in texts], dtype=np.int64)
@@ -96,12 +99,12 @@ def bags(texts: list[str], buckets: int = BUCKETS, size: int = SEGMENT_WORDS) ->
     sums = np.concatenate([[0], np.cumsum(inside)])
     found, owners = [], []
     h = codes * np.uint64(0x9E3779B97F4A7C15)
-    for n in range(2, max(SIZES) + 1):
+    for n in range(2, max(sizes) + 1):
         m = len(codes) - n + 1
         if m <= 0:
             break
         h = (h[:m] ^ (h[:m] >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + codes[n - 1 :]
-        if n in SIZES:
+        if n in sizes:
             p = np.flatnonzero(sums[n - 1 : m + n - 1] - sums[1 : m + 1] == n - 2)
             x = (h[p] + np.uint64(n)) * np.uint64(0x94D049BB133111EB)
             found.append((x >> np.uint64(40)).astype(np.int64) % buckets)
@@ -179,16 +182,40 @@ class Model:
 def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words, the word numbers of all texts in order, and the words of each text."""
     number: dict[str, int] = {}
-    ids = [[number.setdefault(w, len(number)) for w in _WORD.findall(t.lower())] for t in texts]
-    flat = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=sum(map(len, ids)))
-    return list(number), flat, np.array([len(x) for x in ids], dtype=np.int64)
+    flat, sizes = array("i"), []
+    for t in texts:
+        before = len(flat)
+        flat.extend(number.setdefault(m.group(), len(number)) for m in _WORD.finditer(t.lower()))
+        sizes.append(len(flat) - before)
+    return list(number), np.array(flat, dtype=np.int32), np.array(sizes, dtype=np.int64)
+
+
+def _ngrams(vocabulary: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and word numbers of the words' n-grams, the short ones of all words first; few words at a time."""
+    found, owners = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for n in SIZES:
+        for lo, hi in sub_batches([len(w) for w in vocabulary], STEP):
+            b = bags(vocabulary[lo:hi], buckets, sizes=(n,))
+            found.append(b.buckets.astype(np.int32))
+            owners.append((b.words + lo).astype(np.int32))
+    return np.concatenate(found), np.concatenate(owners)
+
+
+def _sums(into: np.ndarray, values: np.ndarray, source: np.ndarray, size: int) -> np.ndarray:
+    """``bincount(into, values[source])``: the same additions in the same order, without arrays as long as ``into``."""
+    out = np.zeros(size)
+    for i in range(0, len(into), STEP):
+        np.add.at(out, into[i : i + STEP].astype(np.intp), values[source[i : i + STEP]])
+    return out
 
 
 def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Joint full-batch Adam on embeddings and softmax; ``placed`` has yet to set the threshold.
 
     N-grams that fewer than ``MIN_TEXTS`` sampled texts hold keep a zero vector:
-    they could only be learnt by heart.
+    they could only be learnt by heart. The driver trains beside its JVM, so
+    what is as long as all words or n-grams is held in 32 bits and worked on in
+    steps of ``STEP``.
     """
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(buckets, dtype=np.float32), -100.0)
@@ -201,17 +228,20 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs:
     y = labels.astype(np.float64)[has]
     seg_words = np.diff(np.append(starts, len(flat)))
     doc_of_seg = np.repeat(np.arange(len(has)), n_segments[has])
-    seg_of_word = np.repeat(np.arange(len(starts)), seg_words)
+    seg_of_word = np.repeat(np.arange(len(starts), dtype=np.int32), seg_words)
 
     # N-grams of the distinct words, without the rare ones.
-    b = bags(vocabulary, buckets)
-    per_word = np.maximum(np.bincount(b.words, minlength=len(vocabulary)), 1)
-    pair = np.unique(flat * len(has) + doc_of_seg[seg_of_word])
+    grams, words = _ngrams(vocabulary, buckets)
+    per_word = np.maximum(np.bincount(words, minlength=len(vocabulary)), 1)
+    pair = np.unique(flat.astype(np.int64) * len(has) + doc_of_seg[seg_of_word])
     texts_with_word = np.bincount(pair // len(has), minlength=len(vocabulary))
-    heard = np.bincount(b.buckets, weights=texts_with_word[b.words], minlength=buckets)
-    frequent = heard[b.buckets] >= MIN_TEXTS
-    used, ids = np.unique(b.buckets[frequent], return_inverse=True)
-    words = b.words[frequent]
+    del pair
+    heard = _sums(grams, texts_with_word, words, buckets)
+    often = heard >= MIN_TEXTS
+    used = np.flatnonzero(often)
+    frequent = often[grams]
+    ids, words = (np.cumsum(often, dtype=np.int32) - 1)[grams[frequent]], words[frequent]
+    del grams, frequent
     # A step of sqrt(frequency): neither the commonest n-grams nor those of a few texts take over.
     scale = 1 / np.sqrt(heard[used])
 
@@ -224,7 +254,7 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs:
     for epoch in range(epochs):
         seg = np.empty((DIM, len(starts)))
         for d in range(DIM):
-            word = np.bincount(words, weights=emb[d][ids], minlength=len(vocabulary)) / per_word
+            word = _sums(words, emb[d], ids, len(vocabulary)) / per_word
             seg[d] = np.add.reduceat(word[flat], starts) / seg_words
         z = soft @ seg + bias[:, None]
         margin = z[1] - z[0]
@@ -242,8 +272,8 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, epochs:
         seg_grad = soft.T @ dz / seg_words
         grads = [np.empty_like(emb), dz @ seg.T, dz.sum(axis=1)]
         for k in range(DIM):
-            word_grad = np.bincount(flat, weights=seg_grad[k][seg_of_word], minlength=len(vocabulary)) / per_word
-            grads[0][k] = np.bincount(ids, weights=word_grad[words], minlength=len(used))
+            word_grad = _sums(flat, seg_grad[k], seg_of_word, len(vocabulary)) / per_word
+            grads[0][k] = _sums(ids, word_grad, words, len(used))
         rate = RATE * (1 - epoch / epochs)
         step = scale * grads[0]
         speed = 0.8 * speed + step
