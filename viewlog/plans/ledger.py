@@ -125,7 +125,10 @@ class Ledger:
     def snapshot(self, run_day: str) -> DataFrame:
         """Silver rows for ``run_day``: those of ``operators.silver.silver_summary`` over all folded batches."""
         _, runs = self.state()
-        files = self._summed(self.table("files", runs)) if len(runs) > 1 else self.table("files", runs)
+        # Spread by contract once: sums per file, totals and the join with the devices all keep that layout.
+        files = self.table("files", runs).repartition(C.CONTRACT)
+        if len(runs) > 1:
+            files = self._summed(files)
         w = f"OVER (PARTITION BY {quote_ident(C.CONTRACT)})"
         totals = [F.expr(f"coalesce(sum({quote_ident(c)}) {w}, CAST(0 AS BIGINT))").alias(c) for c in self.columns]
         out = files.select(C.CONTRACT, *totals, F.expr(f"sum({quote_ident(ROWS)}) {w}").alias(C.TOTAL_DEVICES), C.SOURCE_FILE)

@@ -101,27 +101,25 @@ class VersionedTable:
     def upsert(self, updates: DataFrame, keys: Sequence[str], keep: int = KEEP_VERSIONS) -> int:
         """``INSERT ... ON DUPLICATE KEY UPDATE``: the number of the new version.
 
-        The updates are evaluated once, into a staging folder. Only partitions
-        they touch are read and written anew; columns the table lacks are added
-        (see ``tables.routed``), and those the updates lack are NULL.
+        The updates are evaluated and written once, as the folders of a new
+        version. Only partitions of the old one that they touch are read, merged
+        with the folders just written, and written anew; columns the table lacks
+        are added (see ``tables.routed``), and those the updates lack are NULL.
         """
-        spark = self.spark
-        stage = f"{self.root}/_stage-{uuid.uuid4().hex}"
-        try:
-            updates.write.parquet(stage)
-            staged = spark.read.schema(updates.schema).parquet(stage)
-            old = self.version()
-            schema = T.StructType([*[f for f in staged.schema.fields if f.name != self.partition_col], staged.schema[self.partition_col]])
-            if old is not None:
-                schema = evolved(old.schema, staged)
-                staged = tables.routed(schema, staged)
-            rows = _aligned(staged, schema)
-            if old is not None:
-                touched = self._touched(rows, old)
-                rows = upsert_rows(_aligned(self.rows(old, touched), schema), rows, keys)
-            number = self._switch(rows, schema, old, ())
-        finally:
-            tables.delete_path(spark, stage)
+        old = self.version()
+        data = [f for f in updates.schema.fields if f.name != self.partition_col]
+        schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in (*data, updates.schema[self.partition_col])])
+        if old is not None:
+            schema = evolved(old.schema, updates)
+            updates = tables.routed(schema, updates)
+        written = self._write(_aligned(updates, schema))
+        touched = {} if old is None else self._touched(written, old)
+        if touched:
+            values = {self._value(n) for n in touched}
+            fresh = Version(0, schema, {n: p for n, p in written.items() if self._value(n) in values})
+            rows = upsert_rows(_aligned(self.rows(old, touched), schema), self.rows(fresh, fresh.partitions), keys)
+            written |= self._write(rows)
+        number = self._commit(written, schema, old, list(touched))
         self.vacuum(keep)
         return number
 
@@ -138,6 +136,10 @@ class VersionedTable:
 
     def _switch(self, rows: DataFrame, schema: T.StructType, old: Version | None, gone: Sequence[str]) -> int:
         """Write the partitions of ``rows`` and commit a version that has them, the old ones, and none of ``gone``."""
+        return self._commit(self._write(rows), schema, old, gone)
+
+    def _write(self, rows: DataFrame) -> dict[str, str]:
+        """Write the partitions of ``rows`` to folders of their own, which no version has yet."""
         write = f"{_WRITE}={uuid.uuid4().hex}"
         writer = rows.write
         if self.lookup is not None:
@@ -146,18 +148,17 @@ class VersionedTable:
             writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write
             writer = writer.option(f"parquet.bloom.filter.enabled#{self.lookup}", "true").option("parquet.block.size", str(ROW_GROUP_BYTES))
         writer.partitionBy(self.partition_col).parquet(f"{self.root}/{write}")
-        written = {n: f"{write}/{n}" for n in self._folders(write)}
+        return {n: f"{write}/{n}" for n in self._folders(write)}
+
+    def _commit(self, written: dict[str, str], schema: T.StructType, old: Version | None, gone: Sequence[str]) -> int:
         kept = {n: p for n, p in (old.partitions if old else {}).items() if n not in set(gone)}
         number = (old.number if old else 0) + 1
         return M.commit(self.spark, self.root, number, {"schema": schema.jsonValue(), "partitions": {**kept, **written}})
 
-    def _touched(self, rows: DataFrame, old: Version) -> dict[str, str]:
-        """The old partitions that hold a value of the partition column in ``rows``."""
-        values = [(n, self._value(n)) for n in old.partitions]
-        values = self.spark.createDataFrame(values, "name string, _value string")
-        days = rows.select(F.col(self.partition_col).cast("string").alias("_day")).distinct()
-        hit = values.join(days, F.col("_value").eqNullSafe(F.col("_day")), "left_semi").collect()
-        return {r["name"]: old.partitions[r["name"]] for r in hit}
+    def _touched(self, written: dict[str, str], old: Version) -> dict[str, str]:
+        """The old partitions whose value of the partition column is among those just written."""
+        values = {self._value(n) for n in written}
+        return {n: p for n, p in old.partitions.items() if self._value(n) in values}
 
     def _folders(self, write: str) -> list[str]:
         p, fs = M._path(self.spark, f"{self.root}/{write}")
