@@ -138,11 +138,13 @@ def write_source_log(events: DataFrame, path: str, per_file: bool = False, files
     order, hold all records in order (range partitioning on ``_id`` keeps
     that write parallel).
     """
-    recs = source_records(events)
     n = files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Spread before the records are built: cutting ranges samples its input, which then is a plain scan.
+    day = F.date_format("ts", "yyyyMMdd")
     if per_file:
-        by_day = recs.repartition(n, C.SOURCE_FILE) if whole else recs.repartitionByRange(n, C.SOURCE_FILE, "_id")
-        by_day = by_day.sortWithinPartitions(C.SOURCE_FILE, "_id")
+        spread = events.repartition(n, day) if whole else events.repartitionByRange(n, day, "event_id")
+        by_day = source_records(spread).sortWithinPartitions(C.SOURCE_FILE, "_id")
         by_day.write.mode(mode).partitionBy(C.SOURCE_FILE).json(path)
     else:
-        recs.repartitionByRange(n, "_id").sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)
+        spread = events.repartitionByRange(n, "event_id")
+        source_records(spread).sortWithinPartitions("_id").drop(C.SOURCE_FILE).write.json(path)
