@@ -588,6 +588,37 @@ def test_packing_ids_equal_the_library_on_every_letter_before_closing_marks():
     assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == [w.ids for w in want]
 
 
+def test_packing_ids_stay_the_same_when_caches_overflow(monkeypatch):
+    for name, n in (("_CACHE_PIECES", 40), ("_KEEP_PIECES", 10), ("_CACHE_WORDS", 30), ("_KEEP_WORDS", 8)):
+        monkeypatch.setattr(packing, name, n)
+    texts = [" ".join(w + m for w, m in zip(words(25, i % 7), ["", ".", "!?"] * 9, strict=False)) + f" n{i} é{i}." for i in range(40)]
+    encoder = packing._Encoder(packing.default_vocabulary())
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for i in range(0, 40, 4):
+        assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts[i : i + 4])] == [w.ids for w in want[i : i + 4]]
+        if i % 3 == 0:
+            encoder.rest()
+            assert len(encoder.pieces) <= 10 and len(encoder.words) <= 8
+
+
+def test_packing_worker_keeps_little_for_tasks_of_other_stages(spark):
+    """A worker goes on with other stages beside the executor's heap; it used to keep all it had met."""
+    distinct = [a + b + c for a in words(60, 1) for b in words(60, 2) for c in words(60, 3)]
+    docs = docs_frame(spark, [(i, " ".join(distinct[i::20]), "s") for i in range(20)]).coalesce(1)
+    assert docs.select(F.explode(F.split("text", " ")).alias("w")).distinct().count() > 150_000
+    packing.tokenize(docs, packing.default_vocabulary()).agg(F.sum("n")).collect()
+
+    def kept(batches):
+        import pyarrow as pa
+
+        from viewlog.llm import packing as own
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [max([0, *(max(len(e.pieces), len(e.words)) for e in own._encoders.values())])]})
+
+    assert spark.range(0, 64, 1, 64).mapInArrow(kept, "n long").agg(F.max("n")).first()[0] <= 120_000
+
+
 def test_jaccard_links_through_a_row_without_an_id(spark):
     base = words(60, 77)
     left, right = [*base], [*base]

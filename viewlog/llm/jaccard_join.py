@@ -277,23 +277,23 @@ def connected(edges: DataFrame) -> DataFrame:
     lost executor costs one step.
     """
     def directed(df: DataFrame) -> DataFrame:
-        return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
+        return df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v")
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    now = materialize(directed(edges), "components")
+    now = materialize(directed(edges).distinct(), "components")
     before = None
     while (seen := state(now)) != before:
         before = seen
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = directed(large)
+        large = directed(large)  # repeats go with those of the small-star step
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        now = materialize(directed(small), "components")
+        now = materialize(directed(small).distinct(), "components")
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 

@@ -15,6 +15,7 @@ each packed; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import string
 import zlib
@@ -32,9 +33,9 @@ from .common import drop_shuffles, materialize, prepare, sub_batches
 
 WINDOW = 2048
 END_ID = 1
-#: Pieces and words that a worker keeps (about 200 bytes each).
-_CACHE_PIECES = 1_200_000
-_CACHE_WORDS = 400_000
+#: Pieces and words that a task keeps (about 200 bytes each), and those that a worker keeps for its next task.
+_CACHE_PIECES, _KEEP_PIECES = 480_000, 120_000
+_CACHE_WORDS, _KEEP_WORDS = 160_000, 60_000
 _CACHE_CHARS = 48
 _LINE_WORDS = 48
 _CLOSING = string.punctuation
@@ -55,6 +56,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _oldest(known: dict[str, bytes], n: int) -> dict[str, bytes]:
+    """The first ``n`` entries: frequent words come early."""
+    return dict(itertools.islice(known.items(), n))
+
+
 class _Encoder:
     """Ids of whole texts, encoding each distinct piece once while it stays in a bounded cache.
 
@@ -81,7 +87,7 @@ class _Encoder:
         known = self.pieces
         new = list(pieces.difference(known))
         if len(known) + len(new) > _CACHE_PIECES:
-            known = self.pieces = {p: known[p] for p in pieces if p in known}
+            known = self.pieces = _oldest(known, _KEEP_PIECES) | {p: known[p] for p in pieces if p in known}
         once: dict[str, bytes] = {}
         plain = [p for p in new if p.isalpha() and len(p) <= _CACHE_CHARS]
         known.update(zip(plain, self._encode_letters(plain), strict=True))
@@ -120,7 +126,7 @@ class _Encoder:
         ids = self._encode_pieces({p for pair in parts for p in pair if p})
         ids[""] = b""
         if len(self.words) + len(missing) > _CACHE_WORDS:
-            self.words = {w: x for w, x in zip(words, out, strict=True) if x is not None}
+            self.words = _oldest(self.words, _KEEP_WORDS) | {w: x for w, x in zip(words, out, strict=True) if x is not None}
         for i, (stem, marks) in zip(missing, parts, strict=True):
             out[i] = ids[stem] + ids[marks]
             if len(words[i]) <= _CACHE_CHARS:
@@ -147,6 +153,11 @@ class _Encoder:
         bounds = (2 * before[split.offsets.to_numpy()]).tolist()
         return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
+    def rest(self) -> None:
+        """Give back memory at a task's end: the worker goes on with tasks of other stages, beside the executor's heap."""
+        self.pieces, self.words = _oldest(self.pieces, _KEEP_PIECES), _oldest(self.words, _KEEP_WORDS)
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 16-bit integers of this machine's order."""
         odd = [i for i, t in enumerate(texts) if _ODD_SPACE.search(t)]
@@ -163,7 +174,7 @@ _encoders: dict[str, _Encoder] = {}
 
 
 def _encoder(vocabulary: str) -> _Encoder:
-    """One encoder per worker process: its cache serves later tasks too."""
+    """One encoder per worker process: what it keeps serves later tasks too."""
     if vocabulary not in _encoders:
         _encoders[vocabulary] = _Encoder(vocabulary)
     return _encoders[vocabulary]
@@ -197,6 +208,8 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFram
                     ],
                     ["part", "place", "doc_id", "n", "ids"],
                 )
+        if encoder:
+            encoder.rest()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"part int, place long, doc_id {id_type}, n long, ids binary")
