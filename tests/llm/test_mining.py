@@ -95,6 +95,24 @@ def test_texts_are_cut_at_piece_borders_only(monkeypatch):
     assert len(parts) > 3 and b"\n".join(parts) == text
 
 
+def test_each_position_goes_through_one_trie(spark, monkeypatch):
+    """More tries do not mean more passes over the texts, also where dealt rows are small."""
+    docs = phrase_docs(5)
+    met = []
+    count_shard = collocations.count_shard
+
+    def counted(texts, *args):
+        met.append(sum(len(collocations.normal(r["text"] or "").split()) for r in rows(texts.select("text"))))
+        return count_shard(texts, *args)
+
+    monkeypatch.setattr(collocations, "count_shard", counted)
+    monkeypatch.setattr(collocations, "DEALT_BYTES", 64, raising=False)
+    monkeypatch.setattr(collocations, "TASK_BYTES", 600, raising=False)
+    got = rows(collocations.collocations(lang_frame(spark, docs), least=4, top=50, shard_phrases=50))
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in got) == brute_collocations(docs, 4, 50)
+    assert len(met) > 4 and sum(met) <= 3 * sum(len(collocations.normal(t or "").split()) for _, t in docs)
+
+
 def test_double_array_holds_exactly_its_words():
     rng = np.random.default_rng(5)
     child = {(0, int(c)) for c in rng.choice(512, 400, replace=False)}

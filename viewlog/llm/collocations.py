@@ -8,19 +8,23 @@ frequent:
    which both pairs are left. Filters of a fixed size (Bloom filters of the
    frequent words and pairs) tell tasks what is frequent. Filters and hashes can
    only let too much through, so no frequent phrase is lost.
-3. The candidates that are left, as strings, are dealt by hash into shards of at
-   most about ``SHARD_PHRASES``. One task per shard builds a double-array trie
-   over the digits of its word numbers; each trie is broadcast, and every text
-   goes through it: numpy moves the states of all text positions one level at a
-   time, and accepting states are counted by ``bincount``. Summed over tasks,
-   these counts are the phrases' exact frequencies.
+3. The candidates that are left, as strings, are dealt by the hash of their first
+   two words into shards of at most about ``SHARD_PHRASES``. One task per shard
+   builds a double-array trie over the digits of its word numbers; each trie is
+   broadcast, and the texts go through it: numpy moves the states of all text
+   positions one level at a time, and accepting states are counted by
+   ``bincount``. Summed over tasks, these counts are the phrases' exact
+   frequencies. Where there are several shards, one pass over the texts deals
+   their positions by the same hash, so that a trie meets only the parts of the
+   texts where one of its phrases may begin.
 
 Scores, containment and the ranking are joins and windows over frequent phrases
 only; the ranking is taken per (language, hash slice) before it is taken per
 language.
 
-The broadcast has a fixed bound (one shard); every further ``SHARD_PHRASES``
-candidates cost another pass over the texts, of integer steps only.
+The broadcast has a fixed bound (one shard). The dealt parts hold each position
+in one shard only, three words of it at most, so the work over all shards grows
+with the texts and not with the number of shards.
 
 Defined results: a null or empty text has no words; a null language is ``und``;
 repeated rows count each; ties in score and frequency go by the phrase's bytes;
@@ -32,15 +36,16 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, discard, materialize, mix, prepare, sub_batches, word_hashes, word_spans
+from .common import CHUNK_BYTES, discard, drop_shuffles, materialize, mix, prepare, sub_batches, word_hashes, word_spans
 
 LEAST_COUNT, COVERED_PERCENT, TOP = 10, 50, 2000
 UNKNOWN_LANG = "und"
@@ -50,10 +55,16 @@ SHARD_PHRASES = 1_000_000
 FILTER_BITS = 1 << 27
 #: Words that a task counts, and hashed phrases that it gathers, before it hands them on.
 TASK_WORDS, TASK_PHRASES = 300_000, 1_500_000
+#: Text in one dealt row, and in the rows that a dealing task gathers; the tasks at least that one shard's rows are spread over.
+DEALT_BYTES, TASK_BYTES, SPREAD = 1 << 15, 1 << 24, 8
+#: Rows of hashed phrases that are sent at once.
+SENT_ROWS = 1 << 16
 #: Slices of a language that are ranked on their own first.
 SLICES = 64
 
 _BREAK = b"\n"
+#: A word that no text holds: its byte is not in UTF-8.
+_BREAK_WORD = b" \xff "
 _TABLE = bytearray(range(256))
 _TABLE[65:91] = range(97, 123)
 for _c in b".,;:!?\n\x0b\x0c\r":
@@ -116,15 +127,20 @@ def _salt(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode())
 
 
-def _hashes(texts: list[bytes], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word under its language, and the number of its piece."""
-    buf, starts, ends, at = word_spans(texts)
+def _salted(spans: tuple[np.ndarray, ...], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of ``word_spans`` under its language, and the number of its piece."""
+    buf, starts, ends, at = spans
     h = word_hashes(buf, starts, ends)
     salt = np.array([_salt(x) for x in langs], dtype=np.uint64)
     h = mix(h ^ np.repeat(salt, np.diff(at)))
     return h, np.cumsum(buf == 10)[starts]
 
 
+def _hashes(texts: list[bytes], langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word under its language, and the number of its piece."""
+    return _salted(word_spans(texts), langs)
+
+
 def hashed_words(words: DataFrame) -> DataFrame:
     """lang, word, n and the hash h that ``_hashes`` gives to the word."""
 
@@ -142,12 +158,12 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def bloom(keys: DataFrame, bits: int) -> np.ndarray:
-    """A filter of the hashes in the columns of ``keys`` (one hash, or the two of a pair), at most ``bits`` / 8 bytes."""
+    """A filter of the hashes in the columns of ``keys`` (one for each word of a phrase), at most ``bits`` / 8 bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h = [c.to_numpy().view(np.uint64) for c in b.columns]
-            places = np.concatenate(_places(h[0] if len(h) == 1 else _pair(*h), bits))
+            places = np.concatenate(_places(reduce(_pair, h), bits))
             flags = np.uint64(1) << (places & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array((places >> np.uint64(6)).astype(np.int64)), pa.array(flags.view(np.int64))], ["at", "flags"])
 
@@ -176,18 +192,21 @@ def frequent_hashes(docs: DataFrame, size: int, filter_: Broadcast, least: int =
     """
     names = [f"h{k + 1}" for k in range(size)]
 
-    def emitted(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+    def emitted(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-        key = columns[0]
-        for c in columns[1:]:
-            key = _pair(key, c)
-        order = np.argsort(key)
-        columns = [c[order] for c in columns]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        parts.clear()
+        order = np.argsort(reduce(_pair, columns))
+        new = np.zeros(len(order), dtype=bool)
+        new[:1] = True
+        for k, c in enumerate(columns):
+            columns[k] = c = c[order]
+            new[1:] |= c[1:] != c[:-1]
+        del order
         at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(key)))
-        return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(n)], [*names, "n"])
+        out = pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in columns), pa.array(np.diff(np.append(at, len(new))))], [*names, "n"])
+        del columns, new, at, c
+        for lo in range(0, out.num_rows, SENT_ROWS):  # the JVM holds one whole batch of each task
+            yield out.slice(lo, SENT_ROWS)
 
     def phrases(texts: list[bytes], langs: list[str]) -> list[np.ndarray]:
         h, piece = _hashes(texts, langs)
@@ -210,17 +229,16 @@ def frequent_hashes(docs: DataFrame, size: int, filter_: Broadcast, least: int =
             for lo, hi in sub_batches([len(s) for _, s in rows]):
                 parts.append(phrases([s for _, s in rows[lo:hi]], [x for x, _ in rows[lo:hi]]))
                 if sum(len(p[0]) for p in parts) > TASK_PHRASES:
-                    yield emitted(parts)
-                    parts = []
+                    yield from emitted(parts)
         if parts:
-            yield emitted(parts)
+            yield from emitted(parts)
 
     rows = docs.select("lang", "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
     return rows.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least).select(*names)
 
 
 def candidates(docs: DataFrame, words: DataFrame, least: int = LEAST_COUNT, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """pid, lang, w1, w2, w3 (null for pairs): every phrase that may be frequent, and some that are not."""
+    """pid, lang, w1, w2, w3 (null for pairs) and their hashes h1, h2, h3: every phrase that may be frequent, and some that are not."""
     sc = docs.sparkSession.sparkContext
     known = materialize(hashed_words(words.where("word IS NOT NULL")), "colloc-hashed")
     one = sc.broadcast(bloom(known.select("h"), filter_bits))
@@ -231,13 +249,99 @@ def candidates(docs: DataFrame, words: DataFrame, least: int = LEAST_COUNT, filt
     for k in (1, 2, 3):
         names = known.select(F.col("h").alias(f"h{k}"), F.col("word").alias(f"w{k}"), *([F.col("lang")] if k == 1 else []))
         found = found.join(names, f"h{k}", "left" if k == 3 else "inner")
-    out = materialize(found.select(F.monotonically_increasing_id().alias("pid"), "lang", "w1", "w2", "w3"), "colloc-candidates")
+    out = materialize(found.select(F.monotonically_increasing_id().alias("pid"), "lang", "w1", "w2", "w3", "h1", "h2", "h3"), "colloc-candidates")
     one.destroy()
     two.destroy()
     discard(pairs)
     return out
 
 
+# --- shards --------------------------------------------------------------------
+
+
+def _shard(h1: np.ndarray, h2: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of the phrases that begin with these two words."""
+    return ((h1 ^ (h2 >> np.uint64(7))) & np.uint64(0x7FFFFFFF)).astype(np.int64) % shards
+
+
+def shard_column(shards: int) -> Column:
+    """``_shard`` of the columns h1 and h2."""
+    return F.expr(f"CAST(((h1 ^ shiftrightunsigned(h2, 7)) & 2147483647L) % {shards} AS INT)")
+
+
+def _parts(texts: list[bytes], langs: list[str], two: np.ndarray, three: np.ndarray, shards: int) -> Iterator[tuple[int, str, bytes]]:
+    """shard, lang, text: the words of the shard's phrases in ``texts``.
+
+    Words that follow each other in a piece do so here, all others are in pieces
+    of their own. So a phrase of the shard occurs here as often as in ``texts``.
+    """
+    buf, starts, ends, at = spans = word_spans(texts)
+    h, piece = _salted(spans, langs)
+    n = len(h)
+    if n < 2:
+        return
+    pair = _pair(h[:-1], h[1:])
+    begins = (piece[:-1] == piece[1:]) & _passes(two, pair)
+    names = list(dict.fromkeys(langs))
+    group = _shard(h[:-1], h[1:], shards) * len(names) + np.repeat([names.index(x) for x in langs], np.diff(at))[:-1]
+    key = group * (n + 1) + np.arange(n - 1)
+    pairs, triples = np.flatnonzero(begins), np.flatnonzero(begins[:-1] & begins[1:])
+    triples = triples[_passes(three, _pair(pair[triples], h[triples + 2]))]
+    key = np.unique(np.concatenate([key[pairs], key[pairs] + 1, key[triples] + 2]))
+    if not len(key):
+        return
+    group, word = np.divmod(key, n + 1)
+    last = np.append((np.diff(key) > 1) | (np.diff(piece[word]) > 0), True)
+    size = ends[word] - starts[word] + 1
+    stop = np.cumsum(size)
+    out = buf[np.repeat((starts[word] - stop + size).astype(np.int32), size) + np.arange(stop[-1], dtype=np.int32)]
+    out[stop - 1] = np.where(last, 10, 32)
+    ends_at = np.flatnonzero(np.append(np.diff(group) > 0, True))
+    data, lo = out.tobytes(), 0
+    for g, hi in zip(group[ends_at].tolist(), stop[ends_at].tolist(), strict=True):
+        yield g // len(names), names[g % len(names)], data[lo:hi]
+        lo = hi
+
+
+def deal(docs: DataFrame, found: DataFrame, shards: int, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """shard, lang, text: the parts of the texts that matter to each shard of ``found``; see ``_parts``."""
+    sc = docs.sparkSession.sparkContext
+    width = max(SPREAD, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    two = sc.broadcast(bloom(found.where("h3 IS NULL").select("h1", "h2"), filter_bits))
+    three = sc.broadcast(bloom(found.where("h3 IS NOT NULL").select("h1", "h2", "h3"), filter_bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, str], bytearray] = {}
+        spread = TaskContext.get().partitionId()
+
+        def emitted(keys: list[tuple[int, str]]) -> pa.RecordBatch:
+            nonlocal spread
+            texts = [held.pop(k).decode() for k in keys]
+            to = (np.arange(spread, spread + len(keys)) % width).astype(np.int32)
+            spread += len(keys)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([s for s, _ in keys], pa.int32()), pa.array(to), pa.array([x for _, x in keys], pa.string()), pa.array(texts, pa.string())],
+                ["shard", "spread", "lang", "text"],
+            )
+
+        for batch in batches:
+            rows = [(x, s) for x, t in _rows(batch) for s in _segments(t)]
+            for lo, hi in sub_batches([len(s) for _, s in rows]):
+                for shard, lang, text in _parts([s for _, s in rows[lo:hi]], [x for x, _ in rows[lo:hi]], two.value, three.value, shards):
+                    held.setdefault((shard, lang), bytearray()).extend(text)
+                full = list(held) if sum(map(len, held.values())) > TASK_BYTES else [k for k, t in held.items() if len(t) >= DEALT_BYTES]
+                if full:
+                    yield emitted(full)
+        if held:
+            yield emitted(list(held))
+
+    rows = docs.select("lang", "text").mapInArrow(run, "shard int, spread int, lang string, text string")
+    out = materialize(rows.repartition("shard", "spread").drop("spread"), "colloc-dealt", by="shard")
+    two.destroy()
+    three.destroy()
+    return out
+
+
 # --- the trie ------------------------------------------------------------------
 
 
@@ -298,24 +402,29 @@ def double_array(parent: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np
     return base, check, slot
 
 
+def _coded(chunks: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct texts, and for each text its place there (-1 for null)."""
+    coded = pa.chunked_array(chunks, pa.string()).cast(pa.large_string()).combine_chunks().dictionary_encode()
+    return coded.dictionary, coded.indices.fill_null(-1).to_numpy().astype(np.int64)
+
+
 def build_trie(phrases: pa.Table) -> dict[str, object]:
     """The double-array trie of the rows pid, lang, w1, w2, w3, and its vocabulary per language."""
-    lang = np.array(phrases.column("lang").to_pylist(), dtype=object)
-    number: dict[str, dict[bytes, int]] = {}
-    ids = np.zeros((len(lang), 3), dtype=np.int64)
-    total = 0
-    for k in range(3):
-        column = phrases.column(f"w{k + 1}").to_pylist()
-        for i, (x, w) in enumerate(zip(lang, column, strict=True)):
-            if w is not None:
-                known = number.setdefault(x, {})
-                v = known.get(b := w.encode())
-                if v is None:
-                    known[b] = v = total = total + 1
-                ids[i, k] = v
-    digits = max(1, -(-(total + 1).bit_length() // 9))
+    n = phrases.num_rows
+    langs, lang = _coded(phrases.column("lang").chunks)
+    words, word = _coded([c for k in range(3) for c in phrases.column(f"w{k + 1}").chunks])
+    there = word >= 0
+    known, number_of = np.unique((np.tile(lang, 3) * len(words) + word)[there], return_inverse=True)
+    ids = np.zeros(3 * n, dtype=np.int64)
+    ids[there] = number_of + 1
+    ids = ids.reshape(3, n).T
+    number: dict[str, dict[bytes, int]] = {x: {} for x in langs.to_pylist()}
+    at = np.searchsorted(known, np.arange(len(langs) + 1) * len(words)).tolist()
+    for x, lo, hi in zip(number, at, at[1:], strict=False):
+        number[x] = {w.encode(): v for v, w in enumerate(words.take(pa.array(known[lo:hi] % len(words))).to_pylist(), lo + 1)}
+    digits = max(1, -(-(len(known) + 1).bit_length() // 9))
     parent, symbol, made = [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)], 1
-    rows, node = np.arange(len(lang)), np.zeros(len(lang), dtype=np.int64)
+    rows, node = np.arange(n), np.zeros(n, dtype=np.int64)
     for k in range(3):
         live = ids[rows, k] > 0
         rows = rows[live]
@@ -328,13 +437,13 @@ def build_trie(phrases: pa.Table) -> dict[str, object]:
             made += len(new)
     base, check, slot = double_array(np.concatenate(parent), np.concatenate(symbol))
     phrase = np.full(len(base), -1, dtype=np.int32)
-    phrase[slot[node]] = np.arange(len(lang))
+    phrase[slot[node]] = np.arange(n)
     return {"base": base, "check": check, "phrase": phrase, "pid": phrases.column("pid").to_numpy().astype(np.int64), "digits": digits, "number": number}
 
 
 def tries(found: DataFrame, shards: int) -> DataFrame:
     """shard, name, label, data: one trie per shard, as byte strings, each built in one task."""
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64("lang", "w1", "w2", "w3"), F.lit(shards)).cast("int"))
+    dealt = found.select(shard_column(shards).alias("shard"), "pid", "lang", "w1", "w2", "w3")
 
     def build(t: pa.Table) -> pa.Table:
         trie = build_trie(t)
@@ -369,11 +478,7 @@ class Trie:
     def word_numbers(self, lang: str, text: bytes) -> list[int]:
         """The number of each word (0: in no candidate), and a 0 after each piece."""
         get = self.number.get(lang, {}).get
-        out: list[int] = []
-        for piece in text.split(_BREAK):
-            out += [get(w, 0) for w in piece.split()]
-            out.append(0)
-        return out
+        return [*[get(w, 0) for w in text.replace(_BREAK, _BREAK_WORD).split()], 0]
 
     def accepted(self, numbers: np.ndarray) -> list[np.ndarray]:
         """The accepting states that all positions reach, per level."""
@@ -427,21 +532,29 @@ def count_shard(docs: DataFrame, shared: Broadcast, key: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, "pid long, n long")
 
 
-def frequencies(docs: DataFrame, found: DataFrame, shard_phrases: int = SHARD_PHRASES, least: int = LEAST_COUNT) -> DataFrame:
+def frequencies(
+    docs: DataFrame, found: DataFrame, shard_phrases: int = SHARD_PHRASES, least: int = LEAST_COUNT, filter_bits: int = FILTER_BITS
+) -> DataFrame:
     """lang, w1, w2, w3, a: the frequent phrases and their exact counts."""
     spark = docs.sparkSession
     shards = max(1, -(-found.count() // shard_phrases))
+    drop_shuffles(spark)
     built = materialize(tries(found, shards), "colloc-tries")
+    dealt = deal(docs, found, shards, filter_bits) if shards > 1 else None
     counts = []
     for shard in range(shards):
         rows = [(r["name"], r["label"], bytes(r["data"])) for r in built.where(F.col("shard") == shard).collect()]  # one shard: bounded
         if not rows:
             continue
         shared = spark.sparkContext.broadcast(rows)
-        counted = count_shard(docs, shared, f"{built.scratch_path}/{shard}")
+        del rows  # the next shard's come before this name is used again
+        texts = docs if dealt is None else dealt.where(F.col("shard") == shard)
+        counted = count_shard(texts, shared, f"{built.scratch_path}/{shard}")
         counts.append(materialize(counted.groupBy("pid").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "colloc-counts"))
         shared.destroy()
     discard(built)
+    if dealt is not None:
+        discard(dealt)
     if not counts:
         return found.select("lang", "w1", "w2", "w3", F.lit(0).cast("long").alias("a"))
     total = counts[0]
@@ -496,5 +609,5 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP, shar
     prepare(docs.sparkSession)
     words = materialize(word_counts(docs, least), "colloc-words")
     found = candidates(docs, words, least, filter_bits)
-    phrases = materialize(frequencies(docs, found, shard_phrases, least), "colloc-phrases")
+    phrases = materialize(frequencies(docs, found, shard_phrases, least, filter_bits), "colloc-phrases")
     return ranked(words, phrases, top)

@@ -58,15 +58,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def materialize(df: DataFrame, name: str, held: bool = False) -> DataFrame:
-    """Write ``df`` to the cluster's shared scratch folder and read it back.
+def materialize(df: DataFrame, name: str, held: bool = False, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the cluster's shared scratch folder, in a folder per value of ``by`` if given, and read it back.
 
     Later stages restart from the files when an executor is lost. The folder is
     deleted when the application ends, or by ``release`` unless it is held.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
